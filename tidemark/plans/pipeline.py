@@ -1,0 +1,197 @@
+"""The indexing cycle: next page of the log -> net changes -> documents -> index layers -> commit."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark import constants as K
+from tidemark.functions.refs import ref_tail, ref_to_uuid
+from tidemark.functions.values import parse_properties
+from tidemark.operators import content, quality
+from tidemark.operators.document import build_documents
+from tidemark.operators.enrich import attach_metadata, attach_readers, prefix_properties, readers_by_acl
+from tidemark.operators.lookups import measure
+from tidemark.operators.merge import changed_documents
+from tidemark.operators.net_state import latest_changes, net_state
+from tidemark.operators.registry import build_registry, read_models
+from tidemark.sinks.index_store import bucket_of
+from tidemark.sources.feed import changes_between, page_bounds, routed
+
+# What the pipeline reads of a node: its other parts (children, paths) are never fetched.
+METADATA_COLUMNS = ("id", "type", "acl_id", "properties", "aspects", "name_paths", "ancestors")
+
+
+@dataclass
+class Sources:
+    """Tables a cycle reads. `texts` may be None when only metadata is indexed."""
+
+    log: DataFrame
+    changes: DataFrame
+    metadata: DataFrame
+    acls: DataFrame
+    model_diffs: DataFrame
+    model_definitions: DataFrame
+    texts: DataFrame = None
+
+
+@dataclass
+class Options:
+    merge: str = "partial"
+    on_error: str = "fail"
+    store_name: str = K.LIVE_STORE
+    tag_root: str = K.TAG_ROOT
+    small_registry: int = 1000
+
+
+def run_batch(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None):
+    """Index the next page of the log. Returns its bounds, or None when nothing is pending.
+
+    Any failure leaves the last commit in place, so the page is read again; applying it twice is harmless.
+    """
+    bounds = page_bounds(sources.log, store.watermark(), max_results).first()
+    if not bounds["n_txn"]:
+        return None
+    changes = changes_between(sources.changes, bounds["min_txn_id"], bounds["max_txn_id"])
+    apply_page(store, sources, changes, bounds["max_txn_id"], bounds["repo_max_commit_ms"], options)
+    return bounds
+
+
+def catch_up(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None):
+    """Run batches until the log is exhausted; returns how many ran."""
+    batches = 0
+    while run_batch(store, sources, max_results, options):
+        store.compact()
+        batches += 1
+    return batches
+
+
+def apply_page(store, sources, changes, mark, stamp_ms, options=None):
+    """Apply change rows and move the mark, in one commit.
+
+    Intermediate tables are written to the store's shared folder: they cut the plan where sizes are
+    measured, and a lost executor costs only the tasks it ran.
+    """
+    options = options or Options()
+    commit_id = store.next_commit()
+    work = f"{store.root}/work/c={commit_id}"
+
+    models = read_models(sources.model_diffs, sources.model_definitions)
+    registry = build_registry(models)
+
+    net = _staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
+    size, buckets = _extent(net)
+    nodes = _enriched(net, size, sources, registry, options)
+    documents = _staged(
+        build_documents(nodes, stamp_ms, "reset", "refused_keys", tag_root=options.tag_root), f"{work}/documents"
+    )
+    # A delete stands when no document follows it, be it last in the feed or the metadata gone.
+    removed = net.where("op = 'delete' or reset").join(documents.select("uuid"), "uuid", "left_anti")
+    incoming = documents.withColumn("op", F.lit("upsert")).unionByName(
+        removed.select("uuid", F.lit("delete").alias("op"), F.lit(True).alias("reset")), allowMissingColumns=True
+    )
+    stored = store.read("meta", buckets, net, size)
+    meta = store.write_layer("meta", changed_documents(stored, incoming, options.merge), 2 * commit_id)
+
+    reports = [
+        quality.bad_status(changes),
+        quality.bad_references(changes),
+        quality.bad_models(models),
+        _missing_documents(net, documents),
+        _refused(documents),
+    ]
+    text = []
+    if sources.texts is not None:
+        text, missing = _refresh_text(store, sources, net, documents, size, buckets, work, commit_id, options)
+        reports.append(missing)
+    quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
+    store.commit(commit_id, mark, meta=[meta], text=text)
+
+
+def net_changes(changes, buckets, on_error="fail"):
+    """Change rows -> one row per document key: op, reset, node id and hash bucket."""
+    rows = routed(changes, on_error)
+    tail = ref_tail("node_ref", on_error if on_error == "fail" else "null")
+    key = F.when(F.col("is_delete"), tail).otherwise(ref_to_uuid("node_ref"))
+    keyed = rows.withColumn("uuid", key).where("uuid is not null")
+    net = latest_changes(keyed, "uuid", ["txn_id", "feed_pos"], ["id"])
+    return net.withColumn("bucket", bucket_of("uuid", buckets))
+
+
+def apply_events(store, events, mark, order, key="uuid", merge="partial"):
+    """Apply a feed whose events carry their own fields (metadata as of each change) and move the mark."""
+    commit_id = store.next_commit()
+    net = net_state(events, key, order).withColumnRenamed(key, "uuid")
+    staged = _staged(
+        net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/c={commit_id}/net"
+    )
+    size, buckets = _extent(staged)
+    stored = store.read("meta", buckets, staged, size)
+    layer = store.write_layer("meta", changed_documents(stored, staged, merge), 2 * commit_id)
+    store.commit(commit_id, mark, meta=[layer])
+
+
+def _staged(df, path):
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _extent(net):
+    """Bytes of the document keys of a batch, and the hash buckets they touch."""
+    width = F.octet_length("uuid") + 16
+    row = net.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size"), F.collect_set("bucket").alias("buckets")).first()
+    return row["size"], row["buckets"]
+
+
+def _enriched(net, size, sources, registry, options):
+    updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
+    nodes = attach_metadata(updates, sources.metadata.select(*METADATA_COLUMNS), size)
+    nodes = nodes.withColumn("properties", parse_properties(F.col("properties")))
+    nodes = nodes.withColumn("refused_keys", F.filter(F.map_keys("properties"), lambda k: F.instr(k, "}") == 0))
+    named = prefix_properties(
+        nodes, registry, on_error=options.on_error, max_rows=options.small_registry
+    )
+    acl_ids = attach_metadata(updates.select("id"), sources.metadata.select("id", "acl_id"), size)
+    return attach_readers(named, readers_by_acl(sources.acls, acl_ids, options.on_error))
+
+
+def _refresh_text(store, sources, net, documents, size, buckets, work, commit_id, options):
+    """Write the text layers of a batch: deletion marks first, then the texts whose content id moved."""
+    stored = store.read("text", buckets, net, size)
+    candidates = content.content_candidates(documents, options.store_name)
+    changed = _staged(
+        content.changed_content(candidates, stored).select("id", "uuid", "content_id"), f"{work}/changed"
+    )
+    found = content.non_empty(content.fetch_text(changed, sources.texts, measure(changed)[1]))
+    marks = net.where("op = 'delete' or reset").select(
+        "uuid", F.lit(True).alias("deleted"),
+        F.lit(None).cast("string").alias("content_id"), F.lit(None).cast("string").alias("content_text"),
+    )
+    entries = [
+        store.write_layer("text", marks, 2 * commit_id),
+        store.write_layer("text", found.withColumn("deleted", F.lit(False)), 2 * commit_id + 1),
+    ]
+    if entries[1]:
+        written = store.read("text", layers=entries[1:]).select("uuid")
+        changed = changed.join(written, "uuid", "left_anti")
+    return entries, _reported(changed, "missing_content", "uuid", F.col("content_id"))
+
+
+def _reported(df, rule, key, detail):
+    return df.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), detail.alias("detail"))
+
+
+def _missing_documents(net, documents):
+    missing = net.where("op = 'upsert'").join(documents.select("uuid"), "uuid", "left_anti")
+    return _reported(missing, "missing_metadata", "id", F.col("uuid"))
+
+
+def _refused(documents):
+    """Property names without a brace, and those whose namespace no model declares."""
+    def names(column):
+        return documents.select(F.explode(column).alias("name")).distinct()
+
+    nothing = F.lit(None).cast("string")
+    return _reported(names("refused_keys"), "key_without_brace", "name", nothing).unionByName(
+        _reported(names("property_names").where(F.col("name").startswith("{")), "unknown_namespace", "name", nothing)
+    )
