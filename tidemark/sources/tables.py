@@ -180,6 +180,6 @@ def escaped_documents(spark, folder):
     units = F.transform(
         F.split("text", ""),
         lambda c: F.when(c.rlike(r"[^\x00-\x7F]"),
-                         F.regexp_replace(F.hex(F.encode(c, "UTF-16BE")), "(.{4})", r"\\\\u$1")).otherwise(c),
+                         F.regexp_replace(F.hex(F.encode(c, "UTF-16BE")), "(.{4})", r"\\u$1")).otherwise(c),
     )
     return table(spark, folder, "documents").select("doc_id", "text", F.array_join(units, "").alias("escaped"))
