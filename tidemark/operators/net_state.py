@@ -11,29 +11,26 @@ def net_state(events, key, order, fields="fields"):
     reset (a delete occurred in this feed) and the surviving fields.
 
     A field is alive when its last write comes after the last delete of its key, so both are found in one
-    pass. Each event expands to its fields plus one mark; partial aggregation folds the marks of a hot key
-    before anything is shuffled.
+    pass. Each event expands to the fields it writes (a delete, or an update of no field, to one mark), and
+    partial aggregation folds the writes of a hot key before anything is shuffled.
     """
-    entry = "array<struct<key:string,value:string>>"
-    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
-    written = F.when(~F.col("is_delete"), F.map_entries(F.col(fields)).cast(entry))
-    parts = events.select(
+    is_delete = F.col("is_delete")
+    nothing = F.lit(None).cast("string")
+    mark = F.array(F.struct(nothing.alias("key"), nothing.alias("value")))
+    writes_none = is_delete | F.col(fields).isNull() | (F.size(fields) == 0)
+    writes = events.select(
         F.col(key),
-        "is_delete",
+        is_delete,
         F.struct(*[F.col(c) for c in order]).alias("seq"),
-        F.inline(F.concat(mark.cast(entry), F.coalesce(written, F.array().cast(entry)))).alias("field", "value"),
+        F.inline(F.when(writes_none, mark).otherwise(F.map_entries(fields))).alias("field", "value"),
     )
-    last = parts.groupBy(key, "is_delete", "field").agg(
-        F.max(F.struct("seq", F.struct("value").alias("held"))).alias("last")
-    )
-    is_mark = F.col("field").isNull()
+    last = writes.groupBy(key, "is_delete", "field").agg(F.max(F.struct("seq", "value")).alias("last"))
+    seq = F.col("last.seq")
+    held = F.when(F.col("field").isNotNull(), F.struct("field", seq.alias("seq"), F.col("last.value").alias("value")))
     folded = last.groupBy(key).agg(
-        F.max(F.when(F.col("is_delete"), F.col("last.seq"))).alias("last_delete"),
-        F.max(F.when(~F.col("is_delete") & is_mark, F.col("last.seq"))).alias("last_update"),
-        F.collect_list(
-            F.when(~is_mark, F.struct("field", F.col("last.seq").alias("seq"),
-                                      F.col("last.held.value").alias("value")))
-        ).alias("writes"),
+        F.max(F.when(is_delete, seq)).alias("last_delete"),
+        F.max(F.when(~is_delete, seq)).alias("last_update"),
+        F.collect_list(held).alias("writes"),
     )
     alive = F.filter("writes", lambda w: F.col("last_delete").isNull() | (w["seq"] > F.col("last_delete")))
     return folded.select(

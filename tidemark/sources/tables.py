@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import escape_json
+
 ACL_COUNT = 30
 LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -35,15 +37,16 @@ def change_lines(spark, folder):
 
     Every update names quantity, price and tax (null on a finished line); discount only where there is one.
     """
-    def field(name, value):
-        return F.struct(F.lit(name).alias("key"), value.cast("string").alias("value"))
-
-    fields = F.map_from_entries(F.array_compact(F.array(
-        field("quantity", F.col("l_quantity")),
-        field("price", F.col("l_extendedprice")),
-        F.when(F.col("l_discount") > 0, field("discount", F.col("l_discount"))),
-        field("tax", F.when(F.col("l_linestatus") != "F", F.col("l_tax"))),
-    )))
+    def named(name, value):
+        return F.lit(name), value.cast("string")
+
+    always = [
+        *named("quantity", F.col("l_quantity")),
+        *named("price", F.col("l_extendedprice")),
+        *named("tax", F.when(F.col("l_linestatus") != "F", F.col("l_tax"))),
+    ]
+    discounted = F.create_map(*always, *named("discount", F.col("l_discount")))
+    fields = F.when(F.col("l_discount") > 0, discounted).otherwise(F.create_map(*always))
     return table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") + 1).alias("txn_id"),
         F.col("l_partkey").alias("id"),
@@ -177,9 +180,6 @@ def url_segments(url):
 
 def escaped_documents(spark, folder):
     """documents with every character beyond ASCII written as its escape, per UTF-16 unit."""
-    units = F.transform(
-        F.split("text", ""),
-        lambda c: F.when(c.rlike(r"[^\x00-\x7F]"),
-                         F.regexp_replace(F.hex(F.encode(c, "UTF-16BE")), "(.{4})", r"\\u$1")).otherwise(c),
-    )
-    return table(spark, folder, "documents").select("doc_id", "text", F.array_join(units, "").alias("escaped"))
+    doubled = F.regexp_replace(escape_json(F.col("text")), r"\\u([0-9A-F]{4})", r"\\\\u$1")
+    plain = F.get_json_object(F.concat(F.lit('{"t":"'), doubled, F.lit('"}')), "$.t")
+    return table(spark, folder, "documents").select("doc_id", "text", plain.alias("escaped"))
