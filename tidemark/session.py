@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,17 +26,21 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g", **conf):
     return spark
 
 
+@cache
+def _local_folder():
+    return tempfile.mkdtemp(prefix="tidemark-")
+
+
 def shared_folder(spark):
     """The folder every executor can reach, as the session names it in spark.checkpoint.dir.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    Only a local session that names none (a test) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 
