@@ -1,0 +1,261 @@
+"""The whole cycle on a small hand-made repository."""
+
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tidemark.plans.pipeline import Options, Sources, catch_up, run_batch
+from tidemark.sinks.index_store import IndexStore
+from tidemark.streaming.index_stream import stream_index
+
+CM, SYS = "{http://m/cm}", "{http://m/sys}"
+
+
+def properties(name=None, content_id=None, store="SpacesStore", **more):
+    values = {f"{SYS}store-identifier": store, **{f"{CM}{k}": v for k, v in more.items()}}
+    if name is not None:
+        values[f"{CM}name"] = name
+    if content_id is not None:
+        values[f"{CM}content"] = {"contentId": content_id, "mimetype": "text/plain", "size": "3"}
+    return json.dumps(values)
+
+
+class Repository:
+    """Mutable fixture tables, read as of now by every batch."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.log, self.changes, self.nodes, self.texts = [], [], {}, {}
+        self.acls = [(1, ["alice", "bob"]), (2, [])]
+        self.models = [("{http://m/cm}model", 1, '<model name="cm:m"/>'), ("{http://m/sys}model", 2, '<model name="sys:m"/>')]
+
+    def commit(self, *rows):
+        txn = len(self.log) + 1
+        self.log.append((txn, 1000 * txn))
+        for pos, (status, node) in enumerate(rows):
+            ref = node if isinstance(node, str) and "/" in node else f"workspace://SpacesStore/n-{node}"
+            self.changes.append((node if isinstance(node, int) else 0, ref, txn, status, pos))
+        return txn
+
+    def node(self, node, props, acl=1, **more):
+        self.nodes[node] = (node, "cm:content", acl, props, more.get("aspects", ["cm:titled"]),
+                            more.get("name_paths", []), more.get("ancestors"))
+
+    def sources(self):
+        make = self.spark.createDataFrame
+        return Sources(
+            log=make(self.log, "id long, commit_time_ms long"),
+            changes=make(self.changes, "id long, node_ref string, txn_id long, status string, feed_pos long"),
+            metadata=make(list(self.nodes.values()), "id long, type string, acl_id long, properties string, aspects array<string>, name_paths array<array<string>>, ancestors array<string>"),
+            acls=make(self.acls, "acl_id long, readers array<string>"),
+            model_diffs=make([m[:2] for m in self.models], "name string, pos long"),
+            model_definitions=make([(m[0], m[2]) for m in self.models], "name string, xml string"),
+            texts=make(list(self.texts.items()), "id long, text string"),
+        )
+
+
+@pytest.fixture
+def repo(spark):
+    repo = Repository(spark)
+    repo.node(1, properties("one", "c1", owner="olga", modifier="max", title=[{"locale": "en", "value": "T"}]),
+              ancestors=["workspace://SpacesStore/p1", "workspace://SpacesStore/p2"],
+              name_paths=[["Tags", "red"], ["Tags"], ["Other", "x"], ["Tags", "red"]])
+    repo.node(2, properties("two", "c2", "ArchiveStore", modifier="max"), acl=9)
+    repo.node(3, properties(None, "c3"), acl=2)
+    repo.texts = {1: "text one", 2: "text two", 3: ""}
+    repo.commit(("u", 1), ("u", 2))
+    repo.commit(("u", 3), ("u", 4))
+    return repo
+
+
+def indexed(store):
+    return {r["uuid"]: r.asDict(recursive=True) for r in store.index().collect()}
+
+
+def rejects(spark, store):
+    rows = spark.read.parquet(f"{store.root}/rejects/c=*").select("rule", "key").distinct().collect()
+    return {tuple(r) for r in rows}
+
+
+def make_store(spark, tmp_path, name="index"):
+    return IndexStore(spark, str(tmp_path / name), buckets=4, max_layers=2).ensure()
+
+
+def test_documents_and_text(spark, tmp_path, repo):
+    store = make_store(spark, tmp_path)
+    bounds = run_batch(store, repo.sources())
+    assert (bounds["min_txn_id"], bounds["max_txn_id"], store.watermark()) == (1, 2, 2)
+    docs = indexed(store)
+    assert sorted(docs) == ["n-1", "n-2", "n-3"]
+    one = docs["n-1"]
+    assert (one["type"], one["primary_parent"], one["parents"]) == ("cm:content", "p1", ["p1", "p2"])
+    assert (one["readers"], one["owner"], one["tags"], one["alive"]) == (["alice", "bob"], "olga", ["red", "red"], True)
+    assert one["last_update_ms"] == 2000 and one["content_info"] == {"mimetype": "text/plain", "size": "3", "encoding": None}
+    assert one["property_names"] == ["cm:modifier", "cm:name", "cm:owner", "cm:title", "sys:store-identifier"]
+    assert one["fields"] == {"cm%3Aname": '"one"', "cm%3Aowner": '"olga"', "cm%3Amodifier": '"max"',
+                             "cm%3Atitle": '"T"', "sys%3Astore%2Didentifier": '"SpacesStore"'}
+    assert (one["content_id"], one["content_text"]) == ("c1", "text one")
+    two, three = docs["n-2"], docs["n-3"]
+    assert (two["owner"], two["readers"], two["content_text"], two["primary_parent"]) == ("max", [], None, None)
+    assert (three["owner"], three["fields"]["cm%3Aname"], three["content_id"]) == (None, None, None)
+    assert rejects(spark, store) == {("missing_metadata", "4"), ("missing_content", "n-3")}
+    assert run_batch(store, repo.sources()) is None
+
+
+def test_update_delete_recreate(spark, tmp_path, repo):
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    # A removed property survives, a changed one is replaced, text moves only with its id.
+    repo.node(1, properties("uno", "c1"))
+    repo.texts[1] = "not read"
+    repo.commit(("u", 1), ("d", 2))
+    run_batch(store, repo.sources())
+    docs = indexed(store)
+    assert sorted(docs) == ["n-1", "n-3"]
+    assert docs["n-1"]["fields"]["cm%3Aowner"] == '"olga"' and docs["n-1"]["fields"]["cm%3Aname"] == '"uno"'
+    assert (docs["n-1"]["owner"], docs["n-1"]["parents"], docs["n-1"]["tags"]) == ("olga", ["p1", "p2"], [])
+    assert docs["n-1"]["content_text"] == "text one"
+    # Deleted and created again in one batch: nothing of the old document is left, the text is read anew.
+    repo.commit(("d", 1))
+    repo.commit(("u", 1))
+    run_batch(store, repo.sources())
+    one = indexed(store)["n-1"]
+    assert "cm%3Aowner" not in one["fields"] and one["owner"] is None and one["parents"] is None
+    assert one["content_text"] == "not read"
+    # Text that appears later is fetched although only its content was missing before.
+    repo.texts[3] = "late"
+    repo.commit(("u", 3))
+    run_batch(store, repo.sources())
+    assert indexed(store)["n-3"]["content_text"] == "late"
+    # Deleted last, with the metadata gone as well.
+    del repo.nodes[1]
+    repo.commit(("u", 1), ("d", 1), ("u", 1))
+    run_batch(store, repo.sources())
+    assert "n-1" not in indexed(store)
+
+
+def test_replace_mode(spark, tmp_path, repo):
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    repo.node(1, properties("uno", "c1"))
+    repo.commit(("u", 1))
+    run_batch(store, repo.sources(), options=Options(merge="replace"))
+    one = indexed(store)["n-1"]
+    assert sorted(one["fields"]) == ["cm%3Aname", "sys%3Astore%2Didentifier"]
+    assert one["owner"] is None and one["content_text"] == "text one"
+
+
+def test_paging_and_splits_agree(spark, tmp_path, repo):
+    repo.commit(("d", 1))
+    repo.commit(("u", 2))
+    whole, paged = make_store(spark, tmp_path, "a"), make_store(spark, tmp_path, "b")
+    assert catch_up(whole, repo.sources(), None) == 1
+    assert catch_up(paged, repo.sources(), 1) == 4
+    assert indexed(whole) == indexed(paged)
+    assert paged.watermark() == 4
+
+
+def test_replay_changes_nothing(spark, tmp_path, repo):
+    from tidemark.plans.pipeline import apply_page
+
+    store = make_store(spark, tmp_path)
+    repo.commit(("d", 2), ("u", 1))
+    run_batch(store, repo.sources())
+    before = indexed(store)
+    sources = repo.sources()
+    apply_page(store, sources, sources.changes, 3, 3000)
+    assert indexed(store) == before
+
+
+def test_older_stamp_never_wins(spark, tmp_path, repo):
+    from tidemark.plans.pipeline import apply_page
+
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    repo.node(1, properties("late", "c1"))
+    sources = repo.sources()
+    apply_page(store, sources, sources.changes.where("id = 1"), 2, 1999)
+    assert indexed(store)["n-1"]["fields"]["cm%3Aname"] == '"one"'
+    apply_page(store, sources, sources.changes.where("id = 1"), 2, 2000)
+    assert indexed(store)["n-1"]["fields"]["cm%3Aname"] == '"late"'
+
+
+@pytest.mark.parametrize("break_it", ["status", "reference", "acl", "key"])
+def test_failure_keeps_the_mark(spark, tmp_path, repo, break_it):
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    before = indexed(store)
+    if break_it == "status":
+        repo.commit(("u", 1), ("x", 2))
+    elif break_it == "reference":
+        repo.commit(("u", 1))
+        repo.changes.append((2, "noslash", 3, "d", 9))
+    elif break_it == "acl":
+        repo.acls.append((1, ["eve"]))
+        repo.commit(("u", 1))
+    else:
+        repo.nodes[1] = repo.nodes[1][:3] + ('{"bare":1}',) + repo.nodes[1][4:]
+        repo.commit(("u", 1))
+    with pytest.raises(PySparkException):
+        run_batch(store, repo.sources())
+    assert store.watermark() == 2 and indexed(store) == before
+    run_batch(store, repo.sources(), options=Options(on_error="reject"))
+    assert store.watermark() == 3
+    found = rejects(spark, store)
+    if break_it == "acl":
+        assert indexed(store)["n-1"]["readers"] == []
+    else:
+        assert {"status": ("bad_status", "2"), "reference": ("bad_reference", "2"),
+                "key": ("key_without_brace", "bare")}[break_it] in found
+
+
+def test_late_transaction_is_not_read(spark, tmp_path, repo):
+    store = make_store(spark, tmp_path)
+    store.commit(store.next_commit(), 1)
+    run_batch(store, repo.sources())
+    assert sorted(indexed(store)) == ["n-3"]
+
+
+def test_unknown_namespace_is_reported(spark, tmp_path, repo):
+    repo.nodes[1] = repo.nodes[1][:3] + ('{"{http://m/zz}a":1}',) + repo.nodes[1][4:]
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    assert ("unknown_namespace", "{http://m/zz}:a") in rejects(spark, store)
+    assert "%7Bhttp%3A%2F%2Fm%2Fzz%7D%3Aa" in indexed(store)["n-1"]["fields"]
+
+
+def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
+    """Every size-checked broadcast has another way; both give the same index."""
+    from tidemark.operators import lookups
+
+    small = make_store(spark, tmp_path, "small")
+    catch_up(small, repo.sources(), 1)
+    for name in ("lookup_join", "keep_keys", "join_on_keys"):
+        function = getattr(lookups, name)
+        defaults = list(function.__defaults__)
+        defaults[-1 if name != "lookup_join" else 0] = -1
+        monkeypatch.setattr(function, "__defaults__", tuple(defaults))
+    large = make_store(spark, tmp_path, "large")
+    catch_up(large, repo.sources(), 1, Options(small_registry=0))
+    assert indexed(large) == indexed(small)
+
+
+def test_stream_equals_batch(spark, tmp_path, repo):
+    repo.commit(("d", 1), ("u", 3))
+    sources = repo.sources()
+    folder = str(tmp_path / "feed")
+    for txn in (1, 2, 3):
+        sources.changes.where(F.col("txn_id") == txn).coalesce(1).write.mode("append").parquet(folder)
+    batch, stream = make_store(spark, tmp_path, "batch"), make_store(spark, tmp_path, "stream")
+    catch_up(batch, sources, None)
+
+    def run():
+        changes = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        stream_index(changes, stream, sources, str(tmp_path / "checkpoint"), seconds=None).awaitTermination()
+
+    run()
+    assert indexed(stream) == indexed(batch) and stream.watermark() == 3
+    run()
+    assert indexed(stream) == indexed(batch)
