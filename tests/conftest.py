@@ -11,6 +11,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from tidemark.session import local_session
 
-    session = local_session(4, shuffle_partitions=4, memory="4g")
+    # Tiny inputs: interpreting a plan is faster than compiling it. test_queries.py runs with code generation.
+    session = local_session(4, shuffle_partitions=2, memory="4g", spark__sql__codegen__wholeStage="false",
+                            spark__sql__codegen__factoryMode="NO_CODEGEN", spark__sql__adaptive__enabled="false")
     yield session
     session.stop()

@@ -108,6 +108,10 @@ def test_escape_parses_back(spark, text):
     assert json.loads(f'"{escaped}"') == text
 
 
+def test_escape_of_null(spark):
+    assert one(spark, None, escape_json) is None
+
+
 @pytest.mark.parametrize("escaped,text", [
     ("\\u0024", "$"), ("cost \\u0024\\u0031.", "cost $1."), ("\\ud83d\\ude00!", "😀!"), ("no escapes", "no escapes"),
     ("\\n stays", "\\n stays"), ("\\u00e9\\u00E9", "éé"), ("\\u12", "\\u12"), ("lone \\ud83d here", "lone \\ud83d here"),

@@ -152,7 +152,7 @@ def test_paging_and_splits_agree(spark, tmp_path, repo):
     repo.commit(("u", 2))
     whole, paged = make_store(spark, tmp_path, "a"), make_store(spark, tmp_path, "b")
     assert catch_up(whole, repo.sources(), None) == 1
-    assert catch_up(paged, repo.sources(), 1) == 4
+    assert catch_up(paged, repo.sources(), 2) == 2
     assert indexed(whole) == indexed(paged)
     assert paged.watermark() == 4
 
@@ -231,14 +231,14 @@ def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
     from tidemark.operators import lookups
 
     small = make_store(spark, tmp_path, "small")
-    catch_up(small, repo.sources(), 1)
+    catch_up(small, repo.sources(), None)
     for name in ("lookup_join", "keep_keys", "join_on_keys"):
         function = getattr(lookups, name)
         defaults = list(function.__defaults__)
         defaults[-1 if name != "lookup_join" else 0] = -1
         monkeypatch.setattr(function, "__defaults__", tuple(defaults))
     large = make_store(spark, tmp_path, "large")
-    catch_up(large, repo.sources(), 1, Options(small_registry=0))
+    catch_up(large, repo.sources(), None, Options(small_registry=0))
     assert indexed(large) == indexed(small)
 
 

@@ -11,9 +11,9 @@ _RUN = f"(?:{_UNIT})++"
 
 
 def escape_json(text):
-    """Body of an ASCII-only JSON string literal holding the text."""
+    """Body of an ASCII-only JSON string literal holding the text; null for null."""
     whole = F.to_json(F.array(text), ASCII_JSON)
-    return F.substr(whole, F.lit(3), F.length(whole) - 4)
+    return F.when(text.isNotNull(), F.substr(whole, F.lit(3), F.length(whole) - 4))
 
 
 def unescape_unicode(text):

@@ -49,6 +49,7 @@ def run_batch(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=No
 
     Any failure leaves the last commit in place, so the page is read again; applying it twice is harmless.
     """
+    store.refresh()
     bounds = page_bounds(sources.log, store.watermark(), max_results).first()
     if not bounds["n_txn"]:
         return None
@@ -70,18 +71,18 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
     """Apply change rows and move the mark, in one commit.
 
     Intermediate tables are written to the store's shared folder: they cut the plan where sizes are
-    measured, and a lost executor costs only the tasks it ran.
+    measured, and a lost executor costs only the tasks it ran. The next batch writes over them.
     """
     options = options or Options()
     commit_id = store.next_commit()
-    work = f"{store.root}/work/c={commit_id}"
+    work = f"{store.root}/work"
 
     models = read_models(sources.model_diffs, sources.model_definitions)
     registry = build_registry(models)
 
     net = _staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
-    size, buckets = _extent(net)
-    nodes = _enriched(net, size, sources, registry, options)
+    extent = _extent(net)
+    nodes = _enriched(net, extent["size"], sources, registry, options)
     documents = _staged(
         build_documents(nodes, stamp_ms, "reset", "refused_keys", tag_root=options.tag_root), f"{work}/documents"
     )
@@ -90,7 +91,7 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
     incoming = documents.withColumn("op", F.lit("upsert")).unionByName(
         removed.select("uuid", F.lit("delete").alias("op"), F.lit(True).alias("reset")), allowMissingColumns=True
     )
-    stored = store.read("meta", buckets, net, size)
+    stored = store.read("meta", extent["buckets"], net, extent["size"])
     meta = store.write_layer("meta", changed_documents(stored, incoming, options.merge), 2 * commit_id)
 
     reports = [
@@ -102,7 +103,7 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
     ]
     text = []
     if sources.texts is not None:
-        text, missing = _refresh_text(store, sources, net, documents, size, buckets, work, commit_id, options)
+        text, missing = _refresh_text(store, sources, net, documents, extent, work, commit_id, options)
         reports.append(missing)
     quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
     store.commit(commit_id, mark, meta=[meta], text=text)
@@ -123,10 +124,10 @@ def apply_events(store, events, mark, order, key="uuid", merge="partial"):
     commit_id = store.next_commit()
     net = net_state(events, key, order).withColumnRenamed(key, "uuid")
     staged = _staged(
-        net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/c={commit_id}/net"
+        net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/net"
     )
-    size, buckets = _extent(staged)
-    stored = store.read("meta", buckets, staged, size)
+    extent = _extent(staged)
+    stored = store.read("meta", extent["buckets"], staged, extent["size"])
     layer = store.write_layer("meta", changed_documents(stored, staged, merge), 2 * commit_id)
     store.commit(commit_id, mark, meta=[layer])
 
@@ -137,10 +138,13 @@ def _staged(df, path):
 
 
 def _extent(net):
-    """Bytes of the document keys of a batch, and the hash buckets they touch."""
+    """Bytes of the document keys of a batch, the hash buckets they touch, and how many keys lose a document."""
     width = F.octet_length("uuid") + 16
-    row = net.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size"), F.collect_set("bucket").alias("buckets")).first()
-    return row["size"], row["buckets"]
+    return net.agg(
+        F.coalesce(F.sum(width), F.lit(0)).alias("size"),
+        F.collect_set("bucket").alias("buckets"),
+        F.count_if((F.col("op") == "delete") | F.col("reset")).alias("removals"),
+    ).first()
 
 
 def _enriched(net, size, sources, registry, options):
@@ -155,25 +159,27 @@ def _enriched(net, size, sources, registry, options):
     return attach_readers(named, readers_by_acl(sources.acls, acl_ids, options.on_error))
 
 
-def _refresh_text(store, sources, net, documents, size, buckets, work, commit_id, options):
+def _refresh_text(store, sources, net, documents, extent, work, commit_id, options):
     """Write the text layers of a batch: deletion marks first, then the texts whose content id moved."""
-    stored = store.read("text", buckets, net, size)
+    stored = store.read("text", extent["buckets"], net, extent["size"])
     candidates = content.content_candidates(documents, options.store_name)
     changed = _staged(
         content.changed_content(candidates, stored).select("id", "uuid", "content_id"), f"{work}/changed"
     )
-    found = content.non_empty(content.fetch_text(changed, sources.texts, measure(changed)[1]))
-    marks = net.where("op = 'delete' or reset").select(
-        "uuid", F.lit(True).alias("deleted"),
-        F.lit(None).cast("string").alias("content_id"), F.lit(None).cast("string").alias("content_text"),
-    )
-    entries = [
-        store.write_layer("text", marks, 2 * commit_id),
-        store.write_layer("text", found.withColumn("deleted", F.lit(False)), 2 * commit_id + 1),
-    ]
-    if entries[1]:
-        written = store.read("text", layers=entries[1:]).select("uuid")
-        changed = changed.join(written, "uuid", "left_anti")
+    rows, size = measure(changed)
+    entries = []
+    if extent["removals"]:
+        marks = net.where("op = 'delete' or reset").select(
+            "uuid", F.lit(True).alias("deleted"),
+            F.lit(None).cast("string").alias("content_id"), F.lit(None).cast("string").alias("content_text"),
+        )
+        entries.append(store.write_layer("text", marks, 2 * commit_id))
+    if rows:
+        found = content.non_empty(content.fetch_text(changed, sources.texts, size))
+        layer = store.write_layer("text", found.withColumn("deleted", F.lit(False)), 2 * commit_id + 1)
+        if layer:
+            entries.append(layer)
+            changed = changed.join(store.read("text", layers=[layer]).select("uuid"), "uuid", "left_anti")
     return entries, _reported(changed, "missing_content", "uuid", F.col("content_id"))
 
 

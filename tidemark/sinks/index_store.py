@@ -27,7 +27,7 @@ class IndexStore:
         self.root = root.rstrip("/")
         self.max_layers = max_layers
         self.fold_ratio = fold_ratio
-        head = self.head()
+        head = self.refresh()
         self.buckets = head["buckets"] if head else buckets
 
     # -- state -----------------------------------------------------------------------------------------
@@ -41,10 +41,14 @@ class IndexStore:
                 return None
             raise
 
-    def head(self):
-        """The last commit, or None."""
+    def refresh(self):
+        """Read the last commit, or None. A store has one writer, so between its own commits it holds still."""
         commits = self._read(COMMIT, f"{self.root}/commits")
-        return commits and commits.orderBy(F.desc("commit_id")).limit(1).first()
+        self._head = commits and commits.orderBy(F.desc("commit_id")).limit(1).first()
+        return self._head
+
+    def head(self):
+        return self._head
 
     def watermark(self):
         """Last indexed transaction id, 0 before the first commit."""
@@ -136,6 +140,7 @@ class IndexStore:
     def _write_commit(self, commit_id, last_txn_id, meta, text):
         row = self.spark.createDataFrame([(commit_id, last_txn_id, self.buckets, meta, text)], COMMIT)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        self._head = row.first()
 
     # -- upkeep ----------------------------------------------------------------------------------------
 

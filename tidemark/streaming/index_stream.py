@@ -20,6 +20,7 @@ def _start(stream, apply, checkpoint, seconds):
 def _fresh(store, rows):
     """Rows above the mark and the mark they lead to. A replayed micro-batch has none left; neither has a
     transaction that commits below the mark."""
+    store.refresh()
     fresh = rows.where(F.col("txn_id") > store.watermark())
     return fresh, fresh.agg(F.max("txn_id")).first()[0]
 
