@@ -9,7 +9,7 @@ def _col(c):
 
 def ref_to_uuid(ref):
     """Part after the store of a `protocol://store/uuid` reference; null when the whole text does not match."""
-    return F.nullif(F.regexp_extract(_col(ref), r"^.+://.+/(.+)\z", 1), F.lit(""))
+    return F.get(F.regexp_extract_all(_col(ref), F.lit(r"^.+://.+/(.+)\z"), F.lit(1)), F.lit(0))
 
 
 def has_tail(ref):
@@ -28,7 +28,8 @@ def ref_tail(ref, on_error="fail"):
 
 def qname_uri(name):
     """`{uri}` of `{uri}local`, up to and including the last brace; empty when there is none."""
-    return F.regexp_extract(_col(name), r"(?s)^(.*\})", 1)
+    name = _col(name)
+    return F.substr(name, F.lit(1), F.length(name) - F.length(qname_local(name)))
 
 
 def qname_local(name):

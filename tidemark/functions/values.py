@@ -43,14 +43,25 @@ def collection_element(e):
     return F.when(_has(as_map(e), K.REFERENCE_ID), F.try_variant_get(e, f"$.{K.REFERENCE_ID}", "variant")).otherwise(e)
 
 
-def flatten_value(v):
-    """JSON text of a property value as the index stores it; null for a null value."""
+def flatten_value(v, json=None):
+    """JSON text of a property value as the index stores it; null for a null value.
+
+    `json` is the value's own JSON text where the caller has it already. It tells the kinds apart: most
+    values are scalars or lists of scalars, which are stored as they are.
+    """
+    json = F.to_json(v) if json is None else json
+    holds_maps = json.startswith("[") & json.contains("{")
     return (
-        F.when(v.isNull() | F.is_variant_null(v), F.lit(None).cast("string"))
-        .when(is_locale_list(v), json_text(locale_value(v)))
-        .when(as_array(v).isNotNull(), F.to_json(F.transform(as_array(v), collection_element)))
-        .when(as_map(v).isNotNull(), F.to_json(map_pairs(v)))
-        .otherwise(F.to_json(v))
+        F.when(json == "null", F.lit(None).cast("string"))
+        .when(json.startswith("{"), F.to_json(map_pairs(v)))
+        .when(holds_maps, _flatten_list(v))
+        .otherwise(json)
+    )
+
+
+def _flatten_list(v):
+    return F.when(is_locale_list(v), json_text(locale_value(v))).otherwise(
+        F.to_json(F.transform(as_array(v), collection_element))
     )
 
 

@@ -45,41 +45,55 @@ def content_info(properties):
     ))
 
 
-def property_fields(properties):
-    """Encoded name -> JSON text of every kept property; the name is always among them, null if missing."""
-    kept = F.map_filter(properties, lambda k, v: ~k.isin(*EXCLUDED))
-    fields = F.transform_values(
-        F.transform_keys(kept, lambda k, v: encode_name(k)), lambda k, v: flatten_value(v)
+def property_names(properties):
+    """Sorted names of the kept properties."""
+    return F.sort_array(F.array_except(F.map_keys(properties), F.array(*map(F.lit, EXCLUDED))))
+
+
+def with_property_fields(nodes):
+    """Add `fields`: encoded name -> JSON text of every kept property. The name is always among them, null if
+    the node has none."""
+    kept = F.filter(F.map_entries("properties"), lambda e: ~e["key"].isin(*EXCLUDED))
+    texts = F.transform(kept, lambda e: F.struct(
+        encode_name(e["key"]).alias("key"), e["value"].alias("value"), F.to_json(e["value"]).alias("json")
+    ))
+    flat = F.transform("_texts", lambda e: F.struct(
+        e["key"].alias("key"), flatten_value(e["value"], e["json"]).alias("value")
+    ))
+    name = F.struct(encode_name(F.lit(K.NAME)).alias("key"), F.lit(None).cast("string").alias("value"))
+    unnamed = F.when(~F.map_contains_key("properties", K.NAME), F.array(name)).otherwise(F.array().cast(
+        "array<struct<key:string,value:string>>"))
+    return (
+        nodes.withColumn("_texts", texts)
+        .withColumn("fields", F.map_from_entries(F.concat(flat, unnamed)))
+        .drop("_texts")
     )
-    unnamed = F.create_map(encode_name(F.lit(K.NAME)), F.lit(None).cast("string"))
-    return F.when(F.map_contains_key(properties, K.NAME), fields).otherwise(F.map_concat(fields, unnamed))
 
 
 def build_documents(nodes, stamp_ms, *carry, tag_root=K.TAG_ROOT):
     """Enriched nodes (uuid, id, type, readers, ancestors, aspects, name_paths as lists of names, prefixed
     properties) -> documents, with content_id and store for the text phase and the carried columns."""
     properties = F.col("properties")
-    parents = ancestor_uuids(F.col("ancestors"))
-    kept_names = F.map_keys(F.map_filter(properties, lambda k, v: ~k.isin(*EXCLUDED)))
+    parents = F.col("_parents")
     no_tags = F.array().cast("array<string>")
 
     def named(name):
         return text_value(F.try_element_at(properties, F.lit(name)))
 
-    return nodes.select(
+    return with_property_fields(nodes.withColumn("_parents", ancestor_uuids(F.col("ancestors")))).select(
         "uuid",
         "type",
         primary_parent(parents).alias("primary_parent"),
         parents_of(parents).alias("parents"),
         "readers",
         owner_of(named(K.OWNER), named(K.MODIFIER)).alias("owner"),
-        F.array_sort(kept_names).alias("property_names"),
+        property_names(properties).alias("property_names"),
         "aspects",
         F.coalesce(tags_of(F.col("name_paths"), tag_root), no_tags).alias("tags"),
         F.lit(True).alias("alive"),
         F.lit(stamp_ms).cast("bigint").alias("last_update_ms"),
         content_info(properties).alias("content_info"),
-        property_fields(properties).alias("fields"),
+        "fields",
         content_member(properties, K.CONTENT_ID).alias("content_id"),
         named(K.STORE_IDENTIFIER).alias("store"),
         "id",

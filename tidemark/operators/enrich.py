@@ -56,29 +56,26 @@ def prefix_properties(nodes, registry, id_col="uuid", on_error="fail", max_rows=
         return _prefix_by_join(nodes, registry, id_col, on_error, options)
     literals = [F.lit(x) for pair in sorted(known.items()) for x in pair]
     prefixes = F.create_map(*literals) if literals else F.lit(None).cast("map<string,string>")
-    entries = F.transform(
-        F.map_entries("properties"), lambda e: F.struct(checked_key(e["key"], on_error).alias("key"),
-                                                        e["value"].alias("value"))
-    )
-    renamed = F.transform(
-        F.filter(entries, lambda e: e["key"].isNotNull()),
-        lambda e: F.struct(
-            prefixed_key(e["key"], F.try_element_at(prefixes, qname_uri(e["key"]))).alias("key"),
-            e["value"].alias("value"),
-        ),
-    )
-    return nodes.withColumn("properties", _last_wins(renamed))
-
-
-def _last_wins(entries):
-    """Map of the entries, the last one of equal keys winning."""
-    keys = F.transform(entries, lambda e: e["key"])
+    entries = F.map_entries("properties")
+    if on_error == "reject":
+        entries = F.filter(entries, lambda e: F.instr(e["key"], "}") > 0)
+    renamed = F.transform(entries, lambda e: F.struct(
+        prefixed_key(checked_key(e["key"]), F.try_element_at(prefixes, qname_uri(e["key"]))).alias("key"),
+        e["value"].alias("value"),
+    ))
+    return _last_wins(nodes.withColumn("_entries", renamed))
+
+
+def _last_wins(nodes):
+    """Turn `_entries` into the `properties` map, the last one of equal keys winning. The entries are a
+    column of their own so that they are computed once."""
+    entries, keys = F.col("_entries"), F.col("_entries.key")
     latest = F.filter(
         entries,
         lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), e["key"]),
     )
     unique = F.size(F.array_distinct(keys)) == F.size(keys)
-    return F.map_from_entries(F.when(unique, entries).otherwise(latest))
+    return nodes.withColumn("properties", F.map_from_entries(F.when(unique, entries).otherwise(latest))).drop("_entries")
 
 
 def _prefix_by_join(nodes, registry, id_col, on_error, options):
@@ -93,15 +90,14 @@ def _prefix_by_join(nodes, registry, id_col, on_error, options):
         F.array_sort(
             F.collect_list(F.struct("pos", prefixed_key(F.col("key"), F.col("prefix")).alias("key"), "value")),
             lambda a, b: a["pos"] - b["pos"],
-        ).alias("_entries")
+        ).alias("_sorted")
     ).select(
         id_col,
-        _last_wins(F.transform("_entries", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))))
-        .alias("_renamed"),
+        F.transform("_sorted", lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))).alias("_entries"),
     )
-    joined = nodes.join(regrouped, id_col, "left")
-    empty = F.map_filter("properties", lambda k, v: F.lit(False))
-    return joined.withColumn("properties", F.coalesce("_renamed", empty)).drop("_renamed")
+    empty = F.map_entries(F.map_filter("properties", lambda k, v: F.lit(False)))
+    joined = nodes.join(regrouped, id_col, "left").withColumn("_entries", F.coalesce("_entries", empty))
+    return _last_wins(joined)
 
 
 def ancestor_uuids(ancestors):

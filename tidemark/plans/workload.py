@@ -33,7 +33,7 @@ def _pairs(fields):
     lines = F.transform(
         F.map_entries(fields), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("null")))
     )
-    return F.array_join(F.array_sort(lines), "|")
+    return F.array_join(F.sort_array(lines), "|")
 
 
 # -- feed ------------------------------------------------------------------------------------------------

@@ -75,7 +75,7 @@ def acl_readers(spark, folder):
     nation = table(spark, folder, "nation").select(F.col("n_nationkey").cast("bigint").alias("acl_id"))
     segments = table(spark, folder, "customer").groupBy(
         F.col("c_nationkey").cast("bigint").alias("acl_id")
-    ).agg(F.array_sort(F.collect_set("c_mktsegment")).alias("readers"))
+    ).agg(F.sort_array(F.collect_set("c_mktsegment")).alias("readers"))
     return nation.join(segments, "acl_id", "left").withColumn(
         "readers", F.coalesce("readers", F.array().cast("array<string>"))
     )
