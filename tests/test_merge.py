@@ -150,6 +150,25 @@ def test_control_row(spark, tmp_path):
     assert IndexStore(spark, str(tmp_path / "s")).ensure().watermark() == 7
 
 
+def test_last_commit_is_found_from_any_start(spark, tmp_path):
+    writer = IndexStore(spark, str(tmp_path / "s")).ensure(create_index=False)
+    reader = IndexStore(spark, str(tmp_path / "s"))
+    for i in range(1, 8):
+        writer.commit(writer.next_commit(), i)
+        if i in (1, 4):
+            assert reader.refresh()["last_txn_id"] == i
+        assert IndexStore(spark, str(tmp_path / "s")).watermark() == i
+    assert reader.watermark() == 4 and reader.refresh()["last_txn_id"] == 7
+
+
+def test_unfinished_commit_is_not_seen(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "s")).ensure()
+    (tmp_path / "s" / "commits" / "c=1" / "_temporary").mkdir(parents=True)
+    assert IndexStore(spark, str(tmp_path / "s")).head()["commit_id"] == 0
+    store.commit(store.next_commit(), 3)
+    assert IndexStore(spark, str(tmp_path / "s")).watermark() == 3
+
+
 def test_buckets_are_fixed_at_creation(spark, tmp_path):
     IndexStore(spark, str(tmp_path / "s"), buckets=4).ensure()
     assert IndexStore(spark, str(tmp_path / "s"), buckets=9).buckets == 4

@@ -242,6 +242,35 @@ def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
     assert indexed(large) == indexed(small)
 
 
+def test_saved_responses(spark, tmp_path, repo):
+    """The same repository as saved JSON responses gives the same index."""
+    from tidemark.sources.responses import response_sources
+
+    def save(kind, *lines):
+        folder = tmp_path / "responses" / kind
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text("\n".join(json.dumps(line) for line in lines) + "\n")
+
+    repo.commit(("d", 2), ("u", 1), ("d", 1))
+    save("transactions", *[{"transactions": [{"id": i, "commitTimeMs": ms}], "maxTxnId": 3} for i, ms in repo.log])
+    for_txn = {}
+    for node, ref, txn, status, _ in repo.changes:
+        for_txn.setdefault(txn, []).append({"id": node, "nodeRef": ref, "txnId": txn, "status": status})
+    save("changes", *[{"nodes": rows} for rows in for_txn.values()])
+    save("metadata", *[{"nodes": [{
+        "id": n[0], "nodeRef": f"workspace://SpacesStore/n-{n[0]}", "type": n[1], "aclId": n[2],
+        "properties": json.loads(n[3]), "aspects": n[4], "namePaths": [{"namePath": p} for p in n[5]], "ancestors": n[6],
+    }]} for n in repo.nodes.values()])
+    save("acl_readers", {"aclsReaders": [{"aclId": a, "readers": r} for a, r in repo.acls]})
+    save("model_diffs", {"diffs": [{"name": m[0], "type": "NEW"} for m in repo.models]})
+    save("model_definitions", *[{"name": m[0], "xml": m[2]} for m in repo.models])
+    save("texts", *[{"id": i, "text": text} for i, text in repo.texts.items()])
+    tables, responses = make_store(spark, tmp_path, "tables"), make_store(spark, tmp_path, "from-responses")
+    run_batch(tables, repo.sources())
+    run_batch(responses, response_sources(spark, str(tmp_path / "responses")))
+    assert indexed(responses) == indexed(tables) and sorted(indexed(tables)) == ["n-3"]
+
+
 def test_stream_equals_batch(spark, tmp_path, repo):
     repo.commit(("d", 1), ("u", 3))
     sources = repo.sources()

@@ -6,6 +6,15 @@ from tidemark import constants as K
 from tidemark.operators.lookups import join_on_keys
 
 
+def lookup_index(keys, index):
+    """Content id the index holds per key: empty when it has no such document, null when that has none."""
+    held = index.select("uuid", "content_id", F.lit(True).alias("_hit"))
+    joined = keys.join(held, "uuid", "left")
+    return joined.withColumn(
+        "content_id", F.when(F.col("_hit").isNull(), F.lit("")).otherwise(F.col("content_id"))
+    ).drop("_hit")
+
+
 def content_candidates(documents, store=K.LIVE_STORE):
     """Documents of the live store that carry a content id."""
     return documents.where(

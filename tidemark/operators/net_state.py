@@ -44,10 +44,10 @@ def net_state(events, key, order, fields="fields"):
 def latest_changes(changes, key, order, carry):
     """Net change per key when metadata is read as of now: one row per key with the `carry` columns of its
     last update, op and reset. Equal to replaying every change, because each replay writes the same document."""
-    seq = [F.col(c) for c in order]
+    is_delete, seq = F.col("is_delete"), F.struct(*[F.col(c) for c in order])
     folded = changes.groupBy(key).agg(
-        F.max(F.when(F.col("is_delete"), F.struct(*seq))).alias("last_delete"),
-        F.max(F.when(~F.col("is_delete"), F.struct(F.struct(*seq).alias("seq"), *carry))).alias("last_update"),
+        F.max(F.when(is_delete, seq)).alias("last_delete"),
+        F.max_by(F.struct(seq.alias("seq"), *carry), F.when(~is_delete, seq)).alias("last_update"),
     )
     return folded.select(
         key,

@@ -80,10 +80,10 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
     models = read_models(sources.model_diffs, sources.model_definitions)
     registry = build_registry(models)
 
-    net = _staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
+    net = staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
     extent = _extent(net)
     nodes = _enriched(net, extent["size"], sources, registry, options)
-    documents = _staged(
+    documents = staged(
         build_documents(nodes, stamp_ms, "reset", "refused_keys", tag_root=options.tag_root), f"{work}/documents"
     )
     # A delete stands when no document follows it, be it last in the feed or the metadata gone.
@@ -123,16 +123,15 @@ def apply_events(store, events, mark, order, key="uuid", merge="partial"):
     """Apply a feed whose events carry their own fields (metadata as of each change) and move the mark."""
     commit_id = store.next_commit()
     net = net_state(events, key, order).withColumnRenamed(key, "uuid")
-    staged = _staged(
-        net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/net"
-    )
-    extent = _extent(staged)
-    stored = store.read("meta", extent["buckets"], staged, extent["size"])
-    layer = store.write_layer("meta", changed_documents(stored, staged, merge), 2 * commit_id)
+    net = staged(net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/net")
+    extent = _extent(net)
+    stored = store.read("meta", extent["buckets"], net, extent["size"])
+    layer = store.write_layer("meta", changed_documents(stored, net, merge), 2 * commit_id)
     store.commit(commit_id, mark, meta=[layer])
 
 
-def _staged(df, path):
+def staged(df, path):
+    """Write an intermediate table and go on from it."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -163,7 +162,7 @@ def _refresh_text(store, sources, net, documents, extent, work, commit_id, optio
     """Write the text layers of a batch: deletion marks first, then the texts whose content id moved."""
     stored = store.read("text", extent["buckets"], net, extent["size"])
     candidates = content.content_candidates(documents, options.store_name)
-    changed = _staged(
+    changed = staged(
         content.changed_content(candidates, stored).select("id", "uuid", "content_id"), f"{work}/changed"
     )
     rows, size = measure(changed)

@@ -13,7 +13,7 @@ from tidemark.operators.enrich import (
 )
 from tidemark.operators.lookups import lookup_join, measure
 from tidemark.operators.net_state import latest_changes, latest_value, net_state
-from tidemark.plans.pipeline import Sources, apply_events, catch_up
+from tidemark.plans.pipeline import Sources, apply_events, catch_up, staged
 from tidemark.session import new_folder
 from tidemark.sinks.bulk_export import bulk_lines
 from tidemark.sinks.index_store import IndexStore
@@ -240,7 +240,7 @@ def bad_references(spark, d):
 
 def unescape_text(spark, d):
     clean = t.escaped_documents(spark, d).select("doc_id", unescape_unicode(F.col("escaped")).alias("text"))
-    return clean.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n"))
+    return clean.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("bigint").alias("n"))
 
 
 def escape_text(spark, d):
@@ -338,10 +338,16 @@ def _stored_content(spark, d):
     )
 
 
+def index_lookup(spark, d):
+    keys = t.table(spark, d, "documents").select(F.concat(F.lit("doc-"), F.col("doc_id")).alias("uuid"))
+    return content.lookup_index(keys, _stored_content(spark, d))
+
+
 def _changed(spark, d):
     documents = _documents(spark, d, 0).withColumn("reset", F.lit(False))
     candidates = content.content_candidates(documents).select("id", "uuid", "content_id", "reset")
-    return content.changed_content(candidates, _stored_content(spark, d))
+    changed = content.changed_content(candidates, _stored_content(spark, d))
+    return staged(changed.select("id", "uuid", "content_id"), f"{new_folder(spark, 'content')}/changed")
 
 
 def content_changed(spark, d):
@@ -565,6 +571,7 @@ QUERIES = {
     "tags": tags,
     "owner_fallback": owner_fallback,
     "value_flatten": value_flatten,
+    "index_lookup": index_lookup,
     "content_changed": content_changed,
     "content_applied": content_applied,
     "content_latest": content_latest,

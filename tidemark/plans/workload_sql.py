@@ -247,6 +247,9 @@ select conv_id, turn, to_json(text)::varchar as localised, '""' as bare_locale,
        '[' || conv_id || ']' as references, '["a=' || conv_id || '","b=' || role || '"]' as map,
        turn::varchar as number, to_json(text)::varchar as plain, '[' || turn || ',' || conv_id || ']' as numbers
 from conversations""",
+    "index_lookup": f"""
+with {_BUILT}
+select uuid, case when quality is null then '' when quality = 1 then n_chars::varchar end as content_id from built""",
     "content_changed": f"""
 with {_BUILT}
 select uuid, n_chars::varchar as content_id, md5(text) as text_md5

@@ -27,6 +27,7 @@ class IndexStore:
         self.root = root.rstrip("/")
         self.max_layers = max_layers
         self.fold_ratio = fold_ratio
+        self._head = None
         head = self.refresh()
         self.buckets = head["buckets"] if head else buckets
 
@@ -42,12 +43,28 @@ class IndexStore:
             raise
 
     def refresh(self):
-        """Read the last commit, or None. A store has one writer, so between its own commits it holds still."""
-        commits = self._read(COMMIT, f"{self.root}/commits")
-        self._head = commits and commits.orderBy(F.desc("commit_id")).limit(1).first()
+        """Find the last commit, or None.
+
+        Commits are numbered without gaps, each in a folder of its own, so the search steps ahead of the known
+        one and never lists them all: one probe when nothing is new, a logarithmic number otherwise.
+        """
+        last = self._head["commit_id"] if self._head else -1
+        stride, beyond = 1, None
+        while beyond is None or beyond - last > 1:
+            probe = last + stride if beyond is None else (last + beyond) // 2
+            row = self._commit_row(probe)
+            if row:
+                self._head, last, stride = row, probe, stride * 2
+            else:
+                beyond = probe
         return self._head
 
+    def _commit_row(self, commit_id):
+        rows = self._read(COMMIT, f"{self.root}/commits/c={commit_id}")
+        return rows and rows.first()
+
     def head(self):
+        """The last commit as of the last refresh or write; a store has one writer."""
         return self._head
 
     def watermark(self):
@@ -139,7 +156,7 @@ class IndexStore:
 
     def _write_commit(self, commit_id, last_txn_id, meta, text):
         row = self.spark.createDataFrame([(commit_id, last_txn_id, self.buckets, meta, text)], COMMIT)
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/c={commit_id}")
         self._head = row.first()
 
     # -- upkeep ----------------------------------------------------------------------------------------

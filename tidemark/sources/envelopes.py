@@ -6,20 +6,22 @@ from pyspark.sql import types as T
 from tidemark.schemas import ENVELOPES
 
 
-def envelope_type(kind):
+def envelope_type(kind, row_schema=None):
     """Schema of a whole envelope: its list of rows and its other members."""
     rows, schema, extra = ENVELOPES[kind]
+    schema = row_schema or schema
     envelope = T.StructType([T.StructField(rows, T.ArrayType(T.StructType.fromDDL(schema)))])
     for name, kind_text in extra.items():
         envelope = envelope.add(name, T.StructType.fromDDL(f"x {kind_text}")["x"].dataType)
     return envelope
 
 
-def decode_envelope(df, column, kind):
-    """One row per element of the envelope's list, with the envelope's other members beside it."""
+def decode_envelope(df, column, kind, row_schema=None):
+    """One row per element of the envelope's list: its place in the list (pos), its members and the
+    envelope's other members."""
     rows, _, extra = ENVELOPES[kind]
-    parsed = df.select(F.from_json(column, envelope_type(kind)).alias("_e")).select("_e.*")
-    return parsed.select(*extra, F.inline(rows))
+    parsed = df.select(F.from_json(column, envelope_type(kind, row_schema)).alias("_e")).select("_e.*")
+    return parsed.select(*extra, F.posexplode(rows).alias("pos", "_row")).select("pos", "_row.*", *extra)
 
 
 def unknown_members(df, column, kind):
