@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.plans.pipeline import Options, Sources, catch_up, run_batch
+from tidemark.plans.cycle import Options, Sources, catch_up, run_batch
 from tidemark.sinks.index_store import IndexStore
 from tidemark.streaming.index_stream import stream_index
 
@@ -158,7 +158,7 @@ def test_paging_and_splits_agree(spark, tmp_path, repo):
 
 
 def test_replay_changes_nothing(spark, tmp_path, repo):
-    from tidemark.plans.pipeline import apply_page
+    from tidemark.plans.cycle import apply_page
 
     store = make_store(spark, tmp_path)
     repo.commit(("d", 2), ("u", 1))
@@ -170,7 +170,7 @@ def test_replay_changes_nothing(spark, tmp_path, repo):
 
 
 def test_older_stamp_never_wins(spark, tmp_path, repo):
-    from tidemark.plans.pipeline import apply_page
+    from tidemark.plans.cycle import apply_page
 
     store = make_store(spark, tmp_path)
     run_batch(store, repo.sources())
@@ -229,6 +229,7 @@ def test_unknown_namespace_is_reported(spark, tmp_path, repo):
 def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
     """Every size-checked broadcast has another way; both give the same index."""
     from tidemark.operators import lookups
+    from tidemark.plans import cycle
 
     small = make_store(spark, tmp_path, "small")
     catch_up(small, repo.sources(), None)
@@ -237,6 +238,7 @@ def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
         defaults = list(function.__defaults__)
         defaults[-1 if name != "lookup_join" else 0] = -1
         monkeypatch.setattr(function, "__defaults__", tuple(defaults))
+    monkeypatch.setattr(cycle, "BROADCAST_BYTES", -1)
     large = make_store(spark, tmp_path, "large")
     catch_up(large, repo.sources(), None, Options(small_registry=0))
     assert indexed(large) == indexed(small)

@@ -4,7 +4,7 @@ import pytest
 
 from test_net_state import SCHEMA, random_feed
 from replay import replay_fields
-from tidemark.plans.pipeline import apply_events
+from tidemark.plans.cycle import apply_events
 from tidemark.sinks.index_store import IndexStore
 from tidemark.sources import feed
 from tidemark.streaming.index_stream import stream_events

@@ -11,7 +11,7 @@ from tidemark.functions.values import parse_properties
 from tidemark.operators import content, quality
 from tidemark.operators.document import build_documents
 from tidemark.operators.enrich import attach_metadata, attach_readers, prefix_properties, readers_by_acl
-from tidemark.operators.lookups import measure
+from tidemark.operators.lookups import BROADCAST_BYTES, measure
 from tidemark.operators.merge import changed_documents
 from tidemark.operators.net_state import latest_changes, net_state
 from tidemark.operators.registry import build_registry, read_models
@@ -147,15 +147,23 @@ def _extent(net):
 
 
 def _enriched(net, size, sources, registry, options):
+    """Metadata, readers and prefixed properties of the updated nodes.
+
+    Readers small enough to broadcast are attached to the finished rows. Otherwise they are attached to the
+    keys first, so that the join on the ACL moves thin rows and the wide metadata is shuffled once, by id.
+    """
     updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
-    nodes = attach_metadata(updates, sources.metadata.select(*METADATA_COLUMNS), size)
+    acl_keys = attach_metadata(updates, sources.metadata.select("id", "acl_id"), size)
+    readers = readers_by_acl(sources.acls, acl_keys, options.on_error)
+    readers_size = measure(readers)[1]
+    wide = sources.metadata.select(*METADATA_COLUMNS)
+    if readers_size <= BROADCAST_BYTES:
+        nodes = attach_readers(attach_metadata(updates, wide, size), readers, size=readers_size)
+    else:
+        nodes = wide.drop("acl_id").join(attach_readers(acl_keys, readers, size=readers_size), "id")
     nodes = nodes.withColumn("properties", parse_properties(F.col("properties")))
     nodes = nodes.withColumn("refused_keys", F.filter(F.map_keys("properties"), lambda k: F.instr(k, "}") == 0))
-    named = prefix_properties(
-        nodes, registry, on_error=options.on_error, max_rows=options.small_registry
-    )
-    acl_ids = attach_metadata(updates.select("id"), sources.metadata.select("id", "acl_id"), size)
-    return attach_readers(named, readers_by_acl(sources.acls, acl_ids, options.on_error))
+    return prefix_properties(nodes, registry, on_error=options.on_error, max_rows=options.small_registry)
 
 
 def _refresh_text(store, sources, net, documents, extent, work, commit_id, options):

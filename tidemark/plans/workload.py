@@ -13,7 +13,7 @@ from tidemark.operators.enrich import (
 )
 from tidemark.operators.lookups import lookup_join, measure
 from tidemark.operators.net_state import latest_changes, latest_value, net_state
-from tidemark.plans.pipeline import Sources, apply_events, catch_up, staged
+from tidemark.plans.cycle import Sources, apply_events, catch_up, staged
 from tidemark.session import new_folder
 from tidemark.sinks.bulk_export import bulk_lines
 from tidemark.sinks.index_store import IndexStore

@@ -104,7 +104,8 @@ class IndexStore:
         layers = self.layers(family) if layers is None else layers
         body = ["uuid", *FAMILIES[family]]
         if not layers:
-            return self.spark.createDataFrame([], family_schema(family)).select(*body)
+            # Known to be empty when the plan is made, so that joining a first load to it shuffles nothing.
+            return self.spark.createDataFrame([], family_schema(family)).select(*body).limit(0)
         rows = self._read(
             family_schema(family), f"{self.root}/{family}", *[self._layer(family, x["v"]) for x in layers]
         )

@@ -7,7 +7,7 @@ Each folder holds text files with one response per line: `transactions`, `change
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.pipeline import Sources
+from tidemark.plans.cycle import Sources
 from tidemark.schemas import NODE
 from tidemark.sources.envelopes import decode_envelope
 

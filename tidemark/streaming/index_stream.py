@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.plans.pipeline import apply_events, apply_page
+from tidemark.plans.cycle import apply_events, apply_page
 
 
 def _start(stream, apply, checkpoint, seconds):
