@@ -478,10 +478,8 @@ def bulk_export(spark, d):
     """Documents as bulk lines, read back from the text."""
     built = _documents(spark, d, 1_700_000_000_000)
     texts = t.document_texts(spark, d).withColumnRenamed("text", "content_text")
-    lines = F.split("value", "\n")
-    payload = bulk_lines(built.join(texts, "id"), "documents").select(
-        lines[0].alias("action"), lines[1].alias("body")
-    )
+    lines = bulk_lines(built.join(texts, "id"), "documents").select(F.split("value", "\n").alias("lines"))
+    payload = lines.select(F.col("lines")[0].alias("action"), F.col("lines")[1].alias("body"))
     doc = F.from_json("body", "doc map<string,variant>")["doc"]
     held = payload.select(F.get_json_object("action", "$.update._id").alias("uuid"), doc.alias("doc"))
 
