@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from replay import Index
 from tidemark.operators import merge
+from tidemark.sinks import index_store
 from tidemark.sinks.index_store import IndexStore
 
 NET = "uuid string, op string, reset boolean, type string, owner string, last_update_ms long, fields map<string,string>"
@@ -80,7 +81,7 @@ def test_store_equals_replay(spark, tmp_path, seed):
     assert collected(store.read("meta")) == modelled(batches + batches[-1:], "partial")
 
 
-def test_many_small_layers_keep_their_deletion_marks(spark, tmp_path):
+def test_many_small_layers_keep_their_deletion_marks(spark, tmp_path, monkeypatch):
     store = IndexStore(spark, str(tmp_path / "index"), buckets=2, max_layers=2, fold_ratio=10).ensure()
     rows = [(f"k{i}", "upsert", False, "t", None, 1, {"a": str(i)}) for i in range(20)]
     applied(store, spark, rows, 1)
@@ -89,6 +90,10 @@ def test_many_small_layers_keep_their_deletion_marks(spark, tmp_path):
         store.compact()
     assert sorted(collected(store.read("meta"))) == sorted(f"k{i}" for i in range(4, 20))
     assert store.layers("meta")[0]["rows"] == 20 and len(store.layers("meta")) <= 3
+    # Keys too many to broadcast are joined by a shuffle, to the same rows.
+    before = collected(store.read("meta"))
+    monkeypatch.setattr(index_store, "BROADCAST_BYTES", -1)
+    assert len(store.layers("meta")) > 1 and collected(store.read("meta")) == before
 
 
 def test_stamp_guard(spark):

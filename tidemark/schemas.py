@@ -47,7 +47,8 @@ TEXT_COLUMNS = {"content_id": "string", "content_text": "string"}
 
 COMMIT = (
     "commit_id bigint, last_txn_id bigint, buckets int, "
-    "meta array<struct<v:bigint,rows:bigint>>, text array<struct<v:bigint,rows:bigint>>"
+    "meta array<struct<v:bigint,rows:bigint,key_bytes:bigint>>, "
+    "text array<struct<v:bigint,rows:bigint,key_bytes:bigint>>"
 )
 
 

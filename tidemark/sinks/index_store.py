@@ -13,8 +13,6 @@ from tidemark.operators.lookups import BROADCAST_BYTES, keep_keys
 from tidemark.schemas import COMMIT, DOCUMENT_COLUMNS, TEXT_COLUMNS, family_schema
 
 FAMILIES = {"meta": DOCUMENT_COLUMNS, "text": TEXT_COLUMNS}
-# Bytes allowed for one document key when the rows of small layers decide on a broadcast.
-KEY_BYTES = 128
 
 
 def bucket_of(key, buckets):
@@ -99,7 +97,7 @@ class IndexStore:
         """Current rows of one family, optionally only those of some buckets and keys.
 
         The newest layer of a key wins. Only layers above the first are asked which keys they hold; that
-        key set is broadcast while the commit's row counts bound it, so the first, large layer is not shuffled.
+        key set is broadcast while the key bytes in the commit allow it, so the first, large layer is not shuffled.
         """
         layers = self.layers(family) if layers is None else layers
         body = ["uuid", *FAMILIES[family]]
@@ -115,7 +113,7 @@ class IndexStore:
             rows = keep_keys(rows, keys.select("uuid"), "uuid", keys_size)
         if len(layers) > 1:
             newest = rows.where(F.col("v") > layers[0]["v"]).groupBy("uuid").agg(F.max("v").alias("newest"))
-            if sum(x["rows"] for x in layers[1:]) * KEY_BYTES <= BROADCAST_BYTES:
+            if sum(x["key_bytes"] for x in layers[1:]) <= BROADCAST_BYTES:
                 newest = F.broadcast(newest)
             rows = rows.join(newest, "uuid", "left").where("newest is null or v = newest")
         if with_deleted:
@@ -138,8 +136,11 @@ class IndexStore:
             .sortWithinPartitions("bucket", "uuid")
             .write.mode("overwrite").partitionBy("bucket").parquet(path)
         )
-        count = self._read(family_schema(family), f"{self.root}/{family}", path).count()
-        return {"v": version, "rows": count} if count else None
+        width = F.octet_length("uuid") + 16
+        extent = self._read(family_schema(family), f"{self.root}/{family}", path).agg(
+            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes")
+        ).first()
+        return {"v": version, **extent.asDict()} if extent["rows"] else None
 
     def next_commit(self):
         """Id of the next commit; its layers may use the versions 2 * id and 2 * id + 1, the later one winning."""
