@@ -51,7 +51,7 @@ def crc32_of(column):
     return F.crc32(column.cast("string").cast("binary"))
 
 
-def _ship(context):
+def ship(context):
     """Give the executors this package, as spark-submit --py-files does; once in a Spark context."""
     if getattr(context, "_tidemark_shipped", False):
         return
@@ -70,5 +70,5 @@ def _ship(context):
 
 def in_arrow(df, function, schema):
     """df.mapInArrow on executors that have this package."""
-    _ship(df.sparkSession.sparkContext)
+    ship(df.sparkSession.sparkContext)
     return df.mapInArrow(function, schema)

@@ -11,12 +11,11 @@ import re
 from array import array
 
 import xxhash
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.chunks import texts_of
-from tidemark.llm.common import in_arrow, keyed, stored
+from tidemark.llm.common import in_arrow, keyed, ship, stored
 
 #: A line ends after a newline or the signs that end a sentence; white space belongs to the line it follows.
 LINE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
@@ -95,12 +94,11 @@ def _signed(value):
 
 
 def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
-    """id, mark, starts, words, hashes (arrays by line), prints (array of unit hash and line) of every text that
-    has a unit."""
+    """id, mark, hashes (by line), units and ats (hash and line of each fingerprint) of every text that has a unit."""
     rows = keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
     out = T.StructType([rows.schema["id"], rows.schema["mark"]] + [
         T.StructField(name, T.ArrayType(kind)) for name, kind in
-        (("starts", T.IntegerType()), ("words", T.IntegerType()), ("hashes", T.LongType()), ("units", T.LongType()), ("ats", T.IntegerType()))])
+        (("hashes", T.LongType()), ("units", T.LongType()), ("ats", T.IntegerType()))])
 
     def computed(batches):
         import numpy as np
@@ -115,14 +113,13 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_wo
         for batch in batches:
             keep, found = [], []
             for row, text in enumerate(texts_of(batch.column(2))):
-                starts, words, hashes = lines_of(text)
+                _, words, hashes = lines_of(text)
                 units, ends = units_of(words, hashes, least_words)
                 if units:
                     ats = fingerprints_of(words, units, ends, sure_words)
                     keep.append(row)
-                    found.append((starts, words, hashes, [units[at] for at in ats], ats))
-            kinds = (np.int32, np.int32, np.uint64, np.uint64, np.int32)
-            columns = [lists([f[i] for f in found], kind) for i, kind in enumerate(kinds)]
+                    found.append((hashes, [units[at] for at in ats], ats))
+            columns = [lists([f[i] for f in found], kind) for i, kind in enumerate((np.uint64, np.uint64, np.int32))]
             taken = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), *columns], names=out.names)
 
@@ -147,63 +144,69 @@ def extended(hashes, first_hashes, anchors):
     return runs
 
 
-def repeated_runs(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
-    """id, mark, first_id, start, end, n_words of each run of lines that occurs earlier, in characters.
+def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
+    """id, mark, matches: for each text that shares a fingerprint with an earlier one an array of first_id, the
+    hashes of that text's lines, and the lines (at, first_at) where the two meet.
 
-    Earlier: in a text of a smaller id (null first, then by mark), or earlier in the same text. A pair of texts
-    is compared only where a fingerprint's first occurrence lies in the earlier one, so a passage that
-    thousands of texts share costs one pair for each of them. Rows that repeat id and text are one document.
+    Earlier: in a text of a smaller id (null first, then by mark), or earlier in the same text. A text is compared
+    only with those that a fingerprint of its first occurs in, so a passage that thousands of texts share costs
+    one pair for each of them. Rows that repeat id and text are one document.
     """
     lines = stored(fingerprints(docs, id_col, text_col, least_words, sure_words), "lines")
     prints = lines.select("id", "mark", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
         "id", "mark", F.col("p.units").alias("unit"), F.col("p.ats").alias("at"))
     place = F.struct("id", "mark", "at")
-    first = prints.groupBy("unit").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("unit", "first")
-    pairs = (
+    # the joins below read written tables, so that adaptive execution can split the rows of a hot key
+    first = stored(prints.groupBy("unit").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first-places")
+    pairs = stored(
         prints.join(first, "unit").where(place != F.col("first"))
         .groupBy("id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-        .agg(F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors"))
-    )
-    once = lines.select("id", "mark", "starts", "words", "hashes").dropDuplicates(["id", "mark"])
-    theirs = once.select(F.col("id").alias("t_id"), F.col("mark").alias("t_mark"), F.col("hashes").alias("first_hashes"))
-    ours = once.select(F.col("id").alias("o_id"), F.col("mark").alias("o_mark"), "starts", "words", "hashes")
-    both = (
-        pairs.join(theirs, F.col("first_id").eqNullSafe(F.col("t_id")) & (F.col("first_mark") == F.col("t_mark")))
-        .join(ours, F.col("id").eqNullSafe(F.col("o_id")) & (F.col("mark") == F.col("o_mark")))
-        .select("id", "mark", "first_id", "starts", "words", "hashes", "first_hashes",
-                F.col("anchors.at").alias("ats"), F.col("anchors.first_at").alias("first_ats"))
-    )
-    out = T.StructType([both.schema["id"], both.schema["mark"], both.schema["first_id"], T.StructField("start", T.IntegerType()),
-                        T.StructField("end", T.IntegerType()), T.StructField("n_words", T.IntegerType())])
-
-    def runs(batches):
-        import pyarrow as pa
+        .agg(F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
+    wanted = pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct()
+    theirs = lines.select("id", "mark", "hashes").join(
+        wanted, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left_semi").dropDuplicates(["id", "mark"])
+    theirs = stored(theirs, "first-lines").select(F.col("id").alias("f_id"), F.col("mark").alias("f_mark"), "hashes")
+    met = pairs.join(theirs, F.col("first_id").eqNullSafe(F.col("f_id")) & (F.col("first_mark") == F.col("f_mark")))
+    match = F.struct("first_id", "hashes", F.col("anchors.at").alias("ats"), F.col("anchors.first_at").alias("first_ats"))
+    return met.groupBy("id", "mark").agg(F.collect_list(match).alias("matches"))
+
+
+def runs_of(text, matches, least_words):
+    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart."""
+    starts, words, hashes = lines_of(text)
+    hashes = [_signed(h) for h in hashes]
+    found = []
+    for m in matches:
+        for start, end in extended(hashes, m["hashes"], zip(m["ats"], m["first_ats"])):
+            if sum(words[start:end]) >= least_words:
+                found.append((start, end, m["first_id"]))
+    runs, reached = [], 0
+    for start, end, first in sorted(found, key=lambda r: (r[0], -r[1])):
+        start = max(start, reached)
+        if start < end:
+            runs.append((starts[start], starts[end] if end < len(starts) else END, sum(words[start:end]), first))
+            reached = end
+    return runs
 
-        for batch in batches:
-            rows, found = [], []
-            columns = [batch.column(i).to_pylist() for i in range(3, 9)]
-            for row, (starts, words, hashes, first_hashes, ats, first_ats) in enumerate(zip(*columns)):
-                for start, end in extended(hashes, first_hashes, zip(ats, first_ats)):
-                    if sum(words[start:end]) < least_words:
-                        continue
-                    rows.append(row)
-                    found.append((starts[start], starts[end] if end < len(starts) else END, sum(words[start:end])))
-            taken = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(taken) for i in range(3)]
-                + [pa.array([f[i] for f in found], pa.int32()) for i in range(3)], names=out.names)
-
-    return in_arrow(both, runs, out)
-
-
-def deletions(runs):
-    """id, mark, spans (array of start, end; sorted, apart) to delete: overlapping and touching runs joined."""
-    ordered = Window.partitionBy("id", "mark").orderBy("start", "end")
-    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    part = F.sum(F.when(F.col("start") <= reached, 0).otherwise(1)).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    joined = runs.select("id", "mark", "start", "end").withColumn("part", part).groupBy("id", "mark", "part").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"))
-    return joined.groupBy("id", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+
+def _runs_udf(id_type, least_words):
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = T.ArrayType(T.StructType([
+        T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
+        T.StructField("first_id", id_type)]))
+    names = kind.elementType.names
+
+    @F.arrow_udf(kind)
+    def runs(text: pa.Array, matches: pa.Array) -> pa.Array:
+        found = []
+        for data, met in zip(text.to_pylist(), matches.to_pylist()):
+            rows = runs_of(data.decode("utf-8", "replace"), met, least_words) if met else None
+            found.append([dict(zip(names, r)) for r in rows] if rows else None)
+        return pa.array(found, to_arrow_type(kind))
+
+    return runs
 
 
 def without(text, spans):
@@ -215,17 +218,22 @@ def without(text, spans):
     return F.when(spans.isNull(), text).otherwise(cut)
 
 
-def deduplicated(docs, id_col="doc_id", text_col="text", **options):
-    """Every row of docs: `row`, a struct of all its columns, the text without later repeated runs; `spans`, the
-    deleted spans in characters of the old text (null: none); `before`, the old text. Null texts stay null."""
-    spans = deletions(repeated_runs(docs, id_col, text_col, **options)).select(
-        F.col("id").alias("s_id"), F.col("mark").alias("s_mark"), "spans")
+def deduplicated(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
+    """Every row of docs: `row`, a struct of all its columns, the text without later repeated runs; `spans`, an array
+    of start, end (characters of the old text), n_words and first_id of each deleted run (null: none); `before`, the
+    old text. Null texts stay null."""
+    ship(docs.sparkSession.sparkContext)
+    met = earlier_lines(docs, id_col, text_col, least_words, sure_words).select(
+        F.col("id").alias("m_id"), F.col("mark").alias("m_mark"), "matches")
     names = [f.name for f in docs.schema.fields]
     others = [docs[f"`{n}`"].alias(n) for n in names if n != text_col]
     rows = docs.select(F.struct(*others).alias("others"), docs[id_col].alias("id"), docs[text_col].alias("text"),
                        F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("mark"))
-    joined = rows.join(spans, F.col("id").eqNullSafe(F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left")
-    cleaned = joined.select("others", "spans", F.col("text").alias("before"), without(F.col("text"), F.col("spans")).alias("text"))
+    joined = rows.join(met, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left")
+    # only texts that met an earlier one go to Python, which cuts them into lines again
+    text = F.when(F.col("matches").isNotNull(), F.col("text").cast("binary"))
+    found = joined.select("others", "text", _runs_udf(docs.schema[id_col].dataType, least_words)(text, F.col("matches")).alias("spans"))
+    cleaned = found.select("others", "spans", F.col("text").alias("before"), without(F.col("text"), F.col("spans")).alias("text"))
     row = F.struct(*[F.col("text").alias(n) if n == text_col else F.col("others")[n].alias(n) for n in names])
     return cleaned.select(row.alias("row"), "spans", "before")
 
