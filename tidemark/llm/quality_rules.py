@@ -117,17 +117,24 @@ def learn(stats, labels, id_col="doc_id", label_col="quality", bad=0, max_rules=
         totals = {c: sum(r[c] for r in found if r["m"] == names[0]) for c in counts}
         if not totals["gp"]:
             return None, totals, None
-        before, best = log2(totals["gp"] / (totals["gp"] + totals["gn"])), (1e-9, None, None)
+        before, best = log2(totals["gp"] / (totals["gp"] + totals["gn"])), (1e-9, [])
         for name in names:
             own = sorted((r for r in found if r["m"] == name), key=lambda r: r["c"])
-            for at, threshold in enumerate(GRID, 1):
-                above = {c: sum(r[c] for r in own if r["c"] >= at) for c in counts}
-                for sign, covered in ((">=", above), ("<", {c: totals[c] - above[c] for c in counts})):
+            for sign in (">=", "<"):
+                for at, threshold in enumerate(GRID, 1):
+                    covered = {c: sum(r[c] for r in own if (r["c"] >= at) == (sign == ">=")) for c in counts}
                     if covered["gp"] and covered["gp"] + covered["gn"] < totals["gp"] + totals["gn"]:
                         gain = covered["gp"] * (log2(covered["gp"] / (covered["gp"] + covered["gn"])) - before)
+                        part = ((name, sign, threshold), covered)
                         if gain > best[0] + 1e-9:
-                            best = (gain, (name, sign, threshold), covered)
-        return best[1], totals, best[2]
+                            best = (gain, [part])
+                        elif best[1] and gain > best[0] - 1e-9 and best[1][0][0][:2] == (name, sign):
+                            best[1].append(part)
+        if not best[1]:
+            return None, totals, None
+        # thresholds that tell the rows apart alike: the one in the middle
+        part, covered = best[1][(len(best[1]) - 1) // 2]
+        return part, totals, covered
 
     rules, left = [], cells
     while len(rules) < max_rules:
@@ -168,7 +175,7 @@ def base_failed():
 def quality_rules(docs, labels, id_col="doc_id", text_col="text", **options):
     """id, mark, counts, base_failed, rule, kept of every row of docs; other columns are ignored."""
     stats = stored(statistics(docs, id_col, text_col), "quality-statistics")
-    rules = learn(stats, labels, id_col, **options)
+    rules = learn(stats.where(~base_failed()), labels, id_col, **options)  # of what the base leaves
     return judged(stats, rules).withColumn("base_failed", base_failed()).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull())
 
