@@ -6,7 +6,7 @@ leftmost pair of the lowest rank. A merge changes three leaves (the merged pair,
 left, the position that died), each in a logarithmic number of steps.
 
 Short matches go through many trees side by side in numpy arrays, one row a match; long ones through a tree
-of their own. A worker remembers the ids of the chunks it has encoded, up to a bound.
+of their own. A worker remembers the ids of the chunks it has encoded, as bytes, up to a bound.
 """
 
 import base64
@@ -25,7 +25,7 @@ from tidemark.llm.common import in_arrow
 SHORT = 64
 #: Matches merged side by side at a time; bounds the arrays to some MB.
 SIDE_BY_SIDE = 4096
-#: Chunks a worker remembers at most; when full it forgets all of them and goes on.
+#: Chunks a worker has at hand; when full they become the old ones, of which those met again are kept.
 REMEMBERED = 400_000
 NONE = np.iinfo(np.int64).max
 
@@ -56,7 +56,7 @@ class Ranks:
 
 
 def merge_long(ranks, piece):
-    """Ids of one match, by one segment tree."""
+    """Ids of one match as int32 bytes, by one segment tree."""
     n = len(piece)
     size = 1 << (n - 1).bit_length()
     ids = [int(ranks.bytes[b]) for b in piece]
@@ -96,11 +96,11 @@ def merge_long(ranks, piece):
         pair_at(i)
         if before[i] >= 0:
             pair_at(before[i])
-    return tuple(t for t in ids if t >= 0)
+    return np.array([t for t in ids if t >= 0], np.int32).tobytes()
 
 
 def merge_short(ranks, pieces):
-    """Ids of each match, by as many segment trees side by side."""
+    """Ids of each match as int32 bytes, by as many segment trees side by side."""
     lengths = np.array([len(p) for p in pieces])
     size = 1 << int(lengths.max() - 1).bit_length() if lengths.max() > 1 else 1
     rows = len(pieces)
@@ -146,36 +146,46 @@ def merge_short(ranks, pieces):
         has = left >= 0
         pair_at(live[has], left[has])
         live = live[tree[live, 1] != NONE]
-    return [tuple(row[row >= 0].tolist()) for row in ids]
+    left = ids >= 0
+    flat, stops = ids[left].astype(np.int32).tobytes(), np.cumsum(4 * left.sum(axis=1)).tolist()
+    return [flat[start:stop] for start, stop in zip([0] + stops, stops)]
 
 
 class Codec:
     """Encodes texts by one rank file and pattern, and decodes ids."""
 
     def __init__(self, path, pattern):
-        self.ranks, self.pattern, self.known = Ranks(path), regex.compile(pattern), {}
+        self.ranks, self.pattern, self.known, self.old = Ranks(path), regex.compile(pattern), {}, {}
+        self.whole = {token: np.int32(rank).tobytes() for token, rank in self.ranks.ids.items()}
 
     def _learn(self, new):
         """Ids of chunks that aren't known yet."""
-        split = {c: [m.encode() for m in self.pattern.findall(c)] for c in new}
-        ids = {p: (self.ranks.ids[p],) if p in self.ranks.ids else None for ps in split.values() for p in ps}
-        todo = sorted((p for p, found in ids.items() if found is None), key=len)
+        split = [(c, [m.encode() for m in self.pattern.findall(c)]) for c in new]
+        whole = self.whole
+        todo = sorted({p for _, ps in split for p in ps if p not in whole}, key=len)
         short = [p for p in todo if len(p) <= SHORT]
+        ids = {}
         for i in range(0, len(short), SIDE_BY_SIDE):
             ids.update(zip(short[i : i + SIDE_BY_SIDE], merge_short(self.ranks, short[i : i + SIDE_BY_SIDE])))
         for p in todo[len(short) :]:
             ids[p] = merge_long(self.ranks, p)
-        self.known.update((c, tuple(chain.from_iterable(map(ids.__getitem__, ps)))) for c, ps in split.items())
+        for c, ps in split:
+            self.known[c] = b"".join([whole[p] if p in whole else ids[p] for p in ps])
 
     def encode(self, texts):
+        """Ids of each text, int32 arrays."""
         split = [chunks_of(t) for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn({c for chunks in split for c in chunks if c not in self.known})
-        return [list(chain.from_iterable(map(self.known.__getitem__, chunks))) for chunks in split]
+            self.known, self.old = {}, self.known
+        missing = set(chain.from_iterable(split)).difference(self.known)
+        again = missing.intersection(self.old)
+        self.known.update((c, self.old[c]) for c in again)
+        self._learn(missing - again)
+        at_hand = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(at_hand, chunks)), np.int32) for chunks in split]
 
     def decode(self, ids):
-        return b"".join(map(self.ranks.tokens.__getitem__, ids))
+        return b"".join(map(self.ranks.tokens.__getitem__, ids.tolist() if isinstance(ids, np.ndarray) else ids))
 
 
 @lru_cache(4)
@@ -188,7 +198,7 @@ def _lists(values):
 
     offsets = np.zeros(len(values) + 1, np.int32)
     np.cumsum([len(v) for v in values], out=offsets[1:])
-    flat = np.fromiter(chain.from_iterable(values), np.int32, offsets[-1])
+    flat = np.concatenate([np.empty(0, np.int32), *values])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
