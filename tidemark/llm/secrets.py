@@ -77,7 +77,7 @@ def secret_spans(docs, owner_col="source", repository_col="source", id_col="doc_
 
     verdict: `copied` if at least copied_owners owners hold the value, `placeholder` if it looks like one or
     has fewer than 6 different characters, else `live`. All base spans stay. Forms are added where no base span
-    overlaps them, mixed tokens also only if live and of one owner. A null owner is an owner of its own; repeated
+    overlaps them, mixed tokens where neither does, if live and of one owner. A null owner is an owner of its own; repeated
     rows count once; other columns of docs are ignored.
     """
     found = stored(candidates(docs, owner_col, repository_col, id_col, text_col), "secret-candidates")
@@ -88,9 +88,14 @@ def secret_spans(docs, owner_col="source", repository_col="source", id_col="doc_
     spans = spans.join(held, "hash").withColumn("verdict", F.when(F.col("n_owners") >= copied_owners, "copied").when(
         F.col("dull"), "placeholder").otherwise("live")).drop("dull")
     before = Window.partitionBy("id", "mark").orderBy("start", "rank")
-    base = F.col("rank") < len(BASE)
-    last_end = F.max(F.when(base, F.col("end"))).over(before.rowsBetween(Window.unboundedPreceding, 0))
-    next_start = F.min(F.when(base, F.col("start"))).over(before.rowsBetween(0, Window.unboundedFollowing))
-    free = F.coalesce(last_end <= F.col("start"), F.lit(True)) & F.coalesce(next_start >= F.col("end"), F.lit(True))
-    wanted = (F.col("rank") < len(BASE) + len(FORMS)) | ((F.col("verdict") == "live") & (F.col("n_owners") == 1))
-    return spans.withColumn("stays", base | (free & wanted)).where("stays").drop("stays")
+    first_form, first_mixed = len(BASE), len(BASE) + len(FORMS)
+
+    def free_of(below):
+        """No span of a lower rank overlaps."""
+        last_end = F.max(F.when(F.col("rank") < below, F.col("end"))).over(before.rowsBetween(Window.unboundedPreceding, -1))
+        next_start = F.min(F.when(F.col("rank") < below, F.col("start"))).over(before.rowsBetween(1, Window.unboundedFollowing))
+        return F.coalesce(last_end <= F.col("start"), F.lit(True)) & F.coalesce(next_start >= F.col("end"), F.lit(True))
+
+    stays = F.when(F.col("rank") < first_form, F.lit(True)).when(F.col("rank") < first_mixed, free_of(first_form)).otherwise(
+        free_of(first_mixed) & (F.col("verdict") == "live") & (F.col("n_owners") == 1))
+    return spans.withColumn("stays", stays).where("stays").drop("stays")
