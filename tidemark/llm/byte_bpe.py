@@ -10,7 +10,7 @@ of their own. A worker remembers the ids of the chunks it has encoded, as bytes,
 """
 
 import base64
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import by_bytes, chunks_of, texts_of
+from tidemark.llm.chunks import chunks_of, sliced, texts_of
 from tidemark.llm.common import in_arrow
 
 #: Matches of more bytes get a tree of their own.
@@ -26,7 +26,7 @@ SHORT = 64
 #: Matches merged side by side at a time; bounds the arrays to some MB.
 SIDE_BY_SIDE = 4096
 #: Chunks a worker has at hand; when full they become the old ones, of which those met again are kept.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -45,9 +45,13 @@ class Ranks:
         )
         self.pair_keys = np.array([k for k, _ in joined] + [NONE], dtype=np.int64)
         self.pair_ranks = np.array([r for _, r in joined] + [NONE], dtype=np.int64)
-        self.pairs = dict(joined)
         self.bytes = np.array([self.ids[bytes([b])] for b in range(256)], dtype=np.int64)
 
+    @cached_property
+    def pairs(self):
+        """Rank of each pair that joins, by key; for matches that get a tree of their own."""
+        return dict(zip(self.pair_keys.tolist()[:-1], self.pair_ranks.tolist()[:-1]))
+
     def rank(self, left, right):
         """Rank of each pair of ids, NONE where they don't join."""
         keys = left * self.width + right
@@ -202,7 +206,7 @@ def _lists(values):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def encode(docs, path, pattern, id_col="doc_id", text_col="text", decoded=False, batch_bytes=4 << 20):
+def encode(docs, path, pattern, id_col="doc_id", text_col="text", decoded=False, batch_bytes=1 << 20):
     """The columns of docs that aren't the text, token_ids array<int> and, if asked for, decoded binary.
 
     One row for each row of docs; null and empty texts have no ids. `decoded` is what decode() makes of the
@@ -220,14 +224,12 @@ def encode(docs, path, pattern, id_col="doc_id", text_col="text", decoded=False,
         import pyarrow as pa
 
         coder = codec(path, pattern)
-        for batch in batches:
-            texts = batch.column(len(kept))
-            for start, stop in by_bytes([len(b) if b else 0 for b in texts.to_pylist()], batch_bytes):
-                ids = coder.encode(texts_of(texts.slice(start, stop - start)))
-                columns = [batch.column(i).slice(start, stop - start) for i in range(len(kept))] + [_lists(ids)]
-                if decoded:
-                    columns.append(pa.array([coder.decode(i) for i in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, names=out.names)
+        for part in (p for batch in batches for p in sliced(batch, len(kept), batch_bytes)):
+            ids = coder.encode(texts_of(part.column(len(kept))))
+            columns = [part.column(i) for i in range(len(kept))] + [_lists(ids)]
+            if decoded:
+                columns.append(pa.array([coder.decode(i) for i in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=out.names)
 
     source = docs.select(*[docs[f"`{f.name}`"] for f in kept], F.col(text_col).cast("binary").alias("_text"))
     return in_arrow(source, encoded, out)

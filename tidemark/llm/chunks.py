@@ -28,3 +28,11 @@ def by_bytes(sizes, limit):
 def texts_of(column):
     """Python strings of an Arrow column of UTF-8 bytes; broken bytes become U+FFFD, null is empty."""
     return [b.decode("utf-8", "replace") if b else "" for b in column.to_pylist()]
+
+
+def sliced(batch, column, limit):
+    """An Arrow batch in parts of about `limit` bytes of that column, so that few texts are Python objects at a time."""
+    import pyarrow.compute as pc
+
+    for start, stop in by_bytes(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist(), limit):
+        yield batch.slice(start, stop - start)

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import texts_of
+from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import in_arrow
 
 LETTER = regex.compile(r"\p{L}")
@@ -111,10 +111,10 @@ def identify(docs, model, id_col="doc_id", text_col="text", margin=0.02):
     def identified(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            found = [classify(shared.value, t, margin) for t in texts_of(batch.column(1))]
+        for part in (p for batch in batches for p in sliced(batch, 1, 1 << 20)):
+            found = [classify(shared.value, t, margin) for t in texts_of(part.column(1))]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([f[0] for f in found], pa.string()),
+                part.column(0), pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())], names=out.names)
 
     return in_arrow(docs.select(docs[id_col], F.col(text_col).cast("binary")), identified, out)

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import texts_of
+from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import in_arrow, keyed, ship, stored
 
 #: A line ends after a newline or the signs that end a sentence; white space belongs to the line it follows.
@@ -110,9 +110,9 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_wo
             flat = np.array([x for v in values for x in v], kind)
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64) if kind is np.uint64 else flat))
 
-        for batch in batches:
+        for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
             keep, found = [], []
-            for row, text in enumerate(texts_of(batch.column(2))):
+            for row, text in enumerate(texts_of(part.column(2))):
                 _, words, hashes = lines_of(text)
                 units, ends = units_of(words, hashes, least_words)
                 if units:
@@ -121,7 +121,7 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_wo
                     found.append((hashes, [units[at] for at in ats], ats))
             columns = [lists([f[i] for f in found], kind) for i, kind in enumerate((np.uint64, np.uint64, np.int32))]
             taken = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), *columns], names=out.names)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(taken), part.column(1).take(taken), *columns], names=out.names)
 
     return in_arrow(rows, computed, out)
 

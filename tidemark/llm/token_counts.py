@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import by_bytes, chunks_of, texts_of
+from tidemark.llm.chunks import by_bytes, chunks_of, sliced, texts_of
 from tidemark.llm.common import in_arrow
 
 #: A chunk of more characters is cut further, each time letters end.
@@ -98,14 +98,12 @@ def token_counts(docs, path, id_col="doc_id", text_col="text", batch_bytes=1 <<
 
     def lengths(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         counter = _lengths(path, batch_bytes)
-        for batch in batches:
-            sizes = [len(b) if b else 0 for b in batch.column(1).to_pylist()]
-            counts = []
-            for start, stop in by_bytes(sizes, 4 * batch_bytes):
-                counts += counter.of(texts_of(batch.column(1).slice(start, stop - start)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=out.names)
+        for part in (p for batch in batches for p in sliced(batch, 1, batch_bytes)):
+            sizes = pc.fill_null(pc.binary_length(part.column(1)), 0).cast(pa.int64())
+            counts = counter.of(texts_of(part.column(1)))
+            yield pa.RecordBatch.from_arrays([part.column(0), sizes, pa.array(counts, pa.int64())], names=out.names)
 
     return in_arrow(docs.select(docs[id_col], F.col(text_col).cast("binary")), lengths, out)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import texts_of
+from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import in_arrow
 
 WINDOW, STRIDE = 32, 16
@@ -373,7 +373,7 @@ def _scorer(net):
     return net and net.scorer
 
 
-def toxicity(docs, net, id_col="doc_id", text_col="text", batch_words=1 << 19):
+def toxicity(docs, net, id_col="doc_id", text_col="text", batch_bytes=1 << 20):
     """id, score (0 to 1), predicted (1 from a score of 0.7) of every row.
 
     The score is that of the worst of all windows of the whole text; null and empty texts have that of a window
@@ -386,16 +386,11 @@ def toxicity(docs, net, id_col="doc_id", text_col="text", batch_words=1 << 19):
     def scored(batches):
         import pyarrow as pa
 
-        from tidemark.llm.chunks import by_bytes
-
         scorer = _scorer(shared.value)
-        for batch in batches:
-            sizes = [len(b) if b else 0 for b in batch.column(1).to_pylist()]
-            for start, stop in by_bytes(sizes, 4 * batch_words):
-                texts = texts_of(batch.column(1).slice(start, stop - start))
-                found = scorer.scores(texts) if scorer else np.zeros(len(texts))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(start, stop - start), pa.array(found, pa.float64()),
-                    pa.array((found >= TOXIC).astype(np.int32), pa.int32())], names=out.names)
+        for part in (p for batch in batches for p in sliced(batch, 1, batch_bytes)):
+            texts = texts_of(part.column(1))
+            found = scorer.scores(texts) if scorer else np.zeros(len(texts))
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), pa.array(found, pa.float64()), pa.array((found >= TOXIC).astype(np.int32), pa.int32())], names=out.names)
 
     return in_arrow(docs.select(docs[id_col], F.col(text_col).cast("binary")), scored, out)
