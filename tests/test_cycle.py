@@ -92,7 +92,7 @@ def test_documents_and_text(spark, tmp_path, repo):
     one = docs["n-1"]
     assert (one["type"], one["primary_parent"], one["parents"]) == ("cm:content", "p1", ["p1", "p2"])
     assert (one["readers"], one["owner"], one["tags"], one["alive"]) == (["alice", "bob"], "olga", ["red", "red"], True)
-    assert one["last_update_ms"] == 2000 and one["content_info"] == {"mimetype": "text/plain", "size": "3", "encoding": None}
+    assert one["last_update_ms"] == 2000 and one["content_info"] == {"mimetype": "text/plain", "size": '"3"', "encoding": None}
     assert one["property_names"] == ["cm:modifier", "cm:name", "cm:owner", "cm:title", "sys:store-identifier"]
     assert one["fields"] == {"cm%3Aname": '"one"', "cm%3Aowner": '"olga"', "cm%3Amodifier": '"max"',
                              "cm%3Atitle": '"T"', "sys%3Astore%2Didentifier": '"SpacesStore"'}
@@ -203,12 +203,121 @@ def test_failure_keeps_the_mark(spark, tmp_path, repo, break_it):
     assert store.watermark() == 3
     found = rejects(spark, store)
     if break_it == "acl":
-        assert indexed(store)["n-1"]["readers"] == []
+        assert "n-1" not in indexed(store) and ("duplicate_acl", "1") in found
     else:
         assert {"status": ("bad_status", "2"), "reference": ("bad_reference", "2"),
                 "key": ("key_without_brace", "bare")}[break_it] in found
 
 
+def test_a_row_without_reference_takes_that_of_its_metadata(spark, tmp_path, repo):
+    repo.commit(("u", 1))
+    repo.changes[-1] = (1, None, 3, "u", 0)
+    repo.changes.append((4, None, 3, "u", 1))
+    sources = repo.sources()
+    sources.metadata = sources.metadata.withColumn("node_ref", F.concat(F.lit("workspace://SpacesStore/m-"), "id"))
+    store = make_store(spark, tmp_path)
+    run_batch(store, sources)
+    assert "m-1" in indexed(store)
+    assert ("bad_reference", "4") in rejects(spark, store)
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_repeated_metadata(spark, tmp_path, repo, monkeypatch, large):
+    """The higher version counts; two rows of one version fail, or the node is left out and reported."""
+    from tidemark.plans import cycle
+
+    if large:
+        monkeypatch.setattr(cycle, "BROADCAST_BYTES", -1)
+    options = {"small_registry": 0 if large else 1000}
+    sources = repo.sources()
+    older = sources.metadata.where("id = 1").withColumn("type", F.lit("old"))
+    versions = sources.metadata.withColumn("version", F.lit(2).cast("long")).unionByName(older.withColumn("version", F.lit(1).cast("long")))
+    sources.metadata = versions
+    store = make_store(spark, tmp_path, "versions")
+    run_batch(store, sources, options=Options(**options))
+    assert [r["type"] for r in store.index().where("uuid = 'n-1'").collect()] == ["cm:content"]
+    sources.metadata = versions.drop("version")
+    store = make_store(spark, tmp_path, "none")
+    with pytest.raises(PySparkException, match="metadata given twice: 1"):
+        run_batch(store, sources, options=Options(**options))
+    assert store.watermark() == 0
+    run_batch(store, sources, options=Options(on_error="reject", **options))
+    assert sorted(indexed(store)) == ["n-2", "n-3"] and ("repeated_metadata", "1") in rejects(spark, store)
+
+
+def test_malformed_properties_never_overwrite(spark, tmp_path, repo):
+    store = make_store(spark, tmp_path)
+    run_batch(store, repo.sources())
+    before = indexed(store)
+    repo.nodes[1] = repo.nodes[1][:3] + ('{"cut',) + repo.nodes[1][4:]
+    repo.commit(("u", 1))
+    with pytest.raises(PySparkException, match="no JSON object"):
+        run_batch(store, repo.sources())
+    run_batch(store, repo.sources(), options=Options(on_error="reject"))
+    assert indexed(store) == before and ("bad_properties", "1") in rejects(spark, store)
+
+
+def save(tmp_path, kind, *lines):
+    folder = tmp_path / "saved" / kind
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "part.json").write_text("\n".join(line if isinstance(line, str) else json.dumps(line) for line in lines) + "\n")
+
+
+def saved(spark, tmp_path, *changes, **more):
+    from tidemark.sources.responses import response_sources
+
+    save(tmp_path, "transactions", {"transactions": [{"id": 1, "commitTimeMs": 20}], "maxTxnId": 9, "maxTxnCommitTime": 999})
+    save(tmp_path, "changes", *(changes or [{"nodes": [{"id": 1, "nodeRef": "workspace://SpacesStore/n-1", "txnId": 1, "status": "u"}]}]))
+    save(tmp_path, "metadata", {"nodes": [{"id": 1, "nodeRef": "workspace://SpacesStore/n-1", "type": "t", "aclId": 1, "properties": {}, "aspects": [], "txnId": 1}], **more},
+         {"nodes": [{"id": 1, "nodeRef": "workspace://SpacesStore/n-1", "type": "later", "aclId": 1, "properties": {}, "aspects": [], "txnId": 2}]})
+    for kind, rows in (("acl_readers", "aclsReaders"), ("model_diffs", "diffs")):
+        save(tmp_path, kind, {rows: []})
+    save(tmp_path, "model_definitions", {"name": "n", "xml": "x"})
+    save(tmp_path, "texts", {"id": 0, "text": ""})
+    return response_sources(spark, str(tmp_path / "saved"))
+
+
+def test_the_stamp_is_the_stated_maximum(spark, tmp_path):
+    store = make_store(spark, tmp_path)
+    bounds = run_batch(store, saved(spark, tmp_path))
+    assert bounds["repo_max_txn_id"] == 9
+    assert [(r["last_update_ms"], r["type"]) for r in store.index().collect()] == [(999, "later")]
+
+
+@pytest.mark.parametrize("on_error", ["fail", "reject"])
+def test_a_response_cut_short_stops_the_batch(spark, tmp_path, on_error):
+    store = make_store(spark, tmp_path)
+    whole = '{"nodes": [{"id": 1, "nodeRef": "workspace://SpacesStore/n-1", "txnId": 1, "status": "u"}]}'
+    with pytest.raises(PySparkException, match="can't be read"):
+        run_batch(store, saved(spark, tmp_path, whole, whole[:60]), options=Options(on_error=on_error))
+    assert store.watermark() == 0
+
+
+def test_unknown_members_fail_or_are_reported(spark, tmp_path):
+    store, sources = make_store(spark, tmp_path), saved(spark, tmp_path, page=3)
+    with pytest.raises(ValueError, match="unknown_member page"):
+        run_batch(store, sources)
+    run_batch(store, sources, options=Options(on_error="reject"))
+    assert ("unknown_member", "page") in rejects(spark, store) and sorted(indexed(store)) == ["n-1"]
+
+
+def test_a_stream_may_split_and_reorder_transactions(spark, tmp_path, repo):
+    """The second part of a transaction, a late update and a late delete of a node that came back."""
+    repo.commit(("d", 1))
+    repo.commit(("u", 1), ("u", 2))
+    sources = repo.sources()
+    folder = str(tmp_path / "feed")
+    parts = ["txn_id = 1 and id = 1", "txn_id = 4 and id = 1", "txn_id = 4 and id = 2", "txn_id = 3", "txn_id = 2", "txn_id = 1 and id = 2"]
+    for part in parts:
+        sources.changes.where(part).coalesce(1).write.mode("append").parquet(folder)
+    stream = make_store(spark, tmp_path, "stream")
+    changes = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream_index(changes, stream, sources, str(tmp_path / "checkpoint"), seconds=None).awaitTermination()
+    batch = make_store(spark, tmp_path, "batch")
+    catch_up(batch, sources, None)
+    assert indexed(stream) == indexed(batch) and stream.watermark() == 4
+
+
 def test_late_transaction_is_not_read(spark, tmp_path, repo):
     store = make_store(spark, tmp_path)
     store.commit(store.next_commit(), 1)

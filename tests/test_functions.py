@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import decode_name, encode_name
 from tidemark.functions.refs import model_prefix, qname_local, qname_uri, ref_tail, ref_to_uuid
 from tidemark.functions.text import escape_json, unescape_unicode
-from tidemark.functions.values import flatten_value, parse_properties, text_value
+from tidemark.functions.values import flatten_value, parse_properties, parsed_properties, text_value
 
 
 def one(spark, value, expression):
@@ -31,7 +31,7 @@ def test_references(spark, ref, uuid, tail):
 def test_reference_without_slash(spark):
     assert one(spark, "abc", ref_to_uuid) is None
     assert one(spark, "abc", lambda c: ref_tail(c, on_error="null")) is None
-    with pytest.raises(PySparkException, match="Invalid node reference"):
+    with pytest.raises(PySparkException, match="reference without a slash"):
         one(spark, "abc", ref_tail)
 
 
@@ -84,10 +84,17 @@ def test_flatten(spark, value, expected):
 
 
 def test_flatten_null(spark):
-    for body in ('{"p":null}', "{}", None, "broken"):
+    for body in ('{"p":null}', "{}", None, "null"):
         assert one(spark, body, lambda c: flatten_value(F.try_element_at(parse_properties(c), F.lit("p")))) is None
 
 
+@pytest.mark.parametrize("body", ["broken", '{"p":', "[1]", ""])
+def test_malformed_properties(spark, body):
+    assert one(spark, body, lambda c: parsed_properties(c).isNull()) is True
+    with pytest.raises(PySparkException, match="no JSON object"):
+        one(spark, body, lambda c: F.size(parse_properties(c)))
+
+
 def test_text_value(spark):
     def of(body):
         return one(spark, body, lambda c: text_value(F.try_element_at(parse_properties(c), F.lit("p"))))

@@ -50,3 +50,19 @@ def test_stream(spark, tmp_path):
     rows.where(f"txn_id > {middle}").unionByName(late).coalesce(1).write.mode("append").parquet(folder)
     run()
     assert fields_of(store) == expected(events)
+    late = spark.read.parquet(f"{store.root}/rejects/c=*").collect()
+    assert [(r["rule"], r["detail"]) for r in late] == [("late_change", "1")]
+
+
+def test_a_transaction_goes_on_in_the_next_files(spark, tmp_path):
+    events = [(e[0] + 1, *e[1:]) for e in random_feed(43)]
+    rows = feed.routed(spark.createDataFrame(events, SCHEMA))
+    folder, middle = str(tmp_path / "feed"), events[len(events) // 2][0]
+    place = events[len(events) // 2][1]
+    first = f"txn_id < {middle} or (txn_id = {middle} and feed_pos < {place})"
+    for part in (first, f"not ({first})"):
+        rows.where(part).coalesce(1).write.mode("append").parquet(folder)
+    store = IndexStore(spark, str(tmp_path / "index"), buckets=3).ensure()
+    source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    stream_events(source, store, str(tmp_path / "checkpoint"), ORDER, seconds=None).awaitTermination()
+    assert fields_of(store) == expected(events)

@@ -9,6 +9,7 @@ def _col(c):
 
 def ref_to_uuid(ref):
     """Part after the store of a `protocol://store/uuid` reference; null when the whole text does not match."""
+    # Fixed value: the shape of a reference.
     return F.get(F.regexp_extract_all(_col(ref), F.lit(r"^.+://.+/(.+)\z"), F.lit(1)), F.lit(0))
 
 
@@ -22,7 +23,7 @@ def ref_tail(ref, on_error="fail"):
     tail = F.substring_index(ref, "/", -1)
     if on_error == "null":
         return F.when(has_tail(ref), tail)
-    failure = F.raise_error(F.concat(F.lit("Invalid node reference: "), ref)).cast("string")
+    failure = F.raise_error(F.concat(F.lit("reference without a slash: "), ref)).cast("string")
     return F.when(ref.isNull() | has_tail(ref), tail).otherwise(failure)
 
 

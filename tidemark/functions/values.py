@@ -78,6 +78,14 @@ def text_value(v):
     )
 
 
+def parsed_properties(json):
+    """JSON object at rest -> map of variants; null text (or JSON null) gives an empty map, malformed text null."""
+    nothing = json.isNull() | (F.trim(json) == "null")
+    return F.when(nothing, F.from_json(F.lit("{}"), "map<string,variant>")).otherwise(F.from_json(json, "map<string,variant>"))
+
+
 def parse_properties(json):
-    """JSON object at rest -> map of variants; null or malformed text gives an empty map."""
-    return F.coalesce(F.from_json(json, "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>"))
+    """As parsed_properties, but malformed text raises."""
+    parsed = parsed_properties(json)
+    failure = F.raise_error(F.concat(F.lit("properties that are no JSON object: "), F.substring(json, 1, 200)))
+    return F.when(parsed.isNull(), F.from_json(failure.cast("string"), "map<string,variant>")).otherwise(parsed)

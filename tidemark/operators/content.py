@@ -25,10 +25,9 @@ def content_candidates(documents, store=K.LIVE_STORE):
 def changed_content(candidates, stored):
     """Candidates whose content id differs from the stored one. No stored row, a stored null and a document
     re-created in this batch (`reset`) all count as changed."""
-    known = stored.select("uuid", F.col("content_id").alias("stored_content_id"))
-    joined = candidates.join(known, "uuid", "left")
-    before = F.when(~F.col("reset"), F.col("stored_content_id"))
-    return joined.where(~F.col("content_id").eqNullSafe(before)).drop("stored_content_id")
+    held = lookup_index(candidates.withColumnRenamed("content_id", "_wanted"), stored)
+    before = F.when(~F.col("reset"), F.col("content_id"))
+    return held.where(~F.col("_wanted").eqNullSafe(before)).drop("content_id").withColumnRenamed("_wanted", "content_id")
 
 
 def fetch_text(changed, texts, size):

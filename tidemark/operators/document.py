@@ -35,12 +35,18 @@ def content_member(properties, member):
     return F.try_variant_get(content, f"$.{member}", "string")
 
 
+def content_size(properties):
+    """Size of the content as the JSON text it came in: a number stays one."""
+    content = F.try_element_at(properties, F.lit(K.CONTENT))
+    return F.nullif(F.to_json(F.try_variant_get(content, f"$.{K.CONTENT_SIZE}", "variant")), F.lit("null"))
+
+
 def content_info(properties):
-    """Mimetype, size and encoding of the content; null as a whole when the node has no content."""
+    """Mimetype, size (JSON text) and encoding of the content; null as a whole when the node has no content."""
     has_content = as_map(F.try_element_at(properties, F.lit(K.CONTENT))).isNotNull()
     return F.when(has_content, F.struct(
         content_member(properties, K.CONTENT_MIME).alias("mimetype"),
-        content_member(properties, K.CONTENT_SIZE).alias("size"),
+        content_size(properties).alias("size"),
         content_member(properties, K.CONTENT_ENCODING).alias("encoding"),
     ))
 

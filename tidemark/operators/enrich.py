@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tidemark.functions.refs import qname_local, qname_uri, ref_to_uuid
-from tidemark.operators.lookups import join_on_keys, lookup_join
+from tidemark.operators.lookups import join_on_keys, lookup_join, measure
 from tidemark.operators.registry import small_registry
 
 NO_READERS = "array<string>"
@@ -15,6 +15,29 @@ def attach_metadata(changes, metadata, size):
     return join_on_keys(changes, metadata, "id", size)
 
 
+def with_references(changes, metadata):
+    """Changes whose rows without a reference take the one that the node's metadata has, if it has any."""
+    lost = changes.where("node_ref is null").select("id").distinct()
+    rows, size = measure(lost)
+    if not rows or "node_ref" not in metadata.columns:
+        return changes
+    own = join_on_keys(lost, metadata.select("id", F.col("node_ref").alias("_ref")), "id", size)
+    own = own.groupBy("id").agg(F.max("_ref").alias("_ref"))
+    filled = lookup_join(changes, own, "id", F.struct("txn_id", "feed_pos"), size=size)
+    return filled.withColumn("node_ref", F.coalesce("node_ref", "_ref")).drop("_ref")
+
+
+def latest_metadata(updates, metadata, size):
+    """(id, uuid, reset, acl_id, version, n) of the updated nodes: the row of the highest version of each, and n
+    rows that have it. Tables without versions have one version only, null."""
+    version = F.col("version") if "version" in metadata.columns else F.lit(None).cast("bigint")
+    thin = attach_metadata(updates, metadata.select("id", "acl_id", version.alias("version")), size)
+    return thin.groupBy("id", "uuid", "reset", "version").agg(
+        F.max("acl_id").alias("acl_id"), F.count(F.lit(1)).alias("n")
+    ).groupBy("id", "uuid", "reset").agg(F.max(F.struct("version", "acl_id", "n")).alias("m")).select(
+        "id", "uuid", "reset", "m.acl_id", "m.version", "m.n")
+
+
 def readers_by_acl(acls, acl_ids=None, on_error="fail"):
     """Readers per ACL id. An id listed twice raises, or gets no readers with on_error="reject"."""
     wanted = acls if acl_ids is None else acls.join(acl_ids.select("acl_id").distinct(), "acl_id", "left_semi")
@@ -22,7 +45,7 @@ def readers_by_acl(acls, acl_ids=None, on_error="fail"):
         F.count(F.lit(1)).alias("n"), F.any_value("readers").alias("readers")
     )
     if on_error == "fail":
-        failure = F.raise_error(F.concat(F.lit("Duplicate key "), F.col("acl_id").cast("string")))
+        failure = F.raise_error(F.concat(F.lit("access list given twice: "), F.col("acl_id").cast("string")))
         readers = F.when(F.col("n") > 1, failure.cast(NO_READERS)).otherwise(F.col("readers"))
     else:
         readers = F.when(F.col("n") == 1, F.col("readers"))
@@ -40,8 +63,8 @@ def prefixed_key(key, prefix):
 
 
 def checked_key(key, on_error="fail"):
-    """The key, raising where it has no closing brace; null instead with on_error="reject"."""
-    failure = F.raise_error(F.concat(F.lit("Key must contain a closing brace '}': "), key)).cast("string")
+    """The key, raising where no brace closes its namespace; null instead with on_error="reject"."""
+    failure = F.raise_error(F.concat(F.lit("property name that no brace closes: "), key)).cast("string")
     return F.when(F.instr(key, "}") > 0, key).otherwise(failure if on_error == "fail" else F.lit(None))
 
 

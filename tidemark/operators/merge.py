@@ -66,15 +66,11 @@ def changed_documents(stored, net, mode="partial"):
 
 
 def apply_changes(index, net, mode="partial"):
-    """The whole index after a batch of net changes, by one full outer join on the document key."""
-    _check(mode)
-    incoming = conform(net, "op", "reset").alias("new")
-    joined = conform(index).alias("old").join(incoming, F.col("new.uuid") == F.col("old.uuid"), "full_outer")
-    state = F.when(F.col("new.uuid").isNull(), KEPT).otherwise(_incoming_state(mode))
-    alive = F.coalesce(F.col("new.op") != "delete", F.lit(True))
-    return joined.where(alive).select(
-        F.coalesce("new.uuid", "old.uuid").alias("uuid"), *_merged_columns(state)
-    )
+    """The whole index after a batch: what the batch writes, beside the documents it leaves alone."""
+    index = conform(index)
+    written = changed_documents(index, net, mode)
+    untouched = index.join(written.select("uuid"), "uuid", "left_anti")
+    return untouched.unionByName(written.where("not deleted").drop("deleted"))
 
 
 def apply_upserts(index, documents, mode="partial"):
@@ -85,7 +81,8 @@ def apply_upserts(index, documents, mode="partial"):
 
 def apply_deletes(index, uuids):
     """The index without the documents of the given keys."""
-    return index.join(uuids.select("uuid"), "uuid", "left_anti")
+    deletes = uuids.select("uuid").distinct().withColumn("op", F.lit("delete")).withColumn("reset", F.lit(True))
+    return apply_changes(index, deletes)
 
 
 def apply_content(index, content):

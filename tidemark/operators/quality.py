@@ -30,19 +30,13 @@ def unknown_envelope_members(members):
     return _report(members, "unknown_member", "member", F.lit(None))
 
 
-def property_keys(nodes):
-    """Distinct property names of a batch."""
-    return nodes.select(F.explode(F.map_keys("properties")).alias("name")).distinct()
-
-
 def keys_without_brace(keys):
     return _report(keys.where(F.instr("name", "}") == 0), "key_without_brace", "name", F.lit(None))
 
 
-def unknown_namespaces(keys, registry):
-    """Property names whose uri no model declares."""
-    uris = keys.where(F.instr("name", "}") > 0).withColumn("uri", qname_uri("name"))
-    return _report(uris.join(registry, "uri", "left_anti"), "unknown_namespace", "name", "uri")
+def unknown_namespaces(names):
+    """Property names that still begin with their uri once prefixes are put in: no model declares it."""
+    return _report(names.where(F.col("name").startswith("{")), "unknown_namespace", "name", qname_uri("name"))
 
 
 def bad_models(models):
@@ -51,8 +45,8 @@ def bad_models(models):
 
 
 def bad_references(rows, ref="node_ref", key="id"):
-    """References that do not give a document key, by either reading of them."""
-    bad = F.col(ref).isNotNull() & (ref_to_uuid(ref).isNull() | ~has_tail(ref))
+    """References that do not give a document key, by either reading of them, and rows without any."""
+    bad = F.col(ref).isNull() | ref_to_uuid(ref).isNull() | ~has_tail(ref)
     return _report(rows.where(bad), "bad_reference", key, ref)
 
 
@@ -61,10 +55,24 @@ def missing_metadata(updates, metadata):
     return _report(updates.join(metadata.select("id"), "id", "left_anti"), "missing_metadata", "id", "uuid")
 
 
-def missing_content(changed, texts):
-    """Documents whose changed text is not there or is empty; they stay candidates."""
-    present = texts.where(F.length("text") > 0).select("id")
-    return _report(changed.join(present, "id", "left_anti"), "missing_content", "uuid", "content_id")
+def repeated_metadata(thin):
+    """Nodes with several metadata rows of one version: which one counts can't be told."""
+    return _report(thin.where("n > 1"), "repeated_metadata", "id", "uuid")
+
+
+def bad_properties(documents):
+    """Nodes whose properties are no JSON object."""
+    return _report(documents, "bad_properties", "id", "uuid")
+
+
+def late_changes(rows):
+    """Changes of transactions below the mark, which come too late to be put in order."""
+    return _report(rows, "late_change", "id", "txn_id")
+
+
+def missing_content(changed, found):
+    """Documents whose changed text is not among the texts found (by uuid); they stay candidates."""
+    return _report(changed.join(found.select("uuid"), "uuid", "left_anti"), "missing_content", "uuid", "content_id")
 
 
 def combined(*reports):

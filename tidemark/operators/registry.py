@@ -39,6 +39,16 @@ def build_registry(models):
     return models.where("prefix is not null").groupBy("uri").agg(F.max_by("prefix", "pos").alias("prefix"))
 
 
+def registry_size(registry):
+    """How many namespaces are known, as one row."""
+    return registry.agg(F.count(F.lit(1)).alias("n"))
+
+
+def ordered_registry(registry):
+    """The registry by uri."""
+    return registry.orderBy("uri")
+
+
 def small_registry(registry, max_rows=1000):
     """The registry as a {uri: prefix} dict when it has at most max_rows rows, else None."""
     rows = registry.limit(max_rows + 1).collect()

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.refs import ref_tail, ref_to_uuid
-from tidemark.functions.values import parse_properties
+from tidemark.functions.values import parse_properties, parsed_properties
 from tidemark.operators import content, quality
 from tidemark.operators.document import build_documents
-from tidemark.operators.enrich import attach_metadata, attach_readers, prefix_properties, readers_by_acl
+from tidemark.operators.enrich import (
+    attach_metadata, attach_readers, latest_metadata, prefix_properties, readers_by_acl, with_references,
+)
 from tidemark.operators.lookups import BROADCAST_BYTES, measure
 from tidemark.operators.merge import changed_documents
 from tidemark.operators.net_state import latest_changes, net_state
@@ -33,6 +35,7 @@ class Sources:
     model_diffs: DataFrame
     model_definitions: DataFrame
     texts: DataFrame = None
+    findings: DataFrame = None  # rule, key, detail of what the input itself holds and nobody understands
 
 
 @dataclass
@@ -67,8 +70,8 @@ def catch_up(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=Non
     return batches
 
 
-def apply_page(store, sources, changes, mark, stamp_ms, options=None):
-    """Apply change rows and move the mark, in one commit.
+def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=None):
+    """Apply change rows and move the mark, in one commit. progress: the stream and micro-batch they are.
 
     Intermediate tables are written to the store's shared folder: they cut the plan where sizes are
     measured, and a lost executor costs only the tasks it ran. The next batch writes over them.
@@ -77,15 +80,23 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
     commit_id = store.next_commit()
     work = f"{store.root}/work"
 
+    if sources.findings is not None and options.on_error == "fail":
+        strange = sources.findings.first()
+        if strange:
+            raise ValueError(f"input that is not understood: {strange['rule']} {strange['key']}")
     models = read_models(sources.model_diffs, sources.model_definitions)
     registry = build_registry(models)
 
+    changes = staged(with_references(staged(changes, f"{work}/read"), sources.metadata), f"{work}/changes")
     net = staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
     extent = _extent(net)
-    nodes = _enriched(net, extent["size"], sources, registry, options)
-    documents = staged(
-        build_documents(nodes, stamp_ms, "reset", "refused_keys", tag_root=options.tag_root), f"{work}/documents"
+    updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
+    thin = staged(_checked(latest_metadata(updates, sources.metadata, extent["size"]), options), f"{work}/thin")
+    nodes, refused_acls = _enriched(thin, extent["size"], sources, registry, options)
+    built = staged(
+        build_documents(nodes, stamp_ms, "reset", "refused_keys", "bad_properties", tag_root=options.tag_root), f"{work}/documents"
     )
+    documents = built.where("not bad_properties")
     # A delete stands when no document follows it, be it last in the feed or the metadata gone.
     removed = net.where("op = 'delete' or reset").join(documents.select("uuid"), "uuid", "left_anti")
     incoming = documents.withColumn("op", F.lit("upsert")).unionByName(
@@ -98,15 +109,19 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None):
         quality.bad_status(changes),
         quality.bad_references(changes),
         quality.bad_models(models),
-        _missing_documents(net, documents),
-        _refused(documents),
+        quality.missing_metadata(updates, thin),
+        quality.repeated_metadata(thin),
+        quality.bad_properties(built.where("bad_properties")),
+        quality.keys_without_brace(_names(documents, "refused_keys")),
+        quality.unknown_namespaces(_names(documents, "property_names")),
+        *[report for report in (refused_acls, sources.findings) if report is not None],
     ]
     text = []
     if sources.texts is not None:
         text, missing = _refresh_text(store, sources, net, documents, extent, work, commit_id, options)
         reports.append(missing)
     quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
-    store.commit(commit_id, mark, meta=[meta], text=text)
+    store.commit(commit_id, mark, meta=[meta], text=text, progress=progress)
 
 
 def net_changes(changes, buckets, on_error="fail"):
@@ -119,7 +134,7 @@ def net_changes(changes, buckets, on_error="fail"):
     return net.withColumn("bucket", bucket_of("uuid", buckets))
 
 
-def apply_events(store, events, mark, order, key="uuid", merge="partial"):
+def apply_events(store, events, mark, order, key="uuid", merge="partial", progress=None, findings=None):
     """Apply a feed whose events carry their own fields (metadata as of each change) and move the mark."""
     commit_id = store.next_commit()
     net = net_state(events, key, order).withColumnRenamed(key, "uuid")
@@ -127,7 +142,9 @@ def apply_events(store, events, mark, order, key="uuid", merge="partial"):
     extent = _extent(net)
     stored = store.read("meta", extent["buckets"], net, extent["size"])
     layer = store.write_layer("meta", changed_documents(stored, net, merge), 2 * commit_id)
-    store.commit(commit_id, mark, meta=[layer])
+    if findings is not None:
+        findings.write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
+    store.commit(commit_id, mark, meta=[layer], progress=progress)
 
 
 def staged(df, path):
@@ -146,24 +163,42 @@ def _extent(net):
     ).first()
 
 
-def _enriched(net, size, sources, registry, options):
-    """Metadata, readers and prefixed properties of the updated nodes.
+def _checked(thin, options):
+    """Raise where a node has several metadata rows of one version, unless such nodes are to be left out."""
+    if options.on_error == "reject":
+        return thin
+    failure = F.raise_error(F.concat(F.lit("metadata given twice: "), F.col("id").cast("string"))).cast("bigint")
+    return thin.withColumn("n", F.when(F.col("n") > 1, failure).otherwise(F.col("n")))
+
+
+def _enriched(thin, size, sources, registry, options):
+    """Metadata, readers and prefixed properties of the updated nodes, and the access lists that were refused.
 
     Readers small enough to broadcast are attached to the finished rows. Otherwise they are attached to the
     keys first, so that the join on the ACL moves thin rows and the wide metadata is shuffled once, by id.
     """
-    updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
-    acl_keys = attach_metadata(updates, sources.metadata.select("id", "acl_id"), size)
-    readers = readers_by_acl(sources.acls, acl_keys, options.on_error)
+    keys, refused = thin.where("n = 1").select("id", "uuid", "reset", "acl_id", F.col("version").alias("_version")), None
+    if options.on_error == "reject":
+        wanted = sources.acls.join(keys.select("acl_id").distinct(), "acl_id", "left_semi")
+        refused = quality.duplicate_acls(wanted)
+        twice = refused.select(F.col("key").cast("bigint").alias("acl_id"))
+        keys = keys.join(twice, "acl_id", "left_anti")
+    readers = readers_by_acl(sources.acls, keys, options.on_error)
     readers_size = measure(readers)[1]
-    wide = sources.metadata.select(*METADATA_COLUMNS)
+    wide = sources.metadata.select(*METADATA_COLUMNS, *(["version"] if "version" in sources.metadata.columns else []))
+    if "version" not in wide.columns:
+        wide = wide.withColumn("version", F.lit(None).cast("bigint"))
+    wide = wide.drop("acl_id")
     if readers_size <= BROADCAST_BYTES:
-        nodes = attach_readers(attach_metadata(updates, wide, size), readers, size=readers_size)
+        nodes = attach_readers(attach_metadata(keys, wide, size), readers, size=readers_size)
     else:
-        nodes = wide.drop("acl_id").join(attach_readers(acl_keys, readers, size=readers_size), "id")
-    nodes = nodes.withColumn("properties", parse_properties(F.col("properties")))
+        nodes = wide.join(attach_readers(keys, readers, size=readers_size), "id")
+    nodes = nodes.where(F.col("version").eqNullSafe(F.col("_version"))).drop("version", "_version")
+    parsed = parsed_properties(F.col("properties")) if options.on_error == "reject" else parse_properties(F.col("properties"))
+    nodes = nodes.withColumn("_parsed", parsed).withColumn("bad_properties", F.col("_parsed").isNull())
+    nodes = nodes.withColumn("properties", F.coalesce("_parsed", parsed_properties(F.lit("{}")))).drop("_parsed")
     nodes = nodes.withColumn("refused_keys", F.filter(F.map_keys("properties"), lambda k: F.instr(k, "}") == 0))
-    return prefix_properties(nodes, registry, on_error=options.on_error, max_rows=options.small_registry)
+    return prefix_properties(nodes, registry, on_error=options.on_error, max_rows=options.small_registry), refused
 
 
 def _refresh_text(store, sources, net, documents, extent, work, commit_id, options):
@@ -174,7 +209,7 @@ def _refresh_text(store, sources, net, documents, extent, work, commit_id, optio
         content.changed_content(candidates, stored).select("id", "uuid", "content_id"), f"{work}/changed"
     )
     rows, size = measure(changed)
-    entries = []
+    entries, written = [], store.read("text", layers=[])
     if extent["removals"]:
         marks = net.where("op = 'delete' or reset").select(
             "uuid", F.lit(True).alias("deleted"),
@@ -186,25 +221,9 @@ def _refresh_text(store, sources, net, documents, extent, work, commit_id, optio
         layer = store.write_layer("text", found.withColumn("deleted", F.lit(False)), 2 * commit_id + 1)
         if layer:
             entries.append(layer)
-            changed = changed.join(store.read("text", layers=[layer]).select("uuid"), "uuid", "left_anti")
-    return entries, _reported(changed, "missing_content", "uuid", F.col("content_id"))
-
+            written = store.read("text", layers=[layer])
+    return entries, quality.missing_content(changed, written)
 
-def _reported(df, rule, key, detail):
-    return df.select(F.lit(rule).alias("rule"), F.col(key).cast("string").alias("key"), detail.alias("detail"))
 
-
-def _missing_documents(net, documents):
-    missing = net.where("op = 'upsert'").join(documents.select("uuid"), "uuid", "left_anti")
-    return _reported(missing, "missing_metadata", "id", F.col("uuid"))
-
-
-def _refused(documents):
-    """Property names without a brace, and those whose namespace no model declares."""
-    def names(column):
-        return documents.select(F.explode(column).alias("name")).distinct()
-
-    nothing = F.lit(None).cast("string")
-    return _reported(names("refused_keys"), "key_without_brace", "name", nothing).unionByName(
-        _reported(names("property_names").where(F.col("name").startswith("{")), "unknown_namespace", "name", nothing)
-    )
+def _names(documents, column):
+    return documents.select(F.explode(column).alias("name")).distinct()

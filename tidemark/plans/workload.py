@@ -1,5 +1,7 @@
 """The registered queries: every operator run over the driver tables."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
@@ -13,13 +15,13 @@ from tidemark.operators.enrich import (
 )
 from tidemark.operators.lookups import lookup_join, measure
 from tidemark.operators.net_state import latest_changes, latest_value, net_state
-from tidemark.plans.cycle import Sources, apply_events, catch_up, staged
+from tidemark.plans.cycle import Options, Sources, apply_events, catch_up, staged
 from tidemark.session import new_folder
 from tidemark.sinks.bulk_export import bulk_lines
 from tidemark.sinks.index_store import IndexStore
 from tidemark.sources import envelopes, feed
 from tidemark.sources import tables as t
-from tidemark.streaming.index_stream import stream_events
+from tidemark.streaming.index_stream import stream_events, stream_index
 
 PAGE_MARK = 500
 
@@ -209,9 +211,30 @@ def property_prefix(spark, d):
     )
 
 
+def _prefixed(keys, known):
+    """Names with the prefixes that are known in place of their uris."""
+    named = lookup_join(keys.withColumn("uri", qname_uri("name")), known, "uri", "name")
+    return named.select(prefixed_key(F.col("name"), F.col("prefix")).alias("name"))
+
+
 def unknown_namespaces(spark, d):
     keys = _event_keys(spark, d).select("name").distinct()
-    return quality.unknown_namespaces(keys, _registry(spark, d))
+    return quality.unknown_namespaces(_prefixed(keys, _registry(spark, d)))
+
+
+def registry_size(spark, d):
+    return registry.registry_size(_registry(spark, d))
+
+
+def registry_listing(spark, d):
+    return registry.ordered_registry(_registry(spark, d))
+
+
+def txn_mismatch(spark, d):
+    """The log's own counters against the line feed; every fiftieth transaction counts one update too many."""
+    log = feed.transaction_counts(t.change_lines(spark, d)).select(
+        F.col("txn_id").alias("id"), (F.col("updates") + F.when(F.col("txn_id") % 50 == 0, 1).otherwise(0)).alias("updates"), "deletes")
+    return feed.reconciled(log, t.change_lines(spark, d))
 
 
 # -- names, references, text -----------------------------------------------------------------------------
@@ -244,19 +267,14 @@ def unescape_text(spark, d):
 
 
 def escape_text(spark, d):
-    """Escaped text is ASCII and parses back to the text."""
     escaped = t.table(spark, d, "documents").select("doc_id", escape_json(F.col("text")).alias("escaped"))
-    body = F.concat(F.lit('{"t":"'), "escaped", F.lit('"}'))
-    return escaped.select(
-        "doc_id", F.md5(F.get_json_object(body, "$.t")).alias("text_md5"),
-        (~F.col("escaped").rlike(r"[^\x00-\x7F]")).cast("int").alias("is_ascii"),
-    )
+    return escaped.select("doc_id", F.md5("escaped").alias("escaped_md5"), F.length("escaped").cast("bigint").alias("n"))
 
 
 # -- documents -------------------------------------------------------------------------------------------
 
 
-def _flat(index):
+def _flat(index, *more):
     """Index rows as flat columns that any engine can compare."""
     info = F.col("content_info")
     return index.select(
@@ -264,7 +282,7 @@ def _flat(index):
         "owner", _joined("property_names").alias("property_names"), _joined("aspects").alias("aspects"),
         _joined("tags").alias("tags"), F.col("alive").cast("int").alias("alive"), "last_update_ms",
         info["mimetype"].alias("mime"), info["size"].alias("size"), info["encoding"].alias("encoding"),
-        _pairs("fields").alias("fields"),
+        _pairs("fields").alias("fields"), *more,
     )
 
 
@@ -409,12 +427,14 @@ def apply_upsert_replace(spark, d):
 
 def apply_delete(spark, d):
     index = t.table(spark, d, "documents").select(
-        F.concat(F.lit("doc-"), F.col("doc_id")).alias("uuid"), "lang", "source", "n_chars"
+        F.concat(F.lit("doc-"), F.col("doc_id")).alias("uuid"), F.col("lang").alias("type"), F.col("source").alias("owner"),
+        F.col("n_chars").cast("bigint").alias("last_update_ms"),
     )
     toxic = t.table(spark, d, "labels").where("toxic = 1").select(
         F.concat(F.lit("workspace://SpacesStore/doc-"), F.col("doc_id")).alias("node_ref")
     )
-    return merge.apply_deletes(index, toxic.select(ref_tail("node_ref").alias("uuid")))
+    left = merge.apply_deletes(index, toxic.select(ref_tail("node_ref").alias("uuid")))
+    return left.select("uuid", F.col("type").alias("lang"), F.col("owner").alias("source"), F.col("last_update_ms").alias("n_chars"))
 
 
 def _field_numbers(index):
@@ -432,21 +452,46 @@ def two_batches(spark, d):
     return _field_numbers(store.index())
 
 
+FILES, GROUPS = 2, 3
+
+
+def _feed_files(rows, folder, last, place):
+    """Rows as files, FILES for each of GROUPS ranges of transactions; a range's last transaction goes on in the next
+    range with its rows of an even place."""
+    for i in range(GROUPS):
+        low, high = last * i // GROUPS, last * (i + 1) // GROUPS
+        here = F.col("txn_id").between(low + 1, high)
+        if i < GROUPS - 1:
+            here = here & ~((F.col("txn_id") == high) & place)
+        if i:
+            here = here | ((F.col("txn_id") == low) & place)
+        rows.where(here).repartition(FILES, F.rand(7)).write.mode("append").parquet(folder)
+
+
 def stream_net_state(spark, d):
-    """The line feed as files of ascending transaction ranges, one micro-batch per file group."""
+    """The line feed as files of ascending transaction ranges, some transactions over two of them."""
     events = _line_events(spark, d)
     folder = new_folder(spark, "stream")
     last = events.agg(F.max("txn_id")).first()[0]
-    groups = 3
-    for i in range(groups):
-        part = events.where(F.col("txn_id").between(last * i // groups + 1, last * (i + 1) // groups))
-        part.coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    _feed_files(events, f"{folder}/feed", last, F.col("l_linenumber") > 2)
     store = IndexStore(spark, f"{folder}/index", buckets=8).ensure()
-    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/feed")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
     stream_events(source, store, f"{folder}/checkpoint", t.LINE_ORDER, seconds=None).awaitTermination()
     return _field_numbers(store.index())
 
 
+def stream_documents(spark, d):
+    """The whole cycle over a stream of the documents' changes, some transactions over two micro-batches."""
+    sources = _document_sources(spark, d)
+    folder = new_folder(spark, "stream-documents")
+    last = sources.log.agg(F.max("id")).first()[0]
+    _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0)
+    store = IndexStore(spark, f"{folder}/index", buckets=8).ensure()
+    source = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
+    stream_index(source, store, sources, f"{folder}/checkpoint", seconds=None).awaitTermination()
+    return _cycle_rows(store)
+
+
 def _document_sources(spark, d):
     return Sources(
         log=t.document_log(spark, d),
@@ -459,19 +504,33 @@ def _document_sources(spark, d):
     )
 
 
-def _indexed(spark, d):
-    """The whole cycle over the documents, in two pages of the log."""
-    sources = _document_sources(spark, d)
-    store = IndexStore(spark, new_folder(spark, "cycle"), buckets=8).ensure()
-    transactions = sources.log.count()
-    catch_up(store, sources, max_results=transactions // 2 + 1)
-    return store
+def _cycle_rows(store):
+    text = F.col("content_id"), F.md5("content_text").alias("text_md5")
+    return _flat(store.index(), *text)
 
 
 def index_cycle(spark, d):
-    index = _indexed(spark, d).index()
-    text = index.select("uuid", "content_id", F.md5("content_text").alias("text_md5"))
-    return _flat(index).join(text, "uuid")
+    """The whole cycle over the documents, all that is pending in one batch."""
+    store = IndexStore(spark, new_folder(spark, "cycle"), buckets=8).ensure()
+    catch_up(store, _document_sources(spark, d), max_results=None)
+    return _cycle_rows(store)
+
+
+def rejects_report(spark, d):
+    """Findings by rule, and documents indexed, of a cycle over damaged input that leaves bad rows out."""
+    sources = _document_sources(spark, d)
+    doc = F.col("id")
+    changes = sources.changes.withColumn("status", F.when(doc % 17 == 3, "x").otherwise(F.col("status")))
+    changes = changes.withColumn("node_ref", F.when(doc % 13 != 5, F.col("node_ref")))
+    metadata = sources.metadata.where(doc % 29 != 8).withColumn(
+        "properties", F.when(doc % 19 == 4, F.substring("properties", 1, 20)).otherwise(F.col("properties")))
+    damaged = replace(
+        sources, changes=changes, metadata=metadata.unionByName(metadata.where(doc % 23 == 6)),
+        acls=sources.acls.unionByName(sources.acls.where("acl_id = 7")), texts=None)
+    store = IndexStore(spark, new_folder(spark, "rejects"), buckets=8).ensure()
+    catch_up(store, damaged, None, Options(on_error="reject"))
+    found = spark.read.parquet(f"{store.root}/rejects/c=1").select("rule")
+    return quality.counts(found.unionByName(store.read("meta").select(F.lit("indexed").alias("rule"))))
 
 
 def bulk_export(spark, d):
@@ -529,11 +588,11 @@ def quality_report(spark, d):
         quality.duplicate_acls(acls),
         quality.unknown_envelope_members(envelope_members(spark, d)),
         quality.keys_without_brace(keys),
-        quality.unknown_namespaces(keys, _registry(spark, d)),
+        quality.unknown_namespaces(_prefixed(keys.where(F.instr("name", "}") > 0), _registry(spark, d))),
         quality.bad_models(models),
         quality.bad_references(pages, "ref", "page_id"),
         quality.missing_metadata(parts, t.document_metadata(spark, d)),
-        quality.missing_content(changed, t.document_texts(spark, d)),
+        quality.missing_content(changed, content.non_empty(content.fetch_text(changed, t.document_texts(spark, d), measure(changed)[1]))),
     ))
 
 
@@ -545,6 +604,7 @@ QUERIES = {
     "page_bounds": page_bounds,
     "changes_between": changes_between,
     "txn_reconcile": txn_reconcile,
+    "txn_mismatch": txn_mismatch,
     "indexing_lag": indexing_lag,
     "envelope_decode": envelope_decode,
     "envelope_members": envelope_members,
@@ -557,6 +617,8 @@ QUERIES = {
     "bad_models": bad_models,
     "property_prefix": property_prefix,
     "unknown_namespaces": unknown_namespaces,
+    "registry_size": registry_size,
+    "registry_listing": registry_listing,
     "field_dictionary": field_dictionary,
     "ref_uuid": ref_uuid,
     "ref_tail": ref_tails,
@@ -579,6 +641,8 @@ QUERIES = {
     "two_batches": two_batches,
     "stream_net_state": stream_net_state,
     "index_cycle": index_cycle,
+    "stream_index": stream_documents,
+    "rejects_report": rejects_report,
     "bulk_export": bulk_export,
     "quality_report": quality_report,
 }

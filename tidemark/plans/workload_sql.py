@@ -208,8 +208,19 @@ select event_id, case when r = 0 then 'cm' when r = 1 then 'sys' when r < 5 then
 from keys""",
     "unknown_namespaces": f"""
 with {_KEYS}
-select distinct 'unknown_namespace' as rule, name as key, '{{http://region/' || r || '}}' as detail
+select distinct 'unknown_namespace' as rule, '{{http://region/' || r || '}}:' || event_type as key, '{{http://region/' || r || '}}' as detail
 from keys where r >= 5""",
+    "registry_size": """
+select count(*) as n from region""",
+    "registry_listing": """
+select '{http://region/' || r_regionkey || '}' as uri,
+       case r_regionkey when 0 then 'cm' when 1 then 'sys' else 'r' || r_regionkey end as prefix
+from region order by uri""",
+    "txn_mismatch": """
+select l_orderkey + 1 as id, count(*) filter (where l_returnflag <> 'R') + 1 as updates,
+       count(*) filter (where l_returnflag = 'R') as deletes,
+       count(*) filter (where l_returnflag <> 'R') as found_updates, count(*) filter (where l_returnflag = 'R') as found_deletes
+from lineitem where (l_orderkey + 1) % 50 = 0 group by l_orderkey""",
     "field_dictionary": """
 with names as (select p_name as name from part union select p_type from part union select url from pages)
 select name, replace(replace(replace(url_encode(name), '.', '%2E'), '-', '%2D'), '~', '%7E') as encoded,
@@ -224,8 +235,16 @@ select 'bad_reference' as rule, page_id::varchar as key, regexp_extract(url, '([
 from pages where page_id % 3 = 0""",
     "unescape_text": """
 select doc_id, md5(text) as text_md5, length(text) as n from documents""",
-    "escape_text": """
-select doc_id, md5(text) as text_md5, 1 as is_ascii from documents""",
+    "escape_text": r"""
+with chars as (select doc_id, unnest(string_split(text, '')) as c, generate_subscripts(string_split(text, ''), 1) as i from documents),
+parts as (
+  select doc_id, i, case c when '"' then '\"' when '\' then '\\' when chr(10) then '\n' when chr(13) then '\r' when chr(9) then '\t'
+                       else case when ord(c) < 128 then c
+                                 when ord(c) < 65536 then printf('\u%04X', ord(c))
+                                 else printf('\u%04X\u%04X', 55296 + (ord(c) - 65536) // 1024, 56320 + (ord(c) - 65536) % 1024) end end as e
+  from chars),
+texts as (select doc_id, string_agg(e, '' order by i) as escaped from parts group by doc_id)
+select doc_id, md5(coalesce(escaped, '')) as escaped_md5, length(coalesce(escaped, '')) as n from documents left join texts using (doc_id)""",
     "documents_built": f"""
 with {_BUILT}
 select {_FLAT.format(stamp="1700000000000")} from built""",
@@ -279,6 +298,26 @@ select {_FLAT.format(stamp="1700000000000 + 1000 * (select m from mark)")},
        case when doc_id % 11 <> 0 and doc_id % 5 <> 0 and text <> '' then n_chars::varchar end as content_id,
        case when doc_id % 11 <> 0 and doc_id % 5 <> 0 and text <> '' then md5(text) end as text_md5
 from kept""",
+    "rejects_report": """
+with nodes as (
+  select doc_id, coalesce(toxic, 0) = 1 as toxic, coalesce(quality, 0) = 1 as good, doc_id % 29 = 8 as gone, doc_id % 13 = 5 as unnamed,
+         1 + (coalesce(toxic, 0) = 1)::int + (coalesce(toxic, 0) = 1 and coalesce(quality, 0) = 1)::int as n_rows
+  from documents left join labels using (doc_id)),
+updated as (
+  select * from nodes where doc_id % 17 <> 3 and not (unnamed and gone) and (not toxic or good)),
+known as (select * from updated where not gone),
+single as (select * from known where doc_id % 23 <> 6),
+listed as (select * from single where doc_id % 30 <> 7),
+found as (
+  select 'bad_status' as rule, n_rows as n from nodes where doc_id % 17 = 3
+  union all select 'bad_reference', n_rows from nodes where unnamed and gone
+  union all select 'missing_metadata', 1 from updated where gone
+  union all select 'repeated_metadata', 1 from known where doc_id % 23 = 6
+  union all select 'duplicate_acl', 1 from (select 1 from single where doc_id % 30 = 7 limit 1)
+  union all select 'bad_properties', 1 from listed where doc_id % 19 = 4
+  union all select 'unknown_namespace', 1 from (select 1 from listed where doc_id % 19 <> 4 limit 1)
+  union all select 'indexed', 1 from listed where doc_id % 19 <> 4)
+select rule, sum(n)::bigint as n from found group by rule""",
     "bulk_export": f"""
 with {_BUILT}
 select uuid, type, primary_parent, readers, owner, tags, 1700000000000 as last_update_ms,
@@ -305,3 +344,4 @@ found as (
      where doc_id * 2 not in (select doc_id from documents where text <> ''))
 select rule, count(*) as n from found group by rule""",
 }
+SQL["stream_index"] = SQL["index_cycle"]

@@ -1,5 +1,6 @@
 """Schemas of the inputs, the index tables and the control table, as DDL text."""
 
+# Members of the saved responses.
 TRANSACTION = "id bigint, commitTimeMs bigint, updates int, deletes int"
 CHANGE_NODE = "id bigint, nodeRef string, txnId bigint, status string, aclId bigint, tenant string"
 NODE = (
@@ -46,7 +47,7 @@ OPTIONAL_COLUMNS = ("primary_parent", "parents", "owner", "content_info")
 TEXT_COLUMNS = {"content_id": "string", "content_text": "string"}
 
 COMMIT = (
-    "commit_id bigint, last_txn_id bigint, buckets int, "
+    "commit_id bigint, last_txn_id bigint, buckets int, stream string, stream_batch bigint, "
     "meta array<struct<v:bigint,rows:bigint,key_bytes:bigint>>, "
     "text array<struct<v:bigint,rows:bigint,key_bytes:bigint>>"
 )

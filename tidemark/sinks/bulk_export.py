@@ -35,7 +35,7 @@ def document_members(df):
         always(K.FIELD_TAGS, F.to_json("tags", ASCII_JSON)),
         always(K.FIELD_ALIVE, F.col("alive").cast("string")),
         given(K.FIELD_CONTENT_MIME, F.coalesce(_quoted(info["mimetype"]), F.lit("null")), "content_info"),
-        given(K.FIELD_CONTENT_SIZE, F.coalesce(_quoted(info["size"]), F.lit("null")), "content_info"),
+        given(K.FIELD_CONTENT_SIZE, F.coalesce(_ascii(info["size"]), F.lit("null")), "content_info"),
         given(K.FIELD_CONTENT_ENCODING, F.coalesce(_quoted(info["encoding"]), F.lit("null")), "content_info"),
     ]
     if "content_text" in df.columns:

@@ -147,17 +147,25 @@ class IndexStore:
         head = self.head()
         return head["commit_id"] + 1 if head else 0
 
-    def commit(self, commit_id, last_txn_id, meta=(), text=()):
-        """Publish the written layers (None for an empty one) and the mark together; the mark never moves back."""
+    def has_applied(self, stream, batch):
+        """Whether the last commits hold this micro-batch of a stream, or a later one."""
+        head = self.refresh()
+        return bool(head) and head["stream"] == stream and head["stream_batch"] >= batch
+
+    def commit(self, commit_id, last_txn_id, meta=(), text=(), progress=None):
+        """Publish the written layers (None for an empty one), the mark and the progress of a stream (its name and
+        micro-batch) together; the mark never moves back."""
         head = self.head()
         state = {f: [x.asDict() for x in (head[f] if head else [])] for f in FAMILIES}
         state["meta"] += [entry for entry in meta if entry]
         state["text"] += [entry for entry in text if entry]
         mark = max(last_txn_id, head["last_txn_id"] if head else 0)
-        self._write_commit(commit_id, mark, state["meta"], state["text"])
+        self._write_commit(commit_id, mark, state["meta"], state["text"], progress)
 
-    def _write_commit(self, commit_id, last_txn_id, meta, text):
-        row = self.spark.createDataFrame([(commit_id, last_txn_id, self.buckets, meta, text)], COMMIT)
+    def _write_commit(self, commit_id, last_txn_id, meta, text, progress=None):
+        head = self.head()
+        stream, batch = progress or ((head["stream"], head["stream_batch"]) if head else (None, None))
+        row = self.spark.createDataFrame([(commit_id, last_txn_id, self.buckets, stream, batch, meta, text)], COMMIT)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/c={commit_id}")
         self._head = row.first()
 

@@ -16,11 +16,21 @@ def envelope_type(kind, row_schema=None):
     return envelope
 
 
+def malformed(column, kind, row_schema=None):
+    """Whether a response is no JSON of its kind: cut short, or a member of another type."""
+    schema = envelope_type(kind, row_schema).add("_corrupt", T.StringType())
+    parsed = F.from_json(column, schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    return column.isNotNull() & (parsed.isNull() | parsed["_corrupt"].isNotNull())
+
+
 def decode_envelope(df, column, kind, row_schema=None):
     """One row per element of the envelope's list: its place in the list (pos), its members and the
-    envelope's other members."""
+    envelope's other members. A malformed response raises: what it held can't be told, so nothing may pass it."""
     rows, _, extra = ENVELOPES[kind]
-    parsed = df.select(F.from_json(column, envelope_type(kind, row_schema)).alias("_e")).select("_e.*")
+    text = F.col(column)
+    failure = F.raise_error(F.concat(F.lit(f"{kind} response that can't be read: "), F.substring(text, 1, 200))).cast("string")
+    checked = df.select(F.when(malformed(text, kind, row_schema), failure).otherwise(text).alias("_text"))
+    parsed = checked.select(F.from_json("_text", envelope_type(kind, row_schema)).alias("_e")).select("_e.*")
     return parsed.select(*extra, F.posexplode(rows).alias("pos", "_row")).select("pos", "_row.*", *extra)
 
 

@@ -12,11 +12,15 @@ def pending_transactions(log, watermark, max_results=K.DEFAULT_MAX_TRANSACTIONS)
 
 
 def page_bounds(log, watermark, max_results=K.DEFAULT_MAX_TRANSACTIONS):
-    """One row: bounds and size of the next page beside the repository-wide maxima."""
+    """One row: bounds and size of the next page beside the repository-wide maxima: those that the log states
+    (repo_txn_id, repo_commit_ms) where it does and they are higher than what it lists."""
     page = pending_transactions(log, watermark, max_results)
+    nothing = F.lit(None).cast("bigint")
+    stated = [F.col(c) if c in log.columns else nothing for c in ("repo_txn_id", "repo_commit_ms")]
     tagged = page.select(F.col("id").alias("page_id"), F.lit(None).cast("bigint").alias("log_id"),
                          F.lit(None).cast("bigint").alias("commit_time_ms"))
-    whole = log.select(F.lit(None).cast("bigint").alias("page_id"), F.col("id").alias("log_id"), "commit_time_ms")
+    whole = log.select(nothing.alias("page_id"), F.greatest("id", stated[0]).alias("log_id"),
+                       F.greatest("commit_time_ms", stated[1]).alias("commit_time_ms"))
     return tagged.unionByName(whole).agg(
         F.coalesce(F.min("page_id"), F.lit(watermark + 1)).alias("min_txn_id"),
         F.coalesce(F.max("page_id"), F.lit(watermark + 1)).alias("max_txn_id"),
@@ -38,7 +42,7 @@ def routed(changes, on_error="fail"):
     known = F.coalesce(status.isin(K.STATUS_UPDATED, K.STATUS_DELETED), F.lit(False))
     if on_error == "reject":
         return changes.where(known).withColumn("is_delete", status == K.STATUS_DELETED)
-    failure = F.raise_error(F.concat(F.lit("Unknown status: "), F.coalesce(status, F.lit("null"))))
+    failure = F.raise_error(F.concat(F.lit("change row of no known status: "), F.coalesce(status, F.lit("null"))))
     return changes.withColumn(
         "is_delete", F.when(known, status == K.STATUS_DELETED).otherwise(failure.cast("boolean"))
     )
@@ -52,6 +56,14 @@ def transaction_counts(changes):
     )
 
 
+def reconciled(log, changes):
+    """Transactions whose own counters (updates, deletes) differ from the change rows there are of them."""
+    found = transaction_counts(changes).select(
+        F.col("txn_id").alias("id"), F.col("updates").alias("found_updates"), F.col("deletes").alias("found_deletes"))
+    both = log.select("id", "updates", "deletes").join(found, "id", "left").fillna(0, ["found_updates", "found_deletes"])
+    return both.where("updates != found_updates or deletes != found_deletes")
+
+
 def indexing_lag(log, watermark):
     """How far the index trails the log, as one row."""
     return log.agg(

@@ -2,8 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import escape_json
-
 ACL_COUNT = 30
 LINE_ORDER = [
     "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -15,15 +13,6 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df, key, at_most=32):
-    """Rows of a small input over the idle cores: a file of one row group is read by a single task.
-
-    An input that already fills the cores is left as it is, so nothing is shuffled at scale.
-    """
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, at_most)
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
-
-
 def millis(ts):
     """Epoch millis of a zone-less timestamp, whatever the session's zone."""
     ts = F.col(ts)
@@ -56,7 +45,7 @@ def change_lines(spark, folder):
     ]
     discounted = F.create_map(*always, *named("discount", F.col("l_discount")))
     fields = F.when(F.col("l_discount") > 0, discounted).otherwise(F.create_map(*always))
-    return spread(table(spark, folder, "lineitem"), "l_orderkey").select(
+    return table(spark, folder, "lineitem").select(
         (F.col("l_orderkey") + 1).alias("txn_id"),
         F.col("l_partkey").alias("id"),
         F.concat(F.lit("workspace://SpacesStore/p-"), F.col("l_partkey")).alias("node_ref"),
@@ -110,7 +99,7 @@ def model_definitions(spark, folder):
 
 def document_metadata(spark, folder):
     """documents with their labels as node metadata; uri 7 is declared by no model."""
-    documents = spread(table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars"), "doc_id")
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source", "n_chars")
     labels = table(spark, folder, "labels")
     doc, lang, source, size = F.col("doc_id"), F.col("lang"), F.col("source"), F.col("n_chars")
     quality, toxic = F.col("quality"), F.col("toxic")
@@ -178,7 +167,7 @@ def document_log(spark, folder):
 
 
 def document_texts(spark, folder):
-    return spread(table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text"), "id")
+    return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def url_segments(url):
@@ -188,7 +177,11 @@ def url_segments(url):
 
 
 def escaped_documents(spark, folder):
-    """documents with every character beyond ASCII written as its escape, per UTF-16 unit."""
-    doubled = F.regexp_replace(escape_json(F.col("text")), r"\\u([0-9A-F]{4})", r"\\\\u$1")
-    plain = F.get_json_object(F.concat(F.lit('{"t":"'), doubled, F.lit('"}')), "$.t")
-    return spread(table(spark, folder, "documents"), "doc_id").select("doc_id", "text", plain.alias("escaped"))
+    """documents with every character beyond ASCII written as its escapes, one for each UTF-16 unit."""
+    beyond = r"[^\x00-\x7F]+"
+    runs = F.transform(
+        F.regexp_extract_all("text", F.lit(beyond), F.lit(0)),
+        lambda r: F.regexp_replace(F.hex(F.encode(r, "UTF-16BE")), "([0-9A-F]{4})", r"\\u$1"),
+    )
+    pieces = F.zip_with(F.split("text", beyond, -1), runs, lambda plain, run: F.concat(plain, F.coalesce(run, F.lit(""))))
+    return table(spark, folder, "documents").select("doc_id", "text", F.array_join(pieces, "").alias("escaped"))

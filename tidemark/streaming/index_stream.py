@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.plans.cycle import apply_events, apply_page
+from tidemark.operators import quality
+from tidemark.operators.lookups import join_on_keys, lookup_join, measure
+from tidemark.plans.cycle import apply_events, apply_page, staged
 
 
 def _start(stream, apply, checkpoint, seconds):
@@ -17,38 +19,64 @@ def _start(stream, apply, checkpoint, seconds):
     )
 
 
-def _fresh(store, rows):
-    """Rows above the mark and the mark they lead to. A replayed micro-batch has none left; neither has a
-    transaction that commits below the mark."""
-    store.refresh()
-    fresh = rows.where(F.col("txn_id") > store.watermark())
-    return fresh, fresh.agg(F.max("txn_id")).first()[0]
+def _extent(store, rows, checkpoint, batch_id):
+    """The rows of a micro-batch as a table, and the mark they lead to; None if they are there already or none.
+
+    What was applied is told by the micro-batch's number in the commit, not by the mark: a transaction may go on
+    in the next files, and files may come out of order.
+    """
+    if store.has_applied(checkpoint, batch_id):
+        return None, None
+    rows = staged(rows, f"{store.root}/work/batch")
+    return rows, rows.agg(F.max("txn_id")).first()[0]
+
+
+def settled(rows, mark, metadata):
+    """Rows in which a delete from below the mark counts only if its node has no metadata now: else the node came
+    back later, and is read as it is."""
+    late = (F.col("txn_id") < mark) & (F.col("status") == K.STATUS_DELETED)
+    ids = rows.where(late).select("id").distinct()
+    n, size = measure(ids)
+    if not n:
+        return rows
+    alive = join_on_keys(ids, metadata.select("id"), "id", size).distinct().withColumn("_alive", F.lit(True))
+    marked = lookup_join(rows, alive, "id", F.struct("txn_id", "feed_pos"), size=size)
+    status = F.when(late & F.coalesce("_alive", F.lit(False)), F.lit(K.STATUS_UPDATED)).otherwise(F.col("status"))
+    return marked.withColumn("status", status).drop("_alive")
 
 
 def stream_index(changes, store, sources, checkpoint, seconds=K.DEFAULT_CYCLE_SECONDS, options=None):
     """Index a stream of change rows with metadata as of each micro-batch.
 
-    The registry, the log's latest commit time and every lookup table are read anew for each micro-batch.
-    Admission is set on the source (maxFilesPerTrigger over files that each hold a transaction range).
+    The registry, the log's latest commit time and every lookup table are read anew for each micro-batch. Rows
+    may come in any order: a node is read as it is now, so a late update does no harm (see `settled` for deletes).
     """
 
-    def apply(rows, _batch_id):
-        fresh, mark = _fresh(store, rows)
+    def apply(rows, batch_id):
+        rows, mark = _extent(store, rows, checkpoint, batch_id)
         if mark is not None:
             stamp = sources.log.agg(F.max("commit_time_ms")).first()[0]
-            apply_page(store, sources, fresh, mark, stamp, options)
+            rows = settled(rows, store.watermark(), sources.metadata)
+            apply_page(store, sources, rows, mark, stamp, options, progress=(checkpoint, batch_id))
             store.compact()
 
     return _start(changes, apply, checkpoint, seconds)
 
 
 def stream_events(events, store, checkpoint, order, seconds=K.DEFAULT_CYCLE_SECONDS, merge="partial"):
-    """Index a stream of events that carry their own fields."""
+    """Index a stream of events that carry their own fields, in the order they come.
+
+    A transaction may be split over files. Events of transactions below the mark can't be put in order with what
+    is indexed; they are reported as late changes and not applied.
+    """
 
-    def apply(rows, _batch_id):
-        fresh, mark = _fresh(store, rows)
+    def apply(rows, batch_id):
+        rows, mark = _extent(store, rows, checkpoint, batch_id)
         if mark is not None:
-            apply_events(store, fresh, mark, order, merge=merge)
+            known = store.watermark()
+            late = quality.late_changes(rows.where(F.col("txn_id") < known))
+            apply_events(store, rows.where(F.col("txn_id") >= known), mark, order, merge=merge,
+                         progress=(checkpoint, batch_id), findings=late)
             store.compact()
 
     return _start(events, apply, checkpoint, seconds)
