@@ -24,6 +24,11 @@ XML = [
     ("<model/>", None),
     ("<other name='x:y'/>", None),
     ("<model name='x:y'></model>trailing", None),
+    ("<model name='a:b'/><model name='c:d'/>", None),
+    ("<model name='a:b'/><junk>", None),
+    ("<model name='a:b'/><junk/>", None),
+    ("<set><model name='a&amp;b:m'/></set>", "a&b:m"),
+    ("<model name='a:b'/> <!-- end -->", "a:b"),
 ]
 
 

@@ -4,22 +4,25 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.refs import model_prefix, qname_uri
 
-# Comments, CDATA sections, processing instructions and the document type: no place to look for elements.
-_NOISE = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<![A-Z][^>]*>"
-_ROOT = r"(?s)^\s*<(?:[^\s:/>]+:)?([^\s:/>]+)"
-_MODEL_TAG = r"(?s)<(?:[^\s:/>]+:)?model(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-_NAME = r"(?s)\sname\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+# What may stand around the root: declarations, comments, the document type.
+_AROUND = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
+_FIRST_MODEL = "(//*[local-name()='model'])[1]/@name"
 
 
 def model_name(xml):
-    """`name` of the first `model` element, whatever its namespace prefix; null if malformed or absent."""
-    parsed = F.from_xml(xml, "_name string, _corrupt_record string")
-    bare = F.regexp_replace(xml, _NOISE, "")
-    well_formed = parsed["_corrupt_record"].isNull() & bare.rlike(r">\s*\z")
-    tag = F.regexp_extract(bare, _MODEL_TAG, 1)
-    nested = F.concat(F.regexp_extract(tag, _NAME, 1), F.regexp_extract(tag, _NAME, 2))
-    root_is_model = F.regexp_extract(bare, _ROOT, 1) == "model"
-    return F.when(well_formed, F.when(root_is_model, parsed["_name"]).otherwise(F.nullif(nested, F.lit(""))))
+    """`name` of the first `model` element, whatever its namespace prefix; null if malformed or absent.
+
+    A definition set into an element of its own must parse as a whole and give that element one child and no
+    text, so a second root and whatever trails the first are malformed. Only then the name is looked up.
+    """
+    whole = F.concat(F.lit("<all>"), F.regexp_replace(xml, _AROUND, ""), F.lit("</all>"))
+    parses = F.from_xml(xml, "_corrupt_record string")["_corrupt_record"].isNull() & F.from_xml(
+        whole, "_corrupt_record string")["_corrupt_record"].isNull()
+    children = F.when(parses, F.from_xml(whole, "variant")).try_cast("map<string,variant>")
+    root = F.element_at(F.map_values(children), 1)
+    single = parses & (F.size(children) == 1) & root.try_cast("array<variant>").isNull()
+    found = F.when(single, F.xpath_string(xml, F.lit(_FIRST_MODEL)))
+    return F.nullif(found, F.lit(""))
 
 
 def read_models(diffs, definitions):
