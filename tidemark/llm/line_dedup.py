@@ -1,7 +1,7 @@
 """Line dedup by winnowing.
 
-Lines are cut at sentence ends, so that a passage set into a longer line has lines of its own. A unit is a
-line and what follows it until `least_words` words are reached; its hash is that of its lines. Of all units
+Lines are cut at the ends of sentences and clauses, long ones also where their words say so, so that a passage
+set into a longer line has lines of its own. A unit is a line and what follows it until `least_words` words are reached; its hash is that of its lines. Of all units
 that begin and end within `sure_words` words from a line, the one of least hash is a fingerprint, so texts that
 share so long a run share a fingerprint. Each fingerprint is joined with its first occurrence in the corpus
 (by id, then position), matches are extended both ways line by line, and the later run is deleted.
@@ -9,6 +9,7 @@ share so long a run share a fingerprint. Each fingerprint is joined with its fir
 
 import re
 from array import array
+from itertools import accumulate, chain, pairwise
 
 import xxhash
 from pyspark.sql import functions as F
@@ -17,12 +18,12 @@ from pyspark.sql import types as T
 from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import in_arrow, keyed, ship, stored
 
-#: A line ends after a newline or the signs that end a sentence; white space belongs to the line it follows.
-LINE = re.compile(r"[^.!?\n]*[.!?\n]+\s*|[^.!?\n]+")
+#: A line ends after a newline or the signs that end a sentence or clause; white space belongs to the line it follows.
+LINE = re.compile(r"[^.!?,;:\n]*[.!?,;:\n]+\s*|[^.!?,;:\n]+")
 #: Stands for the end of a text.
 END = 2**31 - 2
-#: A line of more words is cut after words whose hash says so, wherever the line began.
-LONG_LINE = 64
+#: A line of more words is cut after words whose hash says so (one in CUT), wherever the line began.
+LONG_LINE, CUT = 24, 8
 WORD = re.compile(r"\s*\S+\s*")
 
 
@@ -32,15 +33,14 @@ def lines_of(text):
     for line in LINE.findall(text):
         held = line.split()
         if len(held) > LONG_LINE:
-            part, begin, end = [], at, at
-            for m in WORD.finditer(line):
-                word, end = m[0].strip(), at + m.end()
-                part.append(word)
-                if xxhash.xxh32_intdigest(word) % 16 == 0:
-                    starts.append(begin), words.append(len(part)), hashes.append(xxhash.xxh64_intdigest(" ".join(part)))
-                    part, begin = [], end
-            if part:
-                starts.append(begin), words.append(len(part)), hashes.append(xxhash.xxh64_intdigest(" ".join(part)))
+            # a word that only repeats the one before doesn't cut, so a run of one word stays together
+            cuts = [k for k, w in enumerate(held, 1) if xxhash.xxh32_intdigest(w) % CUT == 0 and (k == 1 or held[k - 2] != w)]
+            places = list(accumulate(map(len, WORD.findall(line)), initial=at))
+            for begin, end in pairwise([0] + cuts + [len(held)]):
+                if begin < end:
+                    starts.append(places[begin])
+                    words.append(end - begin)
+                    hashes.append(xxhash.xxh64_intdigest(" ".join(held[begin:end])))
         elif held:
             starts.append(at)
             words.append(len(held))
@@ -93,7 +93,7 @@ def _signed(value):
     return value - (1 << 64) if value >> 63 else value
 
 
-def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
+def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
     """id, mark, hashes (by line), units and ats (hash and line of each fingerprint) of every text that has a unit."""
     rows = keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
     out = T.StructType([rows.schema["id"], rows.schema["mark"]] + [
@@ -128,23 +128,43 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=24, sure_wo
 
 def extended(hashes, first_hashes, anchors):
     """Runs [start, end) of lines that equal the first text's, from (line, first line) anchors, extended both ways."""
-    runs, reached = [], {}
-    for at, first in sorted(anchors):
-        shift = at - first
-        if reached.get(shift, -1) >= at:
-            continue
-        start, end = at, at
-        while start > 0 and start > shift and hashes[start - 1] == first_hashes[start - 1 - shift]:
-            start -= 1
-        while end < len(hashes) and end - shift < len(first_hashes) and hashes[end] == first_hashes[end - shift]:
-            end += 1
-        reached[shift] = end - 1
-        if start < end:
-            runs.append((start, end))
+    n, m = len(hashes), len(first_hashes)
+
+    def alike(at, shift):
+        return 0 <= at < n and 0 <= at - shift < m and hashes[at] == first_hashes[at - shift]
+
+    runs, low, reached, inside = [], 0, 0, []
+    # anchors within what is covered already wait, and go on from its ends only if their lines do: the last ones
+    # first, so that lines that repeat many times are walked through once
+    for at, first in chain(sorted(anchors), [(n, None)]):
+        while inside and at >= reached:
+            start, shift = inside.pop()
+            end = reached
+            if alike(end, shift) or alike(low - 1, shift):
+                start, end = _walked(alike, start, shift)
+                runs.append((start, end))
+                low, reached = min(low, start), max(reached, end)
+        if first is None:
+            break
+        if at < reached:
+            inside.append((at, at - first))
+        elif alike(at, at - first):
+            low, reached = _walked(alike, at, at - first)
+            runs.append((low, reached))
     return runs
 
 
-def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
+def _walked(alike, at, shift):
+    """The run of equal lines around a line."""
+    start, end = at, at
+    while alike(start - 1, shift):
+        start -= 1
+    while alike(end, shift):
+        end += 1
+    return start, end
+
+
+def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
     """id, mark, matches: for each text that shares a fingerprint with an earlier one an array of first_id, the
     hashes of that text's lines, and the lines (at, first_at) where the two meet.
 
@@ -218,7 +238,7 @@ def without(text, spans):
     return F.when(spans.isNull(), text).otherwise(cut)
 
 
-def deduplicated(docs, id_col="doc_id", text_col="text", least_words=24, sure_words=36):
+def deduplicated(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
     """Every row of docs: `row`, a struct of all its columns, the text without later repeated runs; `spans`, an array
     of start, end (characters of the old text), n_words and first_id of each deleted run (null: none); `before`, the
     old text. Null texts stay null."""
