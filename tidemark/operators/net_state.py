@@ -11,18 +11,20 @@ def net_state(events, key, order, fields="fields"):
     reset (a delete occurred in this feed) and the surviving fields.
 
     A field is alive when its last write comes after the last delete of its key, so both are found in one
-    pass. Each event expands to the fields it writes (a delete, or an update of no field, to one mark), and
-    partial aggregation folds the writes of a hot key before anything is shuffled.
+    pass. An update replaces whatever an earlier one of the same fields wrote, so events are folded by key and set
+    of names before they expand to the fields they write (a delete, or an update of no field, to one mark). Each
+    fold has a partial step, so a hot key arrives as few rows.
     """
     is_delete = F.col("is_delete")
-    nothing = F.lit(None).cast("string")
-    mark = F.array(F.struct(nothing.alias("key"), nothing.alias("value")))
-    writes_none = is_delete | F.col(fields).isNull() | (F.size(fields) == 0)
-    writes = events.select(
-        F.col(key),
-        is_delete,
-        F.struct(*[F.col(c) for c in order]).alias("seq"),
-        F.inline(F.when(writes_none, mark).otherwise(F.map_entries(fields))).alias("field", "value"),
+    named = F.when(~is_delete, F.array_sort(F.map_entries(fields)))
+    events = events.select(F.col(key), is_delete, F.struct(*[F.col(c) for c in order]).alias("seq"), named.alias("_entries"))
+    folded = events.select(key, "is_delete", "seq", F.col("_entries.key").alias("names"), F.col("_entries.value").alias("values"))
+    folded = folded.groupBy(key, "is_delete", "names").agg(F.max(F.struct("seq", "values")).alias("last"))
+    entries = F.arrays_zip(F.col("names").alias("key"), F.col("last.values").alias("value"))
+    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    writes = folded.select(
+        key, "is_delete", F.col("last.seq").alias("seq"),
+        F.inline(F.when(F.size("names") > 0, entries).otherwise(mark)).alias("field", "value"),
     )
     last = writes.groupBy(key, "is_delete", "field").agg(F.max(F.struct("seq", "value")).alias("last"))
     seq = F.col("last.seq")
