@@ -41,6 +41,20 @@ def test_tokens_of_many_owners_are_not_added(spark):
     assert [(r["id"], r["kind"]) for r in spans] == [(2, "mixed")]
 
 
+def test_wide_copying_within_one_owner(spark):
+    """What 10 documents of one source hold is copied, what 9 hold is live; without an id each text is a document."""
+    texts = [f"{i} see {LIVE}" for i in range(10)] + [f"{i} see {LIVE}Z9" for i in range(9)] + [f"token = {LIVE}q1"] * 10
+    docs = frame(spark, texts, ["a"] * len(texts))
+    found = S.secret_spans(docs.unionByName(docs)).collect()
+    assert sorted(r["id"] for r in found if r["kind"] == "mixed") == list(range(10, 19))
+    assigned = [r for r in found if r["kind"] == "assign"]
+    assert len(assigned) == 10 and {(r["verdict"], r["n_repositories"], r["n_owners"]) for r in assigned} == {("copied", 10, 1)}
+    unnamed = spark.createDataFrame([(None, t, "a") for t in texts[:10]], "doc_id long, text string, source string")
+    assert S.secret_spans(unnamed).collect() == []
+    by_source = S.secret_spans(docs, repository_col="source").where("kind = 'mixed'")
+    assert by_source.count() == 19 and {r["n_repositories"] for r in by_source.collect()} == {1}
+
+
 def test_telling_forms(spark):
     texts = ["ghp_" + "aB3" * 13, "xoxb-1234567890-abc", "-----BEGIN RSA PRIVATE KEY-----", "eyJhbGciOiJI.eyJzdWIiOiIx.c2lnbmF0dXJl"]
     assert sorted((r["id"], r["kind"]) for r in S.secret_spans(frame(spark, texts)).collect()) == [(0, "github"), (1, "slack"), (2, "key"), (3, "jwt")]

@@ -1,8 +1,9 @@
 """Secret scans: candidate spans, and how widely the corpus shares each value.
 
 Candidates are found by patterns. Each value's hash is counted by distinct repositories and owners: what many
-owners hold is a copied example, what one owner holds and doesn't look like a placeholder seems live. Tokens
-without a telling form are reported only if they seem live and belong to one owner.
+owners or many repositories hold is a copied example, what few hold and doesn't look like a placeholder seems live.
+Tokens without a telling form are reported only if they seem live and belong to one owner. By default the source of
+a document is its owner and the document itself (its id) is the repository.
 """
 
 from pyspark.sql import Window
@@ -28,7 +29,7 @@ KINDS = BASE + FORMS + MIXED
 PLACEHOLDER = r"(?i)example|sample|changeme|placeholder|your|dummy|xxxx|1234567|abcdef"
 
 
-def candidates(docs, owner_col="source", repository_col="source", id_col="doc_id", text_col="text"):
+def candidates(docs, owner_col="source", repository_col=None, id_col="doc_id", text_col="text"):
     """id, mark, owner, repository, rank, kind, start, end, value of each match that is long enough.
 
     Matches of a kind are leftmost and don't overlap; too short ones are dropped after matching. start and end
@@ -36,9 +37,12 @@ def candidates(docs, owner_col="source", repository_col="source", id_col="doc_id
     matches before it, so one running sum over the pieces of a text gives all positions.
     """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    repository_col = repository_col or id_col
+    # documents without an id are told apart by their texts
+    unnamed = F.concat(F.lit("\n"), F.hex(F.xxhash64(text))) if repository_col == id_col else F.lit("")
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"),
                        F.coalesce(docs[owner_col].cast("string"), F.lit("")).alias("owner"),
-                       F.coalesce(docs[repository_col].cast("string"), F.lit("")).alias("repository"))
+                       F.coalesce(docs[repository_col].cast("string"), unnamed).alias("repository"))
     found = [
         F.when(F.col("text").rlike(pattern), F.struct(F.lit(rank).alias("rank"), F.arrays_zip(
             F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("all"),
@@ -64,28 +68,33 @@ def candidates(docs, owner_col="source", repository_col="source", id_col="doc_id
 
 
 def ownership(found):
-    """hash, n_repositories, n_owners of each value; a value that fills a third of the corpus is first reduced
-    to one row for each repository and owner."""
-    held = found.select(F.sha2("value", 256).alias("hash"), "repository", "owner").distinct()
+    """hash, n_repositories, n_owners of each value.
+
+    A value that fills a third of the corpus is dealt out by its repositories, then counted before it is shuffled
+    by value; its owners arrive once from each task.
+    """
+    held = found.select(F.sha2("value", 256).alias("hash"), "repository", "owner")
     repositories = held.select("hash", "repository").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n_repositories"))
     owners = held.select("hash", "owner").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"))
     return repositories.join(owners, "hash")
 
 
-def secret_spans(docs, owner_col="source", repository_col="source", id_col="doc_id", text_col="text", copied_owners=3):
+def secret_spans(docs, owner_col="source", repository_col=None, id_col="doc_id", text_col="text", copied_owners=3,
+                 copied_repositories=10):
     """id, mark, rank, kind, start, end, hash, n_repositories, n_owners, verdict of every span.
 
-    verdict: `copied` if at least copied_owners owners hold the value, `placeholder` if it looks like one or
-    has fewer than 6 different characters, else `live`. All base spans stay. Forms are added where no base span
-    overlaps them, mixed tokens where neither does, if live and of one owner. A null owner is an owner of its own; repeated
-    rows count once; other columns of docs are ignored.
+    verdict: `copied` if at least copied_owners owners or copied_repositories repositories hold the value,
+    `placeholder` if it looks like one or has fewer than 6 different characters, else `live`. All base spans stay. Forms are added where no base span
+    overlaps them, mixed tokens where neither does, if live and of one owner. A null owner is an owner of its own; a null
+    repository too, or, where documents are the repositories, each text without an id; repeated rows count once; other columns of docs are ignored.
     """
     found = stored(candidates(docs, owner_col, repository_col, id_col, text_col), "secret-candidates")
     variety = F.size(F.array_distinct(F.split("value", "")))
     held = ownership(found)
     spans = found.select("id", "mark", "rank", "kind", "start", "end", F.sha2("value", 256).alias("hash"),
                          (F.col("value").rlike(PLACEHOLDER) | (variety < 6)).alias("dull")).distinct()
-    spans = spans.join(held, "hash").withColumn("verdict", F.when(F.col("n_owners") >= copied_owners, "copied").when(
+    copied = (F.col("n_owners") >= copied_owners) | (F.col("n_repositories") >= copied_repositories)
+    spans = spans.join(held, "hash").withColumn("verdict", F.when(copied, "copied").when(
         F.col("dull"), "placeholder").otherwise("live")).drop("dull")
     before = Window.partitionBy("id", "mark").orderBy("start", "rank")
     first_form, first_mixed = len(BASE), len(BASE) + len(FORMS)
