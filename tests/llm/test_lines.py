@@ -170,3 +170,31 @@ def test_lines_that_repeat_many_times_are_walked_once():
     assert L.extended([7] * n, [7] * n, [(i, 0) for i in range(1, n)]) == [(1, n)]
     covered = L.extended([7] * n, [7] * (n // 2) + [8], [(i, 0) for i in range(n)])
     assert covered[0][0] == 0 and max(end for _, end in covered) == n
+
+
+def test_every_passage_of_fifty_words_is_found(spark):
+    """Without a sign, and with few whole lines of its own, glued between other words: all but the copied run stays."""
+    pick = random.Random(12)
+
+    def plain(n):
+        return " ".join(f"w{pick.randrange(50_000)}" for _ in range(n))
+
+    runs = [plain(50) for _ in range(30)] + [f"{plain(16)}, {plain(18)}, {plain(16)}" for _ in range(30)] + [plain(30) for _ in range(30)]
+    texts = [f"{plain(n)} {run} {plain(n)}" for run in runs for n in (8, 60)]
+    found = L.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    deleted = {r["row"]["doc_id"]: [texts[r["row"]["doc_id"]][s["start"] : s["end"]].strip() for s in r["spans"] or []] for r in found}
+    assert all(deleted[2 * i] == [] and deleted[2 * i + 1] == [run] for i, run in enumerate(runs))
+
+
+def test_word_fingerprints_are_those_of_the_loop():
+    pick, every = random.Random(13), []
+    for n in (0, 5, 19, 20, 21, 29, 30, 31, 60, 300, 25, 40):
+        units = L.word_units(L.hashes_of([f"w{pick.randrange(5000)}" for _ in range(n)]), 20)
+        every.append((units, L.fingerprints_of([1] * n, units.tolist(), [i + 20 for i in range(len(units))], 30)))
+    together = L.word_fingerprints(L.np.concatenate([u for u, _ in every]), L.np.array([len(u) for u, _ in every]), 11)
+    assert [found.tolist() for found in together] == [plain for _, plain in every]
+    for words in (["w"] * 500, ["a", "b", "c"] * 200, [pick.choice("ab") for _ in range(40)] * 9):
+        units = L.word_units(L.hashes_of(words), 20)
+        ats = L.word_fingerprints(units, L.np.array([len(units)]), 11)[0].tolist()
+        assert all(units[i : i + 11].min() in {units[k] for k in ats if i <= k < i + 11} for i in range(len(units) - 10))
+        assert len(ats) <= len(units) / 2

@@ -1,22 +1,25 @@
-"""Line dedup by winnowing.
+"""Line dedup by winnowing over words.
 
-Lines are cut at the ends of sentences and clauses, long ones also where their words say so, so that a passage
-set into a longer line has lines of its own. A unit is a line and what follows it until `least_words` words are reached; its hash is that of its lines. Of all units
-that begin and end within `sure_words` words from a line, the one of least hash is a fingerprint, so texts that
-share so long a run share a fingerprint. Each fingerprint is joined with its first occurrence in the corpus
-(by id, then position), matches are extended both ways line by line, and the later run is deleted.
+A unit is `least_words` consecutive words, wherever lines end. Of the units that lie within any `sure_words`
+consecutive words the one of least hash is a fingerprint, so texts that share a run of so many words share a
+fingerprint, whatever stands before, after or between them. Each fingerprint is joined with its first occurrence in
+the corpus (by id, then position), matches are extended both ways word by word, and the later run is deleted.
+
+`lines_of`, `units_of` and `fingerprints_of` say the same for lines of any number of words, one by one; the tests
+hold the arrays below against them.
 """
 
 import re
 from array import array
 from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.chunks import sliced, texts_of
-from tidemark.llm.common import in_arrow, keyed, ship, stored
+from tidemark.llm.common import bounded_broadcast, in_arrow, keyed, ship, stored
 
 #: A line ends after a newline or the signs that end a sentence or clause; white space belongs to the line it follows.
 LINE = re.compile(r"[^.!?,;:\n]*[.!?,;:\n]+\s*|[^.!?,;:\n]+")
@@ -25,6 +28,8 @@ END = 2**31 - 2
 #: A line of more words is cut after words whose hash says so (one in CUT), wherever the line began.
 LONG_LINE, CUT = 24, 8
 WORD = re.compile(r"\s*\S+\s*")
+#: Words of at most so many characters are remembered with their hash, and so many of them; when full all are forgotten.
+SHORT, REMEMBERED = 32, 200_000
 
 
 def lines_of(text):
@@ -89,37 +94,148 @@ def fingerprints_of(words, units, ends, sure_words):
     return chosen
 
 
-def _signed(value):
-    return value - (1 << 64) if value >> 63 else value
+class Hashes(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word):
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = value
+        return value
+
+
+HASHES = Hashes()
+
+
+def hashes_of(words):
+    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+
+
+def shortened(hashes):
+    """The 32 bits of each hash that matches are extended by."""
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def word_units(hashes, least_words):
+    """Hash of the unit that begins at each word, as far as there is one."""
+    n = len(hashes) - least_words + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    units, factor = np.zeros(n, np.uint64), 1
+    for k in range(least_words):
+        units += hashes[k : k + n] * np.uint64(factor)
+        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
+    units ^= units >> np.uint64(32)
+    units *= np.uint64(0xD6E8FEB86659FD93)
+    return units ^ units >> np.uint64(32)
+
+
+def _least_of_each(units, window):
+    """The least of each `window` consecutive units."""
+    least, span = units, 1
+    while span < window:
+        step = min(span, window - span)
+        least, span = np.minimum(least[:-step], least[step:]), span + step
+    return least
+
+
+def word_fingerprints(units, counts, window):
+    """Places of the least unit of each `window` consecutive units, or of all if there are fewer, for texts of so many
+    units one after the other: an array for each text.
+
+    Where one unit is the least again and again, as in a run of one word, only as many stay as leave one in each window.
+    """
+    ends = np.cumsum(counts, dtype=np.int64)
+    begins = ends - counts
+    chosen = np.zeros(len(units), bool)
+    n = len(units) - window + 1
+    if n > 0:
+        least = _least_of_each(units, window)
+        within = np.zeros(len(units) + 1, np.int32)  # windows within one text
+        long = counts >= window
+        within[begins[long]] += 1
+        within[ends[long] - window + 1] -= 1
+        within = np.cumsum(within[:n]) > 0
+        for k in range(window):
+            chosen[k : k + n] |= (units[k : k + n] == least) & within
+    for i in np.flatnonzero((counts > 0) & (counts < window)).tolist():
+        own = units[begins[i] : ends[i]]
+        chosen[begins[i] : ends[i]] = own == own.min()
+    places = np.flatnonzero(chosen)
+    values = units[places]
+    found = []
+    again = np.append(values[1:] == values[:-1], False)
+    cuts = np.searchsorted(places, np.append(begins, len(units))).tolist()
+    often = np.concatenate([[0], np.cumsum(again)])
+    for i, (start, stop) in enumerate(pairwise(cuts)):
+        own = places[start:stop]
+        if stop > start and often[stop - 1] > often[start]:
+            own = np.array(_thinned(own.tolist(), values[start:stop].tolist(), window))
+        found.append((own - begins[i]).astype(np.int32))
+    return found
+
+
+def _thinned(places, values, window):
+    """Of places in a row with one value those that leave one in each window."""
+    kept, of_kept = [], []
+    for k, (at, value) in enumerate(zip(places, values)):
+        if not (kept and k + 1 < len(places) and of_kept[-1] == value == values[k + 1] and places[k + 1] <= kept[-1] + window):
+            kept.append(at)
+            of_kept.append(value)
+    return kept
+
+
+def in_lists(values, kind):
+    """An Arrow column of lists from arrays."""
+    import pyarrow as pa
+
+    offsets = np.zeros(len(values) + 1, np.int32)
+    np.cumsum([len(v) for v in values], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, kind), *values])))
+
+
+def word_hashes(rows):
+    """id, mark, hashes (of each word) of rows of id, mark and text."""
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
+    out = T.StructType([rows.schema["id"], rows.schema["mark"], T.StructField("hashes", T.ArrayType(T.IntegerType()))])
+
+    def computed(batches):
+        import pyarrow as pa
+
+        for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
+            found = [shortened(hashes_of(text.split())) for text in texts_of(part.column(2))]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), in_lists(found, np.int32)], names=out.names)
+
+    return in_arrow(rows, computed, out)
 
 
 def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
-    """id, mark, hashes (by line), units and ats (hash and line of each fingerprint) of every text that has a unit."""
+    """id, mark, units and ats (hash and word of each fingerprint) of every text that has a unit."""
     rows = keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
-    out = T.StructType([rows.schema["id"], rows.schema["mark"]] + [
-        T.StructField(name, T.ArrayType(kind)) for name, kind in
-        (("hashes", T.LongType()), ("units", T.LongType()), ("ats", T.IntegerType()))])
+    out = T.StructType([rows.schema["id"], rows.schema["mark"], T.StructField("units", T.ArrayType(T.LongType())),
+                        T.StructField("ats", T.ArrayType(T.IntegerType()))])
 
     def computed(batches):
-        import numpy as np
         import pyarrow as pa
 
-        def lists(values, kind):
-            offsets = np.zeros(len(values) + 1, np.int32)
-            np.cumsum([len(v) for v in values], out=offsets[1:])
-            flat = np.array([x for v in values for x in v], kind)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64) if kind is np.uint64 else flat))
-
         for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
-            keep, found = [], []
-            for row, text in enumerate(texts_of(part.column(2))):
-                _, words, hashes = lines_of(text)
-                units, ends = units_of(words, hashes, least_words)
-                if units:
-                    ats = fingerprints_of(words, units, ends, sure_words)
-                    keep.append(row)
-                    found.append((hashes, [units[at] for at in ats], ats))
-            columns = [lists([f[i] for f in found], kind) for i, kind in enumerate((np.uint64, np.uint64, np.int32))]
+            split = [text.split() for text in texts_of(part.column(2))]
+            keep = [row for row, words in enumerate(split) if len(words) >= least_words]
+            # the units of all texts at once; those that reach into the next text are left out
+            lengths = np.array([len(split[row]) for row in keep], np.int64)
+            every = word_units(hashes_of([w for row in keep for w in split[row]]), least_words)
+            counts = lengths - least_words + 1
+            inside = np.zeros(lengths.sum() + 1, np.int32)
+            starts = np.cumsum(lengths) - lengths
+            inside[starts] += 1
+            inside[starts + counts] -= 1
+            units = every[np.cumsum(inside[: len(every)]) > 0]
+            ats = word_fingerprints(units, counts, max(sure_words - least_words, 0) + 1)
+            firsts = (np.cumsum(counts) - counts).tolist()
+            found = [units[a + first].view(np.int64) for a, first in zip(ats, firsts)]
+            columns = [in_lists(found, np.int64), in_lists(ats, np.int32)]
             taken = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([part.column(0).take(taken), part.column(1).take(taken), *columns], names=out.names)
 
@@ -166,45 +282,52 @@ def _walked(alike, at, shift):
 
 def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
     """id, mark, matches: for each text that shares a fingerprint with an earlier one an array of first_id, the
-    hashes of that text's lines, and the lines (at, first_at) where the two meet.
+    hashes of that text's words, and the words (at, first_at) where the two meet.
 
     Earlier: in a text of a smaller id (null first, then by mark), or earlier in the same text. A text is compared
     only with those that a fingerprint of its first occurs in, so a passage that thousands of texts share costs
     one pair for each of them. Rows that repeat id and text are one document.
     """
-    lines = stored(fingerprints(docs, id_col, text_col, least_words, sure_words), "lines")
-    prints = lines.select("id", "mark", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
+    texts = stored(fingerprints(docs, id_col, text_col, least_words, sure_words), "fingerprints")
+    prints = texts.select("id", "mark", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
         "id", "mark", F.col("p.units").alias("unit"), F.col("p.ats").alias("at"))
     place = F.struct("id", "mark", "at")
-    # the joins below read written tables, so that adaptive execution can split the rows of a hot key
-    first = stored(prints.groupBy("unit").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first-places")
+    # most units come once and are counted without their places; the joins below read written tables, so that adaptive
+    # execution can split the rows of a hot key
+    repeated = stored(prints.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("unit"), "repeated-units")
+    prints = stored(prints.join(repeated, "unit"), "repeated-prints")
+    first = stored(prints.groupBy("unit").agg(F.min(place).alias("first")), "first-places")
     pairs = stored(
         prints.join(first, "unit").where(place != F.col("first"))
         .groupBy("id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
         .agg(F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
-    wanted = pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct()
-    theirs = lines.select("id", "mark", "hashes").join(
-        wanted, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left_semi").dropDuplicates(["id", "mark"])
-    theirs = stored(theirs, "first-lines").select(F.col("id").alias("f_id"), F.col("mark").alias("f_mark"), "hashes")
+    wanted = stored(pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct(), "first-texts")
+    n, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length(F.col("f_id").cast("string"))), F.lit(0))).first()
+    wanted = bounded_broadcast(wanted, n, 48 + size)
+    rows = keyed(docs, id_col, text_col)
+    theirs = word_hashes(rows.join(wanted, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left_semi"))
+    theirs = stored(theirs.dropDuplicates(["id", "mark"]), "first-words").select(F.col("id").alias("f_id"), F.col("mark").alias("f_mark"), "hashes")
     met = pairs.join(theirs, F.col("first_id").eqNullSafe(F.col("f_id")) & (F.col("first_mark") == F.col("f_mark")))
     match = F.struct("first_id", "hashes", F.col("anchors.at").alias("ats"), F.col("anchors.first_at").alias("first_ats"))
     return met.groupBy("id", "mark").agg(F.collect_list(match).alias("matches"))
 
 
 def runs_of(text, matches, least_words):
-    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart."""
-    starts, words, hashes = lines_of(text)
-    hashes = [_signed(h) for h in hashes]
+    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart. White space
+    belongs to the word it follows."""
+    starts = [m.start() for m in re.finditer(r"\S+", text)]
+    starts[:1] = [0] if starts else []
+    hashes = shortened(hashes_of(text.split())).tolist()
     found = []
     for m in matches:
         for start, end in extended(hashes, m["hashes"], zip(m["ats"], m["first_ats"])):
-            if sum(words[start:end]) >= least_words:
+            if end - start >= least_words:
                 found.append((start, end, m["first_id"]))
     runs, reached = [], 0
     for start, end, first in sorted(found, key=lambda r: (r[0], -r[1])):
         start = max(start, reached)
         if start < end:
-            runs.append((starts[start], starts[end] if end < len(starts) else END, sum(words[start:end]), first))
+            runs.append((starts[start], starts[end] if end < len(starts) else END, end - start, first))
             reached = end
     return runs
 
@@ -221,8 +344,10 @@ def _runs_udf(id_type, least_words):
     @F.arrow_udf(kind)
     def runs(text: pa.Array, matches: pa.Array) -> pa.Array:
         found = []
-        for data, met in zip(text.to_pylist(), matches.to_pylist()):
-            rows = runs_of(data.decode("utf-8", "replace"), met, least_words) if met else None
+        for data, met in zip(text, matches):
+            # one match at a time becomes Python objects
+            one_by_one = (m.as_py() for m in met.values) if met.is_valid else ()
+            rows = runs_of(data.as_py().decode("utf-8", "replace"), one_by_one, least_words) if met.is_valid else None
             found.append([dict(zip(names, r)) for r in rows] if rows else None)
         return pa.array(found, to_arrow_type(kind))
 
