@@ -9,7 +9,7 @@ is one task's work, so no task holds more than two blocks. The first pass finds
 within their bounds; what blocks find is merged by rank.
 
 Rows with a null label or vector, or a component that is null or not finite (also once scaled), take no part. Rows that
-repeat id, label and vector are one row; rows that share an id only are told apart, but are no "other row" to each
+repeat id, label and vector are one row; rows that share an id only are told apart, but are no positives of each
 other. A null id is no anchor and comes last among equal scores. Of two vectors the shorter counts as filled up with 0.
 An empty table gives no rows. Products that can't fit a long are refused with a ValueError.
 """

@@ -242,7 +242,7 @@ SQL = {
             where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         scored as (
             select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, cast(list_dot_product(a.v, b.v) as bigint) as score
-            from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+            from rows a join rows b on a.vec_id <> b.vec_id or a.label <> b.label where a.vec_id % 50 = 0),
         positives as (
             select * from (select anchor_id, id as positive_id, score as positive_score,
                                   row_number() over (partition by anchor_id order by score desc, id) as nth from scored where same) where nth <= 5),
