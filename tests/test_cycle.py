@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.cycle import Options, Sources, catch_up, run_batch
 from tidemark.sinks.index_store import IndexStore
-from tidemark.streaming.index_stream import stream_index
+from tidemark.streaming.index_stream import stream_cycle, stream_index
 
 CM, SYS = "{http://m/cm}", "{http://m/sys}"
 
@@ -80,7 +80,7 @@ def rejects(spark, store):
 
 
 def make_store(spark, tmp_path, name="index"):
-    return IndexStore(spark, str(tmp_path / name), buckets=4, max_layers=2).ensure()
+    return IndexStore(spark, str(tmp_path / name), slices=2, buckets=2).ensure()
 
 
 def test_documents_and_text(spark, tmp_path, repo):
@@ -198,7 +198,7 @@ def test_failure_keeps_the_mark(spark, tmp_path, repo, break_it):
         repo.commit(("u", 1))
     with pytest.raises(PySparkException):
         run_batch(store, repo.sources())
-    assert store.watermark() == 0 and not store.layers("meta")
+    assert store.watermark() == 0 and not indexed(store)
     run_batch(store, repo.sources(), options=Options(on_error="reject"))
     assert store.watermark() == 3
     found = rejects(spark, store)
@@ -320,11 +320,49 @@ def test_a_stream_may_split_and_reorder_transactions(spark, tmp_path, repo):
 
 def test_late_transaction_is_not_read(spark, tmp_path, repo):
     store = make_store(spark, tmp_path)
-    store.commit(store.next_commit(), 1)
+    store.commit(1)
     run_batch(store, repo.sources())
     assert sorted(indexed(store)) == ["n-3"]
 
 
+def held_back(repo, *gone):
+    sources = repo.sources()
+    sources.log = sources.log.where(~F.col("id").isin(*gone))
+    sources.changes = sources.changes.where(~F.col("txn_id").isin(*gone))
+    return sources
+
+
+def test_the_mark_waits_for_a_young_gap(spark, tmp_path, repo):
+    """Transaction 2 comes late: the mark waits for it, and once it is too old reads it whenever it comes."""
+    repo.commit(("u", 1))
+    repo.commit(("d", 2))
+    options = Options(hold_back_ms=5000)
+    store = make_store(spark, tmp_path)
+    run_batch(store, held_back(repo, 2), options=options)
+    assert store.watermark() == 1 and sorted(indexed(store)) == ["n-1", "n-2"]
+    assert run_batch(store, held_back(repo, 2), options=options) is None
+    # transaction 3, the first after the gap, was committed at 3000
+    run_batch(store, held_back(repo, 2), options=options, now_ms=8000)
+    assert store.watermark() == 4 and sorted(indexed(store)) == ["n-1"]
+    assert run_batch(store, held_back(repo, 2), options=options, now_ms=9000) is None
+    run_batch(store, repo.sources(), options=options, now_ms=9000)
+    assert store.watermark() == 4 and sorted(indexed(store)) == ["n-1", "n-3"]
+    assert run_batch(store, repo.sources(), options=options, now_ms=9000) is None and store.open_gaps().count() == 0
+
+
+def test_a_late_change_does_not_undo_a_later_one(spark, tmp_path, repo):
+    """A late delete of a node that came back, and a late update of one that has gone."""
+    repo.commit(("d", 1), ("u", 2))
+    repo.commit(("u", 1), ("d", 2))
+    options = Options(hold_back_ms=0)
+    store = make_store(spark, tmp_path)
+    catch_up(store, held_back(repo, 3), None, options)
+    catch_up(store, repo.sources(), None, options)
+    whole = make_store(spark, tmp_path, "whole")
+    catch_up(whole, repo.sources(), None)
+    assert indexed(store) == indexed(whole) and sorted(indexed(store)) == ["n-1", "n-3"]
+
+
 def test_unknown_namespace_is_reported(spark, tmp_path, repo):
     repo.nodes[1] = repo.nodes[1][:3] + ('{"{http://m/zz}a":1}',) + repo.nodes[1][4:]
     store = make_store(spark, tmp_path)
@@ -397,3 +435,29 @@ def test_stream_equals_batch(spark, tmp_path, repo):
     assert indexed(stream) == indexed(batch) and stream.watermark() == 3
     run()
     assert indexed(stream) == indexed(batch)
+
+
+def test_a_timed_stream_pages_by_transactions(spark, tmp_path, repo):
+    """Two transactions a trigger, every second, until the log is read; a page's range reaches the scan."""
+    import time
+
+    for _ in range(3):
+        repo.commit(("u", 1))
+    store, marks = make_store(spark, tmp_path), []
+
+    def sources():
+        marks.append(store.watermark())
+        return repo.sources()
+
+    query = stream_cycle(store, sources, str(tmp_path / "checkpoint"), seconds=1, max_results=2)
+    try:
+        deadline = time.time() + 60
+        while store.watermark() < 5 and time.time() < deadline and query.isActive:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert query.exception() is None
+    assert store.watermark() == 5 and marks[:3] == [0, 2, 4]
+    whole = make_store(spark, tmp_path, "whole")
+    catch_up(whole, repo.sources(), 2)
+    assert indexed(store) == indexed(whole)

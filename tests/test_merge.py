@@ -3,12 +3,13 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from replay import Index
 from tidemark.operators import merge
-from tidemark.sinks import index_store
+from tidemark.schemas import DOCUMENT_COLUMNS
+from tidemark.sinks.control import CommitConflict
 from tidemark.sinks.index_store import IndexStore
+from tidemark.sinks.snapshot import slice_of
 
 NET = "uuid string, op string, reset boolean, type string, owner string, last_update_ms long, fields map<string,string>"
 
@@ -42,6 +43,11 @@ def modelled(batches, mode):
     }
 
 
+def empty_documents(spark):
+    columns = ", ".join(f"{c} {kind}" for c, kind in DOCUMENT_COLUMNS.items())
+    return spark.createDataFrame([], f"uuid string, {columns}")
+
+
 def collected(index):
     return {r["uuid"]: (r["type"], r["owner"], r["last_update_ms"], r["fields"]) for r in index.collect()}
 
@@ -49,51 +55,69 @@ def collected(index):
 @pytest.mark.parametrize("seed,mode", [(0, "partial"), (2, "replace")])
 def test_apply_changes_equals_replay(spark, seed, mode):
     batches = random_batches(seed, batches=3)
-    index = merge.empty_documents(spark)
+    index = empty_documents(spark)
     for rows in batches:
         index = merge.apply_changes(index, spark.createDataFrame(rows, NET), mode)
     assert collected(index) == modelled(batches, mode)
 
 
 def applied(store, spark, rows, mark, mode="partial"):
-    commit_id = store.next_commit()
-    net = spark.createDataFrame(rows, NET)
-    stored = store.read("meta", keys=net, keys_size=100)
-    layer = store.write_layer("meta", merge.changed_documents(stored, net, mode), 2 * commit_id)
-    store.commit(commit_id, mark, meta=[layer])
+    net = spark.createDataFrame(rows, NET).withColumn("slice", slice_of("uuid", store.slices))
+    slices = [r[0] for r in net.select("slice").distinct().collect()]
+    store.write("meta", merge.apply_changes(store.read("meta", slices), net, mode), slices)
+    store.commit(mark)
 
 
 @pytest.mark.parametrize("seed", [3])
 def test_store_equals_replay(spark, tmp_path, seed):
     batches = random_batches(seed)
-    store = IndexStore(spark, str(tmp_path / "index"), buckets=4, max_layers=2, fold_ratio=0.5).ensure()
+    store = IndexStore(spark, str(tmp_path / "index"), slices=4, buckets=2).ensure()
     for i, rows in enumerate(batches):
         applied(store, spark, rows, i + 1)
-        store.compact()
         assert collected(store.read("meta")) == modelled(batches[: i + 1], "partial")
-        assert len(store.layers("meta")) <= 3
     assert store.watermark() == len(batches)
-    before = collected(store.read("meta"))
-    store.compact(force=True)
-    assert len(store.layers("meta")) == 1 and collected(store.read("meta")) == before
     # Replaying the last batch is harmless.
     applied(store, spark, batches[-1], len(batches))
     assert collected(store.read("meta")) == modelled(batches + batches[-1:], "partial")
 
 
-def test_many_small_layers_keep_their_deletion_marks(spark, tmp_path, monkeypatch):
-    store = IndexStore(spark, str(tmp_path / "index"), buckets=2, max_layers=2, fold_ratio=10).ensure()
+def test_a_slice_left_without_documents_is_empty(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), slices=2, buckets=2).ensure()
     rows = [(f"k{i}", "upsert", False, "t", None, 1, {"a": str(i)}) for i in range(20)]
     applied(store, spark, rows, 1)
-    for i in range(4):
-        applied(store, spark, [(f"k{i}", "delete", True, None, None, None, None)], i + 2)
-        store.compact()
-    assert sorted(collected(store.read("meta"))) == sorted(f"k{i}" for i in range(4, 20))
-    assert store.layers("meta")[0]["rows"] == 20 and len(store.layers("meta")) <= 3
-    # Keys too many to broadcast are joined by a shuffle, to the same rows.
-    before = collected(store.read("meta"))
-    monkeypatch.setattr(index_store, "BROADCAST_BYTES", -1)
-    assert len(store.layers("meta")) > 1 and collected(store.read("meta")) == before
+    assert len(collected(store.read("meta"))) == 20
+    applied(store, spark, [(f"k{i}", "delete", True, None, None, None, None) for i in range(20)], 2)
+    assert collected(store.read("meta")) == {}
+
+
+def test_a_batch_rewrites_its_slices_only(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "index"), slices=8, buckets=2).ensure()
+    applied(store, spark, [(f"k{i}", "upsert", False, "t", None, 1, {}) for i in range(100)], 1)
+
+    def files():
+        return {str(f) for f in (tmp_path / "index" / "meta").rglob("*.parquet")}
+
+    before = files()
+    applied(store, spark, [("k7", "upsert", False, "u", None, 2, {})], 2)
+    assert {f.split("slice=")[1][0] for f in before ^ files()} == {str(spark.range(1).select(slice_of(merge.F.lit("k7"), 8)).first()[0])}
+    assert collected(store.read("meta"))["k7"][0] == "u" and len(collected(store.read("meta"))) == 100
+
+
+def test_the_index_side_is_not_shuffled(spark, tmp_path):
+    """Neither a merge nor the whole index has an exchange above a snapshot; a merge reads it once."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = IndexStore(spark, str(tmp_path / "index"), slices=4, buckets=8).ensure()
+        applied(store, spark, [(f"k{i}", "upsert", False, "t", None, 1, {}) for i in range(100)], 1)
+        whole = store.index()._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in whole and "SortMergeJoin" in whole
+        net = spark.createDataFrame(random_batches(1)[0], NET)
+        merged = merge.apply_changes(store.read("meta", [0, 1]), net)._jdf.queryExecution().executedPlan().toString()
+        assert merged.count("Exchange hashpartitioning") == 1 and merged.count("FileScan") == 1
+        assert "slice" in merged.split("PartitionFilters: [")[1].split("]")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
 def test_stamp_guard(spark):
@@ -118,7 +142,7 @@ def test_absent_fields_survive_and_nulls_overwrite(spark):
 
 def test_merge_mode_is_checked(spark):
     with pytest.raises(ValueError):
-        merge.apply_upserts(merge.empty_documents(spark), merge.empty_documents(spark), "other")
+        merge.apply_upserts(empty_documents(spark), empty_documents(spark), "other")
 
 
 def test_delete(spark):
@@ -140,7 +164,7 @@ def test_apply_content(spark):
 
 
 def test_control_row(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path / "s"))
+    store = IndexStore(spark, str(tmp_path / "s"), 2, 2)
     assert store.watermark() == 0 and not store.exists() and store.head() is None
     store.ensure(create_index=False, create_control=False)
     assert store.head() is None and not store.exists()
@@ -148,41 +172,58 @@ def test_control_row(spark, tmp_path):
     assert store.head()["last_txn_id"] == 0 and not store.exists()
     store.ensure()
     assert store.exists() and store.read("meta").count() == 0 and store.index().count() == 0
-    store.commit(store.next_commit(), 7)
-    store.commit(store.next_commit(), 5)
+    store.commit(7)
+    store.commit(5)
     assert store.watermark() == 7
     assert IndexStore(spark, str(tmp_path / "s")).ensure().watermark() == 7
 
 
-def test_last_commit_is_found_from_any_start(spark, tmp_path):
-    writer = IndexStore(spark, str(tmp_path / "s")).ensure(create_index=False)
-    reader = IndexStore(spark, str(tmp_path / "s"))
-    for i in range(1, 8):
-        writer.commit(writer.next_commit(), i)
-        if i in (1, 4):
-            assert reader.refresh()["last_txn_id"] == i
-        assert IndexStore(spark, str(tmp_path / "s")).watermark() == i
-    assert reader.watermark() == 4 and reader.refresh()["last_txn_id"] == 7
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    one = IndexStore(spark, str(tmp_path / "s"), 2, 2).ensure(create_index=False)
+    two = IndexStore(spark, str(tmp_path / "s"))
+    one.commit(3)
+    with pytest.raises(CommitConflict):
+        two.commit(4)
+    assert IndexStore(spark, str(tmp_path / "s")).watermark() == 3
+    assert two.refresh()["last_txn_id"] == 3
+    two.commit(4)
+    assert one.refresh()["last_txn_id"] == 4
+
+
+def test_progress_is_kept_for_each_stream(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "s"), 2, 2).ensure(create_index=False)
+    store.commit(1, ("a", 0))
+    store.commit(2, ("b", 5))
+    store.commit(3)
+    assert store.has_applied("a", 0) and not store.has_applied("a", 1)
+    assert store.has_applied("b", 5) and not store.has_applied("c", 0)
+
+
+def test_old_commits_go(spark, tmp_path, monkeypatch):
+    store = IndexStore(spark, str(tmp_path / "s"), 2, 2).ensure(create_index=False)
+    monkeypatch.setattr(IndexStore, "KEPT", 2)
+    for i in range(1, 6):
+        store.commit(i)
+    assert len(list((tmp_path / "s" / "commits").iterdir())) == 2 and IndexStore(spark, str(tmp_path / "s")).watermark() == 5
 
 
 def test_unfinished_commit_is_not_seen(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path / "s")).ensure()
+    store = IndexStore(spark, str(tmp_path / "s"), 2, 2).ensure()
     (tmp_path / "s" / "commits" / "c=1" / "_temporary").mkdir(parents=True)
     assert IndexStore(spark, str(tmp_path / "s")).head()["commit_id"] == 0
-    store.commit(store.next_commit(), 3)
+    store.commit(3)
     assert IndexStore(spark, str(tmp_path / "s")).watermark() == 3
 
 
-def test_buckets_are_fixed_at_creation(spark, tmp_path):
-    IndexStore(spark, str(tmp_path / "s"), buckets=4).ensure()
-    assert IndexStore(spark, str(tmp_path / "s"), buckets=9).buckets == 4
+def test_the_layout_is_fixed_at_creation(spark, tmp_path):
+    IndexStore(spark, str(tmp_path / "s"), 4, 2).ensure()
+    again = IndexStore(spark, str(tmp_path / "s"), 9, 9)
+    assert (again.slices, again.buckets) == (4, 2)
 
 
-def test_bucket_filter_prunes_partitions(spark, tmp_path):
-    store = IndexStore(spark, str(tmp_path / "s"), buckets=8).ensure()
-    applied(store, spark, [(f"k{i}", "upsert", False, "t", None, 1, {}) for i in range(100)], 1)
-    rows = store.read("meta", buckets=[3])
-    plan = rows._jdf.queryExecution().toString()
-    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
-    want = store.read("meta").where(F.pmod(F.xxhash64("uuid"), F.lit(8)) == 3).count()
-    assert rows.count() == want > 0
+def test_a_store_is_found_by_another_catalog(spark, tmp_path):
+    store = IndexStore(spark, str(tmp_path / "s"), 4, 2).ensure()
+    applied(store, spark, [("k1", "upsert", False, "t", None, 1, {})], 1)
+    for snapshot in store._families.values():
+        spark.sql(f"drop table {snapshot.table}")
+    assert list(collected(IndexStore(spark, str(tmp_path / "s")).read("meta"))) == ["k1"]

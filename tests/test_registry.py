@@ -29,6 +29,13 @@ XML = [
     ("<model name='a:b'/><junk/>", None),
     ("<set><model name='a&amp;b:m'/></set>", "a&b:m"),
     ("<model name='a:b'/> <!-- end -->", "a:b"),
+    ("<!DOCTYPE model [<!ENTITY e 'v'>]><model name='a:b'/>", "a:b"),
+    ("<!DOCTYPE model [<!-- ]> \" --><!ENTITY e \"]>\"> ]>\n<model name='a:b'/>", "a:b"),
+    ("<!DOCTYPE model SYSTEM 'x>y.dtd'><model name='a:b'/>", "a:b"),
+    ("<set><a><![CDATA[<!--]]></a><model name='a:b'/><b><![CDATA[-->]]></b></set>", "a:b"),
+    ("<set><a><![CDATA[<?]]></a><model name='a:b'/><b><![CDATA[?>]]></b></set><?last?>", "a:b"),
+    ("<!-- <model name='no:no'/> -->" + "<!-- x -->\n" * 4000 + "<model name='a:b'/>", "a:b"),
+    ("<model name='a:b'/><![CDATA[x]]>", None),
 ]
 
 

@@ -1,15 +1,20 @@
 """A stream of events that carry their fields against one batch, in several splits."""
 
+import random
+
 import pytest
 
 from test_net_state import SCHEMA, random_feed
 from replay import replay_fields
-from tidemark.plans.cycle import apply_events
-from tidemark.sinks.index_store import IndexStore
+from tidemark.sinks.event_store import EventStore
 from tidemark.sources import feed
 from tidemark.streaming.index_stream import stream_events
 
-ORDER = ["txn_id", "feed_pos"]
+ORDER = {"txn_id": "bigint", "feed_pos": "bigint"}
+
+
+def make_store(spark, tmp_path):
+    return EventStore(spark, str(tmp_path / "index"), ORDER, slices=2, buckets=2)
 
 
 def expected(events):
@@ -17,17 +22,17 @@ def expected(events):
 
 
 def fields_of(store):
-    return {r["uuid"]: r["fields"] for r in store.read("meta").collect()}
+    return {r["uuid"]: r["fields"] for r in store.documents().collect()}
 
 
 @pytest.mark.parametrize("cuts", [[], [9], [3, 20]])
 def test_any_split_gives_the_same_index(spark, tmp_path, cuts):
     events = random_feed(41)
     rows = feed.routed(spark.createDataFrame(events, SCHEMA))
-    store = IndexStore(spark, str(tmp_path / "index"), buckets=3).ensure()
+    store = make_store(spark, tmp_path)
     edges = [-1, *cuts, events[-1][0]]
     for low, high in zip(edges, edges[1:]):
-        apply_events(store, rows.where(f"txn_id > {low} and txn_id <= {high}"), high, ORDER)
+        store.apply(rows.where(f"txn_id > {low} and txn_id <= {high}"), high)
     assert fields_of(store) == expected(events) and store.watermark() == events[-1][0]
 
 
@@ -37,21 +42,37 @@ def test_stream(spark, tmp_path):
     folder = str(tmp_path / "feed")
     middle = events[-1][0] // 2
     rows.where(f"txn_id <= {middle}").coalesce(1).write.mode("append").parquet(folder)
-    store = IndexStore(spark, str(tmp_path / "index"), buckets=3).ensure()
+    store = make_store(spark, tmp_path)
 
     def run():
         source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-        stream_events(source, store, str(tmp_path / "checkpoint"), ORDER, seconds=None).awaitTermination()
+        stream_events(source, store, str(tmp_path / "checkpoint"), seconds=None).awaitTermination()
 
     run()
     assert fields_of(store) == expected([e for e in events if e[0] <= middle])
-    # The rest arrives, with rows of a transaction below the mark among it: those are never seen.
-    late = feed.routed(spark.createDataFrame([(1, 10_000, "late", "u", {"x": "1"}, 1)], SCHEMA))
-    rows.where(f"txn_id > {middle}").unionByName(late).coalesce(1).write.mode("append").parquet(folder)
+    # The rest arrives, with events below the mark among it: they are put in their place.
+    late = [(1, 10_000, "late", "u", {"x": "1"}, 1), (1, 10_001, "hot", "u", {"f0": "too old", "only": "late"}, 1), (1, 10_002, "k1", "d", None, 1)]
+    events = sorted(events + late, key=lambda e: e[:2])
+    both = rows.where(f"txn_id > {middle}").unionByName(feed.routed(spark.createDataFrame(late, SCHEMA)))
+    both.coalesce(1).write.mode("append").parquet(folder)
     run()
-    assert fields_of(store) == expected(events)
-    late = spark.read.parquet(f"{store.root}/rejects/c=*").collect()
-    assert [(r["rule"], r["detail"]) for r in late] == [("late_change", "1")]
+    assert fields_of(store) == expected(events) and "late" in fields_of(store)
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_any_order_and_repetition_gives_the_same_states(spark, tmp_path, seed):
+    events = random_feed(seed)
+    pick = random.Random(seed)
+    shuffled = pick.sample(events, len(events))
+    store = make_store(spark, tmp_path)
+    for part in (shuffled[120:], shuffled[:70], shuffled[50:130]):
+        store.apply(feed.routed(spark.createDataFrame(part, SCHEMA)), max(e[0] for e in part))
+    assert fields_of(store) == expected(events) and store.watermark() == events[-1][0]
+    # deletes are kept as places, and writes before them are not
+    last = {e[2]: e[:2] for e in events if e[3] == "d"}
+    for row in store.states().collect():
+        assert (tuple(row["last_delete"]) if row["last_delete"] else None) == last.get(row["uuid"])
+        assert all(row["last_delete"] is None or w["seq"] > row["last_delete"] for w in row["writes"].values())
 
 
 def test_a_transaction_goes_on_in_the_next_files(spark, tmp_path):
@@ -62,7 +83,7 @@ def test_a_transaction_goes_on_in_the_next_files(spark, tmp_path):
     first = f"txn_id < {middle} or (txn_id = {middle} and feed_pos < {place})"
     for part in (first, f"not ({first})"):
         rows.where(part).coalesce(1).write.mode("append").parquet(folder)
-    store = IndexStore(spark, str(tmp_path / "index"), buckets=3).ensure()
+    store = make_store(spark, tmp_path)
     source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    stream_events(source, store, str(tmp_path / "checkpoint"), ORDER, seconds=None).awaitTermination()
+    stream_events(source, store, str(tmp_path / "checkpoint"), seconds=None).awaitTermination()
     assert fields_of(store) == expected(events)

@@ -1,7 +1,6 @@
 """Guarded partial upsert, delete and text update of a keyed index."""
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.schemas import DOCUMENT_COLUMNS, OPTIONAL_COLUMNS
 
@@ -43,34 +42,19 @@ def _merged_columns(state):
         yield F.when(state == FRESH, new).when(state == KEPT, old).otherwise(both).alias(c)
 
 
-def _check(mode):
-    if mode not in ("partial", "replace"):
-        raise ValueError(f"merge mode must be partial or replace, not {mode!r}")
-
-
-def changed_documents(stored, net, mode="partial"):
-    """Rows the index must write for a batch: the new state of each changed document, or a deletion mark.
+def apply_changes(index, net, mode="partial"):
+    """The index after a batch. `net` has one row per uuid (op, reset and document columns).
 
-    `net` has one row per uuid (op, reset and document columns); `stored` one row per uuid of the index and
-    need hold no others. Documents guarded by a newer stamp, and deletes of unknown ones, write nothing.
+    One full outer join on the key: documents the batch doesn't name and those guarded by a newer stamp stay as they
+    are, deleted ones go, the rest are merged.
     """
-    _check(mode)
-    incoming = conform(net, "op", "reset").alias("new")
-    joined = incoming.join(stored.alias("old"), F.col("new.uuid") == F.col("old.uuid"), "left")
-    state = _incoming_state(mode)
-    deleted = F.col("new.op") == "delete"
-    writes = (deleted & F.col("old.uuid").isNotNull()) | (~deleted & (state != KEPT))
-    return joined.where(writes).select(
-        F.col("new.uuid").alias("uuid"), deleted.alias("deleted"), *_merged_columns(state)
-    )
-
-
-def apply_changes(index, net, mode="partial"):
-    """The whole index after a batch: what the batch writes, beside the documents it leaves alone."""
-    index = conform(index)
-    written = changed_documents(index, net, mode)
-    untouched = index.join(written.select("uuid"), "uuid", "left_anti")
-    return untouched.unionByName(written.where("not deleted").drop("deleted"))
+    if mode not in ("partial", "replace"):
+        raise ValueError(f"merge mode must be partial or replace, not {mode!r}")
+    old, new = conform(index).alias("old"), conform(net, "op", "reset").alias("new")
+    joined = old.join(new, F.col("old.uuid") == F.col("new.uuid"), "full_outer")
+    state = F.when(F.col("new.uuid").isNull(), KEPT).otherwise(_incoming_state(mode))
+    left = F.col("new.op").isNull() | (F.col("new.op") != "delete")
+    return joined.where(left).select(F.coalesce("old.uuid", "new.uuid").alias("uuid"), *_merged_columns(state))
 
 
 def apply_upserts(index, documents, mode="partial"):
@@ -99,6 +83,13 @@ def apply_content(index, content):
     )
 
 
-def empty_documents(spark):
-    schema = ", ".join(f"{c} {kind}" for c, kind in DOCUMENT_COLUMNS.items())
-    return spark.createDataFrame([], T.StructType.fromDDL(f"uuid string, {schema}"))
+def apply_texts(stored, found, removed):
+    """Texts after a batch: those found (uuid, content_id, content_text) replace the stored ones, removed documents (uuid)
+    lose theirs; one full outer join."""
+    gone = removed.select("uuid", F.lit(True).alias("_gone"))
+    named = found.select("uuid", "content_id", "content_text").join(gone, "uuid", "full_outer").alias("new")
+    joined = stored.alias("old").join(named, F.col("old.uuid") == F.col("new.uuid"), "full_outer")
+    hit, gone = F.col("new.content_text").isNotNull(), F.coalesce("new._gone", F.lit(False))
+    return joined.where(hit | ~gone).select(
+        F.coalesce("old.uuid", "new.uuid").alias("uuid"),
+        *[F.when(hit, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in ("content_id", "content_text")])

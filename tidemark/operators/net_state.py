@@ -3,44 +3,75 @@
 from pyspark.sql import functions as F
 
 
-def net_state(events, key, order, fields="fields"):
-    """Net effect of a feed per key: last writer wins per field and a delete forgets what came before.
+def state_columns(order):
+    """Columns and types of a key's state, from those of the order."""
+    place = f"struct<{','.join(f'`{name}`:{kind}' for name, kind in order.items())}>"
+    return {"last_delete": place, "last_update": place, "writes": f"map<string,struct<seq:{place},value:string>>"}
+
 
-    `events` carries `is_delete` (see feed.routed) and, for updates, a map of the fields the change names.
-    `order` lists the columns whose tuple gives the feed order. Returns key, op ("upsert" / "delete"),
-    reset (a delete occurred in this feed) and the surviving fields.
+def field_states(events, key, order, fields="fields"):
+    """State of each key: the last delete and update (as tuples of the order columns) and the last write of each field
+    that no delete follows.
 
-    A field is alive when its last write comes after the last delete of its key, so both are found in one
-    pass. An update replaces whatever an earlier one of the same fields wrote, so events are folded by key and set
-    of names before they expand to the fields they write (a delete, or an update of no field, to one mark). Each
-    fold has a partial step, so a hot key arrives as few rows.
+    `events` carries `is_delete` (see feed.routed) and, for updates, a map of the fields the change names. An update
+    replaces whatever an earlier one of the same fields wrote, so events are first folded by key and set of names; both
+    folds have a partial step, so a hot key arrives as few rows. Writes older than the last delete go before the sets
+    expand to single fields.
     """
     is_delete = F.col("is_delete")
     named = F.when(~is_delete, F.array_sort(F.map_entries(fields)))
     events = events.select(F.col(key), is_delete, F.struct(*[F.col(c) for c in order]).alias("seq"), named.alias("_entries"))
     folded = events.select(key, "is_delete", "seq", F.col("_entries.key").alias("names"), F.col("_entries.value").alias("values"))
     folded = folded.groupBy(key, "is_delete", "names").agg(F.max(F.struct("seq", "values")).alias("last"))
-    entries = F.arrays_zip(F.col("names").alias("key"), F.col("last.values").alias("value"))
-    mark = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
-    writes = folded.select(
-        key, "is_delete", F.col("last.seq").alias("seq"),
-        F.inline(F.when(F.size("names") > 0, entries).otherwise(mark)).alias("field", "value"),
-    )
-    last = writes.groupBy(key, "is_delete", "field").agg(F.max(F.struct("seq", "value")).alias("last"))
-    seq = F.col("last.seq")
-    held = F.when(F.col("field").isNotNull(), F.struct("field", seq.alias("seq"), F.col("last.value").alias("value")))
-    folded = last.groupBy(key).agg(
-        F.max(F.when(is_delete, seq)).alias("last_delete"),
-        F.max(F.when(~is_delete, seq)).alias("last_update"),
-        F.collect_list(held).alias("writes"),
-    )
-    alive = F.filter("writes", lambda w: F.col("last_delete").isNull() | (w["seq"] > F.col("last_delete")))
-    return folded.select(
-        key,
-        _op(F.col("last_update"), F.col("last_delete")).alias("op"),
-        F.col("last_delete").isNotNull().alias("reset"),
-        F.map_from_entries(F.transform(alive, lambda w: F.struct(w["field"], w["value"]))).alias(fields),
+    written = F.when(~is_delete & (F.size("names") > 0), F.struct("names", "last.seq", "last.values"))
+    gathered = folded.groupBy(key).agg(
+        F.max(F.when(is_delete, F.col("last.seq"))).alias("last_delete"),
+        F.max(F.when(~is_delete, F.col("last.seq"))).alias("last_update"),
+        F.collect_list(written).alias("_sets"),
     )
+    live = F.filter("_sets", lambda s: F.col("last_delete").isNull() | (s["seq"] > F.col("last_delete")))
+    singles = F.flatten(F.transform(live, lambda s: F.zip_with(
+        s["names"], s["values"], lambda name, value: F.struct(name.alias("field"), s["seq"].alias("seq"), value.alias("value")))))
+    # sorted by field and place, the last of each field is the one to keep
+    ordered = gathered.withColumn("_sets", F.array_sort(singles))
+    last = F.filter("_sets", lambda w, i: ~w["field"].eqNullSafe(F.get(F.col("_sets"), i + 1)["field"]))
+    return ordered.select(
+        key, "last_delete", "last_update",
+        F.map_from_entries(F.transform(last, lambda w: F.struct(w["field"], F.struct(w["seq"], w["value"])))).alias("writes"))
+
+
+def merge_states(stored, incoming, key="uuid"):
+    """States of both sides by one full outer join: the greater place wins for each field, delete and update, so the
+    order in which states are merged doesn't matter."""
+    old, new = stored.alias("old"), incoming.alias("new")
+    joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
+
+    def later(name):
+        return F.greatest(F.col(f"old.{name}"), F.col(f"new.{name}"))
+
+    a, b = F.col("old.writes"), F.col("new.writes")
+    both = F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.map_zip_with(a, b, lambda name, x, y: F.greatest(x, y)))
+    merged = joined.select(F.coalesce(f"old.{key}", f"new.{key}").alias(key), later("last_delete").alias("last_delete"),
+                           later("last_update").alias("last_update"), both.alias("writes"))
+    alive = F.map_filter("writes", lambda name, w: F.col("last_delete").isNull() | (w["seq"] > F.col("last_delete")))
+    return merged.withColumn("writes", alive)
+
+
+def alive_documents(states, key="uuid", fields="fields"):
+    """Keys that are not deleted, with the values of their fields."""
+    return states.where(_op(F.col("last_update"), F.col("last_delete")) == "upsert").select(key, _values().alias(fields))
+
+
+def _values():
+    return F.transform_values("writes", lambda name, w: w["value"])
+
+
+def net_state(events, key, order, fields="fields"):
+    """Net effect of a feed per key: last writer wins per field and a delete forgets what came before. Returns key, op
+    ("upsert" / "delete"), reset (a delete occurred in this feed) and the surviving fields. `order` lists the columns
+    whose tuple gives the feed order."""
+    return field_states(events, key, order, fields).select(
+        key, _op(F.col("last_update"), F.col("last_delete")).alias("op"), F.col("last_delete").isNotNull().alias("reset"), _values().alias(fields))
 
 
 def latest_changes(changes, key, order, carry):

@@ -65,14 +65,9 @@ def bad_properties(documents):
     return _report(documents, "bad_properties", "id", "uuid")
 
 
-def late_changes(rows):
-    """Changes of transactions below the mark, which come too late to be put in order."""
-    return _report(rows, "late_change", "id", "txn_id")
-
-
 def missing_content(changed, found):
-    """Documents whose changed text is not among the texts found (by uuid); they stay candidates."""
-    return _report(changed.join(found.select("uuid"), "uuid", "left_anti"), "missing_content", "uuid", "content_id")
+    """Documents whose changed text is not among the texts found (by uuid and content id); they stay candidates."""
+    return _report(changed.join(found.select("uuid", "content_id"), ["uuid", "content_id"], "left_anti"), "missing_content", "uuid", "content_id")
 
 
 def combined(*reports):

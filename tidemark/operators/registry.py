@@ -4,24 +4,27 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.refs import model_prefix, qname_uri
 
-# What may stand around the root: declarations, comments, the document type.
-_AROUND = r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>"
+# What may stand before the root: declaration, comments, instructions, the document type with its internal subset.
+_COMMENT, _INSTRUCTION = r"<!--[^-]*+(?:-[^-]++)*+-->", r"<\?[^?]*+(?:\?(?!>)[^?]*+)*+\?>"
+_QUOTED = r"\"[^\"]*+\"|'[^']*+'"
+_SUBSET = rf"\[(?:{_COMMENT}|{_INSTRUCTION}|{_QUOTED}|[^\]\"'<]++|<)*+\]\s*+"
+_PROLOG = rf"^(?:\s++|{_COMMENT}|{_INSTRUCTION})*+(?:<!DOCTYPE(?:[^\[\"'>]++|{_QUOTED})*+(?:{_SUBSET})?+>)?+"
 _FIRST_MODEL = "(//*[local-name()='model'])[1]/@name"
 
 
 def model_name(xml):
     """`name` of the first `model` element, whatever its namespace prefix; null if malformed or absent.
 
-    A definition set into an element of its own must parse as a whole and give that element one child and no
-    text, so a second root and whatever trails the first are malformed. Only then the name is looked up.
+    What follows the prolog, set into an element of its own, must parse as a whole and give that element one child and no
+    text, so a second root and whatever trails the first are malformed. Marks inside the root are left alone. Only then
+    the name is looked up, without the document type, so nothing outside the text is ever fetched.
     """
-    whole = F.concat(F.lit("<all>"), F.regexp_replace(xml, _AROUND, ""), F.lit("</all>"))
+    whole = F.concat(F.lit("<all>"), F.regexp_replace(xml, _PROLOG, ""), F.lit("</all>"))
     parses = F.from_xml(xml, "_corrupt_record string")["_corrupt_record"].isNull() & F.from_xml(
         whole, "_corrupt_record string")["_corrupt_record"].isNull()
-    children = F.when(parses, F.from_xml(whole, "variant")).try_cast("map<string,variant>")
-    root = F.element_at(F.map_values(children), 1)
-    single = parses & (F.size(children) == 1) & root.try_cast("array<variant>").isNull()
-    found = F.when(single, F.xpath_string(xml, F.lit(_FIRST_MODEL)))
+    roots = F.xpath_int(whole, F.lit("count(/all/*) + 2 * count(/all/text()[normalize-space()])"))
+    roots = F.when(parses, roots)
+    found = F.when(roots == 1, F.xpath_string(whole, F.lit(_FIRST_MODEL)))
     return F.nullif(found, F.lit(""))
 
 

@@ -1,4 +1,4 @@
-"""The indexing cycle: next page of the log -> net changes -> documents -> index layers -> commit."""
+"""The indexing cycle: next page of the log -> net changes -> documents -> rewritten slices -> commit."""
 
 from dataclasses import dataclass
 
@@ -13,12 +13,12 @@ from tidemark.operators.document import build_documents
 from tidemark.operators.enrich import (
     attach_metadata, attach_readers, latest_metadata, prefix_properties, readers_by_acl, with_references,
 )
-from tidemark.operators.lookups import BROADCAST_BYTES, measure
-from tidemark.operators.merge import changed_documents
-from tidemark.operators.net_state import latest_changes, net_state
+from tidemark.operators.lookups import BROADCAST_BYTES, join_on_keys, measure
+from tidemark.operators.merge import apply_changes, apply_texts
+from tidemark.operators.net_state import latest_changes
 from tidemark.operators.registry import build_registry, read_models
-from tidemark.sinks.index_store import bucket_of
-from tidemark.sources.feed import changes_between, page_bounds, routed
+from tidemark.sinks.snapshot import slice_of, staged
+from tidemark.sources.feed import changes_between, late_transactions, open_gaps, page_bounds, routed, settled_mark
 
 # What the pipeline reads of a node: its other parts (children, paths) are never fetched.
 METADATA_COLUMNS = ("id", "type", "acl_id", "properties", "aspects", "name_paths", "ancestors")
@@ -45,14 +45,22 @@ class Options:
     store_name: str = K.LIVE_STORE
     tag_root: str = K.TAG_ROOT
     small_registry: int = 1000
+    hold_back_ms: int = None  # how long the mark waits for the transactions of a gap; None: it doesn't look for gaps
 
 
-def run_batch(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None):
+def run_batch(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None, now_ms=None):
     """Index the next page of the log. Returns its bounds, or None when nothing is pending.
 
     Any failure leaves the last commit in place, so the page is read again; applying it twice is harmless.
+
+    With a hold-back the page ends before the first gap in the transaction ids that is younger (at now_ms, by default
+    the log's latest commit time). Older gaps are passed over but remembered, and what fills one is read with the next
+    page.
     """
+    options = options or Options()
     store.refresh()
+    if options.hold_back_ms is not None:
+        return _run_held_back(store, sources, max_results, options, now_ms)
     bounds = page_bounds(sources.log, store.watermark(), max_results).first()
     if not bounds["n_txn"]:
         return None
@@ -61,23 +69,42 @@ def run_batch(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=No
     return bounds
 
 
+def _run_held_back(store, sources, max_results, options, now_ms):
+    mark, known = store.watermark(), store.open_gaps()
+    limit = settled_mark(sources.log, mark, options.hold_back_ms, now_ms).first()["settled_id"]
+    bounds = page_bounds(sources.log, mark, max_results, limit).first()
+    late = None if known is None else staged(late_transactions(sources.log, known), f"{store.root}/work/late")
+    n_late = late.count() if late is not None else 0
+    if not bounds["n_txn"] and not n_late:
+        return None
+    reached = bounds["max_txn_id"] if bounds["n_txn"] else mark
+    changes = changes_between(sources.changes, mark + 1, reached)
+    if n_late:
+        # nodes of late transactions are replayed from the start, so that what has come after them still comes last
+        rows = join_on_keys(late.select(F.col("id").alias("txn_id")), sources.changes, "txn_id", 24 * n_late)
+        nodes = staged(rows.select("id").distinct(), f"{store.root}/work/late-nodes")
+        history = join_on_keys(nodes, sources.changes.where(F.col("txn_id") <= mark), "id", measure(nodes)[1])
+        changes = changes.unionByName(history.select(changes.columns))
+    gaps = open_gaps(sources.log.where(F.col("id") <= reached))
+    apply_page(store, sources, changes, reached, bounds["repo_max_commit_ms"], options, gaps=gaps)
+    return bounds
+
+
 def catch_up(store, sources, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None):
     """Run batches until the log is exhausted; returns how many ran."""
     batches = 0
     while run_batch(store, sources, max_results, options):
-        store.compact()
         batches += 1
     return batches
 
 
-def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=None):
-    """Apply change rows and move the mark, in one commit. progress: the stream and micro-batch they are.
+def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=None, gaps=None):
+    """Apply change rows and move the mark. progress: the stream and micro-batch they are; gaps: see Control.commit.
 
     Intermediate tables are written to the store's shared folder: they cut the plan where sizes are
     measured, and a lost executor costs only the tasks it ran. The next batch writes over them.
     """
     options = options or Options()
-    commit_id = store.next_commit()
     work = f"{store.root}/work"
 
     if sources.findings is not None and options.on_error == "fail":
@@ -88,7 +115,7 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
     registry = build_registry(models)
 
     changes = staged(with_references(staged(changes, f"{work}/read"), sources.metadata), f"{work}/changes")
-    net = staged(net_changes(changes, store.buckets, options.on_error), f"{work}/net")
+    net = staged(net_changes(changes, store.slices, options.on_error), f"{work}/net")
     extent = _extent(net)
     updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
     thin = staged(_checked(latest_metadata(updates, sources.metadata, extent["size"]), options), f"{work}/thin")
@@ -102,8 +129,8 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
     incoming = documents.withColumn("op", F.lit("upsert")).unionByName(
         removed.select("uuid", F.lit("delete").alias("op"), F.lit(True).alias("reset")), allowMissingColumns=True
     )
-    stored = store.read("meta", extent["buckets"], net, extent["size"])
-    meta = store.write_layer("meta", changed_documents(stored, incoming, options.merge), 2 * commit_id)
+    if extent["slices"]:
+        store.write("meta", apply_changes(store.read("meta", extent["slices"]), incoming, options.merge), extent["slices"])
 
     reports = [
         quality.bad_status(changes),
@@ -116,51 +143,26 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
         quality.unknown_namespaces(_names(documents, "property_names")),
         *[report for report in (refused_acls, sources.findings) if report is not None],
     ]
-    text = []
-    if sources.texts is not None:
-        text, missing = _refresh_text(store, sources, net, documents, extent, work, commit_id, options)
-        reports.append(missing)
-    quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
-    store.commit(commit_id, mark, meta=[meta], text=text, progress=progress)
+    if sources.texts is not None and extent["slices"]:
+        reports.append(_refresh_text(store, sources, net, documents, extent, work, options))
+    quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={store.next_commit()}")
+    store.commit(mark, progress, gaps)
 
 
-def net_changes(changes, buckets, on_error="fail"):
-    """Change rows -> one row per document key: op, reset, node id and hash bucket."""
+def net_changes(changes, slices, on_error="fail"):
+    """Change rows -> one row per document key: op, reset, node id and slice of the index."""
     rows = routed(changes, on_error)
     tail = ref_tail("node_ref", on_error if on_error == "fail" else "null")
     key = F.when(F.col("is_delete"), tail).otherwise(ref_to_uuid("node_ref"))
     keyed = rows.withColumn("uuid", key).where("uuid is not null")
     net = latest_changes(keyed, "uuid", ["txn_id", "feed_pos"], ["id"])
-    return net.withColumn("bucket", bucket_of("uuid", buckets))
-
-
-def apply_events(store, events, mark, order, key="uuid", merge="partial", progress=None, findings=None):
-    """Apply a feed whose events carry their own fields (metadata as of each change) and move the mark."""
-    commit_id = store.next_commit()
-    net = net_state(events, key, order).withColumnRenamed(key, "uuid")
-    net = staged(net.withColumn("bucket", bucket_of("uuid", store.buckets)), f"{store.root}/work/net")
-    extent = _extent(net)
-    stored = store.read("meta", extent["buckets"], net, extent["size"])
-    layer = store.write_layer("meta", changed_documents(stored, net, merge), 2 * commit_id)
-    if findings is not None:
-        findings.write.mode("overwrite").parquet(f"{store.root}/rejects/c={commit_id}")
-    store.commit(commit_id, mark, meta=[layer], progress=progress)
-
-
-def staged(df, path):
-    """Write an intermediate table and go on from it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return net.withColumn("slice", slice_of("uuid", slices))
 
 
 def _extent(net):
-    """Bytes of the document keys of a batch, the hash buckets they touch, and how many keys lose a document."""
+    """Bytes of the document keys of a batch, and the slices they lie in."""
     width = F.octet_length("uuid") + 16
-    return net.agg(
-        F.coalesce(F.sum(width), F.lit(0)).alias("size"),
-        F.collect_set("bucket").alias("buckets"),
-        F.count_if((F.col("op") == "delete") | F.col("reset")).alias("removals"),
-    ).first()
+    return net.agg(F.coalesce(F.sum(width), F.lit(0)).alias("size"), F.collect_set("slice").alias("slices")).first()
 
 
 def _checked(thin, options):
@@ -201,28 +203,19 @@ def _enriched(thin, size, sources, registry, options):
     return prefix_properties(nodes, registry, on_error=options.on_error, max_rows=options.small_registry), refused
 
 
-def _refresh_text(store, sources, net, documents, extent, work, commit_id, options):
-    """Write the text layers of a batch: deletion marks first, then the texts whose content id moved."""
-    stored = store.read("text", extent["buckets"], net, extent["size"])
+def _refresh_text(store, sources, net, documents, extent, work, options):
+    """Drop the texts of removed documents and write those whose content id moved; returns the report of missing ones."""
     candidates = content.content_candidates(documents, options.store_name)
-    changed = staged(
-        content.changed_content(candidates, stored).select("id", "uuid", "content_id"), f"{work}/changed"
-    )
-    rows, size = measure(changed)
-    entries, written = [], store.read("text", layers=[])
-    if extent["removals"]:
-        marks = net.where("op = 'delete' or reset").select(
-            "uuid", F.lit(True).alias("deleted"),
-            F.lit(None).cast("string").alias("content_id"), F.lit(None).cast("string").alias("content_text"),
-        )
-        entries.append(store.write_layer("text", marks, 2 * commit_id))
-    if rows:
-        found = content.non_empty(content.fetch_text(changed, sources.texts, size))
-        layer = store.write_layer("text", found.withColumn("deleted", F.lit(False)), 2 * commit_id + 1)
-        if layer:
-            entries.append(layer)
-            written = store.read("text", layers=[layer])
-    return entries, quality.missing_content(changed, written)
+    moved = content.changed_content(candidates, store.read("text", extent["slices"]))
+    changed = staged(moved.select("id", "uuid", "content_id", slice_of("uuid", store.slices).alias("slice")), f"{work}/changed")
+    removed = net.where("op = 'delete' or reset").select("uuid", "slice")
+    size = changed.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("uuid") + F.octet_length("content_id") + 64), F.lit(0)).alias("size")).first()
+    slices = [r[0] for r in changed.select("slice").union(removed.select("slice")).distinct().collect()]
+    if slices:
+        found = content.non_empty(content.fetch_text(changed.drop("slice"), sources.texts, size["size"]))
+        store.write("text", apply_texts(store.read("text", slices), found, removed), slices)
+    written = store.read("text", slices).select("uuid", "content_id")
+    return quality.missing_content(changed, written)
 
 
 def _names(documents, column):

@@ -15,10 +15,13 @@ from tidemark.operators.enrich import (
 )
 from tidemark.operators.lookups import lookup_join, measure
 from tidemark.operators.net_state import latest_changes, latest_value, net_state
-from tidemark.plans.cycle import Options, Sources, apply_events, catch_up, staged
+from tidemark.operators.as_of import metadata_as_of
+from tidemark.plans.cycle import Options, Sources, catch_up
 from tidemark.session import new_folder
 from tidemark.sinks.bulk_export import bulk_lines
+from tidemark.sinks.event_store import EventStore
 from tidemark.sinks.index_store import IndexStore
+from tidemark.sinks.snapshot import staged
 from tidemark.sources import envelopes, feed
 from tidemark.sources import tables as t
 from tidemark.streaming.index_stream import stream_events, stream_index
@@ -65,7 +68,7 @@ def indexing_lag(spark, d):
     log = t.transactions(spark, d)
     store = IndexStore(spark, new_folder(spark, "lag")).ensure(create_index=False)
     page = feed.page_bounds(log, store.watermark()).first()
-    store.commit(store.next_commit(), page["max_txn_id"])
+    store.commit(page["max_txn_id"])
     return feed.indexing_lag(log, store.watermark())
 
 
@@ -441,24 +444,27 @@ def _field_numbers(index):
     return index.select("uuid", _number("quantity"), _number("price"), _number("discount"), _number("tax"))
 
 
+def _event_store(spark, events, folder):
+    return EventStore(spark, folder, {c: events.schema[c].dataType.simpleString() for c in t.LINE_ORDER}, slices=4, buckets=8)
+
+
 def two_batches(spark, d):
-    """The line feed in two commits, split in the middle of the log, then folded into one layer."""
+    """The line feed in two commits, the second half of the log first."""
     events = _line_events(spark, d)
     last = events.agg(F.max("txn_id")).first()[0]
-    store = IndexStore(spark, new_folder(spark, "two-batches"), buckets=8).ensure()
-    for low, high in ((0, last // 2), (last // 2, last)):
-        apply_events(store, events.where(F.col("txn_id").between(low + 1, high)), high, t.LINE_ORDER)
-    store.compact(force=True)
-    return _field_numbers(store.index())
+    store = _event_store(spark, events, new_folder(spark, "two-batches"))
+    for low, high in ((last // 2, last), (0, last // 2)):
+        store.apply(events.where(F.col("txn_id").between(low + 1, high)), high)
+    return _field_numbers(store.documents())
 
 
 FILES, GROUPS = 2, 3
 
 
-def _feed_files(rows, folder, last, place):
+def _feed_files(rows, folder, last, place, backwards=False):
     """Rows as files, FILES for each of GROUPS ranges of transactions; a range's last transaction goes on in the next
-    range with its rows of an even place."""
-    for i in range(GROUPS):
+    range with its rows of an even place. Backwards: the last range is written, and so comes, first."""
+    for i in sorted(range(GROUPS), reverse=backwards):
         low, high = last * i // GROUPS, last * (i + 1) // GROUPS
         here = F.col("txn_id").between(low + 1, high)
         if i < GROUPS - 1:
@@ -469,15 +475,18 @@ def _feed_files(rows, folder, last, place):
 
 
 def stream_net_state(spark, d):
-    """The line feed as files of ascending transaction ranges, some transactions over two of them."""
+    """The line feed as files that come in the wrong order, some transactions over two of them and every 50th, a
+    straggler, after all others."""
     events = _line_events(spark, d)
     folder = new_folder(spark, "stream")
     last = events.agg(F.max("txn_id")).first()[0]
-    _feed_files(events, f"{folder}/feed", last, F.col("l_linenumber") > 2)
-    store = IndexStore(spark, f"{folder}/index", buckets=8).ensure()
+    late = F.col("txn_id") % 50 == 7
+    _feed_files(events.where(~late), f"{folder}/feed", last, F.col("l_linenumber") > 2, backwards=True)
+    events.where(late).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    store = _event_store(spark, events, f"{folder}/index")
     source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
-    stream_events(source, store, f"{folder}/checkpoint", t.LINE_ORDER, seconds=None).awaitTermination()
-    return _field_numbers(store.index())
+    stream_events(source, store, f"{folder}/checkpoint", seconds=None).awaitTermination()
+    return _field_numbers(store.documents())
 
 
 def stream_documents(spark, d):
@@ -486,7 +495,7 @@ def stream_documents(spark, d):
     folder = new_folder(spark, "stream-documents")
     last = sources.log.agg(F.max("id")).first()[0]
     _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0)
-    store = IndexStore(spark, f"{folder}/index", buckets=8).ensure()
+    store = IndexStore(spark, f"{folder}/index", slices=4, buckets=8).ensure()
     source = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
     stream_index(source, store, sources, f"{folder}/checkpoint", seconds=None).awaitTermination()
     return _cycle_rows(store)
@@ -511,11 +520,53 @@ def _cycle_rows(store):
 
 def index_cycle(spark, d):
     """The whole cycle over the documents, all that is pending in one batch."""
-    store = IndexStore(spark, new_folder(spark, "cycle"), buckets=8).ensure()
+    store = IndexStore(spark, new_folder(spark, "cycle"), slices=4, buckets=8).ensure()
     catch_up(store, _document_sources(spark, d), max_results=None)
     return _cycle_rows(store)
 
 
+HOLD_BACK_MS = 3 * 86_400_000
+
+
+def settled_mark(spark, d):
+    """How far the mark may move over a log with gaps, at several ages of its commits."""
+    log = t.sparse_log(spark, d)
+    moments = {days: log.where(F.col("id") <= 450 + days).agg(F.max("commit_time_ms")).first()[0] for days in (0, 100, 900)}
+    rows = [feed.settled_mark(log.where(F.col("id") <= 450 + days), 20, HOLD_BACK_MS, now).select(F.lit(days).alias("days"), "settled_id")
+            for days, now in moments.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def log_gaps(spark, d):
+    return feed.gaps_of(t.sparse_log(spark, d), 0)
+
+
+def late_transactions(spark, d):
+    """What has filled the gaps of the sparse log once the whole log is there."""
+    return feed.late_transactions(t.transactions(spark, d), feed.open_gaps(t.sparse_log(spark, d)))
+
+
+def held_back_cycle(spark, d):
+    """The cycle over a log in which every seventh transaction comes after all others."""
+    sources = _document_sources(spark, d)
+    late = F.col("id") % 7 == 3
+    store = IndexStore(spark, new_folder(spark, "held-back"), slices=4, buckets=8).ensure()
+    options = Options(hold_back_ms=0)
+    catch_up(store, replace(sources, log=sources.log.where(~late), changes=sources.changes.where("txn_id % 7 != 3")), None, options)
+    catch_up(store, sources, None, options)
+    return _cycle_rows(store).drop("last_update_ms")
+
+
+def documents_as_of(spark, d):
+    """A document for each update, from the metadata that held at its transaction and with that transaction's stamp."""
+    updates = t.document_changes(spark, d).where("status = 'u'")
+    nodes = metadata_as_of(updates.select("id", "node_ref", "txn_id"), t.document_versions(spark, d), t.document_log(spark, d))
+    nodes = nodes.withColumn("properties", parse_properties(F.col("properties"))).withColumn("uuid", ref_to_uuid("node_ref"))
+    named = prefix_properties(nodes, _registry(spark, d))
+    readers = readers_by_acl(t.acl_readers(spark, d), t.document_metadata(spark, d))
+    return _flat(document.build_documents(attach_readers(named, readers), F.col("stamp_ms"), "txn_id"), "txn_id")
+
+
 def rejects_report(spark, d):
     """Findings by rule, and documents indexed, of a cycle over damaged input that leaves bad rows out."""
     sources = _document_sources(spark, d)
@@ -527,7 +578,7 @@ def rejects_report(spark, d):
     damaged = replace(
         sources, changes=changes, metadata=metadata.unionByName(metadata.where(doc % 23 == 6)),
         acls=sources.acls.unionByName(sources.acls.where("acl_id = 7")), texts=None)
-    store = IndexStore(spark, new_folder(spark, "rejects"), buckets=8).ensure()
+    store = IndexStore(spark, new_folder(spark, "rejects"), slices=4, buckets=8).ensure()
     catch_up(store, damaged, None, Options(on_error="reject"))
     found = spark.read.parquet(f"{store.root}/rejects/c=1").select("rule")
     return quality.counts(found.unionByName(store.read("meta").select(F.lit("indexed").alias("rule"))))
@@ -606,6 +657,9 @@ QUERIES = {
     "txn_reconcile": txn_reconcile,
     "txn_mismatch": txn_mismatch,
     "indexing_lag": indexing_lag,
+    "log_gaps": log_gaps,
+    "settled_mark": settled_mark,
+    "late_transactions": late_transactions,
     "envelope_decode": envelope_decode,
     "envelope_members": envelope_members,
     "metadata_join": metadata_join,
@@ -642,6 +696,8 @@ QUERIES = {
     "stream_net_state": stream_net_state,
     "index_cycle": index_cycle,
     "stream_index": stream_documents,
+    "held_back_cycle": held_back_cycle,
+    "documents_as_of": documents_as_of,
     "rejects_report": rejects_report,
     "bulk_export": bulk_export,
     "quality_report": quality_report,

@@ -345,3 +345,44 @@ found as (
 select rule, count(*) as n from found group by rule""",
 }
 SQL["stream_index"] = SQL["index_cycle"]
+SQL["held_back_cycle"] = f"select * exclude (last_update_ms) from ({SQL['index_cycle']})"
+
+_SPARSE = """
+whole as (select o_orderkey + 1 as id, epoch_ms(o_orderdate) as ms from orders),
+sparse as (select * from whole where id % 97 <> 0 and id % 1000 not between 500 and 519)"""
+
+_GAPS = """
+select * from (select lag(id) over (order by id) + 1 as from_id, id - 1 as to_id, id as next_id, ms as next_ms
+               from (select id, ms from {log} union all select {after}, null)) where from_id <= to_id"""
+
+SQL["log_gaps"] = f"with {_SPARSE} {_GAPS.format(log='sparse', after=0)}"
+
+SQL["late_transactions"] = f"""
+with {_SPARSE}
+select id from whole where id < (select max(id) from sparse) and id not in (select id from sparse)"""
+
+
+def _settled(days):
+    log = f"(select * from sparse where id <= {450 + days})"
+    gaps = _GAPS.format(log=f"(select * from sparse where id between 21 and {450 + days})", after=20)
+    return f"""
+        select {days} as days, coalesce(
+            (select min(from_id) from ({gaps}) where next_ms > (select max(ms) from {log}) - 3 * 86400000) - 1,
+            (select max(id) from {log})) as settled_id"""
+
+
+SQL["settled_mark"] = f"with {_SPARSE} {' union all '.join(map(_settled, (0, 100, 900)))}"
+
+SQL["documents_as_of"] = f"""
+with {_BUILT},
+firsts as (select doc_id, toxic, quality, doc_id // 10 + 1 as first from nodes),
+updates as (
+  select doc_id, first as txn_id from firsts
+  union all select doc_id, first + 3 from firsts where toxic = 1 and quality = 1),
+versions as (
+  select doc_id, first as version, false as reviewed from firsts
+  union all select doc_id, first + 2, true from firsts where toxic = 1),
+found as (
+  select u.doc_id, u.txn_id, reviewed from updates u asof join versions v on u.doc_id = v.doc_id and u.txn_id >= v.version)
+select txn_id, {_FLAT.format(stamp="1700000000000 + 1000 * txn_id").replace(" type,", " case when reviewed then 'cm:reviewed' else type end as type,")}
+from found join built using (doc_id)"""

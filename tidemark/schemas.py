@@ -46,15 +46,4 @@ OPTIONAL_COLUMNS = ("primary_parent", "parents", "owner", "content_info")
 
 TEXT_COLUMNS = {"content_id": "string", "content_text": "string"}
 
-COMMIT = (
-    "commit_id bigint, last_txn_id bigint, buckets int, stream string, stream_batch bigint, "
-    "meta array<struct<v:bigint,rows:bigint,key_bytes:bigint>>, "
-    "text array<struct<v:bigint,rows:bigint,key_bytes:bigint>>"
-)
-
-
-def family_schema(family):
-    """Schema of one stored half of the index ("meta" or "text"), partition columns last."""
-    columns = DOCUMENT_COLUMNS if family == "meta" else TEXT_COLUMNS
-    body = ", ".join(f"{name} {kind}" for name, kind in columns.items())
-    return f"uuid string, deleted boolean, {body}, v bigint, bucket int"
+COMMIT = "commit_id bigint, last_txn_id bigint, slices int, buckets int, streams map<string,bigint>, gaps bigint, writer string"

@@ -1,197 +1,54 @@
-"""The stored index: Parquet layers, and one commit row that names the live layers and the high-water mark.
+"""The stored index: a snapshot of documents, one of texts, and the control row with the high-water mark.
 
-A batch appends layers holding only the documents it changed, so its cost follows the batch and not the
-index. Layers are partitioned by a hash bucket of the document key, which lets a lookup read the buckets it
-needs. Metadata and text are two families, so a metadata change neither reads nor rewrites text. A commit is
-one new one-row file, written last: a batch that fails earlier leaves the index and the mark as they were.
+A batch rewrites the slices that hold its documents and moves the mark last. If it fails in between, the page is read
+again, and applying a page twice gives the same index. Text is a snapshot of its own, so a metadata change neither reads
+nor rewrites it.
 """
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
-
-from tidemark.operators.lookups import BROADCAST_BYTES, keep_keys
-from tidemark.schemas import COMMIT, DOCUMENT_COLUMNS, TEXT_COLUMNS, family_schema
+from tidemark.schemas import DOCUMENT_COLUMNS, TEXT_COLUMNS
+from tidemark.sinks.control import Control
+from tidemark.sinks.snapshot import Snapshot
 
 FAMILIES = {"meta": DOCUMENT_COLUMNS, "text": TEXT_COLUMNS}
 
 
-def bucket_of(key, buckets):
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-
-
-class IndexStore:
-    def __init__(self, spark, root, buckets=64, max_layers=16, fold_ratio=0.25):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.max_layers = max_layers
-        self.fold_ratio = fold_ratio
-        self._head = None
-        head = self.refresh()
-        self.buckets = head["buckets"] if head else buckets
-
-    # -- state -----------------------------------------------------------------------------------------
-
-    def _read(self, schema, path, *layers):
-        try:
-            reader = self.spark.read.schema(schema).option("basePath", path)
-            return reader.parquet(*(layers or (path,)))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return None
-            raise
+class IndexStore(Control):
+    """slices: how many parts of each snapshot are rewritten apart; buckets: tasks of a join with it. Both are fixed
+    when the store is created; a slice should hold some hundred MB."""
 
-    def refresh(self):
-        """Find the last commit, or None.
+    def __init__(self, spark, root, slices=64, buckets=16):
+        super().__init__(spark, root)
+        self.slices, self.buckets = (self._head["slices"], self._head["buckets"]) if self._head else (slices, buckets)
+        self._families = {
+            family: Snapshot(spark, f"{self.root}/{family}", columns, self.slices, self.buckets) for family, columns in FAMILIES.items()}
+        if self.exists():
+            self._open()
 
-        Commits are numbered without gaps, each in a folder of its own, so the search steps ahead of the known
-        one and never lists them all: one probe when nothing is new, a logarithmic number otherwise.
-        """
-        last = self._head["commit_id"] if self._head else -1
-        stride, beyond = 1, None
-        while beyond is None or beyond - last > 1:
-            probe = last + stride if beyond is None else (last + beyond) // 2
-            row = self._commit_row(probe)
-            if row:
-                self._head, last, stride = row, probe, stride * 2
-            else:
-                beyond = probe
-        return self._head
-
-    def _commit_row(self, commit_id):
-        rows = self._read(COMMIT, f"{self.root}/commits/c={commit_id}")
-        return rows and rows.first()
-
-    def head(self):
-        """The last commit as of the last refresh or write; a store has one writer."""
-        return self._head
-
-    def watermark(self):
-        """Last indexed transaction id, 0 before the first commit."""
-        head = self.head()
-        return head["last_txn_id"] if head else 0
+    def _open(self):
+        for snapshot in self._families.values():
+            snapshot.ensure()
 
     def exists(self):
         """Whether the index (not the control row) has been created."""
-        return self._read(family_schema("meta"), f"{self.root}/meta") is not None
+        return all(snapshot.exists() for snapshot in self._families.values())
 
     def ensure(self, create_index=True, create_control=True):
         """Create the control row, then the empty index, each only if asked for and absent."""
         if create_control and self.head() is None:
-            self._write_commit(0, 0, [], [])
-        if create_index and not self.exists():
-            for family in FAMILIES:
-                empty = self.spark.createDataFrame([], family_schema(family))
-                empty.drop("v").write.mode("ignore").partitionBy("bucket").parquet(self._layer(family, 0))
+            self.commit(0, layout=(self.slices, self.buckets))
+        if create_index:
+            self._open()
         return self
 
-    def _layer(self, family, version):
-        return f"{self.root}/{family}/v={version}"
-
-    def layers(self, family):
-        head = self.head()
-        return list(head[family]) if head else []
-
-    # -- reading ---------------------------------------------------------------------------------------
+    def commit(self, last_txn_id, progress=None, gaps=None, layout=None):
+        super().commit(last_txn_id, progress, gaps, layout or (self.slices, self.buckets))
 
-    def read(self, family, buckets=None, keys=None, keys_size=0, layers=None, with_deleted=False):
-        """Current rows of one family, optionally only those of some buckets and keys.
+    def read(self, family, slices=None):
+        return self._families[family].read(slices)
 
-        The newest layer of a key wins. Only layers above the first are asked which keys they hold; that
-        key set is broadcast while the key bytes in the commit allow it, so the first, large layer is not shuffled.
-        """
-        layers = self.layers(family) if layers is None else layers
-        body = ["uuid", *FAMILIES[family]]
-        if not layers:
-            # Known to be empty when the plan is made, so that joining a first load to it shuffles nothing.
-            return self.spark.createDataFrame([], family_schema(family)).select(*body).limit(0)
-        rows = self._read(
-            family_schema(family), f"{self.root}/{family}", *[self._layer(family, x["v"]) for x in layers]
-        )
-        if buckets is not None:
-            rows = rows.where(F.col("bucket").isin(buckets))
-        if keys is not None:
-            rows = keep_keys(rows, keys.select("uuid"), "uuid", keys_size)
-        if len(layers) > 1:
-            newest = rows.where(F.col("v") > layers[0]["v"]).groupBy("uuid").agg(F.max("v").alias("newest"))
-            if sum(x["key_bytes"] for x in layers[1:]) <= BROADCAST_BYTES:
-                newest = F.broadcast(newest)
-            rows = rows.join(newest, "uuid", "left").where("newest is null or v = newest")
-        if with_deleted:
-            return rows.select("deleted", *body)
-        return rows.where("not deleted").select(*body)
+    def write(self, family, rows, slices):
+        self._families[family].write(rows, slices)
 
     def index(self):
-        """The whole index: metadata with the text beside it where there is any."""
+        """The whole index: metadata with the text beside it where there is any, joined bucket by bucket."""
         return self.read("meta").join(self.read("text"), "uuid", "left")
-
-    # -- writing ---------------------------------------------------------------------------------------
-
-    def write_layer(self, family, rows, version):
-        """Write one layer and return its entry for the commit, None when it holds nothing."""
-        path = self._layer(family, version)
-        (
-            rows.select("uuid", "deleted", *FAMILIES[family])
-            .withColumn("bucket", bucket_of("uuid", self.buckets))
-            .hint("rebalance", "bucket")
-            .sortWithinPartitions("bucket", "uuid")
-            .write.mode("overwrite").partitionBy("bucket").parquet(path)
-        )
-        width = F.octet_length("uuid") + 16
-        extent = self._read(family_schema(family), f"{self.root}/{family}", path).agg(
-            F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes")
-        ).first()
-        return {"v": version, **extent.asDict()} if extent["rows"] else None
-
-    def next_commit(self):
-        """Id of the next commit; its layers may use the versions 2 * id and 2 * id + 1, the later one winning."""
-        head = self.head()
-        return head["commit_id"] + 1 if head else 0
-
-    def has_applied(self, stream, batch):
-        """Whether the last commits hold this micro-batch of a stream, or a later one."""
-        head = self.refresh()
-        return bool(head) and head["stream"] == stream and head["stream_batch"] >= batch
-
-    def commit(self, commit_id, last_txn_id, meta=(), text=(), progress=None):
-        """Publish the written layers (None for an empty one), the mark and the progress of a stream (its name and
-        micro-batch) together; the mark never moves back."""
-        head = self.head()
-        state = {f: [x.asDict() for x in (head[f] if head else [])] for f in FAMILIES}
-        state["meta"] += [entry for entry in meta if entry]
-        state["text"] += [entry for entry in text if entry]
-        mark = max(last_txn_id, head["last_txn_id"] if head else 0)
-        self._write_commit(commit_id, mark, state["meta"], state["text"], progress)
-
-    def _write_commit(self, commit_id, last_txn_id, meta, text, progress=None):
-        head = self.head()
-        stream, batch = progress or ((head["stream"], head["stream_batch"]) if head else (None, None))
-        row = self.spark.createDataFrame([(commit_id, last_txn_id, self.buckets, stream, batch, meta, text)], COMMIT)
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/c={commit_id}")
-        self._head = row.first()
-
-    # -- upkeep ----------------------------------------------------------------------------------------
-
-    def compact(self, force=False):
-        """Fold layers when there are many of them.
-
-        Small layers fold into one, keeping their deletion marks. Once they hold a fair share of the first
-        layer's rows everything folds into a new first layer, so rewriting stays in proportion to the changes.
-        """
-        head = self.head()
-        if head is None:
-            return
-        commit_id, state, folded = self.next_commit(), {}, False
-        for family in FAMILIES:
-            layers = [x.asDict() for x in head[family]]
-            state[family] = layers
-            if len(layers) < 2 or not (force or len(layers) > self.max_layers):
-                continue
-            added = sum(x["rows"] for x in layers[1:])
-            whole = force or added >= self.fold_ratio * layers[0]["rows"]
-            source = layers if whole else layers[1:]
-            rows = self.read(family, layers=source, with_deleted=True)
-            entry = self.write_layer(family, rows.where("not deleted") if whole else rows, 2 * commit_id)
-            state[family] = ([] if whole else layers[:1]) + ([entry] if entry else [])
-            folded = True
-        if folded:
-            self._write_commit(commit_id, head["last_txn_id"], state["meta"], state["text"])

@@ -166,6 +166,19 @@ def document_log(spark, folder):
     return ids.select(F.col("txn_id").alias("id"), (F.lit(1_700_000_000_000) + F.col("txn_id") * 1000).alias("commit_time_ms"))
 
 
+def document_versions(spark, folder):
+    """Metadata of the documents by version: the first from their first change, of toxic ones a second, reviewed."""
+    metadata = document_metadata(spark, folder).withColumn("version", F.floor(F.col("id") / 10).cast("bigint") + 1)
+    toxic = table(spark, folder, "labels").where("toxic = 1").select(F.col("doc_id").alias("id"))
+    reviewed = metadata.join(toxic, "id", "left_semi").withColumn("type", F.lit("cm:reviewed")).withColumn("version", F.col("version") + 2)
+    return metadata.unionByName(reviewed)
+
+
+def sparse_log(spark, folder):
+    """The log without the transactions that come late: every 97th and, of each thousand, twenty in a row."""
+    return transactions(spark, folder).where("id % 97 != 0 and id % 1000 not between 500 and 519")
+
+
 def document_texts(spark, folder):
     return table(spark, folder, "documents").select(F.col("doc_id").alias("id"), "text")
 

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
-from tidemark.operators import quality
-from tidemark.operators.lookups import join_on_keys, lookup_join, measure
-from tidemark.plans.cycle import apply_events, apply_page, staged
+from tidemark.plans.cycle import apply_page, run_batch
+from tidemark.sinks.snapshot import staged
+from tidemark.sources.feed import settled
 
 
 def _start(stream, apply, checkpoint, seconds):
@@ -31,20 +31,6 @@ def _extent(store, rows, checkpoint, batch_id):
     return rows, rows.agg(F.max("txn_id")).first()[0]
 
 
-def settled(rows, mark, metadata):
-    """Rows in which a delete from below the mark counts only if its node has no metadata now: else the node came
-    back later, and is read as it is."""
-    late = (F.col("txn_id") < mark) & (F.col("status") == K.STATUS_DELETED)
-    ids = rows.where(late).select("id").distinct()
-    n, size = measure(ids)
-    if not n:
-        return rows
-    alive = join_on_keys(ids, metadata.select("id"), "id", size).distinct().withColumn("_alive", F.lit(True))
-    marked = lookup_join(rows, alive, "id", F.struct("txn_id", "feed_pos"), size=size)
-    status = F.when(late & F.coalesce("_alive", F.lit(False)), F.lit(K.STATUS_UPDATED)).otherwise(F.col("status"))
-    return marked.withColumn("status", status).drop("_alive")
-
-
 def stream_index(changes, store, sources, checkpoint, seconds=K.DEFAULT_CYCLE_SECONDS, options=None):
     """Index a stream of change rows with metadata as of each micro-batch.
 
@@ -58,25 +44,34 @@ def stream_index(changes, store, sources, checkpoint, seconds=K.DEFAULT_CYCLE_SE
             stamp = sources.log.agg(F.max("commit_time_ms")).first()[0]
             rows = settled(rows, store.watermark(), sources.metadata)
             apply_page(store, sources, rows, mark, stamp, options, progress=(checkpoint, batch_id))
-            store.compact()
 
     return _start(changes, apply, checkpoint, seconds)
 
 
-def stream_events(events, store, checkpoint, order, seconds=K.DEFAULT_CYCLE_SECONDS, merge="partial"):
-    """Index a stream of events that carry their own fields, in the order they come.
+def stream_events(events, store, checkpoint, seconds=K.DEFAULT_CYCLE_SECONDS):
+    """Index a stream of events that carry their own fields (an EventStore).
 
-    A transaction may be split over files. Events of transactions below the mark can't be put in order with what
-    is indexed; they are reported as late changes and not applied.
+    Files may come in any order and transactions be split over them: every event is merged by its place in the feed.
     """
 
     def apply(rows, batch_id):
         rows, mark = _extent(store, rows, checkpoint, batch_id)
         if mark is not None:
-            known = store.watermark()
-            late = quality.late_changes(rows.where(F.col("txn_id") < known))
-            apply_events(store, rows.where(F.col("txn_id") >= known), mark, order, merge=merge,
-                         progress=(checkpoint, batch_id), findings=late)
-            store.compact()
+            store.apply(rows, mark, (checkpoint, batch_id))
 
     return _start(events, apply, checkpoint, seconds)
+
+
+def stream_cycle(store, read_sources, checkpoint, seconds=K.DEFAULT_CYCLE_SECONDS, max_results=K.DEFAULT_MAX_TRANSACTIONS, options=None):
+    """Every `seconds` index the next page of at most max_results transactions above the mark.
+
+    read_sources gives the tables as they are now. Where the stream stands is told by the store's mark, a transaction id;
+    the stream itself is only the clock, so a restart from any checkpoint, or from none, goes on at the right page. A
+    page's change rows are read by the range of its ids, which reaches the scan as a pushed filter.
+    """
+    clock = store.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+
+    def apply(rows, batch_id):
+        run_batch(store, read_sources(), max_results, options)
+
+    return _start(clock, apply, checkpoint, seconds)
