@@ -8,7 +8,7 @@ from tidemark.plans.workload_sql import SQL
 
 FOLDER = "/root/testdata/sf0.001"
 COMPILED = {
-    "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK", "spark.sql.adaptive.enabled": "true",
+    "spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY", "spark.sql.adaptive.enabled": "true",
 }
 
 
