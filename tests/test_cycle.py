@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.plans.cycle import Options, Sources, catch_up, run_batch
+from tidemark.plans.cycle import Options, Sources, catch_up, replay_pending, run_batch
 from tidemark.sinks.index_store import IndexStore
 from tidemark.streaming.index_stream import stream_cycle, stream_index
 
@@ -381,7 +381,7 @@ def test_large_lookups_take_the_joins(spark, tmp_path, repo, monkeypatch):
     for name in ("lookup_join", "keep_keys", "join_on_keys"):
         function = getattr(lookups, name)
         defaults = list(function.__defaults__)
-        defaults[-1 if name != "lookup_join" else 0] = -1
+        defaults[0 if name == "lookup_join" else -1] = -1
         monkeypatch.setattr(function, "__defaults__", tuple(defaults))
     monkeypatch.setattr(cycle, "BROADCAST_BYTES", -1)
     large = make_store(spark, tmp_path, "large")
@@ -461,3 +461,21 @@ def test_a_timed_stream_pages_by_transactions(spark, tmp_path, repo):
     whole = make_store(spark, tmp_path, "whole")
     catch_up(whole, repo.sources(), 2)
     assert indexed(store) == indexed(whole)
+
+
+def test_what_failed_is_driven_again(spark, tmp_path, repo):
+    """Damage, run, repair, replay: the same index as without damage, and nothing pending any more."""
+    whole = make_store(spark, tmp_path, "whole")
+    repo.texts[3] = "three"
+    good = repo.sources()
+    run_batch(whole, good)
+    bad = repo.sources()
+    bad.metadata = bad.metadata.where("id != 2").withColumn("properties", F.when(F.col("id") == 3, "{").otherwise(F.col("properties")))
+    bad.texts = bad.texts.where("id != 1")
+    store, options = make_store(spark, tmp_path), Options(on_error="reject")
+    run_batch(store, bad, options=options)
+    assert {r["id"]: (r["rule"], r["tries"]) for r in store.pending().collect()} == {
+        1: ("missing_content", 1), 2: ("missing_metadata", 1), 3: ("bad_properties", 1), 4: ("missing_metadata", 1)}
+    assert replay_pending(store, good) == 4
+    assert {tuple(r) for r in store.pending().collect()} == {(4, "missing_metadata", 2)}
+    assert indexed(store) == indexed(whole) and store.watermark() == 2

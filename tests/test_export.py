@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import conform
-from tidemark.sinks.bulk_export import bulk_lines, export_bulk
+from tidemark.sinks.bulk_export import bulk_actions, bulk_lines, change_set, export_bulk
+from tidemark.sinks.snapshot import slice_of
 
 TEXT = 'é 漢 😀 "quoted" back\\slash \\u0041 tab\t new\nline \u0001'
 
@@ -46,7 +48,25 @@ def test_lines(spark):
     }
 
 
-def test_files(spark, tmp_path):
-    export_bulk(index(spark), str(tmp_path / "bulk"))
-    lines = [r["value"] for r in spark.read.text(str(tmp_path / "bulk")).collect()]
-    assert len(lines) == 4 and all(json.loads(line) for line in lines)
+def test_changes_and_files(spark, tmp_path):
+    """Null-safe differences; deletes beside updates; each file within the limit and of one slice."""
+    before = index(spark)
+    more = before.where("uuid = 'u2'").select(F.explode(F.sequence(F.lit(0), F.lit(39))).alias("i"), *[c for c in before.columns if c != "uuid"])
+    more = more.select(F.concat(F.lit("n"), "i").alias("uuid"), *[c for c in before.columns if c != "uuid"])
+    gone = before.where("uuid = 'u2'").withColumn("uuid", F.lit("gone"))
+    touched = before.withColumn("owner", F.when(F.col("uuid") == 'u"1', None).otherwise(F.col("owner")))
+    changes = change_set(before.unionByName(gone), touched.unionByName(more))
+    actions = bulk_actions(changes, "docs")
+    export_bulk(actions, str(tmp_path / "bulk"), limit=1500, slices=3)
+    files = [f for f in (tmp_path / "bulk").rglob("*.txt")]
+    lines = [json.loads(line) for f in files for line in f.read_text().splitlines()]
+    heads = [line for line in lines if "doc" not in line]
+    assert sorted(h["update"]["_id"] for h in heads if "update" in h) == sorted(['u"1', *(f"n{i}" for i in range(40))])
+    assert [h["delete"] for h in heads if "delete" in h] == [{"_index": "docs", "_id": "gone"}]
+    assert len(lines) == 2 * 41 + 1 and len(files) > 4 and all(0 < f.stat().st_size <= 1500 for f in files)
+    slices = {r["uuid"]: r["s"] for r in actions.select("uuid", slice_of("uuid", 3).alias("s")).collect()}
+    for f in files:
+        keys = [json.loads(line) for line in f.read_text().splitlines() if '"_id"' in line]
+        assert {slices[(k.get("update") or k["delete"])["_id"]] for k in keys} == {int(str(f).split("slice=")[1].split("/")[0])}
+    with pytest.raises(ValueError, match="can't fit"):
+        export_bulk(actions, str(tmp_path / "none"), limit=100, slices=3)

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import lookups
 from tidemark.operators.enrich import attach_readers
 from tidemark.operators.net_state import latest_changes, net_state
 from tidemark.sources import feed
@@ -48,22 +49,46 @@ def test_folds_aggregate_before_the_shuffle(spark):
     assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
-def test_large_dimension_is_salted(spark):
-    nodes = spark.range(3000).select(F.col("id").alias("uuid"), (F.col("id") % 2).alias("acl_id"))
-    readers = spark.createDataFrame([(1, ["a"])], "acl_id long, readers array<string>")
+def without_broadcasts(spark, function):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        small = plan_of(attach_readers(nodes, readers))
-        large = plan_of(attach_readers(nodes, readers, max_bytes=-1))
+        return function()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_large_dimension_is_shuffled(spark):
+    nodes = spark.range(3000).select(F.col("id").alias("uuid"), (F.col("id") % 2).alias("acl_id"))
+    readers = spark.createDataFrame([(1, ["a"])], "acl_id long, readers array<string>")
+    small, large = without_broadcasts(spark, lambda: [plan_of(attach_readers(nodes, readers, **o)) for o in ({}, {"max_bytes": -1})])
     assert "BroadcastHashJoin" in small and "Exchange hashpartitioning(acl_id" not in small
-    assert "Broadcast" not in large and "hashpartitioning(acl_id" in large and "_salt" in large
+    assert "hashpartitioning(acl_id" in large and "_salt" in large
+
+
+def test_only_hot_keys_are_copied_by_their_share(spark):
+    """One access list on a third of the rows, one missing on a sixth: only the first is copied, the others are not."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 6 == 1, None).otherwise(F.col("id") + 100)
+        nodes = spark.range(3000).select(F.col("id").alias("uuid"), key.alias("acl_id"))
+        readers = spark.range(3200).select(F.col("id").alias("acl_id"), F.array(F.col("id").cast("string")).alias("readers"))
+        assert lookups.hot_keys(nodes, "acl_id", 12) == {7: 4}
+        joined = lookups.lookup_join(nodes, readers, "acl_id", "uuid", max_bytes=-1)
+        copies = [n for n in joined._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate explode(sequence(0" in n]
+        assert len(copies) == 1
+        assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, lookups.lookup_join(nodes, readers, "acl_id", "uuid").collect()), key=str)
+        salted = without_broadcasts(spark, lambda: lookups.lookup_join(nodes, readers, "acl_id", "uuid", max_bytes=-1))
+        assert salted.where("acl_id = 7").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_salting_spreads_a_hot_key(spark):
-    """All rows share one ACL; its rows still land in every salt."""
-    nodes = spark.range(3000).select(F.col("id").alias("uuid"), F.lit(1).alias("acl_id"))
-    salts = nodes.select(F.pmod(F.xxhash64("uuid"), F.lit(16)).alias("s")).groupBy("s").count().collect()
-    assert len(salts) == 16 and max(r["count"] for r in salts) < 3000 / 16 * 1.5
+def test_few_ids_read_few_files(spark, tmp_path):
+    lookups.write_lookup(spark.range(400).withColumn("text", F.lit("x")), str(tmp_path / "texts"), 16)
+    table = spark.read.parquet(str(tmp_path / "texts"))
+    few = lookups.pruned(table, spark.createDataFrame([(3,), (4,)], "id long"), 16)
+    assert "PartitionFilters: [id_bucket" in plan_of(few) or "PartitionFilters: [isnotnull(id_bucket" in plan_of(few)
+    opened = few.select(F.input_file_name()).distinct().count()
+    assert opened <= 2 < len(table.inputFiles()) and few.where("id in (3, 4)").count() == 2

@@ -70,6 +70,30 @@ def missing_content(changed, found):
     return _report(changed.join(found.select("uuid", "content_id"), ["uuid", "content_id"], "left_anti"), "missing_content", "uuid", "content_id")
 
 
+def failed_nodes(changes, updates, documents, found):
+    """id, rule: nodes of a batch that are not indexed as their change rows ask, or lack their text, each with one of its
+    causes among the findings."""
+    rows = changes.select("id").distinct()
+    known = found.where(F.col("rule").isin("bad_status", "bad_reference")).select(F.col("key").cast("bigint").alias("id"), "rule")
+    lost = updates.select("id").join(documents.select("id"), "id", "left_anti")
+    causes = found.where(F.col("rule").isin("missing_metadata", "repeated_metadata", "bad_properties")).select(F.col("key").cast("bigint").alias("id"), "rule")
+    # what else keeps an updated node from being built is its access list
+    lost = lost.join(causes, "id", "left").select("id", F.coalesce("rule", F.lit("duplicate_acl")).alias("rule"))
+    texts = found.where("rule = 'missing_content'").select(F.col("key").alias("uuid"), "rule")
+    textless = documents.select("uuid", "id").join(texts, "uuid").select("id", "rule")
+    every = combined(rows.join(known, "id"), lost, textless)
+    return every.groupBy("id").agg(F.min("rule").alias("rule"))
+
+
+def still_pending(pending, changes, failed):
+    """id, rule, tries after a batch: nodes that failed in it, tried once more, and earlier ones it didn't try."""
+    if pending is None:
+        return failed.withColumn("tries", F.lit(1).cast("bigint"))
+    tried = failed.join(pending.select("id", F.col("tries").alias("_before")), "id", "left")
+    tried = tried.select("id", "rule", (F.coalesce("_before", F.lit(0)) + 1).cast("bigint").alias("tries"))
+    return tried.unionByName(pending.join(changes.select("id").distinct(), "id", "left_anti"))
+
+
 def combined(*reports):
     return reduce(lambda a, b: a.unionByName(b), reports)
 

@@ -1,6 +1,6 @@
 """The indexing cycle: next page of the log -> net changes -> documents -> rewritten slices -> commit."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from tidemark.operators.document import build_documents
 from tidemark.operators.enrich import (
     attach_metadata, attach_readers, latest_metadata, prefix_properties, readers_by_acl, with_references,
 )
-from tidemark.operators.lookups import BROADCAST_BYTES, join_on_keys, measure
+from tidemark.operators.lookups import BROADCAST_BYTES, join_on_keys, measure, pruned
 from tidemark.operators.merge import apply_changes, apply_texts
 from tidemark.operators.net_state import latest_changes
 from tidemark.operators.registry import build_registry, read_models
@@ -26,7 +26,8 @@ METADATA_COLUMNS = ("id", "type", "acl_id", "properties", "aspects", "name_paths
 
 @dataclass
 class Sources:
-    """Tables a cycle reads. `texts` may be None when only metadata is indexed."""
+    """Tables a cycle reads. `texts` may be None when only metadata is indexed. lookup_buckets: metadata and texts were
+    written by lookups.write_lookup in so many buckets, and a batch reads those of its ids."""
 
     log: DataFrame
     changes: DataFrame
@@ -36,6 +37,7 @@ class Sources:
     model_definitions: DataFrame
     texts: DataFrame = None
     findings: DataFrame = None  # rule, key, detail of what the input itself holds and nobody understands
+    lookup_buckets: int = None
 
 
 @dataclass
@@ -114,7 +116,11 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
     models = read_models(sources.model_diffs, sources.model_definitions)
     registry = build_registry(models)
 
-    changes = staged(with_references(staged(changes, f"{work}/read"), sources.metadata), f"{work}/changes")
+    changes = staged(changes, f"{work}/read")
+    if sources.lookup_buckets is not None:
+        tables = {name: getattr(sources, name) for name in ("metadata", "texts")}
+        sources = replace(sources, **{name: table and pruned(table, changes, sources.lookup_buckets) for name, table in tables.items()})
+    changes = staged(with_references(changes, sources.metadata), f"{work}/changes")
     net = staged(net_changes(changes, store.slices, options.on_error), f"{work}/net")
     extent = _extent(net)
     updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
@@ -145,8 +151,26 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
     ]
     if sources.texts is not None and extent["slices"]:
         reports.append(_refresh_text(store, sources, net, documents, extent, work, options))
-    quality.combined(*reports).write.mode("overwrite").parquet(f"{store.root}/rejects/c={store.next_commit()}")
-    store.commit(mark, progress, gaps)
+    found = staged(quality.combined(*reports), f"{store.root}/rejects/c={store.next_commit()}")
+    failed = quality.failed_nodes(changes, updates, documents, found)
+    store.commit(mark, progress, gaps, quality.still_pending(store.pending(), changes, failed))
+
+
+def replay_pending(store, sources, options=None):
+    """Drive the nodes again that earlier batches could not index, without new change rows. Returns how many there were.
+
+    Their change rows up to the mark are read again, so the last of them decides as it did. Nodes that can be indexed
+    now leave the pending table; the others stay, with one more try.
+    """
+    store.refresh()
+    pending = store.pending()
+    n = pending.count() if pending is not None else 0
+    if n:
+        mark = store.watermark()
+        history = join_on_keys(pending.select("id"), sources.changes.where(F.col("txn_id") <= mark), "id", 24 * n)
+        stamp = sources.log.agg(F.max("commit_time_ms")).first()[0]
+        apply_page(store, sources, history.select(sources.changes.columns), mark, stamp, options)
+    return n
 
 
 def net_changes(changes, slices, on_error="fail"):

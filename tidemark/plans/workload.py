@@ -13,12 +13,12 @@ from tidemark.operators import content, document, merge, quality, registry
 from tidemark.operators.enrich import (
     attach_metadata, attach_readers, prefix_properties, prefixed_key, readers_by_acl,
 )
-from tidemark.operators.lookups import lookup_join, measure
+from tidemark.operators.lookups import lookup_join, measure, pruned, write_lookup
 from tidemark.operators.net_state import latest_changes, latest_value, net_state
 from tidemark.operators.as_of import metadata_as_of
-from tidemark.plans.cycle import Options, Sources, catch_up
+from tidemark.plans.cycle import Options, Sources, catch_up, replay_pending
 from tidemark.session import new_folder
-from tidemark.sinks.bulk_export import bulk_lines
+from tidemark.sinks.bulk_export import bulk_actions, bulk_lines, change_set, export_bulk
 from tidemark.sinks.event_store import EventStore
 from tidemark.sinks.index_store import IndexStore
 from tidemark.sinks.snapshot import staged
@@ -144,6 +144,15 @@ def metadata_join(spark, d):
     return attach_metadata(changed, metadata, measure(changed)[1])
 
 
+def metadata_pruned(spark, d):
+    """The same for few ids and metadata by bucket of the id, of which only their buckets are read."""
+    folder = f"{new_folder(spark, 'metadata')}/by-id"
+    write_lookup(t.document_metadata(spark, d).select("id", "node_ref", "type", "acl_id"), folder, 16)
+    changed = t.change_events(spark, d).where("status = 'u' and id % 40 = 3").select("id").distinct()
+    metadata = pruned(spark.read.parquet(folder), changed, 16)
+    return attach_metadata(changed, metadata, measure(changed)[1])
+
+
 def missing_metadata(spark, d):
     changed = t.change_lines(spark, d).where("status = 'u'").select("id", ref_to_uuid("node_ref").alias("uuid")).distinct()
     return quality.missing_metadata(changed, t.document_metadata(spark, d))
@@ -567,23 +576,48 @@ def documents_as_of(spark, d):
     return _flat(document.build_documents(attach_readers(named, readers), F.col("stamp_ms"), "txn_id"), "txn_id")
 
 
-def rejects_report(spark, d):
-    """Findings by rule, and documents indexed, of a cycle over damaged input that leaves bad rows out."""
-    sources = _document_sources(spark, d)
+def _damaged(sources):
+    """Unknown statuses, lost references, metadata lost, cut short or given twice, and an access list given twice."""
     doc = F.col("id")
     changes = sources.changes.withColumn("status", F.when(doc % 17 == 3, "x").otherwise(F.col("status")))
     changes = changes.withColumn("node_ref", F.when(doc % 13 != 5, F.col("node_ref")))
     metadata = sources.metadata.where(doc % 29 != 8).withColumn(
         "properties", F.when(doc % 19 == 4, F.substring("properties", 1, 20)).otherwise(F.col("properties")))
-    damaged = replace(
+    return replace(
         sources, changes=changes, metadata=metadata.unionByName(metadata.where(doc % 23 == 6)),
-        acls=sources.acls.unionByName(sources.acls.where("acl_id = 7")), texts=None)
+        acls=sources.acls.unionByName(sources.acls.where("acl_id = 7")))
+
+
+def rejects_report(spark, d):
+    """Findings by rule, and documents indexed, of a cycle over damaged input that leaves bad rows out."""
+    damaged = replace(_damaged(_document_sources(spark, d)), texts=None)
     store = IndexStore(spark, new_folder(spark, "rejects"), slices=4, buckets=8).ensure()
     catch_up(store, damaged, None, Options(on_error="reject"))
     found = spark.read.parquet(f"{store.root}/rejects/c=1").select("rule")
     return quality.counts(found.unionByName(store.read("meta").select(F.lit("indexed").alias("rule"))))
 
 
+def rejects_replayed(spark, d):
+    """The index after a cycle over damaged input once the input is repaired and what was left out is driven again."""
+    sources = _document_sources(spark, d)
+    store = IndexStore(spark, new_folder(spark, "replayed"), slices=4, buckets=8).ensure()
+    catch_up(store, _damaged(sources), None, Options(on_error="reject"))
+    replay_pending(store, sources)
+    return _cycle_rows(store).drop("last_update_ms")
+
+
+def export_changes(spark, d):
+    """Customers before and after their orders are merged in, every eleventh gone, as bulk actions read back."""
+    before = _customer_index(spark, d)
+    after = merge.apply_upserts(before, merge.conform(_order_documents(spark, d)))
+    after = after.where(F.substring("uuid", 3, 20).cast("bigint") % 11 != 0)
+    folder = f"{new_folder(spark, 'bulk')}/lines"
+    export_bulk(bulk_actions(change_set(before, after), "documents"), folder, limit=20_000, slices=8)
+    heads = spark.read.text(folder).where("value like '{\"update\":%' or value like '{\"delete\":%'")
+    action = F.when(F.col("value").startswith('{"update"'), "update").otherwise("delete")
+    return heads.select(F.coalesce(F.get_json_object("value", "$.update._id"), F.get_json_object("value", "$.delete._id")).alias("uuid"), action.alias("action"))
+
+
 def bulk_export(spark, d):
     """Documents as bulk lines, read back from the text."""
     built = _documents(spark, d, 1_700_000_000_000)
@@ -663,6 +697,7 @@ QUERIES = {
     "envelope_decode": envelope_decode,
     "envelope_members": envelope_members,
     "metadata_join": metadata_join,
+    "metadata_pruned": metadata_pruned,
     "missing_metadata": missing_metadata,
     "acl_expand": acl_expand,
     "acl_expand_salted": acl_expand_salted,
@@ -699,6 +734,8 @@ QUERIES = {
     "held_back_cycle": held_back_cycle,
     "documents_as_of": documents_as_of,
     "rejects_report": rejects_report,
+    "rejects_replayed": rejects_replayed,
     "bulk_export": bulk_export,
+    "export_changes": export_changes,
     "quality_report": quality_report,
 }

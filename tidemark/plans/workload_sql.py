@@ -386,3 +386,16 @@ found as (
   select u.doc_id, u.txn_id, reviewed from updates u asof join versions v on u.doc_id = v.doc_id and u.txn_id >= v.version)
 select txn_id, {_FLAT.format(stamp="1700000000000 + 1000 * txn_id").replace(" type,", " case when reviewed then 'cm:reviewed' else type end as type,")}
 from found join built using (doc_id)"""
+
+SQL["metadata_pruned"] = f"select * from ({SQL['metadata_join']}) where id % 40 = 3"
+SQL["rejects_replayed"] = SQL["held_back_cycle"]
+SQL["export_changes"] = f"""
+with after as ({SQL['apply_upsert']}),
+before as (
+  select 'c-' || c_custkey as uuid, 'customer' as type, case when c_custkey % 2 = 0 then c_mktsegment end as owner,
+         946684800000 + (c_custkey % 5) * 10000000000 as last_update_ms, 'name=' || c_name || '|segment=' || c_mktsegment as fields
+  from customer),
+kept as (select * from after where substr(uuid, 3)::bigint % 11 <> 0)
+select coalesce(k.uuid, b.uuid) as uuid, case when k.uuid is null then 'delete' else 'update' end as action
+from before b full join kept k on k.uuid = b.uuid
+where k.uuid is null or b.uuid is null or (k.type, k.last_update_ms, k.fields) <> (b.type, b.last_update_ms, b.fields) or k.owner is distinct from b.owner"""

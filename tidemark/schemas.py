@@ -46,4 +46,4 @@ OPTIONAL_COLUMNS = ("primary_parent", "parents", "owner", "content_info")
 
 TEXT_COLUMNS = {"content_id": "string", "content_text": "string"}
 
-COMMIT = "commit_id bigint, last_txn_id bigint, slices int, buckets int, streams map<string,bigint>, gaps bigint, writer string"
+COMMIT = "commit_id bigint, last_txn_id bigint, slices int, buckets int, streams map<string,bigint>, gaps bigint, pending bigint, writer string"

@@ -1,9 +1,11 @@
 """Export of index rows as bulk-load lines for an external search engine."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark import constants as K
 from tidemark.functions.text import ASCII_JSON, escape_json
+from tidemark.sinks.snapshot import slice_of
 
 
 def _quoted(text):
@@ -68,6 +70,45 @@ def bulk_lines(index, index_name):
     )
 
 
-def export_bulk(index, path, index_name="documents"):
-    """Write the bulk actions as text files, one action pair per record."""
-    bulk_lines(index, index_name).select("value").write.mode("errorifexists").text(path)
+def change_set(before, after):
+    """What turns one state of the index into another: the documents of `after` that are new or differ in any field
+    (action "update"), and the keys of those that are gone (action "delete"). One full outer join; nulls are equal."""
+    columns = [c for c in after.columns if c != "uuid"]
+
+    def comparable(df, alias):
+        # maps can't be compared; their sorted entries can
+        kinds = dict(df.dtypes)
+        values = [F.sort_array(F.map_entries(c)).alias(c) if kinds[c].startswith("map") else F.col(c) for c in columns]
+        return df.select("uuid", F.struct(*columns).alias("doc"), F.struct(*values).alias("values")).alias(alias)
+
+    joined = comparable(before, "old").join(comparable(after, "new"), F.col("old.uuid") == F.col("new.uuid"), "full_outer")
+    gone, same = F.col("new.uuid").isNull(), F.col("old.values").eqNullSafe(F.col("new.values")) & F.col("old.uuid").isNotNull()
+    return joined.where(~same | gone).select(
+        F.coalesce("new.uuid", "old.uuid").alias("uuid"), F.when(gone, F.lit("delete")).otherwise(F.lit("update")).alias("action"), "new.doc.*")
+
+
+def bulk_actions(changes, index_name):
+    """uuid, action and value, the bulk lines of each change: an update as in bulk_lines, or a line that deletes."""
+    head = F.concat(F.lit('{"delete":{"_index":"'), escape_json(F.lit(index_name)), F.lit('","_id":'), _quoted(F.col("uuid")), F.lit("}}"))
+    updates = bulk_lines(changes.where("action = 'update'"), index_name).select("uuid", F.lit("update").alias("action"), "value")
+    return updates.unionByName(changes.where("action = 'delete'").select("uuid", "action", head.alias("value")))
+
+
+def packed(actions, limit, slices):
+    """actions with slice and pack, the file of its slice each goes to: by a running sum of bytes within the slice, in
+    the order of the keys, so that no file is larger than limit. An action that is larger by itself is refused."""
+    size = F.octet_length("value") + 1
+    largest = actions.agg(F.coalesce(F.max(size), F.lit(0))).first()[0]
+    if largest > limit:
+        raise ValueError(f"a bulk action of {largest} bytes can't fit a file of {limit}")
+    order = Window.partitionBy("slice").orderBy("uuid").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(size).over(order), F.lit(0))
+    # a file takes the actions that begin within its span; the last may reach beyond it by its own length
+    span = max(1, limit - largest + 1)
+    return actions.withColumn("slice", slice_of("uuid", slices)).withColumn("pack", F.floor(before / span))
+
+
+def export_bulk(actions, path, limit=64 << 20, slices=64):
+    """Write bulk actions as text, each file under the limit, in folders by slice of the index and pack."""
+    files = packed(actions, limit, slices).repartition("slice", "pack").sortWithinPartitions("slice", "pack", "uuid")
+    files.select("slice", "pack", "value").write.mode("errorifexists").partitionBy("slice", "pack").text(path)

@@ -73,20 +73,26 @@ class Control:
         where = self._head and self._head["gaps"]
         return None if where is None else self.spark.read.schema("from_id bigint, to_id bigint").parquet(f"{self.root}/gaps/c={where}")
 
-    def commit(self, last_txn_id, progress=None, gaps=None, layout=None):
-        """Publish the mark, which never moves back, with the progress of a stream (its name and micro-batch) and the gaps
-        left open below the mark."""
+    def pending(self):
+        """id, rule, tries: nodes that could not be indexed and wait to be driven again; None without any record."""
+        where = self._head and self._head["pending"]
+        return None if where is None else self.spark.read.schema("id bigint, rule string, tries bigint").parquet(f"{self.root}/pending/c={where}")
+
+    def commit(self, last_txn_id, progress=None, gaps=None, pending=None, layout=None):
+        """Publish the mark, which never moves back, with the progress of a stream (its name and micro-batch), the gaps
+        left open below the mark and the nodes that are pending."""
         commit_id, head, writer = self.next_commit(), self._head, uuid.uuid4().hex
         taken = CommitConflict(f"commit {commit_id} of {self.root} is another writer's")
         if self._rows(commit_id):
             raise taken
-        if gaps is not None:
-            gaps.select("from_id", "to_id").write.mode("overwrite").parquet(f"{self.root}/gaps/c={commit_id}")
+        for name, rows in (("gaps", gaps), ("pending", pending)):
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(f"{self.root}/{name}/c={commit_id}")
         streams = {**(head["streams"] if head else {}), **dict([progress] if progress else [])}
         mark = max(last_txn_id, self.watermark())
-        open_gaps = commit_id if gaps is not None else head and head["gaps"]
+        tables = [commit_id if rows is not None else head and head[name] for name, rows in (("gaps", gaps), ("pending", pending))]
         slices, buckets = layout or (head["slices"], head["buckets"])
-        row = self.spark.createDataFrame([(commit_id, mark, slices, buckets, streams, open_gaps, writer)], COMMIT)
+        row = self.spark.createDataFrame([(commit_id, mark, slices, buckets, streams, *tables, writer)], COMMIT)
         # a folder without a row is what an interrupted commit has left
         row.coalesce(1).write.mode("append").parquet(self._path(commit_id))
         rows = self._rows(commit_id)
@@ -96,9 +102,9 @@ class Control:
         self._forget(commit_id - self.KEPT)
 
     def _forget(self, last):
-        keep = self._head["gaps"]
         for commit_id in self._ids():
             if commit_id <= last:
-                for path in [self._path(commit_id), *([f"{self.root}/gaps/c={commit_id}"] if commit_id != keep else [])]:
+                kept = [name for name in ("gaps", "pending") if commit_id != self._head[name]]
+                for path in (self._path(commit_id), *(f"{self.root}/{name}/c={commit_id}" for name in kept)):
                     system, path = files(self.spark, path)
                     system.delete(path, True)

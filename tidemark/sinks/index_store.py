@@ -40,8 +40,8 @@ class IndexStore(Control):
             self._open()
         return self
 
-    def commit(self, last_txn_id, progress=None, gaps=None, layout=None):
-        super().commit(last_txn_id, progress, gaps, layout or (self.slices, self.buckets))
+    def commit(self, last_txn_id, progress=None, gaps=None, pending=None, layout=None):
+        super().commit(last_txn_id, progress, gaps, pending, layout or (self.slices, self.buckets))
 
     def read(self, family, slices=None):
         return self._families[family].read(slices)
