@@ -48,48 +48,126 @@ def words(text):
     return text.split()
 
 
-def test_lines_make_up_the_text():
-    for text in ("", "a. b! c?\n\n  d", "\n\n a.", "no end", "x" * 9 + "\n" * 5, "w " * 200, "a.b.c ...! ?"):
-        starts, counts, hashes = L.lines_of(text)
-        assert "".join(text[a:b] for a, b in zip(starts, starts[1:] + [len(text)])) == (text if starts else "")
-        assert sum(counts) >= len(text.split()) and all(counts)
+def prints_of(*texts):
+    """Per text the fingerprints and their places, of texts worked off together."""
+    every = [L.split_lines(t) for t in texts]
+    mask, begin = L.np.zeros(sum(len(w) for w, _ in every), bool), 0
+    for held, last in every:
+        mask[[begin + k for k in last]] = True
+        begin += len(held)
+    found, ats = L.text_fingerprints([w for held, _ in every for w in held], mask, [len(held) for held, _ in every])
+    return [(f.tolist(), a.tolist()) for f, a in zip(found, ats)]
+
+
+def plain_lines(text):
+    """Lines as lists of words: cut after newlines, sentences, and words of the least hash of some three."""
+    held, last = L.split_lines(text)
+    hashes = L.hashes_of(held).tolist()
+    cuts = set(last) | {len(held) - 1}
+    for i in range(len(held) - 2):
+        least = min(hashes[i : i + 3])
+        cuts |= {k for k in range(i, i + 3) if hashes[k] == least}
+    lines, line = [], []
+    for k, word in enumerate(held):
+        line.append(word)
+        if k in cuts:
+            lines.append(line)
+            line = []
+    return lines
 
 
-def test_long_lines_are_cut_alike_wherever_they_begin():
-    pick = random.Random(1)
-    run = " ".join(f"w{pick.randrange(999)}" for _ in range(400))
-    a, b = L.lines_of("x y z " + run)[2], L.lines_of("other start here " + run)[2]
-    assert len(set(a) & set(b)) >= len(a) - 2 > 10
+def plain_fingerprints(text):
+    """Units (as tuples of lines) that some window must choose from, by window, beside the first words of all units."""
+    lines = [tuple(line) for line in plain_lines(text)]
+    begins = [sum(map(len, lines[:i])) for i in range(len(lines) + 1)]
+
+    def reach(i, many):
+        return next((k for k in range(i, len(lines) + 1) if begins[k] - begins[i] >= many), None)
+
+    units = {i: reach(i, 10) for i in range(len(lines)) if reach(i, 10) is not None}
+    windows = [{begins[k] for k, end in units.items() if k >= i and end <= reach(i, 18)} for i in range(len(lines)) if reach(i, 18) is not None]
+    return {begins[i]: tuple(lines[i:end]) for i, end in units.items()}, windows
 
 
-def test_fingerprints_are_guaranteed():
-    """Texts that share a run of sure_words words of whole lines share a fingerprint."""
+def test_lines_have_few_words_and_are_cut_alike():
+    pick = random.Random(1)
+    for _ in range(100):
+        run = " ".join(f"w{pick.randrange(99)}" for _ in range(40))
+        a, b = (plain_lines(f"{rim} {run} {rim}") for rim in ("x y z", "other. start\nhere u v"))
+        assert max(map(len, a + b)) <= 3
+        inner = run.split()[5:-5]
+        for lines in (a, b):
+            joined = [w for line in lines for w in line]
+            assert any(joined[i : i + len(inner)] == inner for i in range(len(joined)))
+
+
+def test_fingerprints_are_window_minima_of_line_units():
+    pick = random.Random(2)
+    texts = [" ".join(f"w{pick.randrange(300)}" + pick.choice(["", "", ".", "\n", ","]) for _ in range(n)) for n in (20, 21, 25, 40, 90, 200)]
+    texts += ["same " * 60, "a b c d " * 30]
+    assert [p for t in texts for p in prints_of(t)] == prints_of(*texts)
+    by_hash = {}
+    for text, (prints, ats) in zip(texts, prints_of(*texts)):
+        units, windows = plain_fingerprints(text)
+        assert set(ats) <= set(units)
+        for value, at in zip(prints, ats):
+            assert by_hash.setdefault(value, units[at]) == units[at]
+        assert all(window & set(ats) for window in windows)
+        assert len(ats) < len(units) or len(units) < 4
+
+
+def test_a_shared_run_of_thirty_words_shares_a_fingerprint():
+    """Whatever signs it has, however few different words, and whatever stands around it."""
     pick = random.Random(3)
-    for _ in range(200):
-        run = [sentence(pick, pick.randrange(1, 12)) for _ in range(12)]
-        texts = [" ".join([sentence(pick, pick.randrange(1, 12)) for _ in range(pick.randrange(9))] + run
-                          + [sentence(pick, pick.randrange(1, 12)) for _ in range(pick.randrange(9))]) for _ in range(2)]
-        if sum(len(s.split()) for s in run) < 30 + 12:
-            continue
-        prints = []
-        for text in texts:
-            _, counts, hashes = L.lines_of(text)
-            units, ends = L.units_of(counts, hashes, 20)
-            prints.append({units[i] for i in L.fingerprints_of(counts, units, ends, 30)})
-        assert prints[0] & prints[1]
-
-
-def test_deleted_lines_occur_earlier(cleaned):
-    """Every deleted run is at least 20 words and stands in an earlier text, or earlier in its own."""
+    for _ in range(600):
+        many = pick.choice([2, 5, 50, 5000])
+
+        def plain(n):
+            return " ".join(f"w{pick.randrange(many)}" + pick.choice(["", "", ".", ",", "\n"]) for _ in range(n))
+
+        run = plain(30)
+        a, b = prints_of(f"{plain(pick.randrange(40))}\n{run} {plain(pick.randrange(40))}", f"{plain(pick.randrange(40))} {run}. {plain(pick.randrange(40))}")
+        assert set(a[0]) & set(b[0])
+
+
+def covered(texts, least=20):
+    """Words of each text, in the order of ids, that lie in a run of `least` words seen before, by looking at all runs."""
+    seen, found = set(), {}
+    for i, text in sorted(texts.items()):
+        held = words(text)
+        found[i] = set()
+        for k in range(len(held) - least + 1):
+            run = tuple(held[k : k + least])
+            if run in seen:
+                found[i] |= set(range(k, k + least))
+            seen.add(run)
+    return found
+
+
+def deleted_words(text, spans):
+    places = [m.start() for m in L.re.finditer(r"\S+", text)]
+    return {k for k, at in enumerate(places) if any(s["start"] <= at < s["end"] for s in spans)}
+
+
+def test_deleted_runs_are_those_of_a_plain_comparison(cleaned):
     texts, _, found = cleaned
+    plain = covered(texts)
     for i, (_, spans) in found.items():
+        if i != 41:
+            assert deleted_words(texts[i], spans) == plain[i]
+    # of a text that repeats itself throughout only what its first period can be
+    assert deleted_words(texts[41], found[41][1]) <= plain[41] and len(plain[41] - deleted_words(texts[41], found[41][1])) < 40
+
+
+def test_deleted_runs_occur_in_the_text_they_name(cleaned):
+    texts, _, found = cleaned
+    for i, (left, spans) in found.items():
         for span in spans:
-            run = words(texts[i][span["start"] : span["end"]])
-            first = span["first_id"]
-            assert first <= i
-            there = " ".join(words(texts[first][: span["start"]] if first == i else texts[first]))
-            assert len(run) == span["n_words"] >= 20 or span["n_words"] == len(run)
-            assert " ".join(run) in there or first == i
+            run, first = words(texts[i][span["start"] : span["end"]]), span["first_id"]
+            assert first < i or (first == i == 41)
+            assert len(run) == span["n_words"] and " ".join(run) in " ".join(words(texts[first]))
+        kept = [w for k, w in enumerate(words(texts[i])) if k not in deleted_words(texts[i], spans)]
+        assert words(left) == kept
 
 
 def test_passages_stay_once(cleaned):
@@ -97,7 +175,7 @@ def test_passages_stay_once(cleaned):
     for text in shared:
         holders = [i for i, t in texts.items() if text in t]
         assert len(holders) > 3
-        left = [i for i in holders if " ".join(words(text)[15:-15]) in " ".join(words(found[i][0]))]
+        left = [i for i in holders if " ".join(words(text)) in " ".join(words(found[i][0]))]
         assert left == holders[:1]
 
 
@@ -128,21 +206,6 @@ def test_drop_repeated_keeps_the_columns(spark):
     assert L.drop_repeated(docs.limit(0)).collect() == []
 
 
-def test_passages_without_sentence_ends(spark):
-    """A run of 52 words set among others, without a sign at its ends or in it, is deleted but for its rim."""
-    pick = random.Random(9)
-
-    def plain(n):
-        return " ".join(f"w{pick.randrange(5000)}" for _ in range(n))
-
-    runs = [plain(52) for _ in range(30)]
-    texts = [f"{plain(30)} {run} {plain(30)}" for run in runs for _ in range(2)]
-    found = L.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-    deleted = {r["row"]["doc_id"]: sum(s["n_words"] for s in r["spans"] or []) for r in found}
-    assert all(not deleted[i] for i in range(0, 60, 2))
-    assert sum(deleted[i] >= 20 for i in range(1, 60, 2)) >= 20
-
-
 def plainly_extended(hashes, first, anchors):
     """Lines of all runs, each walked from its anchor."""
     lines = set()
@@ -161,17 +224,39 @@ def test_extension_finds_every_line():
         first = [pick.randrange(4) for _ in range(pick.randrange(1, 30))]
         hashes = [pick.randrange(4) for _ in range(pick.randrange(1, 30))]
         anchors = [(i, j) for i in range(len(hashes)) for j in range(len(first)) if hashes[i] == first[j] and pick.random() < 0.2]
-        runs = L.extended(hashes, first, anchors)
+        runs = L.extended(L.np.array(hashes), L.np.array(first), anchors)
         assert {k for start, end in runs for k in range(start, end)} == plainly_extended(hashes, first, anchors)
 
 
-def test_lines_that_repeat_many_times_are_walked_once():
-    n = 40_000
-    assert L.extended([7] * n, [7] * n, [(i, 0) for i in range(1, n)]) == [(1, n)]
-    covered = L.extended([7] * n, [7] * (n // 2) + [8], [(i, 0) for i in range(n)])
+def test_words_that_repeat_many_times_are_walked_once():
+    n, hot = 40_000, L.np.full(40_000, 7)
+    assert L.extended(hot, hot, [(i, 0) for i in range(1, n)]) == [(1, n)]
+    covered = L.extended(hot, L.np.append(hot[: n // 2], 8), [(i, 0) for i in range(n)])
     assert covered[0][0] == 0 and max(end for _, end in covered) == n
 
 
+def test_how_many_are_alike():
+    pick = random.Random(5)
+    for n in (0, 1, 31, 32, 33, 160, 1000):
+        a = L.np.arange(n)
+        for at in {0, n // 2, n - 1} & set(range(n)):
+            b = L.np.append(a, pick.randrange(9))
+            b[at] = -1
+            assert L.alike(a, b) == at == L.alike(b, a)
+        assert L.alike(a, L.np.append(a, 5)) == n
+
+
+def test_a_long_first_text_sends_what_a_short_one_can_reach(spark):
+    pick = random.Random(8)
+    run = passage(pick, 40)
+    long = f"{passage(pick, 3000)} {run} {passage(pick, 3000)}"
+    docs = spark.createDataFrame([(1, long), (2, f"{passage(pick, 10)} {run}")], "doc_id long, text string")
+    row = L.earlier_lines(docs).first()
+    assert row["id"] == 2 and all(len(m["hashes"]) <= 100 for m in row["matches"])
+    cut = {r["row"]["doc_id"]: r["spans"] for r in L.deduplicated(docs).collect()}
+    assert cut[1] is None and [s["n_words"] for s in cut[2]] == [40]
+
+
 def test_every_passage_of_fifty_words_is_found(spark):
     """Without a sign, and with few whole lines of its own, glued between other words: all but the copied run stays."""
     pick = random.Random(12)
@@ -184,17 +269,3 @@ def test_every_passage_of_fifty_words_is_found(spark):
     found = L.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     deleted = {r["row"]["doc_id"]: [texts[r["row"]["doc_id"]][s["start"] : s["end"]].strip() for s in r["spans"] or []] for r in found}
     assert all(deleted[2 * i] == [] and deleted[2 * i + 1] == [run] for i, run in enumerate(runs))
-
-
-def test_word_fingerprints_are_those_of_the_loop():
-    pick, every = random.Random(13), []
-    for n in (0, 5, 19, 20, 21, 29, 30, 31, 60, 300, 25, 40):
-        units = L.word_units(L.hashes_of([f"w{pick.randrange(5000)}" for _ in range(n)]), 20)
-        every.append((units, L.fingerprints_of([1] * n, units.tolist(), [i + 20 for i in range(len(units))], 30)))
-    together = L.word_fingerprints(L.np.concatenate([u for u, _ in every]), L.np.array([len(u) for u, _ in every]), 11)
-    assert [found.tolist() for found in together] == [plain for _, plain in every]
-    for words in (["w"] * 500, ["a", "b", "c"] * 200, [pick.choice("ab") for _ in range(40)] * 9):
-        units = L.word_units(L.hashes_of(words), 20)
-        ats = L.word_fingerprints(units, L.np.array([len(units)]), 11)[0].tolist()
-        assert all(units[i : i + 11].min() in {units[k] for k in ats if i <= k < i + 11} for i in range(len(units) - 10))
-        assert len(ats) <= len(units) / 2

@@ -1,17 +1,18 @@
-"""Line dedup by winnowing over words.
+"""Line dedup by winnowing over line hashes.
 
-A unit is `least_words` consecutive words, wherever lines end. Of the units that lie within any `sure_words`
-consecutive words the one of least hash is a fingerprint, so texts that share a run of so many words share a
-fingerprint, whatever stands before, after or between them. Each fingerprint is joined with its first occurrence in
-the corpus (by id, then position), matches are extended both ways word by word, and the later run is deleted.
+A line ends with a newline, a sentence, or a word of the least hash among LINE_WORDS consecutive ones, so no line has more
+words than that and a passage is cut alike wherever it stands, but for a few words at its ends. Lines are hashed. A unit
+is as many whole lines as hold UNIT_WORDS words; of the units that lie within lines of WINDOW_WORDS words the one of least
+hash is a fingerprint. A run of 30 words that two texts share holds, beyond five words at either end, 20 words of lines
+that are cut alike, hence a whole window, so the texts share a fingerprint whatever signs the run has and whatever stands
+around it.
 
-`lines_of`, `units_of` and `fingerprints_of` say the same for lines of any number of words, one by one; the tests
-hold the arrays below against them.
+Each fingerprint is joined with its first occurrence in the corpus (by id, then position), matches are extended both ways
+word by word, and the later run is deleted.
 """
 
 import re
-from array import array
-from itertools import accumulate, chain, pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import xxhash
@@ -21,77 +22,16 @@ from pyspark.sql import types as T
 from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import bounded_broadcast, in_arrow, keyed, ship, stored
 
-#: A line ends after a newline or the signs that end a sentence or clause; white space belongs to the line it follows.
-LINE = re.compile(r"[^.!?,;:\n]*[.!?,;:\n]+\s*|[^.!?,;:\n]+")
+LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 10, 18
+#: A shared run of so many words is sure to be found.
+SURE_WORDS = 30
 #: Stands for the end of a text.
 END = 2**31 - 2
-#: A line of more words is cut after words whose hash says so (one in CUT), wherever the line began.
-LONG_LINE, CUT = 24, 8
-WORD = re.compile(r"\s*\S+\s*")
 #: Words of at most so many characters are remembered with their hash, and so many of them; when full all are forgotten.
 SHORT, REMEMBERED = 32, 200_000
-
-
-def lines_of(text):
-    """(start, words, hash) of the lines; those without a word belong to the line before them (at the start: after)."""
-    starts, words, hashes, at = [], [], [], 0
-    for line in LINE.findall(text):
-        held = line.split()
-        if len(held) > LONG_LINE:
-            # a word that only repeats the one before doesn't cut, so a run of one word stays together
-            cuts = [k for k, w in enumerate(held, 1) if xxhash.xxh32_intdigest(w) % CUT == 0 and (k == 1 or held[k - 2] != w)]
-            places = list(accumulate(map(len, WORD.findall(line)), initial=at))
-            for begin, end in pairwise([0] + cuts + [len(held)]):
-                if begin < end:
-                    starts.append(places[begin])
-                    words.append(end - begin)
-                    hashes.append(xxhash.xxh64_intdigest(" ".join(held[begin:end])))
-        elif held:
-            starts.append(at)
-            words.append(len(held))
-            hashes.append(xxhash.xxh64_intdigest(" ".join(held)))
-        at += len(line)
-    if starts:
-        starts[0] = 0
-    return starts, words, hashes
-
-
-def units_of(words, hashes, least_words):
-    """Hash and end of the unit that begins at each line, as far as there is one."""
-    units, ends, n, held, end = [], [], len(words), 0, 0
-    packed = array("Q", hashes).tobytes()
-    for i in range(n):
-        while end < n and held < least_words:
-            held += words[end]
-            end += 1
-        if held < least_words:
-            break
-        units.append(xxhash.xxh64_intdigest(packed[8 * i : 8 * end]))
-        ends.append(end)
-        held -= words[i]
-    return units, ends
-
-
-def fingerprints_of(words, units, ends, sure_words):
-    """Lines whose unit has the least hash (of equal ones the last) among those within some sure_words words."""
-    chosen, n, held, end, last = [], len(words), 0, 0, 0
-    for i in range(len(units)):
-        while end < n and held < sure_words:
-            held += words[end]
-            end += 1
-        while last < len(units) and ends[last] <= end:
-            last += 1
-        if held < sure_words and chosen:
-            break
-        window = units[i:last]
-        least = min(window)
-        at = last - 1 - window[::-1].index(least)
-        if not chosen or chosen[-1] < at:
-            chosen.append(at)
-        if held < sure_words:
-            break
-        held -= words[i]
-    return chosen
+#: Odd factors of the hashes of lines and units.
+FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
+BASE = 0xD1B54A32D192ED03
 
 
 class Hashes(dict):
@@ -118,72 +58,93 @@ def shortened(hashes):
     return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def word_units(hashes, least_words):
-    """Hash of the unit that begins at each word, as far as there is one."""
-    n = len(hashes) - least_words + 1
-    if n <= 0:
-        return np.empty(0, np.uint64)
-    units, factor = np.zeros(n, np.uint64), 1
-    for k in range(least_words):
-        units += hashes[k : k + n] * np.uint64(factor)
-        factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
-    units ^= units >> np.uint64(32)
-    units *= np.uint64(0xD6E8FEB86659FD93)
-    return units ^ units >> np.uint64(32)
-
-
-def _least_of_each(units, window):
-    """The least of each `window` consecutive units."""
-    least, span = units, 1
-    while span < window:
-        step = min(span, window - span)
-        least, span = np.minimum(least[:-step], least[step:]), span + step
-    return least
-
+def mixed(values):
+    values = values ^ values >> np.uint64(32)
+    values = values * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ values >> np.uint64(32)
+
+
+def line_starts(hashes, breaks, ends):
+    """First words of the lines of texts one after the other. breaks: after which words a line ends anyway (a mask);
+    ends: of the texts, in words."""
+    n = len(hashes)
+    last = breaks.copy()
+    windows = n - LINE_WORDS + 1
+    if windows > 0:
+        least = np.minimum(np.minimum(hashes[:-2], hashes[1:-1]), hashes[2:])
+        within = np.ones(n, bool)
+        for k in range(1, LINE_WORDS):
+            within[np.maximum(ends - k, 0)] = False  # windows that reach into the next text
+        for k in range(LINE_WORDS):
+            last[k : k + windows] |= (hashes[k : k + windows] == least) & within[:windows]
+    last[ends - 1] = True
+    return np.flatnonzero(np.concatenate([[True], last[:-1]]))
+
+
+def line_hashes(hashes, starts):
+    place = np.arange(len(hashes)) - np.repeat(starts, np.diff(np.append(starts, len(hashes))))
+    return mixed(np.add.reduceat(hashes * FACTORS[place], starts))
+
+
+def line_units(lines, starts, n):
+    """Hash of the unit that begins at each line, and the line it ends before; n: words in all."""
+    bounds = np.append(starts, n)
+    ends = np.searchsorted(bounds, starts + UNIT_WORDS)
+    with np.errstate(over="ignore"):
+        power = np.multiply.accumulate(np.full(len(lines), BASE, np.uint64))
+        back = np.multiply.accumulate(np.full(len(lines), pow(BASE, -1, 1 << 64), np.uint64))
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * power, dtype=np.uint64)])
+        return mixed((running[np.minimum(ends, len(lines))] - running[:-1]) * back), ends
+
+
+def chosen_units(units, unit_ends, starts, text_ends):
+    """Which units (a mask) are the least of some window; text_ends: for each line the end of its text, in words."""
+    n = len(units)
+    bounds = np.append(starts, text_ends[-1] if n else 0)
+    at = np.flatnonzero(starts + WINDOW_WORDS <= text_ends)
+    stop = np.searchsorted(unit_ends, np.searchsorted(bounds, starts[at] + WINDOW_WORDS), "right")
+    most = int((stop - at).max(initial=0))
+    least, chosen = units[at], np.zeros(n, bool)
+    for k in range(1, most):
+        own = at + k < stop
+        least[own] = np.minimum(least[own], units[at[own] + k])
+    for k in range(most):
+        own = at + k < stop
+        place = at[own] + k
+        chosen[place[units[place] == least[own]]] = True
+    return chosen
 
-def word_fingerprints(units, counts, window):
-    """Places of the least unit of each `window` consecutive units, or of all if there are fewer, for texts of so many
-    units one after the other: an array for each text.
 
-    Where one unit is the least again and again, as in a run of one word, only as many stay as leave one in each window.
-    """
-    ends = np.cumsum(counts, dtype=np.int64)
-    begins = ends - counts
-    chosen = np.zeros(len(units), bool)
-    n = len(units) - window + 1
-    if n > 0:
-        least = _least_of_each(units, window)
-        within = np.zeros(len(units) + 1, np.int32)  # windows within one text
-        long = counts >= window
-        within[begins[long]] += 1
-        within[ends[long] - window + 1] -= 1
-        within = np.cumsum(within[:n]) > 0
-        for k in range(window):
-            chosen[k : k + n] |= (units[k : k + n] == least) & within
-    for i in np.flatnonzero((counts > 0) & (counts < window)).tolist():
-        own = units[begins[i] : ends[i]]
-        chosen[begins[i] : ends[i]] = own == own.min()
-    places = np.flatnonzero(chosen)
-    values = units[places]
-    found = []
-    again = np.append(values[1:] == values[:-1], False)
-    cuts = np.searchsorted(places, np.append(begins, len(units))).tolist()
-    often = np.concatenate([[0], np.cumsum(again)])
-    for i, (start, stop) in enumerate(pairwise(cuts)):
-        own = places[start:stop]
-        if stop > start and often[stop - 1] > often[start]:
-            own = np.array(_thinned(own.tolist(), values[start:stop].tolist(), window))
-        found.append((own - begins[i]).astype(np.int32))
-    return found
+def text_fingerprints(words, breaks, counts):
+    """Of texts one after the other (their words, where lines end anyway, and the number of words of each, UNIT_WORDS at
+    least): hash and place, a word of its text, of every fingerprint, in two lists of arrays."""
+    hashes, counts = hashes_of(words), np.asarray(counts, np.int64)
+    if not len(counts):
+        return [], []
+    ends = np.cumsum(counts)
+    starts = line_starts(hashes, breaks, ends)
+    text = np.searchsorted(ends, starts, "right")
+    units, unit_ends = line_units(line_hashes(hashes, starts), starts, len(hashes))
+    places = np.flatnonzero(chosen_units(units, unit_ends, starts, ends[text]))
+    values, found, ats = units[places], [], []
+    cuts = np.searchsorted(text[places], np.arange(len(counts) + 1)).tolist()
+    for k, (begin, stop) in enumerate(pairwise(cuts)):
+        own, of_own = places[begin:stop], values[begin:stop]
+        if len(own) > 1 and (of_own[1:] == of_own[:-1]).any():
+            keep = _thinned(own.tolist(), of_own.tolist(), (WINDOW_WORDS - UNIT_WORDS) // LINE_WORDS + 1)
+            own, of_own = own[keep], of_own[keep]
+        found.append(of_own.view(np.int64))
+        ats.append((starts[own] - (ends[k] - counts[k])).astype(np.int32))
+    return found, ats
 
 
 def _thinned(places, values, window):
-    """Of places in a row with one value those that leave one in each window."""
-    kept, of_kept = [], []
+    """Numbers of the places to keep, of those in a row with one value only as many as leave one in each window."""
+    kept = []
     for k, (at, value) in enumerate(zip(places, values)):
-        if not (kept and k + 1 < len(places) and of_kept[-1] == value == values[k + 1] and places[k + 1] <= kept[-1] + window):
-            kept.append(at)
-            of_kept.append(value)
+        before = kept[-1] if kept else None
+        if not (kept and k + 1 < len(places) and values[before] == value == values[k + 1] and places[k + 1] <= places[before] + window):
+            kept.append(k)
     return kept
 
 
@@ -211,86 +172,101 @@ def word_hashes(rows):
     return in_arrow(rows, computed, out)
 
 
-def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
-    """id, mark, units and ats (hash and word of each fingerprint) of every text that has a unit."""
+def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20):
+    """id, mark, n_words, units and ats (hash and word of each fingerprint) of every text of least_words words."""
     rows = keyed(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
-    out = T.StructType([rows.schema["id"], rows.schema["mark"], T.StructField("units", T.ArrayType(T.LongType())),
-                        T.StructField("ats", T.ArrayType(T.IntegerType()))])
+    out = T.StructType([rows.schema["id"], rows.schema["mark"], T.StructField("n_words", T.IntegerType()),
+                        T.StructField("units", T.ArrayType(T.LongType())), T.StructField("ats", T.ArrayType(T.IntegerType()))])
 
     def computed(batches):
         import pyarrow as pa
 
         for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
-            split = [text.split() for text in texts_of(part.column(2))]
-            keep = [row for row, words in enumerate(split) if len(words) >= least_words]
-            # the units of all texts at once; those that reach into the next text are left out
-            lengths = np.array([len(split[row]) for row in keep], np.int64)
-            every = word_units(hashes_of([w for row in keep for w in split[row]]), least_words)
-            counts = lengths - least_words + 1
-            inside = np.zeros(lengths.sum() + 1, np.int32)
-            starts = np.cumsum(lengths) - lengths
-            inside[starts] += 1
-            inside[starts + counts] -= 1
-            units = every[np.cumsum(inside[: len(every)]) > 0]
-            ats = word_fingerprints(units, counts, max(sure_words - least_words, 0) + 1)
-            firsts = (np.cumsum(counts) - counts).tolist()
-            found = [units[a + first].view(np.int64) for a, first in zip(ats, firsts)]
-            columns = [in_lists(found, np.int64), in_lists(ats, np.int32)]
+            words, breaks, counts, keep = [], [], [], []
+            for row, text in enumerate(texts_of(part.column(2))):
+                own, last = split_lines(text)
+                if len(own) >= max(least_words, WINDOW_WORDS):
+                    breaks += [len(words) + k for k in last]
+                    words += own
+                    counts.append(len(own))
+                    keep.append(row)
+            mask = np.zeros(len(words), bool)
+            mask[breaks] = True
+            found, ats = text_fingerprints(words, mask, counts)
             taken = pa.array(keep, pa.int64())
+            columns = [pa.array(counts, pa.int32()), in_lists(found, np.int64), in_lists(ats, np.int32)]
             yield pa.RecordBatch.from_arrays([part.column(0).take(taken), part.column(1).take(taken), *columns], names=out.names)
 
     return in_arrow(rows, computed, out)
 
 
+def split_lines(text):
+    """Words of a text, and after which of them a line ends by a newline or the end of a sentence."""
+    words, last = [], []
+    for line in text.split("\n"):
+        own = line.split()
+        if own:
+            begin = len(words)
+            words += own
+            last += [begin + k for k, word in enumerate(own) if word[-1] in ".!?"]
+            last.append(len(words) - 1)
+    return words, last
+
+
+def alike(a, b):
+    """How many first elements of two arrays are equal."""
+    n, at, step = min(len(a), len(b)), 0, 32
+    while at < n:
+        stop = min(at + step, n)
+        differ = np.flatnonzero(a[at:stop] != b[at:stop])
+        if len(differ):
+            return at + int(differ[0])
+        at, step = stop, step * 4
+    return n
+
+
 def extended(hashes, first_hashes, anchors):
-    """Runs [start, end) of lines that equal the first text's, from (line, first line) anchors, extended both ways."""
+    """Runs [start, end) of words that equal the first text's, from (word, first word) anchors, extended both ways."""
     n, m = len(hashes), len(first_hashes)
 
-    def alike(at, shift):
+    def same(at, shift):
         return 0 <= at < n and 0 <= at - shift < m and hashes[at] == first_hashes[at - shift]
 
+    def walked(at, shift):
+        low = alike(hashes[:at][::-1], first_hashes[: at - shift][::-1])
+        return at - low, at + alike(hashes[at:], first_hashes[at - shift :])
+
     runs, low, reached, inside = [], 0, 0, []
-    # anchors within what is covered already wait, and go on from its ends only if their lines do: the last ones
-    # first, so that lines that repeat many times are walked through once
+    # anchors within what is covered already wait, and go on from its ends only if their words do: the last ones
+    # first, so that words that repeat many times are walked through once
     for at, first in chain(sorted(anchors), [(n, None)]):
         while inside and at >= reached:
             start, shift = inside.pop()
-            end = reached
-            if alike(end, shift) or alike(low - 1, shift):
-                start, end = _walked(alike, start, shift)
+            if same(reached, shift) or same(low - 1, shift):
+                start, end = walked(start, shift)
                 runs.append((start, end))
                 low, reached = min(low, start), max(reached, end)
         if first is None:
             break
         if at < reached:
             inside.append((at, at - first))
-        elif alike(at, at - first):
-            low, reached = _walked(alike, at, at - first)
+        elif same(at, at - first):
+            low, reached = walked(at, at - first)
             runs.append((low, reached))
     return runs
 
 
-def _walked(alike, at, shift):
-    """The run of equal lines around a line."""
-    start, end = at, at
-    while alike(start - 1, shift):
-        start -= 1
-    while alike(end, shift):
-        end += 1
-    return start, end
-
-
-def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
-    """id, mark, matches: for each text that shares a fingerprint with an earlier one an array of first_id, the
-    hashes of that text's words, and the words (at, first_at) where the two meet.
+def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
+    """id, mark, matches: for each text that shares a fingerprint with an earlier one an array of first_id, hashes of that
+    text's words around where they meet, as far as a run can reach, and the words (ats, first_ats, in `hashes`) where.
 
     Earlier: in a text of a smaller id (null first, then by mark), or earlier in the same text. A text is compared
     only with those that a fingerprint of its first occurs in, so a passage that thousands of texts share costs
     one pair for each of them. Rows that repeat id and text are one document.
     """
-    texts = stored(fingerprints(docs, id_col, text_col, least_words, sure_words), "fingerprints")
-    prints = texts.select("id", "mark", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
-        "id", "mark", F.col("p.units").alias("unit"), F.col("p.ats").alias("at"))
+    texts = stored(fingerprints(docs, id_col, text_col, least_words), "fingerprints")
+    prints = texts.select("id", "mark", "n_words", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
+        "id", "mark", "n_words", F.col("p.units").alias("unit"), F.col("p.ats").alias("at"))
     place = F.struct("id", "mark", "at")
     # most units come once and are counted without their places; the joins below read written tables, so that adaptive
     # execution can split the rows of a hot key
@@ -300,7 +276,7 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20, sure_w
     pairs = stored(
         prints.join(first, "unit").where(place != F.col("first"))
         .groupBy("id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-        .agg(F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
+        .agg(F.max("n_words").alias("n_words"), F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
     wanted = stored(pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct(), "first-texts")
     n, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length(F.col("f_id").cast("string"))), F.lit(0))).first()
     wanted = bounded_broadcast(wanted, n, 48 + size)
@@ -308,21 +284,26 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20, sure_w
     theirs = word_hashes(rows.join(wanted, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left_semi"))
     theirs = stored(theirs.dropDuplicates(["id", "mark"]), "first-words").select(F.col("id").alias("f_id"), F.col("mark").alias("f_mark"), "hashes")
     met = pairs.join(theirs, F.col("first_id").eqNullSafe(F.col("f_id")) & (F.col("first_mark") == F.col("f_mark")))
-    match = F.struct("first_id", "hashes", F.col("anchors.at").alias("ats"), F.col("anchors.first_at").alias("first_ats"))
+    # no run reaches further from an anchor than the later text does, so only so much of the first one goes along
+    ats, first_ats = F.col("anchors.at"), F.col("anchors.first_at")
+    low = F.greatest(F.array_min(F.transform("anchors", lambda a: a["first_at"] - a["at"])), F.lit(0))
+    high = F.array_max(F.transform("anchors", lambda a: a["first_at"] + F.col("n_words") - a["at"]))
+    match = F.struct("first_id", F.slice("hashes", low + 1, high - low).alias("hashes"), ats.alias("ats"),
+                     F.transform(first_ats, lambda a: a - low).alias("first_ats"))
     return met.groupBy("id", "mark").agg(F.collect_list(match).alias("matches"))
 
 
 def runs_of(text, matches, least_words):
-    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart. White space
-    belongs to the word it follows."""
+    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart. matches: of each
+    the first id, hashes, ats and first_ats. White space belongs to the word it follows."""
     starts = [m.start() for m in re.finditer(r"\S+", text)]
     starts[:1] = [0] if starts else []
-    hashes = shortened(hashes_of(text.split())).tolist()
+    hashes = shortened(hashes_of(text.split()))
     found = []
-    for m in matches:
-        for start, end in extended(hashes, m["hashes"], zip(m["ats"], m["first_ats"])):
+    for first, first_hashes, ats, first_ats in matches:
+        for start, end in extended(hashes, first_hashes, zip(ats, first_ats)):
             if end - start >= least_words:
-                found.append((start, end, m["first_id"]))
+                found.append((start, end, first))
     runs, reached = [], 0
     for start, end, first in sorted(found, key=lambda r: (r[0], -r[1])):
         start = max(start, reached)
@@ -332,55 +313,64 @@ def runs_of(text, matches, least_words):
     return runs
 
 
-def _runs_udf(id_type, least_words):
+def left_of(text, runs):
+    """text without the runs: what lies before each, and after the last."""
+    ends = [0, *(end for _, end, *_ in runs)]
+    return "".join(text[end:start] for end, start in zip(ends, [*(start for start, *_ in runs), len(text)]))
+
+
+def _lists(column):
+    """Arrays of the lists of an Arrow column, without copies."""
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[a:b] for a, b in pairwise(offsets.tolist())]
+
+
+def _cut_udf(id_type, least_words):
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kind = T.ArrayType(T.StructType([
+    spans = T.ArrayType(T.StructType([
         T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("n_words", T.IntegerType()),
         T.StructField("first_id", id_type)]))
-    names = kind.elementType.names
+    kind = T.StructType([T.StructField("spans", spans), T.StructField("text", T.StringType())])
+    names = spans.elementType.names
 
     @F.arrow_udf(kind)
-    def runs(text: pa.Array, matches: pa.Array) -> pa.Array:
-        found = []
-        for data, met in zip(text, matches):
-            # one match at a time becomes Python objects
-            one_by_one = (m.as_py() for m in met.values) if met.is_valid else ()
-            rows = runs_of(data.as_py().decode("utf-8", "replace"), one_by_one, least_words) if met.is_valid else None
-            found.append([dict(zip(names, r)) for r in rows] if rows else None)
+    def cut(text: pa.Array, matches: pa.Array) -> pa.Array:
+        inner = matches.values
+        fields = [inner.field("first_id").to_pylist(), *(_lists(inner.field(c)) for c in ("hashes", "ats", "first_ats"))] if len(inner) else []
+        begin, found = matches.offsets.to_pylist(), []
+        for i, data in enumerate(text):
+            runs = None
+            if matches[i].is_valid:
+                whole = data.as_py().decode("utf-8", "replace")
+                met = [(f[0], f[1], f[2].tolist(), f[3].tolist()) for f in zip(*(f[begin[i] : begin[i + 1]] for f in fields))]
+                runs = runs_of(whole, met, least_words)
+            found.append({"spans": [dict(zip(names, r)) for r in runs], "text": left_of(whole, runs)} if runs else None)
         return pa.array(found, to_arrow_type(kind))
 
-    return runs
-
-
-def without(text, spans):
-    """text without the spans: what lies before each, and after the last."""
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
-    cut = F.aggregate(spans, state, lambda acc, s: F.struct(
-        s["end"].alias("at"), F.concat(acc["kept"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).alias("kept")),
-        lambda acc: F.concat(acc["kept"], F.substring(text, acc["at"] + 1, F.lit(END + 1) - acc["at"])))
-    return F.when(spans.isNull(), text).otherwise(cut)
+    return cut
 
 
-def deduplicated(docs, id_col="doc_id", text_col="text", least_words=20, sure_words=30):
+def deduplicated(docs, id_col="doc_id", text_col="text", least_words=20):
     """Every row of docs: `row`, a struct of all its columns, the text without later repeated runs; `spans`, an array
     of start, end (characters of the old text), n_words and first_id of each deleted run (null: none); `before`, the
-    old text. Null texts stay null."""
+    old text. A run has at least least_words words, less where a longer one overlaps it. Null texts stay null."""
     ship(docs.sparkSession.sparkContext)
-    met = earlier_lines(docs, id_col, text_col, least_words, sure_words).select(
+    met = earlier_lines(docs, id_col, text_col, least_words).select(
         F.col("id").alias("m_id"), F.col("mark").alias("m_mark"), "matches")
     names = [f.name for f in docs.schema.fields]
     others = [docs[f"`{n}`"].alias(n) for n in names if n != text_col]
     rows = docs.select(F.struct(*others).alias("others"), docs[id_col].alias("id"), docs[text_col].alias("text"),
                        F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("mark"))
     joined = rows.join(met, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("mark") == F.col("m_mark")), "left")
-    # only texts that met an earlier one go to Python, which cuts them into lines again
+    # only texts that met an earlier one go to Python
     text = F.when(F.col("matches").isNotNull(), F.col("text").cast("binary"))
-    found = joined.select("others", "text", _runs_udf(docs.schema[id_col].dataType, least_words)(text, F.col("matches")).alias("spans"))
-    cleaned = found.select("others", "spans", F.col("text").alias("before"), without(F.col("text"), F.col("spans")).alias("text"))
-    row = F.struct(*[F.col("text").alias(n) if n == text_col else F.col("others")[n].alias(n) for n in names])
-    return cleaned.select(row.alias("row"), "spans", "before")
+    cut = _cut_udf(docs.schema[id_col].dataType, least_words)(text, F.col("matches"))
+    found = joined.select("others", F.col("text").alias("before"), cut.alias("cut"))
+    left = F.when(F.col("cut").isNull(), F.col("before")).otherwise(F.col("cut.text"))
+    row = F.struct(*[left.alias(n) if n == text_col else F.col("others")[n].alias(n) for n in names])
+    return found.select(row.alias("row"), F.col("cut.spans").alias("spans"), "before")
 
 
 def drop_repeated(docs, id_col="doc_id", text_col="text", **options):
