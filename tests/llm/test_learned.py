@@ -50,7 +50,7 @@ def test_narrow_margins_are_rejected():
 
 def test_gradients_are_those_of_the_loss():
     pick = np.random.default_rng(0)
-    size, state = toxicity.WORD_SIZE + toxicity.AFFIX_SIZE, toxicity.STATE
+    size, state = toxicity.WORD_SIZE + toxicity.GRAM_SIZE, toxicity.STATE
     shapes = {"in_f": (size, 3 * state), "in_b": (size, 3 * state), "hid_f": (state, 3 * state), "hid_b": (state, 3 * state), "bias_f": (3 * state,),
               "bias_b": (3 * state,), "att": (2 * state, 2 * state), "att_bias": (2 * state,), "att_out": (2 * state,), "out": (2 * state,), "out_bias": (1,)}
     net = toxicity.Network({}, {}, {k: 0.4 * pick.normal(size=s) for k, s in shapes.items()})
@@ -104,7 +104,38 @@ def test_odd_texts_have_a_score(spark, trained):
     _, _, net = trained
     rows = [(1, None), (2, ""), (3, "... 12"), (4, "ba " * 50_000 + "zogrub vileword zogrub"), (None, "lotus"), (2, "")]
     found = {r["doc_id"]: r["score"] for r in toxicity.toxicity(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()}
-    assert found[1] == found[2] == found[3] < 0.7 and found[4] > 0.7 and found[None] < 0.7
+    assert found[1] == found[2] < 0.7 > found[3] and found[4] > 0.7 > found[None]
+
+
+def test_every_character_is_read():
+    pick = random.Random(1)
+    for n in (1, 3, 16, 17, 26, 27, 40, 500):
+        token = "".join(chr(0x4E00 + pick.randrange(3000)) for _ in range(n))
+        pieces = toxicity.tokens_of(f"  {token}\n")
+        covered = [token.index(p) + k for p in pieces for k in range(len(p))]
+        assert set(covered) == set(range(n)) and max(map(len, pieces)) <= toxicity.PIECE
+    assert toxicity.tokens_of("Sh*t 1d10t!") == ["sh*t", "1d10t!"] and toxicity.word_of("1d10t!") == "d10t"
+    assert {"^sh*", "h*t$", "sh*t"} <= set(toxicity.grams("sh*t")) and max(len(toxicity.grams("x" * 16)) for _ in "x") == toxicity.GRAMS
+
+
+def test_signs_and_phrases_without_spaces_move_the_score():
+    """Toxic words that are only known with signs in them, and ones glued into a long run."""
+    pick, texts, labels = random.Random(4), [], []
+    for i in range(400):
+        bad = i % 3 == 0
+        words = ["".join(pick.choice("abdelmnorstu") for _ in range(pick.randrange(3, 9))) for _ in range(60)]
+        glued = "".join(chr(0x4E00 + pick.randrange(300)) for _ in range(30))
+        if bad and i % 2:
+            words[pick.randrange(60)] = "z*g" + pick.choice("rqx") + "#b"
+        elif bad:
+            glued = glued[:15] + "\u6bd2\u8bdd\u6bd2\u8bdd" + glued[15:]
+        texts.append(" ".join(words + [glued]))
+        labels.append(int(bad))
+    scorer = toxicity.Scorer(toxicity.train(texts, labels))
+    clean = "tale morn sode lune " * 10
+    run = "".join(chr(0x4E00 + i) for i in range(40, 70))
+    base, signs, plain, glued, unglued = scorer.scores([clean, clean + "z*gr#b", clean + "zgrb", clean + run[:11] + "\u6bd2\u8bdd\u6bd2\u8bdd" + run[11:], clean + run])
+    assert signs > 0.7 > base and glued > 0.7 > unglued and plain < signs
 
 
 def test_no_labels_no_network(spark, trained):

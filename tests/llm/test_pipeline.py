@@ -12,11 +12,11 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in names if name.startswith("op")} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in names if name.startswith("op")} and "pipeline" in names
     assert set(entry.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", ["op6_decontamination", "op7_url_filter"])
+@pytest.mark.parametrize("name", ["op6_decontamination", "op7_url_filter", "op11_sharding", "op12_prefix_trie", "op13_hard_negatives"])
 def test_queries_agree_with_their_sql(spark, name):
     import __spark_entry__ as entry
 
@@ -58,7 +58,8 @@ def test_stages(stages, spark):
     lost = [i for i, q in labels.items() if q == 1 and i in documents and i not in good and not brute.base_statistics(documents[i]["text"])[-1]]
     assert not lost
     for i, r in lines.items():
-        assert r["n_chars"] == len(r["text"]) and r["text"].strip()
+        # neither a scrap nor a text of repeats is left, cut or not
+        assert r["n_chars"] == len(r["text"]) and not brute.base_statistics(r["text"])[-1]
     prints = {i: brute.simhash(r["text"]) for i, r in lines.items()}
     assert single.keys() == {i for i, c in brute.components(prints).items() if i == c}
     items = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").select("item_id", "text").collect()]
@@ -73,9 +74,11 @@ def test_run_is_all_stages(stages, spark):
 
 
 def test_odd_tables_pass_through(spark, tmp_path):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, token_ids string"
+    schema = "doc_id long, text string, lang string, source string, n_chars long, token_ids string, _sha string, decoded string, s_id string"
     long = " ".join(f"word{i}" for i in range(300))
-    rows = [(1, None, None, None, None, None), (2, "", "en", "s", 0, "x"), (3, long, "en", "s", 1, "x"), (3, long, "en", "s", 1, "x"), (None, long, None, None, 1, None)]
+    more = "sha", "bytes", "s"
+    rows = [(1, None, None, None, None, None, *more), (2, "", "en", "s", 0, "x", *more), (3, long, "en", "s", 1, "x", *more),
+            (3, long, "en", "s", 1, "x", *more), (None, long, None, None, 1, None, *more)]
     for n, some in (("some", rows), ("none", [])):
         folder = f"{tmp_path}/{n}"
         spark.createDataFrame(some, schema).write.parquet(f"{folder}/documents.parquet")
@@ -84,3 +87,4 @@ def test_odd_tables_pass_through(spark, tmp_path):
         found = corpus_pipeline.run(spark, folder).collect()
         # the null id comes first, so the rows of id 3 hold nothing new
         assert [r["doc_id"] for r in found] == ([None] if some else [])
+        assert [(r["_sha"], r["decoded"], r["s_id"]) for r in found] == ([more] if some else []) and all(r["round_trip"] for r in found)

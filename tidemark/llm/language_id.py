@@ -39,7 +39,7 @@ def fit(docs, lang_col="lang", id_col="doc_id", text_col="text", samples=96, sam
     """Learn from every row that has a language, a text and an id.
 
     A language's dictionary is a bounded sample: `samples` rows, the one of least hash in each of as many hash
-    bins, the first `sample_chars` characters of each. Rows are counted and chosen by two aggregations with a
+    bins, `sample_chars` characters of each from a place its hash names. Rows are counted and chosen by two aggregations with a
     partial step, so a language that owns most rows is no hot key; only the sample reaches the driver.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
@@ -54,8 +54,9 @@ def fit(docs, lang_col="lang", id_col="doc_id", text_col="text", samples=96, sam
     for lang, _, n in chosen:
         counts[lang] = counts.get(lang, 0) + n
     keys = docs.sparkSession.createDataFrame([(lang, h) for lang, h, _ in chosen], "lang string, h long")
+    start = (F.pmod("h", F.greatest(F.length("text") - sample_chars, F.lit(0)) + 1) + 1).cast("int")
     texts = (rows.join(F.broadcast(keys), ["lang", "h"])
-             .groupBy("lang", "h").agg(F.min(F.substring("text", 1, sample_chars)).alias("text")).collect())
+             .groupBy("lang", "h").agg(F.min(F.substring("text", start, F.lit(sample_chars))).alias("text")).collect())
     content = {lang: [] for lang in counts}
     for r in sorted(texts, key=lambda r: r["h"]):
         content[r["lang"]].append(plain(r["text"]))

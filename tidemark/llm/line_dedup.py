@@ -276,7 +276,9 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
     pairs = stored(
         prints.join(first, "unit").where(place != F.col("first"))
         .groupBy("id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
-        .agg(F.max("n_words").alias("n_words"), F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
+        # no run reaches further from an anchor than the later text does, so only so much of the first one goes along
+        .agg(F.greatest(F.min(F.col("first.at") - F.col("at")), F.lit(0)).alias("low"), F.max(F.col("first.at") + F.col("n_words") - F.col("at")).alias("high"),
+             F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
     wanted = stored(pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct(), "first-texts")
     n, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length(F.col("f_id").cast("string"))), F.lit(0))).first()
     wanted = bounded_broadcast(wanted, n, 48 + size)
@@ -284,12 +286,8 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
     theirs = word_hashes(rows.join(wanted, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("mark") == F.col("f_mark")), "left_semi"))
     theirs = stored(theirs.dropDuplicates(["id", "mark"]), "first-words").select(F.col("id").alias("f_id"), F.col("mark").alias("f_mark"), "hashes")
     met = pairs.join(theirs, F.col("first_id").eqNullSafe(F.col("f_id")) & (F.col("first_mark") == F.col("f_mark")))
-    # no run reaches further from an anchor than the later text does, so only so much of the first one goes along
-    ats, first_ats = F.col("anchors.at"), F.col("anchors.first_at")
-    low = F.greatest(F.array_min(F.transform("anchors", lambda a: a["first_at"] - a["at"])), F.lit(0))
-    high = F.array_max(F.transform("anchors", lambda a: a["first_at"] + F.col("n_words") - a["at"]))
-    match = F.struct("first_id", F.slice("hashes", low + 1, high - low).alias("hashes"), ats.alias("ats"),
-                     F.transform(first_ats, lambda a: a - low).alias("first_ats"))
+    match = F.struct("first_id", F.slice("hashes", F.col("low") + 1, F.col("high") - F.col("low")).alias("hashes"), F.col("anchors.at").alias("ats"),
+                     F.transform("anchors.first_at", lambda a: a - F.col("low")).alias("first_ats"))
     return met.groupBy("id", "mark").agg(F.collect_list(match).alias("matches"))
 
 

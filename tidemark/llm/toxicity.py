@@ -1,9 +1,11 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word enters as its own vector and the mean vector of its affixes (its first and last characters), so words
-never seen are judged by their form. Windows overlap by half, all windows of a text are scored, and the highest
-one is the text's score. Labels are given to whole texts only: of a toxic text the windows that look worst are
-learned as toxic, chosen anew after each round.
+A token enters as the vector of its word and the mean vector of all its character sequences of three to five, signs and
+digits included, so words never seen, and words written with signs, are judged by their form. Tokens are what stands
+between white space; a long one, such as a sentence of a language without spaces, is cut into overlapping pieces, so every
+character of a text is read. Windows overlap by half, all windows of a text are scored, and the highest one is the text's
+score. Labels are given to whole texts only: of a toxic text the windows that look worst are learned as toxic, chosen anew
+after each round.
 """
 
 from collections import Counter
@@ -19,23 +21,41 @@ from tidemark.llm.chunks import sliced, texts_of
 from tidemark.llm.common import in_arrow
 
 WINDOW, STRIDE = 32, 16
-#: Sizes: a word's vector, an affix's vector, the state of each direction.
-WORD_SIZE, AFFIX_SIZE, STATE = 8, 8, 8
-#: Signs and digits stand between words.
-BLANKED = {i: " " for i in range(128) if not chr(i).isalpha()}
+#: Sizes: a word's vector, a character sequence's vector, the state of each direction.
+WORD_SIZE, GRAM_SIZE, STATE = 8, 8, 8
+#: Characters of a piece of a long token, and how far the next one begins after it.
+PIECE, STEP = 16, 10
+#: Character sequences of a piece at most: of 3, 4 and 5 characters, its two ends marked, and its first 6 and 7.
+GRAMS = sum(PIECE + 2 - n + 1 for n in (3, 4, 5)) + 2
+#: Signs and digits around a word don't belong to it, but to its token.
+AROUND = "".join(chr(i) for i in range(33, 127) if not chr(i).isalpha())
+#: Tokens whose vectors are made side by side.
+TOKENS = 8192
 #: Windows scored side by side; bounds the arrays to some MB.
 SIDE_BY_SIDE = 2048
 #: Words a worker remembers at most; when full it forgets all of them and goes on.
 REMEMBERED = 400_000
 
 
-def words_of(text):
-    return text.lower().translate(BLANKED).split()
+def tokens_of(text):
+    """What stands between white space, in lower case; a long token as overlapping pieces."""
+    found = []
+    for token in text.lower().split():
+        if len(token) <= PIECE:
+            found.append(token)
+        else:
+            found += [token[i : i + PIECE] for i in range(0, len(token) - PIECE + STEP, STEP)]
+    return found
+
 
+def word_of(token):
+    return token.strip(AROUND)
 
-def affixes(word):
-    """The first 3 to 7 characters and the last 3 and 4, marked as such; of a shorter word what there is."""
-    return ("^" + word[:3], "^" + word[:4], "^" + word[:5], "^" + word[:6], "^" + word[:7], word[-3:] + "$", word[-4:] + "$")
+
+def grams(token):
+    """All sequences of 3 to 5 characters, its ends marked, and its first 6 and 7."""
+    marked = f"^{token}$"
+    return [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)] + [marked[: n + 1] for n in (6, 7) if len(token) >= n]
 
 
 @dataclass
@@ -43,7 +63,7 @@ class Network:
     """Vocabularies (index 0: none) and parameters."""
 
     words: dict
-    affixes: dict
+    grams: dict
     weights: dict
     scale: float = 1.0
     threshold: float = 0.0
@@ -54,17 +74,22 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-x))
 
 
-def _inputs(net, words):
-    """Indices of the words, and of their affixes (a row of 7 each; 0: not known)."""
-    known, form = net.words.get, net.affixes.get
-    ids = np.fromiter((known(w, 0) for w in words), np.int64, len(words))
-    rows = np.fromiter((form(a, 0) for w in words for a in affixes(w)), np.int64, 7 * len(words))
-    return ids, rows.reshape(-1, 7)
+def _inputs(net, tokens):
+    """Numbers of the tokens' words, and of their character sequences (a row of GRAMS each; 0: not known)."""
+    known, form = net.words.get, net.grams.get
+    ids = np.fromiter((known(word_of(t), 0) for t in tokens), np.int64, len(tokens))
+    rows = np.zeros((len(tokens), GRAMS), np.int32)
+    for k, token in enumerate(tokens):
+        own = [g for g in map(form, grams(token)) if g]
+        rows[k, : len(own)] = own
+    return ids, rows
 
 
 def _vectors(net, ids, rows):
-    affix = net.weights["affix"][rows].sum(axis=1) / np.maximum((rows > 0).sum(axis=1), 1)[:, None].astype(np.float32)
-    return np.concatenate([net.weights["word"][ids], affix], axis=1)
+    used = max(1, int((rows > 0).sum(axis=1).max(initial=0)))  # what is known comes first
+    rows = rows[:, :used]
+    form = net.weights["gram"][rows].sum(axis=1) / np.maximum((rows > 0).sum(axis=1), 1)[:, None].astype(np.float32)
+    return np.concatenate([net.weights["word"][ids], form], axis=1)
 
 
 def _project(net, vectors):
@@ -194,7 +219,7 @@ def train(texts, labels, rounds=3, epochs=3, batch=128, rate=0.01, vocabulary=40
     if len(set(labels)) < 2:
         return None
     random = np.random.default_rng(seed)
-    split = [words_of(text) for text in texts]
+    split = [tokens_of(text) for text in texts]
     labels = np.array(labels)
     held = np.zeros(len(texts), bool)
     for label in (0, 1):
@@ -202,14 +227,10 @@ def train(texts, labels, rounds=3, epochs=3, batch=128, rate=0.01, vocabulary=40
         held[own[: len(own) // 5]] = True
     learning = np.flatnonzero(~held)
     seen, forms = {0: Counter(), 1: Counter()}, {0: Counter(), 1: Counter()}
-    known_affixes = {}
     for i in learning:
         own = set(split[i])
-        seen[labels[i]].update(own)
-        for w in own:
-            if w not in known_affixes:
-                known_affixes[w] = affixes(w)
-        forms[labels[i]].update(set(chain.from_iterable(map(known_affixes.__getitem__, own))))
+        seen[labels[i]].update(set(map(word_of, own)) - {""})
+        forms[labels[i]].update(set(chain.from_iterable(map(grams, own))))
     totals = Counter(labels[learning].tolist())
     least = 3 if totals[1] < 200 else 5
     tables, odds = [], []
@@ -222,29 +243,31 @@ def train(texts, labels, rounds=3, epochs=3, batch=128, rate=0.01, vocabulary=40
     def normal(*shape):
         return random.normal(0, 1 / sqrt(shape[0]), shape).astype(np.float32)
 
-    size, two = WORD_SIZE + AFFIX_SIZE, 2 * STATE
+    size, two = WORD_SIZE + GRAM_SIZE, 2 * STATE
     weights = {
         "word": 0.05 * random.normal(size=(len(odds[0]), WORD_SIZE)).astype(np.float32),
-        "affix": 0.05 * random.normal(size=(len(odds[1]), AFFIX_SIZE)).astype(np.float32),
+        "gram": 0.05 * random.normal(size=(len(odds[1]), GRAM_SIZE)).astype(np.float32),
         "in_f": normal(size, 3 * STATE), "in_b": normal(size, 3 * STATE), "hid_f": normal(STATE, 3 * STATE), "hid_b": normal(STATE, 3 * STATE),
         "bias_f": np.zeros(3 * STATE, np.float32), "bias_b": np.zeros(3 * STATE, np.float32),
         "att": normal(two, two), "att_bias": np.zeros(two, np.float32), "att_out": normal(two), "out": normal(two),
         "out_bias": np.full(1, -2.0, np.float32),
     }
-    weights["word"][:, 0], weights["affix"][:, 0] = odds[0] / 3, odds[1] / 3
+    weights["word"][:, 0], weights["gram"][:, 0] = odds[0] / 3, odds[1] / 3
     net = Network(tables[0], tables[1], weights)
     words = sorted({w for own in split for w in own})
     number = {w: i for i, w in enumerate(words)}
     word_ids, forms_of = _inputs(net, words)
     windows = [windows_of([number[w] for w in own]) for own in split]
-    hint = np.maximum(odds[0][word_ids], odds[1][forms_of].sum(axis=1) / np.maximum((forms_of > 0).sum(axis=1), 1))
-    dense = Adam({k: v for k, v in weights.items() if k not in ("word", "affix")}, rate)
-    speed = {"word": np.zeros(len(odds[0]), np.float32), "affix": np.zeros(len(odds[1]), np.float32)}
+    formed = np.concatenate([odds[1][forms_of[i : i + TOKENS]].sum(axis=1) for i in range(0, len(words), TOKENS)] or [np.zeros(0, np.float32)])
+    hint = np.maximum(odds[0][word_ids], formed / np.maximum((forms_of > 0).sum(axis=1), 1))
+    dense = Adam({k: v for k, v in weights.items() if k not in ("word", "gram")}, rate)
+    speed = {"word": np.zeros(len(odds[0]), np.float32), "gram": np.zeros(len(odds[1]), np.float32)}
 
     def scores():
         """Logit of each window of each text."""
         every = np.concatenate(windows)
-        projected = _project(net, _vectors(net, word_ids, forms_of))
+        vectors = [_vectors(net, word_ids[i : i + TOKENS], forms_of[i : i + TOKENS]) for i in range(0, len(words), TOKENS)]
+        projected = _project(net, np.concatenate([np.zeros((0, size), np.float32), *vectors]))
         found = np.concatenate([_forward(net, projected, every[i : i + SIDE_BY_SIDE])[0] for i in range(0, len(every), SIDE_BY_SIDE)])
         return np.split(found, np.cumsum([len(x) for x in windows])[:-1])
 
@@ -284,7 +307,8 @@ def train(texts, labels, rounds=3, epochs=3, batch=128, rate=0.01, vocabulary=40
                 dense.step(grads)
                 sparse_step("word", ids, d_vectors[:, :WORD_SIZE])
                 shares = d_vectors[:, WORD_SIZE:] / np.maximum((forms > 0).sum(axis=1), 1)[:, None]
-                sparse_step("affix", forms.ravel(), np.repeat(shares, 7, axis=0))
+                own, place = np.nonzero(forms)
+                sparse_step("gram", forms[own, place], shares[own])
     top = np.array([r.max() for r in scores()])
     _calibrate(net, top[held], labels[held])
     return net
@@ -306,24 +330,31 @@ def _calibrate(net, top, labels):
 TOXIC = 0.7
 
 
-def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", per_class=(1600, 1200), max_chars=24_000):
+def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", per_class=(1600, 1200), pieces=24, piece_chars=1000):
     """Network from the labelled rows of docs.
 
-    A bounded sample trains it: of the rows labelled 0 and 1 at most per_class, those of least id hash, and of
-    each text the first max_chars characters. It is the only thing that reaches the driver. Null labels, ids and
+    A bounded sample trains it: of the rows labelled 0 and 1 at most per_class, those of least id hash. Of a text of more
+    than `pieces` pieces of piece_chars characters the pieces of least hash are taken, wherever they stand; such a text
+    labelled 1 is left out, since its label may stand for a piece that isn't among them. Scoring reads whole texts. The
+    sample is the only thing that reaches the driver. Null labels, ids and
     texts are left out; an id labelled twice counts as toxic if any label says so. None without both labels.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(
         F.max((F.col(label_col) == 1).cast("int")).alias("label"))
     here = docs.where(docs[id_col].isNotNull() & docs[text_col].isNotNull())
-    marked = marked.join(here.select(docs[id_col].alias("l_id")).distinct(), "l_id").withColumn("h", F.xxhash64("l_id", F.lit(11)))
+    sizes = here.groupBy(docs[id_col].alias("l_id")).agg(F.min(F.length(docs[text_col])).alias("size"))
+    marked = marked.join(sizes, "l_id").where((F.col("label") == 0) | (F.col("size") <= pieces * piece_chars)).withColumn("h", F.xxhash64("l_id", F.lit(11)))
     sample = [r for label, most in enumerate(per_class) for r in marked.where(F.col("label") == label).orderBy("h", "l_id").limit(most).collect()]
     if not sample:
         return None
     kind = docs.schema[id_col].dataType
     chosen = docs.sparkSession.createDataFrame([(r["l_id"], r["label"]) for r in sample], T.StructType([T.StructField("l_id", kind), T.StructField("label", T.IntegerType())]))
-    rows = here.join(F.broadcast(chosen), docs[id_col] == chosen["l_id"]).groupBy("l_id").agg(
-        F.min(F.substring(docs[text_col], 1, max_chars)).alias("text"), F.max("label").alias("label"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.length(docs[text_col]) - 1) / piece_chars).cast("int")), lambda i: F.struct(
+        F.xxhash64(F.lit(13), i).alias("h"), F.substring(docs[text_col], i * piece_chars + 1, F.lit(piece_chars)).alias("piece")))
+    drawn = F.array_join(F.slice(F.array_sort(cut), 1, pieces)["piece"], " ")
+    whole = F.length(docs[text_col]) <= pieces * piece_chars
+    rows = here.join(F.broadcast(chosen), docs[id_col] == chosen["l_id"]).select("l_id", "label", F.when(whole, docs[text_col]).otherwise(drawn).alias("drawn")).groupBy(
+        "l_id").agg(F.min("drawn").alias("text"), F.max("label").alias("label"))
     rows = sorted(rows.collect(), key=lambda r: str(r["l_id"]))
     order = np.random.default_rng(3).permutation(len(rows))
     return train([rows[i]["text"] for i in order], [rows[i]["label"] for i in order])
@@ -341,6 +372,10 @@ class Scorer:
         self.projected = [np.empty((1 << 14, 3 * STATE), np.float32) for _ in range(2)]
 
     def learn(self, tokens):
+        for i in range(0, len(tokens), TOKENS):
+            self._learn(tokens[i : i + TOKENS])
+
+    def _learn(self, tokens):
         vectors = _vectors(self.net, *_inputs(self.net, tokens))
         stop = self.count + len(tokens)
         for side, rows in enumerate(_project(self.net, vectors)):
@@ -351,7 +386,7 @@ class Scorer:
         self.count = stop
 
     def scores(self, texts):
-        split = [words_of(t) for t in texts]
+        split = [tokens_of(t) for t in texts]
         if self.count > REMEMBERED:
             self.forget()
         new = list({t for own in split for t in own if t not in self.number})
