@@ -113,7 +113,7 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
         strange = sources.findings.first()
         if strange:
             raise ValueError(f"input that is not understood: {strange['rule']} {strange['key']}")
-    models = read_models(sources.model_diffs, sources.model_definitions)
+    models = staged(read_models(sources.model_diffs, sources.model_definitions), f"{work}/models")
     registry = build_registry(models)
 
     changes = staged(changes, f"{work}/read")
@@ -125,7 +125,7 @@ def apply_page(store, sources, changes, mark, stamp_ms, options=None, progress=N
     extent = _extent(net)
     updates = net.where("op = 'upsert'").select("id", "uuid", "reset")
     thin = staged(_checked(latest_metadata(updates, sources.metadata, extent["size"]), options), f"{work}/thin")
-    nodes, refused_acls = _enriched(thin, extent["size"], sources, registry, options)
+    nodes, refused_acls = _enriched(thin, extent["size"], sources, registry, options, work)
     built = staged(
         build_documents(nodes, stamp_ms, "reset", "refused_keys", "bad_properties", tag_root=options.tag_root), f"{work}/documents"
     )
@@ -197,7 +197,7 @@ def _checked(thin, options):
     return thin.withColumn("n", F.when(F.col("n") > 1, failure).otherwise(F.col("n")))
 
 
-def _enriched(thin, size, sources, registry, options):
+def _enriched(thin, size, sources, registry, options, work):
     """Metadata, readers and prefixed properties of the updated nodes, and the access lists that were refused.
 
     Readers small enough to broadcast are attached to the finished rows. Otherwise they are attached to the
@@ -209,7 +209,7 @@ def _enriched(thin, size, sources, registry, options):
         refused = quality.duplicate_acls(wanted)
         twice = refused.select(F.col("key").cast("bigint").alias("acl_id"))
         keys = keys.join(twice, "acl_id", "left_anti")
-    readers = readers_by_acl(sources.acls, keys, options.on_error)
+    readers = staged(readers_by_acl(sources.acls, keys, options.on_error), f"{work}/readers")
     readers_size = measure(readers)[1]
     wide = sources.metadata.select(*METADATA_COLUMNS, *(["version"] if "version" in sources.metadata.columns else []))
     if "version" not in wide.columns:

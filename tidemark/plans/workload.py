@@ -500,7 +500,7 @@ def stream_net_state(spark, d):
 
 def stream_documents(spark, d):
     """The whole cycle over a stream of the documents' changes, some transactions over two micro-batches."""
-    sources = _document_sources(spark, d)
+    sources = document_sources(spark, d)
     folder = new_folder(spark, "stream-documents")
     last = sources.log.agg(F.max("id")).first()[0]
     _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0)
@@ -510,7 +510,7 @@ def stream_documents(spark, d):
     return _cycle_rows(store)
 
 
-def _document_sources(spark, d):
+def document_sources(spark, d):
     return Sources(
         log=t.document_log(spark, d),
         changes=t.document_changes(spark, d),
@@ -530,7 +530,7 @@ def _cycle_rows(store):
 def index_cycle(spark, d):
     """The whole cycle over the documents, all that is pending in one batch."""
     store = IndexStore(spark, new_folder(spark, "cycle"), slices=4, buckets=8).ensure()
-    catch_up(store, _document_sources(spark, d), max_results=None)
+    catch_up(store, document_sources(spark, d), max_results=None)
     return _cycle_rows(store)
 
 
@@ -557,7 +557,7 @@ def late_transactions(spark, d):
 
 def held_back_cycle(spark, d):
     """The cycle over a log in which every seventh transaction comes after all others."""
-    sources = _document_sources(spark, d)
+    sources = document_sources(spark, d)
     late = F.col("id") % 7 == 3
     store = IndexStore(spark, new_folder(spark, "held-back"), slices=4, buckets=8).ensure()
     options = Options(hold_back_ms=0)
@@ -590,7 +590,7 @@ def _damaged(sources):
 
 def rejects_report(spark, d):
     """Findings by rule, and documents indexed, of a cycle over damaged input that leaves bad rows out."""
-    damaged = replace(_damaged(_document_sources(spark, d)), texts=None)
+    damaged = replace(_damaged(document_sources(spark, d)), texts=None)
     store = IndexStore(spark, new_folder(spark, "rejects"), slices=4, buckets=8).ensure()
     catch_up(store, damaged, None, Options(on_error="reject"))
     found = spark.read.parquet(f"{store.root}/rejects/c=1").select("rule")
@@ -599,7 +599,7 @@ def rejects_report(spark, d):
 
 def rejects_replayed(spark, d):
     """The index after a cycle over damaged input once the input is repaired and what was left out is driven again."""
-    sources = _document_sources(spark, d)
+    sources = document_sources(spark, d)
     store = IndexStore(spark, new_folder(spark, "replayed"), slices=4, buckets=8).ensure()
     catch_up(store, _damaged(sources), None, Options(on_error="reject"))
     replay_pending(store, sources)
