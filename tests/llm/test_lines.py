@@ -1,6 +1,7 @@
 """Line dedup against plain comparison of all texts."""
 
 import random
+import re
 
 import pytest
 
@@ -50,19 +51,21 @@ def words(text):
 
 def prints_of(*texts):
     """Per text the fingerprints and their places, of texts worked off together."""
-    every = [L.split_lines(t) for t in texts]
-    mask, begin = L.np.zeros(sum(len(w) for w, _ in every), bool), 0
-    for held, last in every:
-        mask[[begin + k for k in last]] = True
-        begin += len(held)
-    found, ats = L.text_fingerprints([w for held, _ in every for w in held], mask, [len(held) for held, _ in every])
+    import pyarrow as pa
+
+    held, counts = L.in_words(pa.array([t.encode() for t in texts]))
+    found, ats = L.text_fingerprints(held.hashes, held.breaks, counts)
     return [(f.tolist(), a.tolist()) for f, a in zip(found, ats)]
 
 
 def plain_lines(text):
-    """Lines as lists of words: cut after newlines, sentences, and words of the least hash of some three."""
-    held, last = L.split_lines(text)
-    hashes = L.hashes_of(held).tolist()
+    """Lines as lists of words: cut after newlines and words of the least hash of some three."""
+    held, last = [], set()
+    for line in text.split("\n"):
+        held += line.split()
+        last.add(len(held) - 1)
+    hashes = L.Words(text.encode()).hashes.tolist()
+    assert len(hashes) == len(held)
     cuts = set(last) | {len(held) - 1}
     for i in range(len(held) - 2):
         least = min(hashes[i : i + 3])
@@ -76,6 +79,21 @@ def plain_lines(text):
     return lines
 
 
+@pytest.mark.parametrize("part", [64, 1 << 20])
+def test_words(monkeypatch, part):
+    monkeypatch.setattr(L, "PART", part)
+    pick = random.Random(11)
+    for n in (0, 1, 2, 50, 400):
+        gaps = [" ", "\n", "\t ", "\n\n", "\r\x0b\x0c"]
+        pieces = [(pick.choice(["a", "é", "漢字", "word", "x" * 70, "a\u00a0b"]), pick.choice(gaps)) for _ in range(n)]
+        data = (pick.choice(["", " ", "\n"]) + "".join(w + g for w, g in pieces)).encode()
+        found = L.Words(data)
+        assert [data[a:b].decode() for a, b in zip(found.starts, found.ends)] == [w for w, _ in pieces]
+        assert found.breaks.tolist() == ["\n" in g or k == n - 1 for k, (_, g) in enumerate(pieces)]
+        assert len(set(found.hashes.tolist())) == len({w for w, _ in pieces})
+        assert dict(zip([w for w, _ in pieces], found.hashes.tolist())) == {w: L.Words(w.encode()).hashes[0] for w, _ in pieces}
+
+
 def plain_fingerprints(text):
     """Units (as tuples of lines) that some window must choose from, by window, beside the first words of all units."""
     lines = [tuple(line) for line in plain_lines(text)]
@@ -145,7 +163,7 @@ def covered(texts, least=20):
 
 
 def deleted_words(text, spans):
-    places = [m.start() for m in L.re.finditer(r"\S+", text)]
+    places = [m.start() for m in re.finditer(r"\S+", text)]
     return {k for k, at in enumerate(places) if any(s["start"] <= at < s["end"] for s in spans)}
 
 

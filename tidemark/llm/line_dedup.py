@@ -1,7 +1,8 @@
 """Line dedup by winnowing over line hashes.
 
-A line ends with a newline, a sentence, or a word of the least hash among LINE_WORDS consecutive ones, so no line has more
-words than that and a passage is cut alike wherever it stands, but for a few words at its ends. Lines are hashed. A unit
+A line ends with a newline or a word of the least hash among LINE_WORDS consecutive ones, so no line has more words than
+that and a passage is cut alike wherever it stands, but for a few words at its ends. Words are what stands between ASCII
+white space. Lines are hashed. A unit
 is as many whole lines as hold UNIT_WORDS words; of the units that lie within lines of WINDOW_WORDS words the one of least
 hash is a fingerprint. A run of 30 words that two texts share holds, beyond five words at either end, 20 words of lines
 that are cut alike, hence a whole window, so the texts share a fingerprint whatever signs the run has and whatever stands
@@ -11,15 +12,13 @@ Each fingerprint is joined with its first occurrence in the corpus (by id, then
 word by word, and the later run is deleted.
 """
 
-import re
 from itertools import chain, pairwise
 
 import numpy as np
-import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.chunks import sliced, texts_of
+from tidemark.llm.chunks import sliced
 from tidemark.llm.common import bounded_broadcast, in_arrow, keyed, ship, stored
 
 LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 10, 18
@@ -27,30 +26,53 @@ LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 10, 18
 SURE_WORDS = 30
 #: Stands for the end of a text.
 END = 2**31 - 2
-#: Words of at most so many characters are remembered with their hash, and so many of them; when full all are forgotten.
-SHORT, REMEMBERED = 32, 200_000
-#: Odd factors of the hashes of lines and units.
+#: Bytes hashed at a time; a longer text is cut at white space.
+PART = 1 << 20
+#: Odd factors of the hashes of words, lines and units.
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 BASE = 0xD1B54A32D192ED03
-
-
-class Hashes(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word):
-        value = xxhash.xxh64_intdigest(word)
-        if len(word) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = value
-        return value
-
-
-HASHES = Hashes()
-
-
-def hashes_of(words):
-    return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+#: What separates words.
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def powers(n):
+    """Powers of BASE and of its inverse, n of each."""
+    if not hasattr(powers, "held") or len(powers.held[0]) < n:
+        powers.held = [np.multiply.accumulate(np.full(n, base, np.uint64)) for base in (BASE, pow(BASE, -1, 1 << 64))]
+    return [values[:n] for values in powers.held]
+
+
+class Words:
+    """Words of some bytes: their hashes, first and last bytes (the last one excluded), and after which of them a line
+    ends by a newline (a mask)."""
+
+    def __init__(self, data):
+        parts, begin = [], 0
+        while begin < len(data):
+            stop = len(data)
+            if stop - begin > PART:
+                cut = max(data.rfind(blank, begin + 1, begin + PART) for blank in (b" ", b"\n", b"\t"))
+                stop = cut if cut > 0 else min((at for at in (data.find(blank, begin + PART) for blank in (b" ", b"\n", b"\t")) if at > 0), default=stop)
+            parts.append(self._part(data, begin, stop))
+            begin = stop
+        none = [np.empty(0, np.uint64)] + [np.empty(0, np.int64)] * 3
+        self.hashes, self.starts, self.ends, lines = (np.concatenate(x) for x in zip(none, *parts))
+        # newlines are counted on through the parts
+        self.breaks = np.append(lines[1:] > lines[:-1], True)[: len(lines)]
+
+    def _part(self, data, begin, stop):
+        held = np.frombuffer(data, np.uint8, stop - begin, begin)
+        word = np.concatenate([[False], ~BLANK[held], [False]])
+        turns = np.flatnonzero(word[1:] != word[:-1])
+        starts, ends = turns[::2], turns[1::2]
+        power, back = powers(len(held) + 1)
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum((held.astype(np.uint64) + np.uint64(1)) * power[: len(held)], dtype=np.uint64)])
+        hashes = mixed((running[ends] - running[starts]) * back[starts])
+        newlines = np.cumsum(held == 10)
+        lines = newlines[starts] + getattr(self, "newlines", 0)
+        self.newlines = getattr(self, "newlines", 0) + (int(newlines[-1]) if len(held) else 0)
+        return hashes, starts + begin, ends + begin, lines
 
 
 def shortened(hashes):
@@ -86,25 +108,24 @@ def line_hashes(hashes, starts):
     return mixed(np.add.reduceat(hashes * FACTORS[place], starts))
 
 
-def line_units(lines, starts, n):
-    """Hash of the unit that begins at each line, and the line it ends before; n: words in all."""
-    bounds = np.append(starts, n)
-    ends = np.searchsorted(bounds, starts + UNIT_WORDS)
-    with np.errstate(over="ignore"):
-        power = np.multiply.accumulate(np.full(len(lines), BASE, np.uint64))
-        back = np.multiply.accumulate(np.full(len(lines), pow(BASE, -1, 1 << 64), np.uint64))
-        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * power, dtype=np.uint64)])
-        return mixed((running[np.minimum(ends, len(lines))] - running[:-1]) * back), ends
+def line_units(lines, starts, before, n):
+    """Hash of the unit that begins at each line, and the line it ends before (beyond the last line: none). before: how
+    many lines begin before each word, of n words."""
+    stop = starts + UNIT_WORDS
+    ends = np.where(stop <= n, before[np.minimum(stop, n)], len(lines) + 1)
+    power, back = powers(len(lines))
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * power, dtype=np.uint64)])
+    return mixed((running[np.minimum(ends, len(lines))] - running[:-1]) * back), ends
 
 
-def chosen_units(units, unit_ends, starts, text_ends):
+def chosen_units(units, unit_ends, starts, before, text_ends):
     """Which units (a mask) are the least of some window; text_ends: for each line the end of its text, in words."""
-    n = len(units)
-    bounds = np.append(starts, text_ends[-1] if n else 0)
+    bounds = np.append(starts, text_ends[-1])
     at = np.flatnonzero(starts + WINDOW_WORDS <= text_ends)
-    stop = np.searchsorted(unit_ends, np.searchsorted(bounds, starts[at] + WINDOW_WORDS), "right")
+    # a window ends before the first line that begins WINDOW_WORDS or more words on, and its units begin UNIT_WORDS before that
+    stop = before[bounds[before[starts[at] + WINDOW_WORDS]] - UNIT_WORDS + 1]
     most = int((stop - at).max(initial=0))
-    least, chosen = units[at], np.zeros(n, bool)
+    least, chosen = units[at], np.zeros(len(units), bool)
     for k in range(1, most):
         own = at + k < stop
         least[own] = np.minimum(least[own], units[at[own] + k])
@@ -115,19 +136,22 @@ def chosen_units(units, unit_ends, starts, text_ends):
     return chosen
 
 
-def text_fingerprints(words, breaks, counts):
-    """Of texts one after the other (their words, where lines end anyway, and the number of words of each, UNIT_WORDS at
-    least): hash and place, a word of its text, of every fingerprint, in two lists of arrays."""
-    hashes, counts = hashes_of(words), np.asarray(counts, np.int64)
+def text_fingerprints(hashes, breaks, counts):
+    """Of texts one after the other (hashes of their words, where lines end anyway, and the number of words of each,
+    WINDOW_WORDS at least): hash and place, a word of its text, of every fingerprint, in two lists of arrays."""
+    counts = np.asarray(counts, np.int64)
     if not len(counts):
         return [], []
-    ends = np.cumsum(counts)
+    ends, n = np.cumsum(counts), len(hashes)
     starts = line_starts(hashes, breaks, ends)
-    text = np.searchsorted(ends, starts, "right")
-    units, unit_ends = line_units(line_hashes(hashes, starts), starts, len(hashes))
-    places = np.flatnonzero(chosen_units(units, unit_ends, starts, ends[text]))
+    begun = np.zeros(n, np.int64)
+    begun[starts] = 1
+    before = np.concatenate([[0], np.cumsum(begun)])
+    text_ends = np.repeat(ends, before[ends] - before[ends - counts])
+    units, unit_ends = line_units(line_hashes(hashes, starts), starts, before, n)
+    places = np.flatnonzero(chosen_units(units, unit_ends, starts, before, text_ends))
     values, found, ats = units[places], [], []
-    cuts = np.searchsorted(text[places], np.arange(len(counts) + 1)).tolist()
+    cuts = np.searchsorted(places, np.append(before[ends - counts], len(starts))).tolist()
     for k, (begin, stop) in enumerate(pairwise(cuts)):
         own, of_own = places[begin:stop], values[begin:stop]
         if len(own) > 1 and (of_own[1:] == of_own[:-1]).any():
@@ -157,6 +181,15 @@ def in_lists(values, kind):
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.empty(0, kind), *values])))
 
 
+def in_words(column):
+    """Words of the texts of an Arrow column of UTF-8 bytes, one after the other, and how many each has."""
+    texts = [b or b"" for b in column.to_pylist()]
+    words = Words(b"\n".join(texts))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    upto = np.searchsorted(words.starts, ends)
+    return words, np.diff(upto, prepend=0)
+
+
 def word_hashes(rows):
     """id, mark, hashes (of each word) of rows of id, mark and text."""
     rows = rows.withColumn("text", F.col("text").cast("binary"))
@@ -166,7 +199,8 @@ def word_hashes(rows):
         import pyarrow as pa
 
         for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
-            found = [shortened(hashes_of(text.split())) for text in texts_of(part.column(2))]
+            words, counts = in_words(part.column(2))
+            found = np.split(shortened(words.hashes), np.cumsum(counts)[:-1])
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), in_lists(found, np.int32)], names=out.names)
 
     return in_arrow(rows, computed, out)
@@ -182,37 +216,17 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20):
         import pyarrow as pa
 
         for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
-            words, breaks, counts, keep = [], [], [], []
-            for row, text in enumerate(texts_of(part.column(2))):
-                own, last = split_lines(text)
-                if len(own) >= max(least_words, WINDOW_WORDS):
-                    breaks += [len(words) + k for k in last]
-                    words += own
-                    counts.append(len(own))
-                    keep.append(row)
-            mask = np.zeros(len(words), bool)
-            mask[breaks] = True
-            found, ats = text_fingerprints(words, mask, counts)
-            taken = pa.array(keep, pa.int64())
-            columns = [pa.array(counts, pa.int32()), in_lists(found, np.int64), in_lists(ats, np.int32)]
+            words, counts = in_words(part.column(2))
+            keep = counts >= max(least_words, WINDOW_WORDS)
+            own = np.repeat(keep, counts)
+            found, ats = text_fingerprints(words.hashes[own], words.breaks[own], counts[keep])
+            taken = pa.array(np.flatnonzero(keep))
+            columns = [pa.array(counts[keep], pa.int32()), in_lists(found, np.int64), in_lists(ats, np.int32)]
             yield pa.RecordBatch.from_arrays([part.column(0).take(taken), part.column(1).take(taken), *columns], names=out.names)
 
     return in_arrow(rows, computed, out)
 
 
-def split_lines(text):
-    """Words of a text, and after which of them a line ends by a newline or the end of a sentence."""
-    words, last = [], []
-    for line in text.split("\n"):
-        own = line.split()
-        if own:
-            begin = len(words)
-            words += own
-            last += [begin + k for k, word in enumerate(own) if word[-1] in ".!?"]
-            last.append(len(words) - 1)
-    return words, last
-
-
 def alike(a, b):
     """How many first elements of two arrays are equal."""
     n, at, step = min(len(a), len(b)), 0, 32
@@ -291,12 +305,12 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
     return met.groupBy("id", "mark").agg(F.collect_list(match).alias("matches"))
 
 
-def runs_of(text, matches, least_words):
-    """(start, end, words, first id) of the runs of one text to delete, in characters, in order and apart. matches: of each
+def runs_of(data, matches, least_words):
+    """(first byte, end, words, first id) of the runs of one text (UTF-8) to delete, in order and apart. matches: of each
     the first id, hashes, ats and first_ats. White space belongs to the word it follows."""
-    starts = [m.start() for m in re.finditer(r"\S+", text)]
+    words = Words(data)
+    hashes, starts = shortened(words.hashes), words.starts.tolist()
     starts[:1] = [0] if starts else []
-    hashes = shortened(hashes_of(text.split()))
     found = []
     for first, first_hashes, ats, first_ats in matches:
         for start, end in extended(hashes, first_hashes, zip(ats, first_ats)):
@@ -306,15 +320,21 @@ def runs_of(text, matches, least_words):
     for start, end, first in sorted(found, key=lambda r: (r[0], -r[1])):
         start = max(start, reached)
         if start < end:
-            runs.append((starts[start], starts[end] if end < len(starts) else END, end - start, first))
+            runs.append((starts[start], starts[end] if end < len(starts) else len(data), end - start, first))
             reached = end
     return runs
 
 
-def left_of(text, runs):
-    """text without the runs: what lies before each, and after the last."""
+def left_of(data, runs):
+    """data without the runs: what lies before each, and after the last."""
     ends = [0, *(end for _, end, *_ in runs)]
-    return "".join(text[end:start] for end, start in zip(ends, [*(start for start, *_ in runs), len(text)]))
+    return b"".join(data[end:start] for end, start in zip(ends, [*(start for start, *_ in runs), len(data)]))
+
+
+def in_characters(data, runs):
+    """The runs by characters; one that reaches the end of the text ends at END."""
+    upto = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])
+    return [(int(upto[a]), END if b == len(data) else int(upto[b]), *more) for a, b, *more in runs]
 
 
 def _lists(column):
@@ -341,10 +361,11 @@ def _cut_udf(id_type, least_words):
         for i, data in enumerate(text):
             runs = None
             if matches[i].is_valid:
-                whole = data.as_py().decode("utf-8", "replace")
+                whole = data.as_py()
                 met = [(f[0], f[1], f[2].tolist(), f[3].tolist()) for f in zip(*(f[begin[i] : begin[i + 1]] for f in fields))]
                 runs = runs_of(whole, met, least_words)
-            found.append({"spans": [dict(zip(names, r)) for r in runs], "text": left_of(whole, runs)} if runs else None)
+            found.append({"spans": [dict(zip(names, r)) for r in in_characters(whole, runs)],
+                          "text": left_of(whole, runs).decode("utf-8", "replace")} if runs else None)
         return pa.array(found, to_arrow_type(kind))
 
     return cut
