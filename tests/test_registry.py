@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import parse_properties
 from tidemark.operators import quality
 from tidemark.operators.enrich import attach_readers, prefix_properties, readers_by_acl
-from tidemark.operators.registry import build_registry, model_name, read_models, small_registry
+from tidemark.operators.registry import build_registry, holders, model_name, read_models, registry_changes, small_registry
 
 XML = [
     ("<model name='r1:m'/>", "r1:m"),
@@ -113,3 +113,14 @@ def test_duplicate_acl(spark):
     kept = {r["acl_id"]: r["readers"] for r in readers_by_acl(acls, on_error="reject").collect()}
     assert kept == {1: None, 2: ["c"]}
     assert [(r["key"], r["detail"]) for r in quality.duplicate_acls(acls).collect()] == [("1", "2")]
+
+
+def test_only_holders_of_a_changed_namespace_are_built_anew(spark):
+    old = spark.createDataFrame([("{u1}", "a"), ("{u2}", "b"), ("{u3}", "c")], "uri string, prefix string")
+    new = spark.createDataFrame([("{u1}", "a"), ("{u2}", "z"), ("{u4}", "d")], "uri string, prefix string")
+    changes = registry_changes(old, new)
+    assert {tuple(r) for r in changes.collect()} == {("{u2}", "b", "z"), ("{u3}", "c", None), ("{u4}", None, "d")}
+    index = spark.createDataFrame(
+        [("kept", ["a:x", "{u9}:y"]), ("renamed", ["a:x", "b:y", "b:z"]), ("lost", ["c:x"]), ("found", ["{u4}:b"]), ("none", [])],
+        "uuid string, property_names array<string>")
+    assert sorted(r["uuid"] for r in holders(index, changes).collect()) == ["found", "lost", "renamed"]

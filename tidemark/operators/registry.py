@@ -59,3 +59,19 @@ def small_registry(registry, max_rows=1000):
     """The registry as a {uri: prefix} dict when it has at most max_rows rows, else None."""
     rows = registry.limit(max_rows + 1).collect()
     return {r["uri"]: r["prefix"] for r in rows} if len(rows) <= max_rows else None
+
+
+def registry_changes(old, new):
+    """uri, old_prefix, new_prefix of the namespaces that two registries know differently; null where one doesn't."""
+    before, after = old.select("uri", F.col("prefix").alias("old_prefix")), new.select("uri", F.col("prefix").alias("new_prefix"))
+    return before.join(after, "uri", "full_outer").where(~F.col("old_prefix").eqNullSafe(F.col("new_prefix")))
+
+
+def holders(index, changes):
+    """Keys of the documents that name a property of a changed namespace, by its old prefix, or its uri where there was
+    none: an inverted list from prefixes to documents, met by the changes. Only these have to be built anew."""
+    name = F.col("name")
+    prefix = F.when(name.startswith("{"), qname_uri("name")).otherwise(F.substring_index(name, ":", 1))
+    listed = index.select("uuid", F.explode("property_names").alias("name")).select("uuid", prefix.alias("prefix"))
+    wanted = changes.select(F.coalesce("old_prefix", "uri").alias("prefix")).distinct()
+    return listed.join(wanted, "prefix", "left_semi").select("uuid").distinct()

@@ -298,10 +298,12 @@ def _flat(index, *more):
     )
 
 
-def _documents(spark, d, stamp, **options):
-    nodes = t.document_metadata(spark, d).withColumn("properties", parse_properties(F.col("properties")))
-    nodes = nodes.withColumn("uuid", ref_to_uuid("node_ref"))
-    named = prefix_properties(nodes, _registry(spark, d), **options)
+def _documents(spark, d, stamp, known=None, only=None, **options):
+    nodes = t.document_metadata(spark, d).withColumn("uuid", ref_to_uuid("node_ref"))
+    if only is not None:
+        nodes = nodes.join(only, "uuid", "left_semi")
+    nodes = nodes.withColumn("properties", parse_properties(F.col("properties")))
+    named = prefix_properties(nodes, _registry(spark, d) if known is None else known, **options)
     readers = readers_by_acl(t.acl_readers(spark, d), t.document_metadata(spark, d))
     return document.build_documents(attach_readers(named, readers), stamp)
 
@@ -315,6 +317,16 @@ def documents_built_by_join(spark, d):
     return _flat(_documents(spark, d, 1_700_000_000_000, max_rows=0))
 
 
+def registry_propagated(spark, d):
+    """The index after a namespace has got another prefix: its holders are built anew, all others stay as they are."""
+    old = _registry(spark, d)
+    new = old.withColumn("prefix", F.when(F.col("prefix") == "r3", "r9").otherwise(F.col("prefix")))
+    index = staged(_documents(spark, d, 1_700_000_000_000), f"{new_folder(spark, 'renamed')}/index")
+    stale = staged(registry.holders(index, registry.registry_changes(old, new)), f"{new_folder(spark, 'renamed')}/stale")
+    kept = index.join(stale, "uuid", "left_anti").withColumn("rebuilt", F.lit(0))
+    return _flat(kept.unionByName(_documents(spark, d, 1_700_000_000_000, new, stale).withColumn("rebuilt", F.lit(1))), "rebuilt")
+
+
 def primary_parent(spark, d):
     refs = F.transform(t.url_segments("url"), lambda s: F.concat(F.lit("workspace://SpacesStore/"), s))
     pages = t.table(spark, d, "pages").select("page_id", F.transform(refs, ref_to_uuid).alias("a"))
@@ -716,6 +728,7 @@ QUERIES = {
     "escape_text": escape_text,
     "documents_built": documents_built,
     "documents_built_by_join": documents_built_by_join,
+    "registry_propagated": registry_propagated,
     "primary_parent": primary_parent,
     "tags": tags,
     "owner_fallback": owner_fallback,

@@ -399,3 +399,8 @@ kept as (select * from after where substr(uuid, 3)::bigint % 11 <> 0)
 select coalesce(k.uuid, b.uuid) as uuid, case when k.uuid is null then 'delete' else 'update' end as action
 from before b full join kept k on k.uuid = b.uuid
 where k.uuid is null or b.uuid is null or (k.type, k.last_update_ms, k.fields) <> (b.type, b.last_update_ms, b.fields) or k.owner is distinct from b.owner"""
+
+SQL["registry_propagated"] = f"""
+select * replace (replace(property_names, 'r3:', 'r9:') as property_names, replace(fields, 'r3%3A', 'r9%3A') as fields),
+       contains(property_names, 'r3:')::int as rebuilt
+from ({SQL['documents_built']})"""
