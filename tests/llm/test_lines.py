@@ -102,7 +102,7 @@ def plain_fingerprints(text):
     def reach(i, many):
         return next((k for k in range(i, len(lines) + 1) if begins[k] - begins[i] >= many), None)
 
-    units = {i: reach(i, 10) for i in range(len(lines)) if reach(i, 10) is not None}
+    units = {i: reach(i, 8) for i in range(len(lines)) if reach(i, 8) is not None}
     windows = [{begins[k] for k, end in units.items() if k >= i and end <= reach(i, 18)} for i in range(len(lines)) if reach(i, 18) is not None]
     return {begins[i]: tuple(lines[i:end]) for i, end in units.items()}, windows
 

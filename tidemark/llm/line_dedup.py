@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tidemark.llm.chunks import sliced
 from tidemark.llm.common import bounded_broadcast, in_arrow, keyed, ship, stored
 
-LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 10, 18
+LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 8, 18
 #: A shared run of so many words is sure to be found.
 SURE_WORDS = 30
 #: Stands for the end of a text.
@@ -279,9 +279,11 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
     one pair for each of them. Rows that repeat id and text are one document.
     """
     texts = stored(fingerprints(docs, id_col, text_col, least_words), "fingerprints")
-    prints = texts.select("id", "mark", "n_words", F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
-        "id", "mark", "n_words", F.col("p.units").alias("unit"), F.col("p.ats").alias("at"))
+    # words of the text and place in one number: each column more is eight bytes more in every shuffled row
+    prints = texts.select("id", "mark", F.shiftleft(F.col("n_words").cast("long"), 32).alias("n"), F.explode(F.arrays_zip("units", "ats")).alias("p")).select(
+        "id", "mark", F.col("p.units").alias("unit"), (F.col("n") + F.col("p.ats")).alias("at"))
     place = F.struct("id", "mark", "at")
+    at, first_at = (F.col(c).bitwiseAND((1 << 32) - 1).cast("int") for c in ("at", "first.at"))
     # most units come once and are counted without their places; the joins below read written tables, so that adaptive
     # execution can split the rows of a hot key
     repeated = stored(prints.groupBy("unit").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("unit"), "repeated-units")
@@ -291,8 +293,8 @@ def earlier_lines(docs, id_col="doc_id", text_col="text", least_words=20):
         prints.join(first, "unit").where(place != F.col("first"))
         .groupBy("id", "mark", F.col("first.id").alias("first_id"), F.col("first.mark").alias("first_mark"))
         # no run reaches further from an anchor than the later text does, so only so much of the first one goes along
-        .agg(F.greatest(F.min(F.col("first.at") - F.col("at")), F.lit(0)).alias("low"), F.max(F.col("first.at") + F.col("n_words") - F.col("at")).alias("high"),
-             F.collect_set(F.struct("at", F.col("first.at").alias("first_at"))).alias("anchors")), "line-pairs")
+        .agg(F.greatest(F.min(first_at - at), F.lit(0)).alias("low"), F.max(first_at + F.shiftright("at", 32).cast("int") - at).alias("high"),
+             F.collect_set(F.struct(at.alias("at"), first_at.alias("first_at"))).alias("anchors")), "line-pairs")
     wanted = stored(pairs.select(F.col("first_id").alias("f_id"), F.col("first_mark").alias("f_mark")).distinct(), "first-texts")
     n, size = wanted.agg(F.count(F.lit(1)), F.coalesce(F.max(F.octet_length(F.col("f_id").cast("string"))), F.lit(0))).first()
     wanted = bounded_broadcast(wanted, n, 48 + size)
