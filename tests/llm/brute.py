@@ -9,7 +9,7 @@ import duckdb
 import public_tokenizers
 import xxhash
 
-TABLES = "documents benchmark labels pages".split()
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 def oracle(folder):
