@@ -59,7 +59,7 @@ def prints_of(*texts):
 
 
 def plain_lines(text):
-    """Lines as lists of words: cut after newlines and words of the least hash of some three."""
+    """Lines as lists of words: cut after newlines and words of the least hash of some LINE_WORDS."""
     held, last = [], set()
     for line in text.split("\n"):
         held += line.split()
@@ -67,9 +67,9 @@ def plain_lines(text):
     hashes = L.Words(text.encode()).hashes.tolist()
     assert len(hashes) == len(held)
     cuts = set(last) | {len(held) - 1}
-    for i in range(len(held) - 2):
-        least = min(hashes[i : i + 3])
-        cuts |= {k for k in range(i, i + 3) if hashes[k] == least}
+    for i in range(len(held) - L.LINE_WORDS + 1):
+        least = min(hashes[i : i + L.LINE_WORDS])
+        cuts |= {k for k in range(i, i + L.LINE_WORDS) if hashes[k] == least}
     lines, line = [], []
     for k, word in enumerate(held):
         line.append(word)
@@ -102,8 +102,9 @@ def plain_fingerprints(text):
     def reach(i, many):
         return next((k for k in range(i, len(lines) + 1) if begins[k] - begins[i] >= many), None)
 
-    units = {i: reach(i, 8) for i in range(len(lines)) if reach(i, 8) is not None}
-    windows = [{begins[k] for k, end in units.items() if k >= i and end <= reach(i, 18)} for i in range(len(lines)) if reach(i, 18) is not None]
+    units = {i: reach(i, L.UNIT_WORDS) for i in range(len(lines)) if reach(i, L.UNIT_WORDS) is not None}
+    windows = [{begins[k] for k, end in units.items() if k >= i and end <= reach(i, L.WINDOW_WORDS)} for i in range(len(lines)) if reach(i, L.WINDOW_WORDS) is not None]
+    windows = windows or [{begins[k] for k in units}]
     return {begins[i]: tuple(lines[i:end]) for i, end in units.items()}, windows
 
 
@@ -112,7 +113,7 @@ def test_lines_have_few_words_and_are_cut_alike():
     for _ in range(100):
         run = " ".join(f"w{pick.randrange(99)}" for _ in range(40))
         a, b = (plain_lines(f"{rim} {run} {rim}") for rim in ("x y z", "other. start\nhere u v"))
-        assert max(map(len, a + b)) <= 3
+        assert max(map(len, a + b)) <= L.LINE_WORDS
         inner = run.split()[5:-5]
         for lines in (a, b):
             joined = [w for line in lines for w in line]

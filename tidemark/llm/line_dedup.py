@@ -4,7 +4,7 @@ A line ends with a newline or a word of the least hash among LINE_WORDS consecut
 that and a passage is cut alike wherever it stands, but for a few words at its ends. Words are what stands between ASCII
 white space. Lines are hashed. A unit
 is as many whole lines as hold UNIT_WORDS words; of the units that lie within lines of WINDOW_WORDS words the one of least
-hash is a fingerprint. A run of 30 words that two texts share holds, beyond five words at either end, 20 words of lines
+hash is a fingerprint. A run of 30 words that two texts share holds, beyond three words at either end, 24 words of lines
 that are cut alike, hence a whole window, so the texts share a fingerprint whatever signs the run has and whatever stands
 around it.
 
@@ -12,6 +12,7 @@ Each fingerprint is joined with its first occurrence in the corpus (by id, then
 word by word, and the later run is deleted.
 """
 
+from functools import reduce
 from itertools import chain, pairwise
 
 import numpy as np
@@ -21,9 +22,7 @@ from pyspark.sql import types as T
 from tidemark.llm.chunks import sliced
 from tidemark.llm.common import bounded_broadcast, in_arrow, keyed, ship, stored
 
-LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 3, 8, 18
-#: A shared run of so many words is sure to be found.
-SURE_WORDS = 30
+LINE_WORDS, UNIT_WORDS, WINDOW_WORDS = 2, 10, 24
 #: Stands for the end of a text.
 END = 2**31 - 2
 #: Bytes hashed at a time; a longer text is cut at white space.
@@ -93,7 +92,7 @@ def line_starts(hashes, breaks, ends):
     last = breaks.copy()
     windows = n - LINE_WORDS + 1
     if windows > 0:
-        least = np.minimum(np.minimum(hashes[:-2], hashes[1:-1]), hashes[2:])
+        least = reduce(np.minimum, (hashes[k : k + windows] for k in range(LINE_WORDS)))
         within = np.ones(n, bool)
         for k in range(1, LINE_WORDS):
             within[np.maximum(ends - k, 0)] = False  # windows that reach into the next text
@@ -109,21 +108,22 @@ def line_hashes(hashes, starts):
 
 
 def line_units(lines, starts, before, n):
-    """Hash of the unit that begins at each line, and the line it ends before (beyond the last line: none). before: how
-    many lines begin before each word, of n words."""
-    stop = starts + UNIT_WORDS
-    ends = np.where(stop <= n, before[np.minimum(stop, n)], len(lines) + 1)
+    """Hash of the unit that begins at each line (no unit where too few words follow). before: how many lines begin
+    before each word, of n words."""
+    ends = before[np.minimum(starts + UNIT_WORDS, n)]
     power, back = powers(len(lines))
     running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(lines * power, dtype=np.uint64)])
-    return mixed((running[np.minimum(ends, len(lines))] - running[:-1]) * back), ends
+    return mixed((running[ends] - running[:-1]) * back)
 
 
-def chosen_units(units, unit_ends, starts, before, text_ends):
-    """Which units (a mask) are the least of some window; text_ends: for each line the end of its text, in words."""
+def chosen_units(units, starts, before, text_begins, text_ends):
+    """Which units (a mask) are the least of some window, or of their whole text if it is shorter; text_begins, text_ends:
+    for each line those of its text, in words."""
     bounds = np.append(starts, text_ends[-1])
-    at = np.flatnonzero(starts + WINDOW_WORDS <= text_ends)
+    at = np.flatnonzero((starts + WINDOW_WORDS <= text_ends) | (starts == text_begins))
     # a window ends before the first line that begins WINDOW_WORDS or more words on, and its units begin UNIT_WORDS before that
-    stop = before[bounds[before[starts[at] + WINDOW_WORDS]] - UNIT_WORDS + 1]
+    goal = np.minimum(starts[at] + WINDOW_WORDS, text_ends[at])
+    stop = before[bounds[before[goal]] - UNIT_WORDS + 1]
     most = int((stop - at).max(initial=0))
     least, chosen = units[at], np.zeros(len(units), bool)
     for k in range(1, most):
@@ -138,7 +138,7 @@ def chosen_units(units, unit_ends, starts, before, text_ends):
 
 def text_fingerprints(hashes, breaks, counts):
     """Of texts one after the other (hashes of their words, where lines end anyway, and the number of words of each,
-    WINDOW_WORDS at least): hash and place, a word of its text, of every fingerprint, in two lists of arrays."""
+    UNIT_WORDS at least): hash and place, a word of its text, of every fingerprint, in two lists of arrays."""
     counts = np.asarray(counts, np.int64)
     if not len(counts):
         return [], []
@@ -147,9 +147,9 @@ def text_fingerprints(hashes, breaks, counts):
     begun = np.zeros(n, np.int64)
     begun[starts] = 1
     before = np.concatenate([[0], np.cumsum(begun)])
-    text_ends = np.repeat(ends, before[ends] - before[ends - counts])
-    units, unit_ends = line_units(line_hashes(hashes, starts), starts, before, n)
-    places = np.flatnonzero(chosen_units(units, unit_ends, starts, before, text_ends))
+    lines = before[ends] - before[ends - counts]
+    units = line_units(line_hashes(hashes, starts), starts, before, n)
+    places = np.flatnonzero(chosen_units(units, starts, before, np.repeat(ends - counts, lines), np.repeat(ends, lines)))
     values, found, ats = units[places], [], []
     cuts = np.searchsorted(places, np.append(before[ends - counts], len(starts))).tolist()
     for k, (begin, stop) in enumerate(pairwise(cuts)):
@@ -217,7 +217,7 @@ def fingerprints(docs, id_col="doc_id", text_col="text", least_words=20):
 
         for part in (p for batch in batches for p in sliced(batch, 2, 1 << 20)):
             words, counts = in_words(part.column(2))
-            keep = counts >= max(least_words, WINDOW_WORDS)
+            keep = counts >= max(least_words, UNIT_WORDS)
             own = np.repeat(keep, counts)
             found, ats = text_fingerprints(words.hashes[own], words.breaks[own], counts[keep])
             taken = pa.array(np.flatnonzero(keep))
