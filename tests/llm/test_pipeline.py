@@ -88,3 +88,19 @@ def test_odd_tables_pass_through(spark, tmp_path):
         # the null id comes first, so the rows of id 3 hold nothing new
         assert [r["doc_id"] for r in found] == ([None] if some else [])
         assert [(r["_sha"], r["decoded"], r["s_id"]) for r in found] == ([more] if some else []) and all(r["round_trip"] for r in found)
+
+
+def test_scraps_of_long_texts(spark):
+    """The rules of cut texts count each text's words once, not once for each word (which never ends for these)."""
+    from threading import Timer
+
+    words = [f"w{i * 7919 % 100003}" for i in range(9000)]
+    texts = [" ".join(words[:4000]), " ".join(words[3000:]), " ".join(words[3000:3100] + ["few", "more"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    timer = Timer(120, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        found = {r["doc_id"]: r["text"].split() for r in corpus_pipeline.lines(spark, docs, None).collect()}
+    finally:
+        timer.cancel()
+    assert found == {0: words[:4000], 1: words[4000:]}
