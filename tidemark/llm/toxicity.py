@@ -39,8 +39,11 @@ REMEMBERED = 400_000
 
 def tokens_of(text):
     """What stands between white space, in lower case; a long token as overlapping pieces."""
+    tokens = text.lower().split()
+    if max(map(len, tokens), default=0) <= PIECE:
+        return tokens
     found = []
-    for token in text.lower().split():
+    for token in tokens:
         if len(token) <= PIECE:
             found.append(token)
         else:
@@ -54,8 +57,15 @@ def word_of(token):
 
 def grams(token):
     """All sequences of 3 to 5 characters, its ends marked, and its first 6 and 7."""
-    marked = f"^{token}$"
-    return [marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)] + [marked[: n + 1] for n in (6, 7) if len(token) >= n]
+    marked, n = f"^{token}$", len(token)
+    found = [marked[i : i + 3] for i in range(n)]
+    found += [marked[i : i + 4] for i in range(n - 1)]
+    found += [marked[i : i + 5] for i in range(n - 2)]
+    if n >= 6:
+        found.append(marked[:7])
+        if n >= 7:
+            found.append(marked[:8])
+    return found
 
 
 @dataclass
@@ -77,11 +87,10 @@ def _sigmoid(x):
 def _inputs(net, tokens):
     """Numbers of the tokens' words, and of their character sequences (a row of GRAMS each; 0: not known)."""
     known, form = net.words.get, net.grams.get
-    ids = np.fromiter((known(word_of(t), 0) for t in tokens), np.int64, len(tokens))
+    ids = np.array([known(t.strip(AROUND), 0) for t in tokens], np.int64)
+    own = [list(filter(None, map(form, grams(token)))) for token in tokens]
     rows = np.zeros((len(tokens), GRAMS), np.int32)
-    for k, token in enumerate(tokens):
-        own = [g for g in map(form, grams(token)) if g]
-        rows[k, : len(own)] = own
+    rows[np.arange(GRAMS) < np.array(list(map(len, own)), np.int64)[:, None]] = list(chain.from_iterable(own))
     return ids, rows
 
 
@@ -389,10 +398,12 @@ class Scorer:
         split = [tokens_of(t) for t in texts]
         if self.count > REMEMBERED:
             self.forget()
-        new = list({t for own in split for t in own if t not in self.number})
+        new = list(set(chain.from_iterable(split)).difference(self.number))
         if new:
             self.learn(new)
-        windows = [windows_of(np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))) for own in split]
+        counts = list(map(len, split))
+        numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
+        windows = list(map(windows_of, np.split(numbers, np.cumsum(counts)[:-1])))
         every = np.concatenate(windows)
         logits = np.concatenate([_forward(self.net, self.projected, every[i : i + SIDE_BY_SIDE])[0]
                                  for i in range(0, len(every), SIDE_BY_SIDE)])
