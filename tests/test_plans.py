@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import lookups
 from tidemark.operators.enrich import attach_readers
-from tidemark.operators.net_state import latest_changes, net_state
+from tidemark.operators.net_state import _dealt, latest_changes, net_state
 from tidemark.sources import feed
 
 
@@ -49,6 +49,15 @@ def test_folds_aggregate_before_the_shuffle(spark):
     assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
 
 
+def test_fields_are_folded_after_they_are_dealt_out(spark):
+    """No task sorts all it reads of the feed; the rows of a hot key go to several tasks."""
+    assert "Aggregate" not in plan_of(net_state(events(spark), "uuid", ["id"])).split("Exchange hashpartitioning")[-1]
+    mixed = events(spark).unionByName(events(spark).withColumn("uuid", F.concat(F.lit("k"), "id")))
+    mixed = mixed.unionByName(events(spark))
+    dealt = _dealt(mixed, "uuid", ["id"]).groupBy((F.col("uuid") == "hot").alias("hot")).agg(F.countDistinct("uuid", "_part").alias("n"))
+    assert {r["hot"]: r["n"] for r in dealt.collect()} == {True: 2, False: 100}
+
+
 def without_broadcasts(spark, function):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

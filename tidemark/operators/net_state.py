@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.lookups import hot_keys
+
 
 def state_columns(order):
     """Columns and types of a key's state, from those of the order."""
@@ -14,15 +16,17 @@ def field_states(events, key, order, fields="fields"):
     that no delete follows.
 
     `events` carries `is_delete` (see feed.routed) and, for updates, a map of the fields the change names. An update
-    replaces whatever an earlier one of the same fields wrote, so events are first folded by key and set of names; both
-    folds have a partial step, so a hot key arrives as few rows. Writes older than the last delete go before the sets
-    expand to single fields.
+    replaces whatever an earlier one of the same fields wrote, so events are first folded by key and set of names. They
+    are dealt out by key before that: the fold sorts, and what one map task reads is too much to sort at once. A hot key
+    is dealt to as many tasks as its share asks for, and arrives as few rows at the second fold. Writes older than the
+    last delete go before the sets expand to single fields.
     """
+    events = _dealt(events, key, order)
     is_delete = F.col("is_delete")
     named = F.when(~is_delete, F.array_sort(F.map_entries(fields)))
-    events = events.select(F.col(key), is_delete, F.struct(*[F.col(c) for c in order]).alias("seq"), named.alias("_entries"))
-    folded = events.select(key, "is_delete", "seq", F.col("_entries.key").alias("names"), F.col("_entries.value").alias("values"))
-    folded = folded.groupBy(key, "is_delete", "names").agg(F.max(F.struct("seq", "values")).alias("last"))
+    events = events.select(F.col(key), "_part", is_delete, F.struct(*[F.col(c) for c in order]).alias("seq"), named.alias("_entries"))
+    folded = events.select(key, "_part", "is_delete", "seq", F.col("_entries.key").alias("names"), F.col("_entries.value").alias("values"))
+    folded = folded.groupBy(key, "_part", "is_delete", "names").agg(F.max(F.struct("seq", "values")).alias("last"))
     written = F.when(~is_delete & (F.size("names") > 0), F.struct("names", "last.seq", "last.values"))
     gathered = folded.groupBy(key).agg(
         F.max(F.when(is_delete, F.col("last.seq"))).alias("last_delete"),
@@ -40,6 +44,17 @@ def field_states(events, key, order, fields="fields"):
         F.map_from_entries(F.transform(last, lambda w: F.struct(w["field"], F.struct(w["seq"], w["value"])))).alias("writes"))
 
 
+def _dealt(events, key, order):
+    """Events dealt out by _part, a hash of key and salt; the rows of a hot key have several salts. Keys are counted by
+    their hash: one that shares it with a hot key is salted too, which does no harm."""
+    spark = events.sparkSession
+    hashed = events.withColumn("_hash", F.xxhash64(key))
+    hot = hot_keys(hashed, "_hash", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    salts = F.broadcast(spark.createDataFrame(list(hot.items()), "_hash long, _salts int"))
+    salt = F.pmod(F.xxhash64(*order), F.coalesce("_salts", F.lit(1)))
+    return hashed.join(salts, "_hash", "left").withColumn("_part", F.hash(key, salt)).drop("_hash", "_salts").repartition("_part")
+
+
 def merge_states(stored, incoming, key="uuid"):
     """States of both sides by one full outer join: the greater place wins for each field, delete and update, so the
     order in which states are merged doesn't matter."""
