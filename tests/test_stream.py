@@ -87,3 +87,24 @@ def test_a_transaction_goes_on_in_the_next_files(spark, tmp_path):
     source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     stream_events(source, store, str(tmp_path / "checkpoint"), seconds=None).awaitTermination()
     assert fields_of(store) == expected(events)
+
+
+def test_feed_files_hold_bounded_rows(spark, tmp_path, monkeypatch):
+    """Stragglers and ranges are written by as many tasks as their rows ask for, whatever their number."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import workload
+
+    late = F.col("id") % 2 == 0
+    spark.range(400).select(
+        F.when(late, F.col("id") * 50 + 6).otherwise(F.col("id") * 50).alias("l_orderkey"), (F.col("id") % 20).alias("l_partkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(1).cast("bigint").alias("l_suppkey"),
+        *[F.col("id").cast("double").alias(f"l_{c}") for c in ("quantity", "extendedprice", "discount", "tax")],
+        F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"), F.lit("2020-01-01").cast("timestamp").alias("l_shipdate"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(workload, "FILE_ROWS", 60)
+    monkeypatch.setattr(workload, "new_folder", lambda spark, name: f"{tmp_path}/{name}")
+    found = {r["uuid"]: r["quantity"] for r in workload.stream_net_state(spark, str(tmp_path)).collect()}
+    assert found == {f"p-{k}": 380.0 + k for k in range(20)}
+    sizes = [r["count"] for r in spark.read.parquet(f"{tmp_path}/stream/feed").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 400 and max(sizes) <= 90

@@ -1,5 +1,6 @@
 """The registered queries: every operator run over the driver tables."""
 
+import math
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -479,11 +480,12 @@ def two_batches(spark, d):
     return _field_numbers(store.documents())
 
 
-FILES, GROUPS = 2, 3
+#: Files of a range at least, ranges, and rows of a file about.
+FILES, GROUPS, FILE_ROWS = 2, 3, 1_000_000
 
 
-def _feed_files(rows, folder, last, place, backwards=False):
-    """Rows as files, FILES for each of GROUPS ranges of transactions; a range's last transaction goes on in the next
+def _feed_files(rows, folder, last, place, files, backwards=False):
+    """Rows as files, so many for each of GROUPS ranges of transactions; a range's last transaction goes on in the next
     range with its rows of an even place. Backwards: the last range is written, and so comes, first."""
     for i in sorted(range(GROUPS), reverse=backwards):
         low, high = last * i // GROUPS, last * (i + 1) // GROUPS
@@ -492,7 +494,12 @@ def _feed_files(rows, folder, last, place, backwards=False):
             here = here & ~((F.col("txn_id") == high) & place)
         if i:
             here = here | ((F.col("txn_id") == low) & place)
-        rows.where(here).repartition(FILES, F.rand(7)).write.mode("append").parquet(folder)
+        rows.where(here).repartition(files, F.rand(7)).write.mode("append").parquet(folder)
+
+
+def _file_numbers(n):
+    """Files of each of GROUPS ranges of n rows: no task writes or reads more than FILE_ROWS or so."""
+    return max(FILES, math.ceil(n / GROUPS / FILE_ROWS))
 
 
 def stream_net_state(spark, d):
@@ -500,12 +507,13 @@ def stream_net_state(spark, d):
     straggler, after all others."""
     events = _line_events(spark, d)
     folder = new_folder(spark, "stream")
-    last = events.agg(F.max("txn_id")).first()[0]
     late = F.col("txn_id") % 50 == 7
-    _feed_files(events.where(~late), f"{folder}/feed", last, F.col("l_linenumber") > 2, backwards=True)
-    events.where(late).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+    last, n, n_late = events.agg(F.max("txn_id"), F.count(F.lit(1)), F.count_if(late)).first()
+    files = _file_numbers(n - n_late)
+    _feed_files(events.where(~late), f"{folder}/feed", last, F.col("l_linenumber") > 2, files, backwards=True)
+    events.where(late).repartition(math.ceil(n_late / FILE_ROWS) or 1, F.rand(7)).write.mode("append").parquet(f"{folder}/feed")
     store = _event_store(spark, events, f"{folder}/index")
-    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
     stream_events(source, store, f"{folder}/checkpoint", seconds=None).awaitTermination()
     return _field_numbers(store.documents())
 
@@ -515,9 +523,10 @@ def stream_documents(spark, d):
     sources = document_sources(spark, d)
     folder = new_folder(spark, "stream-documents")
     last = sources.log.agg(F.max("id")).first()[0]
-    _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0)
+    files = _file_numbers(sources.changes.count())
+    _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0, files)
     store = IndexStore(spark, f"{folder}/index", slices=4, buckets=8).ensure()
-    source = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder}/feed")
+    source = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
     stream_index(source, store, sources, f"{folder}/checkpoint", seconds=None).awaitTermination()
     return _cycle_rows(store)
 
