@@ -118,6 +118,20 @@ def test_every_character_is_read():
     assert {"^sh*", "h*t$", "sh*t"} <= set(toxicity.grams("sh*t")) and max(len(toxicity.grams("x" * 16)) for _ in "x") == toxicity.GRAMS
 
 
+def test_sequences_are_found_for_many_tokens_at_once(monkeypatch):
+    """Without a loop over the sequences of each token, and as a plain look-up of grams() finds them."""
+    pick = random.Random(6)
+    tokens = ["".join(pick.choice("ab*1\x00^$\u6bd2\U0001f600") for _ in range(pick.randrange(1, toxicity.PIECE + 1))) for _ in range(3000)]
+    known = sorted({g for t in tokens[::2] for g in toxicity.grams(t)} | {"^ab", "b$"})
+    pick.shuffle(known)
+    net = toxicity.Network({}, {g: i for i, g in enumerate(known[: len(known) // 2], 1)}, {})
+    wanted = [[net.grams[g] for g in toxicity.grams(t) if g in net.grams] for t in tokens]
+    monkeypatch.setattr(toxicity, "grams", None)
+    for some in (tokens, tokens[:1], []):
+        _, rows = toxicity._inputs(net, some)
+        assert rows.tolist() == [w + [0] * (toxicity.GRAMS - len(w)) for w in wanted[: len(some)]]
+
+
 def test_signs_and_phrases_without_spaces_move_the_score():
     """Toxic words that are only known with signs in them, and ones glued into a long run."""
     pick, texts, labels = random.Random(4), [], []

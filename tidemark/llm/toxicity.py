@@ -9,7 +9,7 @@ after each round.
 """
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import chain
 from math import log, sqrt
 
@@ -78,6 +78,71 @@ class Network:
     scale: float = 1.0
     threshold: float = 0.0
     scorer: object = None
+    forms: object = None
+
+
+class Forms:
+    """Numbers of the known character sequences of many tokens at once: sequences of one length are looked up by a hash,
+    and compared character by character where it is that of a known one."""
+
+    LENGTHS = (3, 4, 5, 7, 8)
+    BITS = 20
+
+    def __init__(self, numbers):
+        by_length = {n: sorted((g, i) for g, i in numbers.items() if len(g) == n) for n in self.LENGTHS}
+        seed, self.tables = 0, None
+        while self.tables is None:
+            self.factors = np.random.default_rng(seed).integers(1, 1 << 63, max(self.LENGTHS), np.uint64) * np.uint64(2) + np.uint64(1)
+            tables = [self._table(by_length[n], n) for n in self.LENGTHS]
+            if all(len(np.unique(hashes)) == len(hashes) for hashes, *_ in tables):
+                self.tables = tables
+            seed += 1
+
+    def _table(self, known, n):
+        """Hashes in order, numbers and characters of the known sequences of n characters, and which leading bits they have."""
+        points = _points(g for g, _ in known).reshape(len(known), n)
+        hashes = (points * self.factors[:n]).sum(axis=1, dtype=np.uint64)
+        order, some = np.argsort(hashes), np.zeros(1 << self.BITS, bool)
+        some[hashes >> np.uint64(64 - self.BITS)] = True
+        return hashes[order], np.array([i for _, i in known], np.int32)[order], points[order], some
+
+    def of(self, tokens):
+        """A row of GRAMS numbers for each token, the known ones first, in the order of grams(), then 0."""
+        sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        marked = np.zeros((len(tokens), PIECE + 2), np.uint64)
+        marked[:, 0] = ord("^")
+        marked[:, 1:-1][np.arange(PIECE) < sizes[:, None]] = _points(tokens)
+        marked[np.arange(len(tokens)), sizes + 1] = ord("$")
+        found, first, hashes, done = np.zeros((len(tokens), GRAMS), np.int32), 0, 0, 0
+        for n, table in zip(self.LENGTHS, self.tables):
+            wide = PIECE + 3 - n if n <= 5 else 1
+            hashes = hashes if done == 0 else hashes[:, :wide]
+            for k in range(done, n):
+                hashes = hashes + marked[:, k : k + wide] * self.factors[k]
+            # a sequence lies within its marked token, one of the first 6 or 7 characters before the mark at its end
+            within = np.arange(wide) + n <= sizes[:, None] + (2 if n <= 5 else 1)
+            self._look_up(table, n, hashes, within, marked, found[:, first : first + wide])
+            first, done = first + wide, n
+        rows, known = np.zeros_like(found), found > 0
+        rows[np.arange(GRAMS) < known.sum(axis=1)[:, None]] = found[known]
+        return rows
+
+    def _look_up(self, table, n, hashes, within, marked, found):
+        known, numbers, points, some = table
+        if not len(known):
+            return
+        row, at = np.nonzero(some[hashes >> np.uint64(64 - self.BITS)] & within)
+        own = hashes[row, at]
+        place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+        same = known[place] == own
+        row, at, place = row[same], at[same], place[same]
+        same = (marked[row[:, None], at[:, None] + np.arange(n)] == points[place]).all(axis=1)
+        found[row[same], at[same]] = numbers[place[same]]
+
+
+def _points(strings):
+    """Code points of strings, one after the other."""
+    return np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
 def _sigmoid(x):
@@ -86,12 +151,12 @@ def _sigmoid(x):
 
 def _inputs(net, tokens):
     """Numbers of the tokens' words, and of their character sequences (a row of GRAMS each; 0: not known)."""
-    known, form = net.words.get, net.grams.get
+    known = net.words.get
     ids = np.array([known(t.strip(AROUND), 0) for t in tokens], np.int64)
-    own = [list(filter(None, map(form, grams(token)))) for token in tokens]
-    rows = np.zeros((len(tokens), GRAMS), np.int32)
-    rows[np.arange(GRAMS) < np.array(list(map(len, own)), np.int64)[:, None]] = list(chain.from_iterable(own))
-    return ids, rows
+    if net.forms is None:
+        net.forms = Forms(net.grams)
+    rows = [net.forms.of(tokens[i : i + TOKENS]) for i in range(0, len(tokens), TOKENS)]
+    return ids, np.concatenate([np.zeros((0, GRAMS), np.int32), *rows])
 
 
 def _vectors(net, ids, rows):
@@ -111,7 +176,7 @@ def _run(projected, ids, mask, hidden, steps, keep):
     n, h = len(ids), np.zeros((len(ids), STATE), np.float32)
     states, kept = np.empty((ids.shape[1], n, STATE), np.float32), {}
     for t in steps:
-        g = projected[ids[:, t]]
+        g = projected.take(ids[:, t], axis=0)
         u = h @ hidden
         gates = _sigmoid(g[:, : 2 * STATE] + u[:, : 2 * STATE])
         z, r = gates[:, :STATE], gates[:, STATE:]
@@ -369,6 +434,19 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", per_c
     return train([rows[i]["text"] for i in order], [rows[i]["label"] for i in order])
 
 
+class Numbers(dict):
+    """Tokens by number; one that is new gets the next number when it is asked for, and is listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, token):
+        self.new.append(token)
+        self[token] = number = len(self)
+        return number
+
+
 class Scorer:
     """Scores texts; words are projected once and remembered."""
 
@@ -377,12 +455,14 @@ class Scorer:
         self.forget()
 
     def forget(self):
-        self.number, self.count = {}, 0
+        self.number, self.count = Numbers(), 0
         self.projected = [np.empty((1 << 14, 3 * STATE), np.float32) for _ in range(2)]
 
-    def learn(self, tokens):
-        for i in range(0, len(tokens), TOKENS):
-            self._learn(tokens[i : i + TOKENS])
+    def learn(self):
+        """Project the tokens that were numbered since the last time."""
+        new, self.number.new = self.number.new, []
+        for i in range(0, len(new), TOKENS):
+            self._learn(new[i : i + TOKENS])
 
     def _learn(self, tokens):
         vectors = _vectors(self.net, *_inputs(self.net, tokens))
@@ -391,18 +471,15 @@ class Scorer:
             while len(self.projected[side]) < stop:
                 self.projected[side] = np.concatenate([self.projected[side], np.empty_like(self.projected[side])])
             self.projected[side][self.count : stop] = rows
-        self.number.update(zip(tokens, range(self.count, stop)))
         self.count = stop
 
     def scores(self, texts):
         split = [tokens_of(t) for t in texts]
         if self.count > REMEMBERED:
             self.forget()
-        new = list(set(chain.from_iterable(split)).difference(self.number))
-        if new:
-            self.learn(new)
         counts = list(map(len, split))
         numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
+        self.learn()
         windows = list(map(windows_of, np.split(numbers, np.cumsum(counts)[:-1])))
         every = np.concatenate(windows)
         logits = np.concatenate([_forward(self.net, self.projected, every[i : i + SIDE_BY_SIDE])[0]
@@ -427,7 +504,7 @@ def toxicity(docs, net, id_col="doc_id", text_col="text", batch_bytes=1 << 20):
     """
     out = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("score", T.DoubleType()),
                         T.StructField("predicted", T.IntegerType())])
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # bounded by the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(net and replace(net, scorer=None, forms=None))  # bounded by the vocabulary
 
     def scored(batches):
         import pyarrow as pa
