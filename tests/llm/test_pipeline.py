@@ -104,3 +104,17 @@ def test_scraps_of_long_texts(spark):
     finally:
         timer.cancel()
     assert found == {0: words[:4000], 1: words[4000:]}
+
+
+def test_cut_lines_hold_each_text_once(spark, monkeypatch):
+    held, stored = {}, corpus_pipeline.stored
+
+    def listed(df, name):
+        held[name] = df.columns
+        return stored(df, name)
+
+    monkeypatch.setattr(corpus_pipeline, "stored", listed)
+    words = " ".join(f"word{i}" for i in range(200))
+    docs = spark.createDataFrame([(0, words), (1, words + " more"), (2, None)], "doc_id long, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.lines(spark, docs, None).collect()] == [0, 2]
+    assert held["cut-lines"] == ["row", "spans"]
