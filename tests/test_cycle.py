@@ -1,6 +1,7 @@
 """The whole cycle on a small hand-made repository."""
 
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import PySparkException
@@ -479,3 +480,27 @@ def test_what_failed_is_driven_again(spark, tmp_path, repo):
     assert replay_pending(store, good) == 4
     assert {tuple(r) for r in store.pending().collect()} == {(4, "missing_metadata", 2)}
     assert indexed(store) == indexed(whole) and store.watermark() == 2
+
+
+def test_all_tasks_build_documents(spark, tmp_path, repo, monkeypatch):
+    """Also where the metadata lies in one file of one row group."""
+    from tidemark.plans import cycle
+
+    tasks, staged = [], cycle.staged
+
+    def counted(df, path):
+        if path.endswith("work/documents"):
+            tasks.append(df.rdd.getNumPartitions())
+        return staged(df, path)
+
+    monkeypatch.setattr(cycle, "staged", counted)
+    sources = repo.sources()
+    catch_up(make_store(spark, tmp_path, "spread"), replace(sources, metadata=sources.metadata.coalesce(1)), None)
+    assert tasks == [int(spark.conf.get("spark.sql.shuffle.partitions"))] != [1]
+
+
+def test_buckets_of_a_streamed_index_grow_with_its_rows():
+    from tidemark.plans import workload
+
+    numbers = {n: workload._bucket_number(n) for n in (0, 1000, 200_000, 200_001, 3_300_000)}
+    assert list(numbers.values())[:3] == [8, 8, 8] and all(n <= b * workload.BUCKET_ROWS for n, b in numbers.items())

@@ -130,3 +130,8 @@ def test_unescape(spark, escaped, text):
 
 def test_unescape_long_run(spark):
     assert one(spark, "\\u6f22" * 200_000, unescape_unicode) == "漢" * 200_000
+
+
+def test_properties_are_parsed_once(spark):
+    rows = spark.createDataFrame([("{}",)], "p string").select(parse_properties(F.col("p")))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("VariantType,true), p#") == 1

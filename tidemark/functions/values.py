@@ -88,4 +88,5 @@ def parse_properties(json):
     """As parsed_properties, but malformed text raises."""
     parsed = parsed_properties(json)
     failure = F.raise_error(F.concat(F.lit("properties that are no JSON object: "), F.substring(json, 1, 200)))
-    return F.when(parsed.isNull(), F.from_json(failure.cast("string"), "map<string,variant>")).otherwise(parsed)
+    # coalesce names the parsed text once, so it is parsed once
+    return F.coalesce(parsed, F.from_json(failure.cast("string"), "map<string,variant>"))

@@ -219,7 +219,8 @@ def _enriched(thin, size, sources, registry, options, work):
         nodes = attach_readers(attach_metadata(keys, wide, size), readers, size=readers_size)
     else:
         nodes = wide.join(attach_readers(keys, readers, size=readers_size), "id")
-    nodes = nodes.where(F.col("version").eqNullSafe(F.col("_version"))).drop("version", "_version")
+    # building a document costs more than moving its row, and the scan may have few row groups: all tasks build
+    nodes = nodes.where(F.col("version").eqNullSafe(F.col("_version"))).drop("version", "_version").repartition("uuid")
     parsed = parsed_properties(F.col("properties")) if options.on_error == "reject" else parse_properties(F.col("properties"))
     nodes = nodes.withColumn("_parsed", parsed).withColumn("bad_properties", F.col("_parsed").isNull())
     nodes = nodes.withColumn("properties", F.coalesce("_parsed", parsed_properties(F.lit("{}")))).drop("_parsed")

@@ -482,6 +482,8 @@ def two_batches(spark, d):
 
 #: Files of a range at least, ranges, and rows of a file about.
 FILES, GROUPS, FILE_ROWS = 2, 3, 1_000_000
+#: Buckets of a streamed index at least, and change rows for each.
+BUCKETS, BUCKET_ROWS = 8, 25_000
 
 
 def _feed_files(rows, folder, last, place, files, backwards=False):
@@ -502,6 +504,11 @@ def _file_numbers(n):
     return max(FILES, math.ceil(n / GROUPS / FILE_ROWS))
 
 
+def _bucket_number(n):
+    """Buckets for n change rows: a snapshot is read, joined and rewritten by one task for each."""
+    return max(BUCKETS, math.ceil(n / BUCKET_ROWS))
+
+
 def stream_net_state(spark, d):
     """The line feed as files that come in the wrong order, some transactions over two of them and every 50th, a
     straggler, after all others."""
@@ -523,9 +530,10 @@ def stream_documents(spark, d):
     sources = document_sources(spark, d)
     folder = new_folder(spark, "stream-documents")
     last = sources.log.agg(F.max("id")).first()[0]
-    files = _file_numbers(sources.changes.count())
+    n = sources.changes.count()
+    files = _file_numbers(n)
     _feed_files(sources.changes, f"{folder}/feed", last, F.col("id") % 2 == 0, files)
-    store = IndexStore(spark, f"{folder}/index", slices=4, buckets=8).ensure()
+    store = IndexStore(spark, f"{folder}/index", slices=4, buckets=_bucket_number(n)).ensure()
     source = spark.readStream.schema(sources.changes.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/feed")
     stream_index(source, store, sources, f"{folder}/checkpoint", seconds=None).awaitTermination()
     return _cycle_rows(store)
