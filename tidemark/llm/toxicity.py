@@ -434,19 +434,6 @@ def fit(docs, labels, id_col="doc_id", text_col="text", label_col="toxic", per_c
     return train([rows[i]["text"] for i in order], [rows[i]["label"] for i in order])
 
 
-class Numbers(dict):
-    """Tokens by number; one that is new gets the next number when it is asked for, and is listed."""
-
-    def __init__(self):
-        super().__init__()
-        self.new = []
-
-    def __missing__(self, token):
-        self.new.append(token)
-        self[token] = number = len(self)
-        return number
-
-
 class Scorer:
     """Scores texts; words are projected once and remembered."""
 
@@ -455,14 +442,12 @@ class Scorer:
         self.forget()
 
     def forget(self):
-        self.number, self.count = Numbers(), 0
+        self.number, self.count = {}, 0
         self.projected = [np.empty((1 << 14, 3 * STATE), np.float32) for _ in range(2)]
 
-    def learn(self):
-        """Project the tokens that were numbered since the last time."""
-        new, self.number.new = self.number.new, []
-        for i in range(0, len(new), TOKENS):
-            self._learn(new[i : i + TOKENS])
+    def learn(self, tokens):
+        for i in range(0, len(tokens), TOKENS):
+            self._learn(tokens[i : i + TOKENS])
 
     def _learn(self, tokens):
         vectors = _vectors(self.net, *_inputs(self.net, tokens))
@@ -471,15 +456,18 @@ class Scorer:
             while len(self.projected[side]) < stop:
                 self.projected[side] = np.concatenate([self.projected[side], np.empty_like(self.projected[side])])
             self.projected[side][self.count : stop] = rows
+        self.number.update(zip(tokens, range(self.count, stop)))
         self.count = stop
 
     def scores(self, texts):
         split = [tokens_of(t) for t in texts]
         if self.count > REMEMBERED:
             self.forget()
+        new = list(set(chain.from_iterable(split)).difference(self.number))
+        if new:
+            self.learn(new)
         counts = list(map(len, split))
         numbers = np.fromiter(map(self.number.__getitem__, chain.from_iterable(split)), np.int64, sum(counts))
-        self.learn()
         windows = list(map(windows_of, np.split(numbers, np.cumsum(counts)[:-1])))
         every = np.concatenate(windows)
         logits = np.concatenate([_forward(self.net, self.projected, every[i : i + SIDE_BY_SIDE])[0]
