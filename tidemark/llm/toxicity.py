@@ -443,7 +443,7 @@ class Scorer:
 
     def forget(self):
         self.number, self.count = {}, 0
-        self.projected = [np.empty((1 << 14, 3 * STATE), np.float32) for _ in range(2)]
+        self.projected = [np.zeros((1 << 14, 3 * STATE), np.float32) for _ in range(2)]  # padding reads row 0, also before there is a token
 
     def learn(self, tokens):
         for i in range(0, len(tokens), TOKENS):
